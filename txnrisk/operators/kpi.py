@@ -103,7 +103,7 @@ def score_histogram(scored: DataFrame, buckets: int = 10) -> DataFrame:
 
 def tier_by_method(scored: DataFrame) -> DataFrame:
     """Transactions per tier (rows) and payment method (columns)."""
-    return (scored.groupBy("risk_tier").pivot("payment_method", PAYMENT_METHODS).agg(F.count("*"))
+    return (scored.groupBy("risk_tier").pivot("payment_method", PAYMENT_METHODS).agg(F.count(F.lit(1)))
             .na.fill(0, PAYMENT_METHODS)
             .select("risk_tier", *[F.col(m).alias(m.lower()) for m in PAYMENT_METHODS]))
 

@@ -15,15 +15,34 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 @dataclass(frozen=True)
 class Check:
+    """One declared check; declaring needs no session."""
+
     kind: str
     column: str
-    failing: Column | None = None
-    parent: str | None = None
-    parent_column: str | None = None
+    arguments: tuple = ()
+
+    @property
+    def row_level(self) -> bool:
+        return self.kind not in ("unique", "relationships")
+
+    def failing(self) -> Column:
+        """True for the rows a row-level check rejects."""
+        column = F.col(self.column) if self.kind != "expression_is_true" else F.expr(self.column)
+        if self.kind == "not_null":
+            return column.isNull()
+        if self.kind == "accepted_values":
+            return ~column.isin(list(self.arguments))
+        if self.kind == "expression_is_true":
+            return ~column
+        if self.kind == "accepted_range":
+            low, high = self.arguments
+            below = F.lit(False) if low is None else column < low
+            return below if high is None else below | (column > high)
+        raise ValueError(f"{self.kind} is not a row-level check")
 
 
 def not_null(column: str) -> Check:
-    return Check("not_null", column, F.col(column).isNull())
+    return Check("not_null", column)
 
 
 def unique(column: str) -> Check:
@@ -32,27 +51,23 @@ def unique(column: str) -> Check:
 
 
 def accepted_values(column: str, values: Sequence) -> Check:
-    return Check("accepted_values", column, ~F.col(column).isin(list(values)))
+    """NULL passes."""
+    return Check("accepted_values", column, tuple(values))
 
 
 def accepted_range(column: str, low=None, high=None) -> Check:
     """Both bounds inclusive, either may be missing; NULL passes."""
-    outside = F.lit(False)
-    if low is not None:
-        outside = outside | (F.col(column) < low)
-    if high is not None:
-        outside = outside | (F.col(column) > high)
-    return Check("accepted_range", column, outside)
+    return Check("accepted_range", column, (low, high))
 
 
 def expression(sql: str) -> Check:
     """Fails on rows where the expression is false; NULL passes."""
-    return Check("expression_is_true", sql, ~F.expr(sql))
+    return Check("expression_is_true", sql)
 
 
 def relationship(column: str, parent: str, parent_column: str) -> Check:
     """Fails on rows whose non-NULL value is missing from the parent table."""
-    return Check("relationships", column, parent=parent, parent_column=parent_column)
+    return Check("relationships", column, (parent, parent_column))
 
 
 def duplicates(df: DataFrame, column: str) -> DataFrame:
@@ -70,13 +85,11 @@ def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -
 
 def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     """The rows a row-level check rejects."""
-    if check.failing is None:
-        raise ValueError(f"{check.kind} is not a row-level check")
-    return df.filter(check.failing)
+    return df.filter(check.failing())
 
 
 def _row_level(name: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    counts = df.agg(*[F.count_if(c.failing).alias(f"_{i}") for i, c in enumerate(checks)])
+    counts = df.agg(*[F.count_if(c.failing()).alias(f"_{i}") for i, c in enumerate(checks)])
     results = F.array(*[
         F.struct(F.lit(name).alias("table_name"), F.lit(c.column).alias("column_name"),
                  F.lit(c.kind).alias("check_name"), F.col(f"_{i}").alias("failures"))
@@ -95,14 +108,15 @@ def report(tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[Check]
     parts = []
     for name, declared in checks.items():
         df = tables[name]
-        row_level = [c for c in declared if c.failing is not None]
+        row_level = [c for c in declared if c.row_level]
         if row_level:
             parts.append(_row_level(name, df, row_level))
         for check in declared:
             if check.kind == "unique":
                 parts.append(_result(name, check, duplicates(df, check.column), F.count("*")))
             elif check.kind == "relationships":
-                missing = orphans(df, check.column, tables[check.parent], check.parent_column)
+                parent, parent_column = check.arguments
+                missing = orphans(df, check.column, tables[parent], parent_column)
                 parts.append(_result(name, check, missing, F.coalesce(F.sum("row_count"), F.lit(0))))
     return reduce(DataFrame.unionByName, parts)
 

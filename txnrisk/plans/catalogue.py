@@ -47,7 +47,7 @@ def _bronze(df: DataFrame) -> DataFrame:
 
 
 def _baseline(df: DataFrame) -> DataFrame:
-    return _double(_rounded(df, 6, "avg_amount_30d", "stddev_amount_30d"), "p90_amount_30d")
+    return _double(_rounded(df, 6, "stddev_amount_30d"), "avg_amount_30d", "p90_amount_30d")
 
 
 def _kpi(df: DataFrame) -> DataFrame:
@@ -60,19 +60,9 @@ def _features(df: DataFrame) -> DataFrame:
 
 # -- landing and bronze ----------------------------------------------------
 
-def _landed_csv(spark: SparkSession, folder: str) -> str:
-    """The raw rows as daily CSV files, written once per session."""
-    key = (spark.sparkContext.applicationId, folder, "csv")
-    if key not in layers._built:
-        path = scratch(spark, "csv")
-        csv_files.write_daily_csv(layers.raw(spark, folder), path)
-        layers._built[key] = (path, None)
-    return layers._built[key][0]
-
-
 @query
 def scan_raw(spark, folder):
-    rows = csv_files.scan_csv(spark, _landed_csv(spark, folder))
+    rows = csv_files.scan_csv(spark, layers.landed_csv(spark, folder))
     return rows.select(
         "TransactionID", "UserID", "MerchantID", "DeviceID", F.col("TransactionAmount").cast("double"),
         F.col("TransactionDate").cast("timestamp").cast("timestamp_ntz").alias("TransactionDate"),
@@ -88,7 +78,7 @@ def _per_date(rows: DataFrame) -> DataFrame:
 
 @query
 def scan_by_business_date(spark, folder):
-    return _per_date(csv_files.scan_csv(spark, _landed_csv(spark, folder)))
+    return _per_date(csv_files.scan_csv(spark, layers.landed_csv(spark, folder)))
 
 
 @query
@@ -120,7 +110,7 @@ def _dated(files: DataFrame) -> DataFrame:
 
 @query
 def pending_files(spark, folder):
-    files = csv_files.list_files(spark, _landed_csv(spark, folder))
+    files = csv_files.list_files(spark, layers.landed_csv(spark, folder))
     known = files.filter(csv_files.business_date(F.col("file_path")) < F.lit("2024-01-16"))
     return _dated(csv_files.pending_files(files, known)).distinct()
 
@@ -130,7 +120,7 @@ def _loaded(spark: SparkSession, folder: str) -> tuple[str, str]:
     root = scratch(spark, "landing")
     target = (f"{root}/rows", f"{root}/ledger")
     for _ in range(2):
-        csv_files.load_pending(spark, _landed_csv(spark, folder), *target)
+        csv_files.load_pending(spark, layers.landed_csv(spark, folder), *target)
     return target
 
 
@@ -148,28 +138,20 @@ def load_ledger(spark, folder):
 
 @query
 def load_ledger_seed(spark, folder):
-    ledger = csv_files.seed_ledger(spark, _landed_csv(spark, folder), scratch(spark, "ledger"))
+    ledger = csv_files.seed_ledger(spark, layers.landed_csv(spark, folder), scratch(spark, "ledger"))
     return (ledger.groupBy(csv_files.business_date(F.col("file_path")).alias("business_date"))
             .agg(F.max("rows_loaded").alias("rows_loaded"), F.max("note").alias("note")))
 
 
 # -- incremental state -----------------------------------------------------
 
-def _first_batch(spark, folder):
-    return clean.clean(layers.raw(spark, folder).filter(layers.early()))
-
-
-def _second_batch(spark, folder):
-    return clean.clean(layers.raw(spark, folder).filter(~layers.early()))
-
-
 def _newer(spark, folder):
-    return state.new_rows(layers.fact(spark, folder), "transaction_date", _first_batch(spark, folder))
+    return state.new_rows(layers.fact(spark, folder), "transaction_date", layers.first_batch(spark, folder))
 
 
 @query
 def state_watermark(spark, folder):
-    first = _first_batch(spark, folder)
+    first = layers.first_batch(spark, folder)
     empty = state.watermark(first.limit(0), "transaction_date").scalar()
     return state.watermark(first, "transaction_date").withColumn("empty_watermark", empty)
 
@@ -204,7 +186,7 @@ def incremental_filter_affected(spark, folder):
 
 @query
 def bronze_incremental(spark, folder):
-    held = _first_batch(spark, folder)
+    held = layers.first_batch(spark, folder)
     arriving = layers.raw(spark, folder).filter(~layers.early())
     fresh = state.new_rows(arriving, "TransactionDate", held, "transaction_date")
     rows = state.append(held, clean.clean(fresh))
@@ -212,7 +194,7 @@ def bronze_incremental(spark, folder):
 
 
 def _upserted(spark, folder):
-    return state.upsert(_first_batch(spark, folder), _second_batch(spark, folder), ["transaction_id"])
+    return state.upsert(layers.first_batch(spark, folder), layers.second_batch(spark, folder), ["transaction_id"])
 
 
 @query
@@ -222,8 +204,8 @@ def fact_upsert(spark, folder):
 
 @query
 def upsert_user_baseline(spark, folder):
-    held = baselines.user_baseline(_first_batch(spark, folder), layers.USER_AS_OF)
-    users = state.affected(_second_batch(spark, folder), "user_id")
+    held = baselines.user_baseline(layers.first_batch(spark, folder), layers.USER_AS_OF)
+    users = state.affected(layers.second_batch(spark, folder), "user_id")
     refreshed = baselines.user_baseline(_upserted(spark, folder), layers.USER_AS_OF, users=users)
     return _baseline(state.upsert(held, refreshed, ["user_id"]))
 
@@ -287,29 +269,24 @@ def scd2_devices_event_time(spark, folder):
     return _event_time(spark, folder, "device_id", dims.DEVICE_CHECK, source)
 
 
-def _two_snapshots(spark, folder, latest, key, columns):
-    held = scd2.scd2_apply(None, latest(_first_batch(spark, folder)), key, columns, _ntz("2024-01-16"))
-    return scd2.scd2_apply(held, latest(layers.fact(spark, folder)), key, columns, _ntz("2024-01-31"))
-
-
 @query
 def scd2_users_two_batches(spark, folder):
-    return _two_snapshots(spark, folder, dims.users_latest, "user_id", dims.USER_CHECK)
+    return layers.two_snapshots(spark, folder, dims.users_latest, "user_id", dims.USER_CHECK)
 
 
 @query
 def scd2_devices_two_batches(spark, folder):
-    return _two_snapshots(spark, folder, dims.devices_latest, "device_id", dims.DEVICE_CHECK)
+    return layers.two_snapshots(spark, folder, dims.devices_latest, "device_id", dims.DEVICE_CHECK)
 
 
 @query
 def users_current(spark, folder):
-    return scd2.current_rows(scd2_users_two_batches(spark, folder))
+    return scd2.current_rows(layers.users_snapshots(spark, folder))
 
 
 @query
 def devices_current(spark, folder):
-    return scd2.current_rows(scd2_devices_two_batches(spark, folder))
+    return scd2.current_rows(layers.devices_snapshots(spark, folder))
 
 
 def _located(spark, folder, versions):
@@ -321,7 +298,7 @@ def _located(spark, folder, versions):
 
 @query
 def asof_billing_country(spark, folder):
-    return _located(spark, folder, scd2_users_two_batches(spark, folder))
+    return _located(spark, folder, layers.users_snapshots(spark, folder))
 
 
 @query
@@ -340,7 +317,7 @@ def user_baseline_30d(spark, folder):
 def merchant_risk_90d(spark, folder):
     """Straight from the raw rows: scan, clean, dedup, grouped aggregates."""
     risk = baselines.merchant_risk(clean.clean(layers.raw(spark, folder)), layers.MERCHANT_AS_OF)
-    return _rounded(_rounded(risk, 9, "fraud_rate_90d"), 4, "avg_transaction_amount_90d")
+    return _double(_rounded(risk, 9, "fraud_rate_90d"), "avg_transaction_amount_90d")
 
 
 @query
@@ -568,13 +545,13 @@ def user_drillthrough(spark, folder):
                                  heavy_users=layers.heavy(spark, folder, "user_id"))
     shown = rows.select("user_id", "transaction_id", "transaction_date", "transaction_amount", "fraud_probability",
                         "risk_tier", "avg_amount_30d", "amount_vs_avg")
-    return _double(_rounded(_rounded(shown, 6, "avg_amount_30d"), 4, "amount_vs_avg"), "transaction_amount")
+    return _double(_rounded(shown, 9, "amount_vs_avg"), "transaction_amount", "avg_amount_30d")
 
 
 @query
 def user_behaviour_change(spark, folder):
     change = kpi.user_behaviour_change(layers.fact(spark, folder), "2024-01-31")
-    return _rounded(_rounded(change, 4, "recent_avg", "baseline_avg", "amount_ratio"), 9, "volume_ratio")
+    return _rounded(change, 9, "amount_ratio", "volume_ratio")
 
 
 # -- monitoring ------------------------------------------------------------
@@ -647,7 +624,7 @@ def dq_expression(spark, folder):
 
 @query
 def dq_relationships(spark, folder):
-    return quality.orphans(layers.fact(spark, folder), "device_id", _first_batch(spark, folder), "device_id")
+    return quality.orphans(layers.fact(spark, folder), "device_id", layers.first_batch(spark, folder), "device_id")
 
 
 @query
@@ -659,13 +636,14 @@ def dq_report(spark, folder):
 def _layer_tables(spark, folder):
     stamp = F.lit(layers.USER_AS_OF).cast("timestamp")
     scored = layers.scored(spark, folder)
+    users, devices = layers.users_snapshots(spark, folder), layers.devices_snapshots(spark, folder)
     return {
         "bronze_transactions": layers.fact(spark, folder),
         "fact": layers.fact(spark, folder),
-        "users_current": users_current(spark, folder),
-        "devices_current": devices_current(spark, folder),
-        "users_versions": scd2_users_two_batches(spark, folder),
-        "devices_versions": scd2_devices_two_batches(spark, folder),
+        "users_current": scd2.current_rows(users),
+        "devices_current": scd2.current_rows(devices),
+        "users_versions": users,
+        "devices_versions": devices,
         "user_baseline": layers.baseline(spark, folder).withColumn("last_updated_at", stamp),
         "merchant_risk": layers.risk(spark, folder).withColumn("last_updated_at", stamp),
         "features": scored,

@@ -23,6 +23,7 @@ def _versions(key: str) -> list[Check]:
 
 
 def contracts() -> dict[str, list[Check]]:
+    # The bounds and domains consumers of the tables expect.
     return {
         "bronze_transactions": [
             *_key("transaction_id"),

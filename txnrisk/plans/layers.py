@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnrisk.operators.baselines import merchant_risk, user_baseline
 from txnrisk.operators.clean import clean
+from txnrisk.operators.dims import DEVICE_CHECK, USER_CHECK, devices_latest, users_latest
 from txnrisk.operators.features import build_features
-from txnrisk.operators.scd2 import scd2_from_events
+from txnrisk.operators.scd2 import scd2_apply, scd2_from_events
 from txnrisk.operators.scoring import with_scores
 from txnrisk.operators.skew import heavy_keys
 from txnrisk.session import scratch
+from txnrisk.sources.csv_files import write_daily_csv
 from txnrisk.sources.events import read_raw
 
 # Anchors of the trailing windows; both reach back to 2024-01-11, so that the
@@ -52,6 +54,16 @@ def stream(spark: SparkSession, folder: str, layer: Callable[[SparkSession, str]
     return spark.readStream.schema(schema).parquet(path)
 
 
+def landed_csv(spark: SparkSession, folder: str) -> str:
+    """Folder of the raw rows as daily CSV files."""
+    key = (spark.sparkContext.applicationId, folder, "landed_csv")
+    if key not in _built:
+        path = scratch(spark, "csv")
+        write_daily_csv(raw(spark, folder), path)
+        _built[key] = (path, None)
+    return _built[key][0]
+
+
 def raw(spark: SparkSession, folder: str) -> DataFrame:
     return read_raw(spark, folder)
 
@@ -60,6 +72,14 @@ def fact(spark: SparkSession, folder: str) -> DataFrame:
     return _layer(spark, folder, "fact", lambda: clean(raw(spark, folder)))
 
 
+def first_batch(spark: SparkSession, folder: str) -> DataFrame:
+    return _layer(spark, folder, "first_batch", lambda: clean(raw(spark, folder).filter(early())))
+
+
+def second_batch(spark: SparkSession, folder: str) -> DataFrame:
+    return _layer(spark, folder, "second_batch", lambda: clean(raw(spark, folder).filter(~early())))
+
+
 def heavy(spark: SparkSession, folder: str, key: str) -> list:
     """Keys of the fact that need slicing or salting; at most 256 values."""
     known = (spark.sparkContext.applicationId, folder, key)
@@ -82,6 +102,23 @@ def country_versions(spark: SparkSession, folder: str) -> DataFrame:
         heavy=heavy(spark, folder, "user_id")))
 
 
+def two_snapshots(spark: SparkSession, folder: str, latest, key: str, columns) -> DataFrame:
+    """Snapshot of the first batch in mid-January, of all rows at its end."""
+    times = [F.lit(t).cast("timestamp_ntz") for t in ("2024-01-16", "2024-01-31")]
+    held = scd2_apply(None, latest(first_batch(spark, folder)), key, columns, times[0])
+    return scd2_apply(held, latest(fact(spark, folder)), key, columns, times[1])
+
+
+def users_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    return _layer(spark, folder, "users_snapshots", lambda: two_snapshots(
+        spark, folder, users_latest, "user_id", USER_CHECK))
+
+
+def devices_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    return _layer(spark, folder, "devices_snapshots", lambda: two_snapshots(
+        spark, folder, devices_latest, "device_id", DEVICE_CHECK))
+
+
 def features(spark: SparkSession, folder: str, new_ids: DataFrame | None = None, keep=()) -> DataFrame:
     """The feature plan itself, over the layer tables."""
     return build_features(

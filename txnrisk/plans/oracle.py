@@ -1,7 +1,7 @@
 """SQL statements that compute the registered queries independently.
 
 Written for a plain SQL engine over the same parquet tables: text-book forms
-(moving frames, row numbers, range joins), sharing no code with the operators.
+(moving frames, row numbers, range joins), sharing no code with the operators (only the list of declared checks).
 ``build`` puts the needed common table expressions in front of a statement.
 """
 
@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from txnrisk.plans.contracts import contracts
+
 CTES: dict[str, str] = {}
 
 
@@ -78,7 +80,7 @@ _cte("newer", "SELECT * FROM fact WHERE transaction_date > (SELECT max(transacti
 
 def _baseline(source: str) -> str:
     return f"""
-SELECT user_id, avg(transaction_amount) AS avg_amount_30d, stddev_samp(transaction_amount) AS stddev_amount_30d,
+SELECT user_id, round(avg(transaction_amount), 6) AS avg_amount_30d, stddev_samp(transaction_amount) AS stddev_amount_30d,
   quantile_disc(transaction_amount, 0.9) AS p90_amount_30d,
   CAST(min(hour(transaction_date)) AS INTEGER) AS earliest_active_hour,
   CAST(max(hour(transaction_date)) AS INTEGER) AS latest_active_hour, count(*) AS transaction_count_30d
@@ -92,7 +94,7 @@ _cte("baseline_affected", _baseline(
 _cte("risk", """
 SELECT merchant_id, count(*) AS transaction_count_90d, count(*) FILTER (WHERE is_fraud_label) AS fraud_count_90d,
   count(*) FILTER (WHERE is_fraud_label) / count(*) AS fraud_rate_90d,
-  avg(transaction_amount) AS avg_transaction_amount_90d,
+  round(avg(transaction_amount), 6) AS avg_transaction_amount_90d,
   count(DISTINCT user_id) AS distinct_customer_count_90d
 FROM fact WHERE transaction_date >= DATE '2024-04-10' - 90 GROUP BY merchant_id""")
 
@@ -170,8 +172,8 @@ SELECT *, lag(transaction_date) OVER u AS prev_transaction_date, lag(location_la
 FROM located WINDOW u AS (PARTITION BY user_id ORDER BY transaction_date, transaction_id)""")
 _cte("moved", """
 SELECT *,
-  2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(location_lat - prev_lat) / 2), 2)
-    + cos(radians(prev_lat)) * cos(radians(location_lat)) * pow(sin(radians(location_lon - prev_lon) / 2), 2))))
+  CASE WHEN prev_lat IS NOT NULL THEN 2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(location_lat - prev_lat) / 2), 2)
+    + cos(radians(prev_lat)) * cos(radians(location_lat)) * pow(sin(radians(location_lon - prev_lon) / 2), 2)))) END
     AS distance_km,
   CASE WHEN prev_transaction_date IS NOT NULL THEN
     greatest(floor(epoch(transaction_date)) - floor(epoch(prev_transaction_date)), 1) / CAST(3600 AS DOUBLE)
@@ -232,7 +234,7 @@ def build(statement: str) -> str:
 _AMOUNT = "CAST(transaction_amount AS DOUBLE) AS transaction_amount"
 _BRONZE = f"""transaction_id, user_id, merchant_id, device_id, {_AMOUNT}, transaction_date, payment_method,
   device_type, ip_address, location_lat, location_lon, ip_country, billing_country, is_fraud_label"""
-_BASELINE = """user_id, round(CAST(avg_amount_30d AS DOUBLE), 6) AS avg_amount_30d,
+_BASELINE = """user_id, avg_amount_30d,
   round(stddev_amount_30d, 6) AS stddev_amount_30d, CAST(p90_amount_30d AS DOUBLE) AS p90_amount_30d,
   earliest_active_hour, latest_active_hour, transaction_count_30d"""
 _KPI = """date_key, total_transactions, flagged_high, flagged_medium, flagged_low,
@@ -342,7 +344,7 @@ STATEMENTS: dict[str, str] = {
     "user_baseline_30d": f"SELECT {_BASELINE} FROM baseline",
     "merchant_risk_90d": """SELECT merchant_id, transaction_count_90d, fraud_count_90d,
       round(fraud_rate_90d, 9) AS fraud_rate_90d,
-      round(CAST(avg_transaction_amount_90d AS DOUBLE), 4) AS avg_transaction_amount_90d,
+      avg_transaction_amount_90d,
       distinct_customer_count_90d FROM risk""",
     "user_baseline_point_in_time": """SELECT transaction_id, count(*) OVER w AS prior_count,
       round(CAST(avg(transaction_amount) OVER w AS DOUBLE), 6) AS prior_avg_amount,
@@ -428,17 +430,17 @@ STATEMENTS: dict[str, str] = {
       ORDER BY risk.fraud_rate_90d DESC, transaction_count_90d DESC, merchant_id LIMIT 20""",
     "user_drillthrough": """SELECT s.user_id, s.transaction_id, s.transaction_date,
       CAST(s.transaction_amount AS DOUBLE) AS transaction_amount, s.fraud_probability, s.risk_tier,
-      round(CAST(b.avg_amount_30d AS DOUBLE), 6) AS avg_amount_30d,
-      round(CAST(s.transaction_amount AS DOUBLE) / CAST(b.avg_amount_30d AS DOUBLE), 4) AS amount_vs_avg
+      b.avg_amount_30d,
+      round(CAST(s.transaction_amount AS DOUBLE) / b.avg_amount_30d, 9) AS amount_vs_avg
       FROM scored s LEFT JOIN baseline b ON b.user_id = s.user_id""",
     "user_behaviour_change": """WITH c AS (SELECT user_id,
         count(*) FILTER (WHERE transaction_date >= DATE '2024-01-31' - 7) AS recent_count,
         count(*) FILTER (WHERE transaction_date < DATE '2024-01-31' - 7) AS baseline_count,
-        avg(transaction_amount) FILTER (WHERE transaction_date >= DATE '2024-01-31' - 7) AS r,
-        avg(transaction_amount) FILTER (WHERE transaction_date < DATE '2024-01-31' - 7) AS b
+        round(avg(transaction_amount) FILTER (WHERE transaction_date >= DATE '2024-01-31' - 7), 6) AS r,
+        round(avg(transaction_amount) FILTER (WHERE transaction_date < DATE '2024-01-31' - 7), 6) AS b
         FROM fact WHERE transaction_date >= DATE '2024-01-31' - 30 GROUP BY user_id)
-      SELECT user_id, recent_count, baseline_count, round(r, 4) AS recent_avg, round(b, 4) AS baseline_avg,
-        round(r / b, 4) AS amount_ratio,
+      SELECT user_id, recent_count, baseline_count, r AS recent_avg, b AS baseline_avg,
+        round(r / b, 9) AS amount_ratio,
         round((recent_count / CAST(7 AS DOUBLE)) / nullif(baseline_count / CAST(23 AS DOUBLE), 0), 9) AS volume_ratio
       FROM c""",
     # monitoring
@@ -470,12 +472,70 @@ STATEMENTS: dict[str, str] = {
       WHERE device_id NOT IN (SELECT device_id FROM fact_1) GROUP BY device_id""",
     # streaming, against the batch form over the same rows
     "stream_bronze_dedup": "SELECT DISTINCT TransactionID AS transaction_id FROM raw WHERE TransactionID IS NOT NULL",
-    "stream_daily_kpi": """SELECT CAST(transaction_date AS DATE) AS date_key, count(*) AS transactions,
-      count(*) FILTER (WHERE is_fraud_label) AS fraud, CAST(sum(transaction_amount) AS DOUBLE) AS amount
-      FROM fact GROUP BY 1""",
+    "stream_daily_kpi": f"SELECT {_KPI} FROM kpi",
+    "stream_velocity_sliding": """WITH starts AS (SELECT user_id,
+        time_bucket(INTERVAL 5 MINUTES, transaction_date, TIMESTAMP '2000-01-01') - to_minutes(5 * back) AS window_start
+        FROM fact CROSS JOIN range(12) t(back))
+      SELECT user_id, window_start, count(*) AS transactions FROM starts GROUP BY user_id, window_start""",
+    # closed sessions only: those ending before the final watermark
+    "stream_burst_sessions": """WITH marked AS (SELECT user_id, transaction_date, is_fraud_label,
+        CASE WHEN transaction_date < lag(transaction_date) OVER u + INTERVAL 10 MINUTES THEN 0 ELSE 1 END AS opens
+        FROM fact WINDOW u AS (PARTITION BY user_id ORDER BY transaction_date)),
+      numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY transaction_date
+        ROWS UNBOUNDED PRECEDING) AS session FROM marked)
+      SELECT user_id, min(transaction_date) AS session_start,
+        max(transaction_date) + INTERVAL 10 MINUTES AS session_end, count(*) AS transactions,
+        count(*) FILTER (WHERE is_fraud_label) AS fraud
+      FROM numbered GROUP BY user_id, session
+      HAVING count(*) >= 2 AND max(transaction_date) + INTERVAL 10 MINUTES
+        <= (SELECT max(transaction_date) - INTERVAL 1 HOUR FROM fact)""",
+    "stream_scored_alerts": f"""WITH live AS (SELECT * REPLACE (0 AS velocity_1hr, 0 AS impossible_travel_flag,
+        0 AS new_device_flag) FROM features),
+      rated AS (SELECT *, round(1 / (1 + exp(-CAST({_LOGIT} AS DOUBLE))), 6) AS fraud_probability FROM live)
+      SELECT transaction_id, user_id, transaction_date, fraud_probability, {_TIER}
+      FROM rated WHERE fraud_probability > 0.7""",
 }
 
 
+def _quality_report() -> str:
+    """One row per declared check, as one plain statement per check."""
+    sources = {
+        "bronze_transactions": "fact", "fact": "fact", "users_versions": "users_snap",
+        "devices_versions": "devices_snap", "features": "features", "scores": "scored", "daily_kpi": "kpi",
+        "users_current": "(SELECT * FROM users_snap WHERE dbt_valid_to IS NULL)",
+        "devices_current": "(SELECT * FROM devices_snap WHERE dbt_valid_to IS NULL)",
+        "user_baseline": "(SELECT *, DATE '2024-02-10' AS last_updated_at FROM baseline)",
+        "merchant_risk": "(SELECT *, DATE '2024-02-10' AS last_updated_at FROM risk)",
+    }
+    parts = []
+    for table, checks in contracts().items():
+        for check in checks:
+            column = check.column
+            if check.kind == "unique":
+                counted = (f"SELECT count(*) FROM (SELECT {column} FROM {sources[table]} WHERE {column} IS NOT NULL "
+                           f"GROUP BY {column} HAVING count(*) > 1)")
+            else:
+                failing = {
+                    "not_null": lambda: f"{column} IS NULL",
+                    "accepted_values": lambda: f"{column} NOT IN ({', '.join(map(_literal, check.arguments))})",
+                    "accepted_range": lambda: " OR ".join(
+                        f"{column} {sign} {bound}" for sign, bound in zip("<>", check.arguments) if bound is not None),
+                    "expression_is_true": lambda: f"NOT ({column})",
+                }[check.kind]()
+                counted = f"SELECT count(*) FROM {sources[table]} WHERE {failing}"
+            shown = column.replace("'", "''")
+            parts.append(f"SELECT '{table}' AS table_name, '{shown}' AS column_name, '{check.kind}' AS check_name, "
+                         f"({counted}) AS failures")
+    return "\nUNION ALL ".join(parts)
+
+
+def _literal(value) -> str:
+    return f"'{value}'" if isinstance(value, str) else str(value)
+
+
+STATEMENTS["dq_report"] = _quality_report()
+
+
 def oracle_statements() -> dict[str, str]:
     return {name: _flatten(build(sql)) for name, sql in STATEMENTS.items()}
 
