@@ -21,7 +21,8 @@ def scd2_apply(state: DataFrame | None, current: DataFrame, key: str, check_cols
 
     A key seen for the first time opens a version; one whose checked columns
     changed (NULL-safe) has its open version closed and a new one opened; an
-    unchanged or vanished key keeps its open version.
+    unchanged or vanished key keeps its open version. A version opened at the
+    very same instant is replaced, so repeating a run leaves no empty version.
     """
     columns = [SCD_ID, key, *check_cols, VALID_FROM, VALID_TO, UPDATED_AT]
 
@@ -49,6 +50,7 @@ def scd2_apply(state: DataFrame | None, current: DataFrame, key: str, check_cols
     versions = (F.when(F.col("_new").isNull(), F.array("_old"))
                 .when(F.col("_old").isNull(), F.array("_new"))
                 .when(checked_old.eqNullSafe(checked_new), F.array("_old"))
+                .when(F.col(f"_old.{VALID_FROM}") == F.col(f"_new.{VALID_FROM}"), F.array("_new"))
                 .otherwise(F.array(closed, F.col("_new"))))
     after = pairs.select(F.inline(versions))
     return state.filter(~is_open).select(*columns).unionByName(after)

@@ -15,18 +15,22 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnrisk.functions.timing import slice_index
 
-# A key is worth slicing when its rows would make a shuffle partition of
-# several hundred MB on their own.
-HEAVY_ROWS = 2_000_000
-MAX_HEAVY_KEYS = 256
+# A key is worth slicing once sorting its rows alone takes a task noticeably
+# longer than its neighbours.
+HEAVY_ROWS = 250_000
+# At most this many keys are handled apart. A key that is not among them holds
+# less than 1/4096 of the rows, so its partition stays within what a task can
+# sort with spilling.
+MAX_HEAVY_KEYS = 4096
 
 
 def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS,
                max_keys: int = MAX_HEAVY_KEYS) -> list:
     """Keys of ``df`` with about ``min_rows`` rows or more.
 
-    One pass over one column with a frequent-items sketch: a few KB per task
-    are shuffled and at most ``max_keys`` values come back to the driver.
+    One pass over one column with a frequent-items sketch: each task sends one
+    sketch of at most 16 * ``max_keys`` counters, and at most ``max_keys``
+    values come back to the driver.
     """
     sketch = F.expr(f"approx_top_k(`{key}`, {max_keys}, {max_keys * 16})")
     found = df.select(key).agg(sketch.alias("top")).first()["top"] or []

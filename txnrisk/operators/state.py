@@ -7,6 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from txnrisk.operators.skew import join_salted
 from txnrisk.session import scratch
 
 # Fixed value: the mark of a table that holds nothing yet.
@@ -37,9 +38,10 @@ def affected(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).distinct()
 
 
-def history_of(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """All rows of the given keys."""
-    return df.join(keys.select(key), key, "left_semi")
+def history_of(df: DataFrame, keys: DataFrame, key: str, heavy: Sequence = (),
+               spread: str = "transaction_id") -> DataFrame:
+    """All rows of the given keys; rows of heavy ones are joined in parts."""
+    return join_salted(df, keys.select(key).distinct(), key, spread, heavy=heavy, how="left_semi")
 
 
 def upsert(state: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,6 +65,12 @@ def with_event_date(df: DataFrame, ts: str = "transaction_date") -> DataFrame:
     return df.withColumn("event_date", F.to_date(ts))
 
 
+def write_by_day(df: DataFrame, path: str, mode: str = "overwrite", partition: str = "event_date") -> None:
+    """Write one folder per day. The rebalance gives each day few files and
+    splits a day too large for one task."""
+    df.hint("rebalance", partition).write.mode(mode).partitionBy(partition).parquet(path)
+
+
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                       partition: str = "event_date", lookback_days: int | None = None) -> list:
     """Keyed upsert into a partitioned table that rewrites touched days only.

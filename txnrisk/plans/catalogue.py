@@ -169,13 +169,15 @@ def affected_users(spark, folder):
 @query
 def affected_users_history(spark, folder):
     users = state.affected(_newer(spark, folder), "user_id")
-    return state.history_of(layers.fact(spark, folder), users, "user_id").select("transaction_id", "user_id")
+    return state.history_of(layers.fact(spark, folder), users, "user_id", layers.heavy(spark, folder, "user_id")).select(
+        "transaction_id", "user_id")
 
 
 @query
 def affected_merchants_history(spark, folder):
     merchants = state.affected(_newer(spark, folder), "merchant_id")
-    return state.history_of(layers.fact(spark, folder), merchants, "merchant_id").select("transaction_id", "merchant_id")
+    return state.history_of(layers.fact(spark, folder), merchants, "merchant_id",
+                            layers.heavy(spark, folder, "merchant_id")).select("transaction_id", "merchant_id")
 
 
 @query

@@ -19,6 +19,7 @@ from txnrisk.operators.features import build_features
 from txnrisk.operators.scd2 import scd2_apply, scd2_from_events
 from txnrisk.operators.scoring import with_scores
 from txnrisk.operators.skew import heavy_keys
+from txnrisk.operators.state import with_event_date, write_by_day
 from txnrisk.session import scratch
 from txnrisk.sources.csv_files import write_daily_csv
 from txnrisk.sources.events import read_raw
@@ -33,7 +34,8 @@ _built: dict[tuple[str, str, str], tuple[str, object]] = {}
 _heavy: dict[tuple[str, str, str], list] = {}
 
 
-def _layer(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+def _layer(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame],
+           by_day: bool = False) -> DataFrame:
     key = (spark.sparkContext.applicationId, folder, name)
     if key in _built:
         path, schema = _built[key]
@@ -42,7 +44,11 @@ def _layer(spark: SparkSession, folder: str, name: str, make: Callable[[], DataF
         except PySparkException:
             pass  # the shared folder was cleared: build it again
     df, path = make(), scratch(spark, name)
-    df.write.parquet(path)
+    if by_day:
+        df = with_event_date(df)
+        write_by_day(df, path)
+    else:
+        df.write.parquet(path)
     _built[key] = (path, df.schema)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -69,7 +75,7 @@ def raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, folder: str) -> DataFrame:
-    return _layer(spark, folder, "fact", lambda: clean(raw(spark, folder)))
+    return _layer(spark, folder, "fact", lambda: clean(raw(spark, folder)), by_day=True)
 
 
 def first_batch(spark: SparkSession, folder: str) -> DataFrame:
@@ -81,7 +87,7 @@ def second_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def heavy(spark: SparkSession, folder: str, key: str) -> list:
-    """Keys of the fact that need slicing or salting; at most 256 values."""
+    """Keys of the fact that need slicing or salting; a bounded list."""
     known = (spark.sparkContext.applicationId, folder, key)
     if known not in _heavy:
         _heavy[known] = heavy_keys(fact(spark, folder), key)

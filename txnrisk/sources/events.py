@@ -18,7 +18,7 @@ def _padded(prefix: str, number: Column, width: int) -> Column:
 
 def raw_from_events(events: DataFrame) -> DataFrame:
     event_id, user = F.col("event_id"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     device_slot = event_id % 3
     payment = (F.when(F.col("event_type") == "click", " credit_card")
                .when(F.col("event_type") == "view", "Debit_Card ")
@@ -31,7 +31,9 @@ def raw_from_events(events: DataFrame) -> DataFrame:
     resent = F.explode(F.when(event_id % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     value = F.when(event_id % 211 == 0, -F.col("value")).when(k < 3, F.col("value") * 4).otherwise(F.col("value"))
 
-    return events.withColumn("resent", resent).select(
+    # Parsed below the row generator, so once per event and not once per use.
+    parsed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return parsed.withColumn("resent", resent).select(
         F.when(event_id % 307 != 0, _padded("T", event_id, 9)).alias("TransactionID"),
         _padded("U", user, 6).alias("UserID"),
         _padded("M", event_id * 7919 % 97, 5).alias("MerchantID"),
