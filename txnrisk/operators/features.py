@@ -69,19 +69,30 @@ def with_context(fact: DataFrame, versions: DataFrame, *, heavy_users: Sequence
 
 
 def build_features(fact: DataFrame, versions: DataFrame, baseline: DataFrame, risk: DataFrame, *,
-                   new_ids: DataFrame | None = None, keep: Sequence[str] = (), heavy_users: Sequence = (),
+                   new_ids: DataFrame | None = None, new_flag: str | None = None,
+                   device_firsts: DataFrame | None = None, keep: Sequence[str] = (), heavy_users: Sequence = (),
                    heavy_merchants: Sequence = (), speed_kmh: float = IMPOSSIBLE_SPEED_KMH) -> DataFrame:
-    """Feature rows for ``fact``, or only for ``new_ids`` with the rest as context.
+    """Feature rows for ``fact``, or for its new rows with the rest as context.
 
+    The new rows are those with an id in ``new_ids``, or those whose boolean
+    column ``new_flag`` is true, which needs no shuffle by id.
+    ``device_firsts`` adds first uses of devices that lie before ``fact``.
     ``keep`` names fact columns to carry along, which spares consumers a join
     back on transaction_id. Transactions, versions and baseline meet on one
     partitioning by user; the merchant side is small and left to AQE.
     """
     needed = {"transaction_id", "user_id", "merchant_id", "device_id", "transaction_amount", "transaction_date",
-              "location_lat", "location_lon", "ip_country", "is_fraud_label", *keep}
+              "location_lat", "location_lon", "ip_country", "is_fraud_label", new_flag, *keep}
     context = with_context(fact.select(*[c for c in fact.columns if c in needed]), versions, heavy_users=heavy_users)
+    if new_flag is not None:
+        context = context.filter(F.col(new_flag)).drop(new_flag)
     if new_ids is not None:
         context = context.join(new_ids.select("transaction_id"), "transaction_id", "left_semi")
+    if device_firsts is not None:
+        known = device_firsts.select("user_id", "device_id", "first_seen_at")
+        context = (join_salted(context, known, ["user_id", "device_id"], "transaction_id", heavy=heavy_users)
+                   .withColumn("device_first_seen_at", F.least("first_seen_at", "device_first_seen_at"))
+                   .drop("first_seen_at"))
     measures = baseline.select("user_id", "avg_amount_30d", "stddev_amount_30d", "p90_amount_30d",
                                "earliest_active_hour", "latest_active_hour")
     rates = risk.select("merchant_id", F.col("fraud_rate_90d").alias("merchant_risk_rate"))

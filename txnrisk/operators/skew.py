@@ -69,20 +69,22 @@ def neighbour(df: DataFrame, key: str, order: Sequence[str], value: Column, out:
             .drop("_slice", "_value", "_place"))
 
 
-def join_salted(left: DataFrame, right: DataFrame, key: str, spread: str, *,
+def join_salted(left: DataFrame, right: DataFrame, key: str | Sequence[str], spread: str, *,
                 heavy: Sequence = (), how: str = "left", salts: int = 64) -> DataFrame:
     """Equi-join on ``key`` whose heavy keys are spread over ``salts`` tasks.
 
-    Only the right-hand rows of the heavy keys are repeated per salt.
+    With several key columns the heavy values are those of the first. Only the
+    right-hand rows of the heavy keys are repeated per salt.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if not heavy:
-        return left.join(right, key, how)
-    hot = F.col(key).isin(list(heavy))
+        return left.join(right, keys, how)
+    hot = F.col(keys[0]).isin(list(heavy))
     salted_left = left.withColumn(
         "_salt", F.when(hot, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     salted_right = right.withColumn("_salt", F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
-    return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
+    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 
 def trailing_totals(df: DataFrame, key: str, ts: str, windows: dict, measures: dict[str, Column], *,

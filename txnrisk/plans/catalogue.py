@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from txnrisk.operators import (baselines, behaviour, clean, dims, drift, evaluation, features, kpi, quality, scd2,
-                               scoring, state, training)
+from txnrisk.operators import (baselines, behaviour, clean, dims, drift, evaluation, features, incremental, kpi,
+                               quality, scd2, scoring, state, training)
 from txnrisk.operators.skew import join_salted
 from txnrisk.plans import layers
 from txnrisk.plans.contracts import contract_report
@@ -419,6 +419,19 @@ def features_incremental(spark, folder):
     return _features(layers.features(spark, folder, new_ids=_newer(spark, folder)))
 
 
+@query
+def features_incremental_bounded(spark, folder):
+    """The same rows from state tables and the last hour instead of history."""
+    fact, heavy = layers.fact(spark, folder), layers.heavy(spark, folder, "user_id")
+    mark = state.watermark(layers.first_batch(spark, folder), "transaction_date").scalar()
+    known, arriving = (fact.filter(F.col("transaction_date") <= mark), fact.filter(F.col("transaction_date") > mark))
+    context = incremental.bounded_context(fact, arriving, incremental.user_points(known), heavy=heavy)
+    return _features(features.build_features(
+        context, layers.country_versions(spark, folder), layers.baseline(spark, folder), layers.risk(spark, folder),
+        new_flag="_new", device_firsts=incremental.device_firsts(known), heavy_users=heavy,
+        heavy_merchants=layers.heavy(spark, folder, "merchant_id")))
+
+
 # -- scoring and evaluation ------------------------------------------------
 
 @query

@@ -533,6 +533,7 @@ def _literal(value) -> str:
     return f"'{value}'" if isinstance(value, str) else str(value)
 
 
+STATEMENTS["features_incremental_bounded"] = STATEMENTS["features_incremental"]
 STATEMENTS["dq_report"] = _quality_report()
 
 

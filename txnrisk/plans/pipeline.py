@@ -17,13 +17,13 @@ from txnrisk.operators import clean, state
 from txnrisk.operators.baselines import MERCHANT_WINDOW_DAYS, USER_WINDOW_DAYS, merchant_risk, user_baseline
 from txnrisk.operators.dims import DEVICE_CHECK, USER_CHECK, devices_latest, users_latest
 from txnrisk.operators.features import build_features
+from txnrisk.operators.incremental import bounded_context, device_firsts, extend_versions, late_users, user_points
 from txnrisk.operators.kpi import daily_kpi
 from txnrisk.operators.quality import gate
 from txnrisk.operators.scd2 import current_rows, scd2_apply, scd2_from_events
 from txnrisk.operators.scoring import score
 from txnrisk.operators.skew import heavy_keys
 from txnrisk.plans.contracts import contract_report
-from txnrisk.schemas import TRANSACTION_COLUMNS
 from txnrisk.session import scratch
 from txnrisk.sources.tables import LayerStore
 
@@ -46,7 +46,7 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
 def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, lookback_days: int | None) -> tuple:
     """Upsert into a table partitioned by day; returns the table and the days."""
     path = store.path(layer, name)
-    dated = state.with_event_date(batch)
+    dated = batch if "event_date" in batch.columns else state.with_event_date(batch)
     if _existing(store.spark, path, dated.schema) is None:
         state.write_by_day(dated, path)
         table = store.spark.read.schema(dated.schema).parquet(path)
@@ -57,7 +57,7 @@ def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, lookback
 
 def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=None, on_bad: str = "raise",
                  late: timedelta | None = None, lookback_days: int | None = None,
-                 country_history: str = "event_time") -> RunReport:
+                 country_history: str = "event_time", check_all_days: bool = False) -> RunReport:
     """One daily run over the newly landed rows ``raw``.
 
     ``raw`` holds the rows landed since the last run, late ones included; they
@@ -65,75 +65,131 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     instead lets ``raw`` be the whole landing table, of which only rows newer
     than the bronze high-water mark less ``late`` are taken.
     ``country_history`` picks what the location check looks into: versions in
-    event time, or the run-time snapshots (``"snapshot"``).
+    event time, or the run-time snapshots (``"snapshot"``). Transaction tables
+    are checked on the days the run touched, or with ``check_all_days`` whole.
     """
     if country_history not in ("event_time", "snapshot"):
         raise ValueError(f"country_history must be 'event_time' or 'snapshot', not {country_history!r}")
     spark = store.spark
     stamp = F.lit(as_of).cast("timestamp")
-    checks = 0
+    bronze_path, fact_path = store.path("bronze", "transactions"), store.path("silver", "fact")
 
-    incoming = raw
+    incoming = clean_dates(raw)
     if late is not None:
-        held = _existing(spark, store.path("bronze", "transactions"),
-                         state.with_event_date(clean.typed(raw)).schema)
-        incoming = state.new_rows(clean_dates(raw), "TransactionDate", held, "transaction_date", lookback=late)
+        held = _existing(spark, bronze_path, state.with_event_date(clean.typed(incoming)).schema)
+        incoming = state.new_rows(incoming, "TransactionDate", held, "transaction_date", lookback=late)
     # Used by every later step, so it is written once rather than recomputed.
-    batch = state.write_table(clean.clean(incoming, on_bad), scratch(spark, "batch"))
+    batch = state.write_table(state.with_event_date(clean.clean(incoming, on_bad)), scratch(spark, "batch"))
+    resent = _resent(_existing(spark, fact_path, batch.schema), batch, lookback_days)
 
-    bronze, _ = _by_day(store, "bronze", "transactions", batch, lookback_days)
-    checks += gate(contract_report({"bronze_transactions": bronze}))
+    def touched(table: DataFrame, days: list) -> DataFrame:
+        return table if check_all_days else table.filter(F.col("event_date").isin(days))
 
-    fact, days = _by_day(store, "silver", "fact", batch.select(*TRANSACTION_COLUMNS), lookback_days)
+    bronze, days = _by_day(store, "bronze", "transactions", batch, lookback_days)
     if not days:
-        return RunReport((), checks)
-    heavy_users, heavy_merchants, heavy_devices = (
-        heavy_keys(fact, key) for key in ("user_id", "merchant_id", "device_id"))
+        return RunReport((), 0)
+    checks = gate(contract_report({"bronze_transactions": touched(bronze, days)}))
 
-    effective = F.lit(as_of).cast(fact.schema["transaction_date"].dataType) if effective_ts is None else effective_ts
-    touched_users = state.affected(batch, "user_id")
-    touched_devices = state.affected(batch, "device_id")
-    users = store.publish(scd2_apply(
-        store.read("snapshots", "users"),
-        users_latest(state.history_of(fact, touched_users, "user_id", heavy_users)), "user_id", USER_CHECK, effective),
-        "snapshots", "users")
-    devices = store.publish(scd2_apply(
-        store.read("snapshots", "devices"),
-        devices_latest(state.history_of(fact, touched_devices, "device_id", heavy_devices)), "device_id",
-        DEVICE_CHECK, effective), "snapshots", "devices")
+    fact, _ = _by_day(store, "silver", "fact", batch, lookback_days)
+    heavy = {key: heavy_keys(fact, key) for key in ("user_id", "merchant_id", "device_id")}
+
+    users, devices = _snapshots(store, fact, batch, heavy, effective_ts, as_of)
     users_current = store.publish(current_rows(users), "silver", "users_current")
     devices_current = store.publish(current_rows(devices), "silver", "devices_current")
     checks += gate(contract_report({
-        "fact": fact, "users_current": users_current, "devices_current": devices_current,
+        "fact": touched(fact, days), "users_current": users_current, "devices_current": devices_current,
         "users_versions": users, "devices_versions": devices}))
 
     baseline = store.publish(state.upsert(
         store.read("gold", "user_baseline"),
-        user_baseline(fact, as_of, USER_WINDOW_DAYS, touched_users, stamp), ["user_id"]), "gold", "user_baseline")
-    merchants = state.affected(batch, "merchant_id")
+        user_baseline(fact, as_of, USER_WINDOW_DAYS, state.affected(batch, "user_id"), stamp), ["user_id"]),
+        "gold", "user_baseline")
     risk = store.publish(state.upsert(
         store.read("gold", "merchant_risk"),
-        merchant_risk(fact, as_of, MERCHANT_WINDOW_DAYS, merchants, stamp), ["merchant_id"]), "gold", "merchant_risk")
-
-    history = state.history_of(fact.drop("event_date"), touched_users, "user_id", heavy_users)
-    if country_history == "event_time":
-        versions = scd2_from_events(history, "user_id", "transaction_date", ["billing_country"], "transaction_id",
-                                    heavy=heavy_users)
-    else:
-        versions = users
-    rows = build_features(history, versions, baseline, risk, new_ids=batch.select("transaction_id"),
-                          heavy_users=heavy_users, heavy_merchants=heavy_merchants)
-    fresh = state.write_table(rows, scratch(spark, "features"))
-    features, _ = _by_day(store, "gold", "features", fresh, lookback_days)
-    scores, _ = _by_day(store, "gold", "scores", score(fresh), lookback_days)
+        merchant_risk(fact, as_of, MERCHANT_WINDOW_DAYS, state.affected(batch, "merchant_id"), stamp),
+        ["merchant_id"]), "gold", "merchant_risk")
+
+    rows = _features(store, fact, batch, resent, users, baseline, risk, heavy, country_history)
+    features, _ = _by_day(store, "gold", "features", rows, lookback_days)
+    scores, _ = _by_day(store, "gold", "scores", score(rows), lookback_days)
     refreshed = daily_kpi(scores.filter(F.col("event_date").isin(days)), updated_at=stamp)
     kpis = store.publish(state.upsert(
         _without_days(store.read("gold", "daily_kpi"), days), refreshed, ["date_key"]), "gold", "daily_kpi")
     checks += gate(contract_report({
-        "user_baseline": baseline, "merchant_risk": risk, "features": features, "scores": scores, "daily_kpi": kpis}))
+        "user_baseline": baseline, "merchant_risk": risk, "features": touched(features, days),
+        "scores": touched(scores, days), "daily_kpi": kpis}))
     return RunReport(tuple(days), checks)
 
 
+def _resent(fact: DataFrame | None, batch: DataFrame, lookback_days: int | None) -> DataFrame | None:
+    """Users whose stored rows the batch is about to replace, on disk: the
+    rows themselves are gone after the upsert."""
+    if fact is None:
+        return None
+    if lookback_days is not None:
+        oldest = batch.agg(F.date_sub(F.min("event_date"), lookback_days)).scalar()
+        fact = fact.filter(F.col("event_date") >= oldest)
+    replaced = state.history_by_keys(fact.select("transaction_id", "user_id"), batch, ["transaction_id"])
+    return state.write_table(state.affected(replaced, "user_id"), scratch(fact.sparkSession, "resent"))
+
+
+def _snapshots(store, fact, batch, heavy, effective_ts, as_of):
+    effective = F.lit(as_of).cast(fact.schema["transaction_date"].dataType) if effective_ts is None else effective_ts
+    tables = []
+    for name, key, latest, checked in (("users", "user_id", users_latest, USER_CHECK),
+                                       ("devices", "device_id", devices_latest, DEVICE_CHECK)):
+        rows = state.history_of(fact, state.affected(batch, key), key, heavy[key])
+        tables.append(store.publish(
+            scd2_apply(store.read("snapshots", name), latest(rows), key, checked, effective), "snapshots", name))
+    return tables
+
+
+def _features(store, fact, batch, resent, snapshots, baseline, risk, heavy, country_history) -> DataFrame:
+    """Feature rows of the batch; brings the state tables up to date.
+
+    In-order users are extended from state, late ones recomputed from history.
+    """
+    spark, heavy_users = store.spark, heavy["user_id"]
+    points, firsts = store.read("state", "user_points"), store.read("state", "device_firsts")
+    held = store.read("silver", "country_versions")
+    versioning = ("user_id", "transaction_date", ["billing_country"], "transaction_id")
+    common = {"heavy_users": heavy_users, "heavy_merchants": heavy["merchant_id"]}
+
+    if points is None:
+        # First run: the batch is the history.
+        store.publish(user_points(fact), "state", "user_points")
+        store.publish(device_firsts(fact), "state", "device_firsts")
+        versions = store.publish(scd2_from_events(fact, *versioning, heavy=heavy_users), "silver", "country_versions")
+        used = versions if country_history == "event_time" else snapshots
+        rows = build_features(fact.drop("event_date"), used, baseline, risk, **common)
+        return state.write_table(rows, scratch(spark, "features"))
+
+    late = state.write_table(late_users(batch, points, resent), scratch(spark, "late"))
+    history = state.history_of(fact, late, "user_id", heavy_users)
+    in_order = batch.join(late, "user_id", "left_anti")
+
+    def without(table: DataFrame) -> DataFrame:
+        return table.join(late, "user_id", "left_anti")
+
+    versions = store.publish(
+        extend_versions(without(held), in_order, *versioning, heavy=heavy_users)
+        .unionByName(scd2_from_events(history, *versioning, heavy=heavy_users)), "silver", "country_versions")
+    used = versions if country_history == "event_time" else snapshots
+
+    context = bounded_context(fact, in_order, points, heavy=heavy_users)
+    extended = build_features(context, used, baseline, risk, new_flag="_new", device_firsts=firsts, **common)
+    recomputed = build_features(history.drop("event_date"), used, baseline, risk,
+                                new_ids=batch.select("transaction_id"), **common)
+    rows = state.write_table(extended.unionByName(recomputed), scratch(spark, "features"))
+
+    # Only now, as the rows above read the old state.
+    moved = in_order.unionByName(history.select(*in_order.columns))
+    store.publish(user_points(without(points).unionByName(moved, allowMissingColumns=True)), "state", "user_points")
+    store.publish(device_firsts(without(firsts).withColumnRenamed("first_seen_at", "transaction_date")
+                                .unionByName(moved, allowMissingColumns=True)), "state", "device_firsts")
+    return rows
+
+
 def clean_dates(raw: DataFrame) -> DataFrame:
     """The raw rows with their date comparable to the table's."""
     if raw.schema["TransactionDate"].dataType.typeName().startswith("timestamp"):
