@@ -6,6 +6,7 @@ import logging
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,9 @@ log = logging.getLogger(__name__)
 BUSINESS_DATE_PATTERN = r"(?:transactions_|business_date=)(\d{4}-\d{2}-\d{2})"
 SEED_NOTE = "present before the first load"
 
+# What a failed job raises, depending on where in Spark it fails.
+_JOB_ERRORS = (PySparkException, Py4JJavaError)
+
 
 def _reader(spark: SparkSession, recursive: bool = True):
     return (spark.read.schema(RAW_SCHEMA).option("header", True)
@@ -120,15 +124,15 @@ def load_pending(spark: SparkSession, folder: str, landing: str, ledger_path: st
     try:
         _load(spark, paths, landing, ledger_path)
         return []
-    except PySparkException:
+    except _JOB_ERRORS:
         if on_error == "raise":
             raise
     failed = []
     for path in paths:
         try:
             _load(spark, [path], landing, ledger_path)
-        except PySparkException as error:
-            log.warning("%s not loaded: %s", path, error)
+        except _JOB_ERRORS as error:
+            log.warning("%s not loaded: %s", path, str(error).splitlines()[0])
             failed.append(path)
     return failed
 
