@@ -1,10 +1,14 @@
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import raw_rows, rows_of, transactions
+from txnrisk.operators.clean import typed
+from txnrisk.plans.pipeline import run_pipeline
+from txnrisk.sources import csv_files
+from txnrisk.sources.tables import LayerStore
 from txnrisk.streaming import streams
+from txnrisk.streaming.daily import run_pipeline_stream
 
 
 def stream_of(spark, folder, *frames):
@@ -52,3 +56,32 @@ def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
 def test_event_time_must_be_zoned(spark):
     rows = spark.range(1).select(F.lit("2024-01-01").cast("timestamp_ntz").alias("transaction_date"))
     assert dict(streams.zoned(rows).dtypes)["transaction_date"] == "timestamp"
+
+
+def test_messages_parse_like_files(spark):
+    text = '{"TransactionID": "T1", "TransactionAmount": "5.50", "TransactionDate": "2024-01-01T00:00:00+00:00"}'
+    messages = spark.createDataFrame([(bytearray(text, "utf-8"),)], "value binary")
+    assert rows_of(typed(streams.parse_messages(messages)), "transaction_id", F.col("transaction_amount").cast("double"),
+                   "user_id") == [("T1", 5.5, None)]
+
+
+def test_csv_files_are_taken_once(spark, tmp_path):
+    raw = raw_rows(spark, [dict(TransactionID="T1")])
+    csv_files.write_daily_csv(raw.withColumn("TransactionDate", F.col("TransactionDate").cast("timestamp")),
+                              str(tmp_path / "in"))
+    for _ in range(2):
+        table = streams.run_append(streams.csv_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"))
+    assert rows_of(table, "TransactionID") == [("T1",)]
+
+
+def test_streamed_run_equals_daily_runs(spark, tmp_path):
+    days = [raw_rows(spark, [dict(TransactionID=f"{d}-{i}", TransactionDate=f"2024-01-0{d}T00:{i}0:00+00:00",
+                                  LocationLat=str(i * 20)) for i in range(3)]) for d in (1, 2)]
+    store = LayerStore(spark, str(tmp_path / "streamed"))
+    run_pipeline_stream(store, stream_of(spark, tmp_path, *days), "2024-02-01", str(tmp_path / "checkpoint"))
+    daily = LayerStore(spark, str(tmp_path / "daily"))
+    for raw in days:
+        run_pipeline(daily, raw, "2024-02-01")
+    for name in ("features", "scores"):
+        streamed, expected = (spark.read.parquet(s.path("gold", name)) for s in (store, daily))
+        assert rows_of(streamed) == rows_of(expected) and streamed.count() == 6

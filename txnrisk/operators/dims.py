@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from txnrisk.operators.clean import latest_per_key
+from txnrisk.operators.state import affected, history_of, new_rows, upsert
 
 USER_CHECK = ["billing_country", "preferred_payment_method"]
 DEVICE_CHECK = ["device_type", "primary_user_id"]
@@ -60,6 +63,14 @@ def device_lifetime(transactions: DataFrame) -> DataFrame:
                     "lifetime_transaction_count", "distinct_user_count"))
 
 
+def refresh_lifetime(held: DataFrame, transactions: DataFrame, key: str, lifetime: Callable[[DataFrame], DataFrame],
+                     heavy: Sequence = ()) -> DataFrame:
+    """``held`` with the keys that have rows after its latest ``last_seen_at``
+    recomputed over their whole history."""
+    fresh = new_rows(transactions, "transaction_date", held, "last_seen_at")
+    return upsert(held, lifetime(history_of(transactions, affected(fresh, key), key, heavy)), [key])
+
+
 def device_risk(transactions: DataFrame, as_of: str) -> DataFrame:
     """Users, volume, fraud rate and age in days of each device."""
     per_user = (transactions.groupBy("device_id", "user_id")

@@ -15,10 +15,12 @@ from txnrisk.operators import (baselines, behaviour, clean, dims, drift, evaluat
 from txnrisk.operators.skew import join_salted
 from txnrisk.plans import layers
 from txnrisk.plans.contracts import contract_report
-from txnrisk.schemas import PAYMENT_METHODS, TRANSACTION_COLUMNS
+from txnrisk.plans.pipeline import run_pipeline
+from txnrisk.schemas import PAYMENT_METHODS, SCORE_COLUMNS, TRANSACTION_COLUMNS
 from txnrisk.session import scratch
 from txnrisk.sources import csv_files
 from txnrisk.sources.events import raw_from_events
+from txnrisk.sources.tables import LayerStore
 from txnrisk.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -254,6 +256,20 @@ def device_lifetime_dim(spark, folder):
     return dims.device_lifetime(layers.fact(spark, folder))
 
 
+@query
+def user_lifetime_incremental(spark, folder):
+    held = dims.user_lifetime(layers.first_batch(spark, folder))
+    return dims.refresh_lifetime(held, layers.fact(spark, folder), "user_id", dims.user_lifetime,
+                                 layers.heavy(spark, folder, "user_id"))
+
+
+@query
+def device_lifetime_incremental(spark, folder):
+    held = dims.device_lifetime(layers.first_batch(spark, folder))
+    return dims.refresh_lifetime(held, layers.fact(spark, folder), "device_id", dims.device_lifetime,
+                                 layers.heavy(spark, folder, "device_id"))
+
+
 def _event_time(spark, folder, key, columns, source):
     return scd2.scd2_from_events(source, key, "transaction_date", columns, "transaction_id",
                                  heavy=layers.heavy(spark, folder, key))
@@ -667,6 +683,14 @@ def _layer_tables(spark, folder):
     }
 
 
+@query
+def daily_run_scores(spark, folder):
+    """The whole daily run over all raw rows: every layer, every check."""
+    store = LayerStore(spark, scratch(spark, "daily-run"))
+    run_pipeline(store, layers.raw(spark, folder), layers.USER_AS_OF)
+    return spark.read.parquet(store.path("gold", "scores")).select(*SCORE_COLUMNS)
+
+
 # -- streaming -------------------------------------------------------------
 
 @query

@@ -91,12 +91,17 @@ _cte("baseline", _baseline("fact"))
 _cte("baseline_1", _baseline("fact_1"))
 _cte("baseline_affected", _baseline(
     "(SELECT * FROM upserted WHERE user_id IN (SELECT user_id FROM fact_2))"))
-_cte("risk", """
+def _risk(as_of: str) -> str:
+    return f"""
 SELECT merchant_id, count(*) AS transaction_count_90d, count(*) FILTER (WHERE is_fraud_label) AS fraud_count_90d,
   count(*) FILTER (WHERE is_fraud_label) / count(*) AS fraud_rate_90d,
   round(avg(transaction_amount), 6) AS avg_transaction_amount_90d,
   count(DISTINCT user_id) AS distinct_customer_count_90d
-FROM fact WHERE transaction_date >= DATE '2024-04-10' - 90 GROUP BY merchant_id""")
+FROM fact WHERE transaction_date >= DATE '{as_of}' - 90 GROUP BY merchant_id"""
+
+
+_cte("risk", _risk("2024-04-10"))
+_cte("risk_february", _risk("2024-02-10"))
 
 
 def _latest(source: str, key: str, a: str, b: str) -> str:
@@ -179,7 +184,10 @@ SELECT *,
     greatest(floor(epoch(transaction_date)) - floor(epoch(prev_transaction_date)), 1) / CAST(3600 AS DOUBLE)
   END AS hours_since_prev
 FROM windowed""")
-_cte("features", """
+
+
+def _features_with(risk: str) -> str:
+    return f"""
 SELECT d.transaction_id, d.user_id, d.merchant_id,
   (CAST(d.transaction_amount AS DOUBLE) - b.avg_amount_30d) / nullif(b.stddev_amount_30d, 0) AS amount_zscore,
   greatest(d.velocity_1hr_inclusive - 1, 0) AS velocity_1hr,
@@ -191,7 +199,11 @@ SELECT d.transaction_id, d.user_id, d.merchant_id,
   CASE WHEN d.ip_country <> d.billing_country_at_tx_time THEN 1 ELSE 0 END AS location_mismatch_flag,
   m.fraud_rate_90d AS merchant_risk_rate, d.is_fraud_label, d.transaction_date,
   d.transaction_amount, d.payment_method, d.device_type, d.billing_country
-FROM moved d LEFT JOIN baseline b ON b.user_id = d.user_id LEFT JOIN risk m ON m.merchant_id = d.merchant_id""")
+FROM moved d LEFT JOIN baseline b ON b.user_id = d.user_id LEFT JOIN {risk} m ON m.merchant_id = d.merchant_id"""
+
+
+_cte("features", _features_with("risk"))
+_cte("features_february", _features_with("risk_february"))
 
 _LOGIT = """-3.0 + 0.6 * coalesce(least(greatest(amount_zscore, -5.0), 5.0), 0)
   + 0.7 * velocity_1hr + 2.0 * impossible_travel_flag + 1.0 * new_device_flag
@@ -199,9 +211,10 @@ _LOGIT = """-3.0 + 0.6 * coalesce(least(greatest(amount_zscore, -5.0), 5.0), 0)
   + 1.5 * location_mismatch_flag + 4.0 * coalesce(merchant_risk_rate, 0)"""
 _TIER = """CASE WHEN fraud_probability < 0 THEN NULL WHEN fraud_probability <= 0.3 THEN 'Low'
   WHEN fraud_probability <= 0.7 THEN 'Medium' WHEN fraud_probability <= 1.0 THEN 'High' END AS risk_tier"""
-_cte("scored", f"""
+for _name, _source in (("scored", "features"), ("scored_february", "features_february")):
+    _cte(_name, f"""
 SELECT *, {_TIER} FROM (
-  SELECT *, round(1 / (1 + exp(-CAST({_LOGIT} AS DOUBLE))), 6) AS fraud_probability FROM features)""")
+  SELECT *, round(1 / (1 + exp(-CAST({_LOGIT} AS DOUBLE))), 6) AS fraud_probability FROM {_source})""")
 _cte("kpi", """
 SELECT CAST(transaction_date AS DATE) AS date_key, count(*) AS total_transactions,
   count(*) FILTER (WHERE risk_tier = 'High') AS flagged_high,
@@ -209,11 +222,31 @@ SELECT CAST(transaction_date AS DATE) AS date_key, count(*) AS total_transaction
   count(*) FILTER (WHERE risk_tier = 'Low') AS flagged_low,
   avg(fraud_probability) AS avg_fraud_probability
 FROM scored GROUP BY 1""")
-_cte("device_first_last", """
+
+
+def _user_life(source: str, users: str) -> str:
+    return f"""
+SELECT f.user_id, min(f.transaction_date) AS first_seen_at,
+  max(f.transaction_date) AS last_seen_at, count(*) AS lifetime_transaction_count,
+  any_value(l.billing_country) AS billing_country,
+  any_value(l.preferred_payment_method) AS preferred_payment_method
+FROM {source} f JOIN {users} l ON l.user_id = f.user_id GROUP BY f.user_id"""
+
+
+def _device_life(source: str) -> str:
+    return f"""
 SELECT device_id, arg_min(device_type, (transaction_date, transaction_id)) AS device_type,
   arg_min(user_id, (transaction_date, transaction_id)) AS first_user_id,
-  arg_max(user_id, (transaction_date, transaction_id)) AS latest_user_id
-FROM fact GROUP BY device_id""")
+  arg_max(user_id, (transaction_date, transaction_id)) AS latest_user_id,
+  min(transaction_date) AS first_seen_at, max(transaction_date) AS last_seen_at,
+  count(*) AS lifetime_transaction_count, count(DISTINCT user_id) AS distinct_user_count
+FROM {source} GROUP BY device_id"""
+
+
+_cte("user_life", _user_life("fact", "users_latest"))
+_cte("user_life_1", _user_life("fact_1", "users_latest_1"))
+_cte("device_life", _device_life("fact"))
+_cte("device_life_1", _device_life("fact_1"))
 
 
 def build(statement: str) -> str:
@@ -318,16 +351,12 @@ STATEMENTS: dict[str, str] = {
     # dimensions and history
     "users_latest": "SELECT * FROM users_latest",
     "devices_latest": "SELECT * FROM devices_latest",
-    "user_lifetime_dim": """SELECT f.user_id, min(f.transaction_date) AS first_seen_at,
-      max(f.transaction_date) AS last_seen_at, count(*) AS lifetime_transaction_count,
-      any_value(l.billing_country) AS billing_country,
-      any_value(l.preferred_payment_method) AS preferred_payment_method
-      FROM fact f JOIN users_latest l ON l.user_id = f.user_id GROUP BY f.user_id""",
-    "device_lifetime_dim": """SELECT f.device_id, any_value(d.device_type) AS device_type,
-      any_value(d.first_user_id) AS first_user_id, any_value(d.latest_user_id) AS latest_user_id,
-      min(f.transaction_date) AS first_seen_at, max(f.transaction_date) AS last_seen_at,
-      count(*) AS lifetime_transaction_count, count(DISTINCT f.user_id) AS distinct_user_count
-      FROM fact f JOIN device_first_last d ON d.device_id = f.device_id GROUP BY f.device_id""",
+    "user_lifetime_dim": "SELECT * FROM user_life",
+    "device_lifetime_dim": "SELECT * FROM device_life",
+    "user_lifetime_incremental": """SELECT * FROM user_life WHERE user_id IN (SELECT user_id FROM newer)
+      UNION ALL SELECT * FROM user_life_1 WHERE user_id NOT IN (SELECT user_id FROM newer)""",
+    "device_lifetime_incremental": """SELECT * FROM device_life WHERE device_id IN (SELECT device_id FROM newer)
+      UNION ALL SELECT * FROM device_life_1 WHERE device_id NOT IN (SELECT device_id FROM newer)""",
     "scd2_users_event_time": "SELECT * FROM users_v",
     "scd2_devices_event_time": "SELECT * FROM devices_v",
     "scd2_users_two_batches": "SELECT * FROM users_snap",
@@ -470,6 +499,8 @@ STATEMENTS: dict[str, str] = {
       FROM raw WHERE NOT (IP_Country = BillingCountry)""",
     "dq_relationships": """SELECT device_id, count(*) AS row_count FROM fact
       WHERE device_id NOT IN (SELECT device_id FROM fact_1) GROUP BY device_id""",
+    "daily_run_scores": """SELECT transaction_id, user_id, merchant_id, transaction_date, fraud_probability, risk_tier
+      FROM scored_february""",
     # streaming, against the batch form over the same rows
     "stream_bronze_dedup": "SELECT DISTINCT TransactionID AS transaction_id FROM raw WHERE TransactionID IS NOT NULL",
     "stream_daily_kpi": f"SELECT {_KPI} FROM kpi",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from txnrisk.operators.clean import typed
 from txnrisk.operators.features import amount_to_p90, amount_zscore, location_mismatch, off_hours
 from txnrisk.operators.scoring import LogisticScorer, with_scores
-from txnrisk.schemas import VALID_FROM, VALID_TO
+from txnrisk.schemas import RAW_SCHEMA, VALID_FROM, VALID_TO
 
 # Fixed values of the hot path.
 SESSION_GAP = "10 minutes"
@@ -30,6 +30,27 @@ def event_stream(spark: SparkSession, folder: str, files_per_trigger: int | None
     return reader.parquet(folder)
 
 
+def bus_stream(spark: SparkSession, **options: str) -> DataFrame:
+    """Raw transactions from a Kafka topic (needs the connector on the class
+    path); ``options`` are the reader's, such as ``subscribe``."""
+    return parse_messages(spark.readStream.format("kafka").options(**options).load())
+
+
+def parse_messages(messages: DataFrame) -> DataFrame:
+    """Landed columns from messages whose ``value`` is one JSON transaction."""
+    parsed = F.from_json(F.col("value").cast("string"), RAW_SCHEMA)
+    return messages.select(parsed.alias("row")).select("row.*")
+
+
+def csv_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Daily CSV files as they arrive; the checkpoint is the load ledger."""
+    reader = (spark.readStream.schema(RAW_SCHEMA).option("header", True).option("enforceSchema", False)
+              .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv"))
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.csv(folder)
+
+
 def zoned(stream: DataFrame, ts: str = "transaction_date") -> DataFrame:
     return stream.withColumn(ts, F.col(ts).cast("timestamp"))
 
