@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tests.helpers import rows_of
 from txnrisk.operators import state
 

@@ -125,8 +125,8 @@ def user_drillthrough(scored: DataFrame, baseline: DataFrame, *, users: Sequence
     """Each transaction beside its user's baseline, for all users or some."""
     rows = scored if users is None else scored.filter(F.col("user_id").isin(list(users)))
     joined = join_salted(rows, baseline, "user_id", "transaction_id", heavy=heavy_users)
-    return joined.withColumn(
-        "amount_vs_avg", F.col("transaction_amount").cast("double") / F.nullif(F.col("avg_amount_30d").cast("double"), F.lit(0.0)))
+    average = F.nullif(F.col("avg_amount_30d").cast("double"), F.lit(0.0))
+    return joined.withColumn("amount_vs_avg", F.col("transaction_amount").cast("double") / average)
 
 
 def user_behaviour_change(fact: DataFrame, as_of: str, recent_days: int = 7, baseline_days: int = 30) -> DataFrame:

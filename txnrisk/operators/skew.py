@@ -24,18 +24,22 @@ HEAVY_ROWS = 250_000
 MAX_HEAVY_KEYS = 4096
 
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS,
-               max_keys: int = MAX_HEAVY_KEYS) -> list:
-    """Keys of ``df`` with about ``min_rows`` rows or more.
+def heavy_keys_by(df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS,
+                  max_keys: int = MAX_HEAVY_KEYS) -> dict[str, list]:
+    """For each key column, its values with about ``min_rows`` rows or more.
 
-    One pass over one column with a frequent-items sketch: each task sends one
-    sketch of at most 16 * ``max_keys`` counters, and at most ``max_keys``
-    values come back to the driver.
+    One pass over those columns with a frequent-items sketch each: a task sends
+    one sketch of at most 16 * ``max_keys`` counters per column, and at most
+    ``max_keys`` values per column come back to the driver.
     """
-    sketch = F.expr(f"approx_top_k(`{key}`, {max_keys}, {max_keys * 16})")
-    found = df.select(key).agg(sketch.alias("top")).first()["top"] or []
-    return sorted(item["item"] for item in found
-                  if item["item"] is not None and item["count"] >= min_rows)
+    sketches = [F.expr(f"approx_top_k(`{key}`, {max_keys}, {max_keys * 16})").alias(key) for key in keys]
+    found = df.select(*keys).agg(*sketches).first()
+    return {key: sorted(item["item"] for item in found[key] or []
+                        if item["item"] is not None and item["count"] >= min_rows) for key in keys}
+
+
+def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY_KEYS) -> list:
+    return heavy_keys_by(df, [key], min_rows, max_keys)[key]
 
 
 def slice_for(key: str, at: Column, heavy: Sequence, hours: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnrisk.operators.skew import join_salted
 from txnrisk.session import scratch
@@ -72,25 +72,24 @@ def write_by_day(df: DataFrame, path: str, mode: str = "overwrite", partition: s
 
 
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                      partition: str = "event_date", lookback_days: int | None = None) -> list:
+                      partition: str = "event_date", lookback_days: int | None = None,
+                      days: Sequence | None = None) -> list:
     """Keyed upsert into a partitioned table that rewrites touched days only.
 
     Touched are the days of the batch and the days that hold an older row of
     one of its keys. Finding the latter reads the key column of the table, of
     its last ``lookback_days`` when given (for sources that cannot re-send
-    older ids). The new content of the touched days is written to the shared
+    older ids), unless the caller knows the touched ``days``. The new content of the touched days is written to the shared
     folder first and swapped in from there, so nothing overwrites what it
     reads and a lost executor only repeats its own tasks. Returns the touched
     days.
     """
     staged_batch = write_table(batch, scratch(spark, "upsert-batch"))
     state = spark.read.schema(batch.schema).parquet(path)
-    searched = state
-    if lookback_days is not None:
-        oldest = staged_batch.agg(F.date_sub(F.min(partition), lookback_days)).scalar()
-        searched = state.filter(F.col(partition) >= oldest)
-    holding = history_by_keys(searched.select(*keys, partition), staged_batch, keys).select(partition)
-    days = [r[0] for r in staged_batch.select(partition).union(holding).distinct().collect()]
+    if days is None:
+        searched = since_lookback(state, staged_batch, lookback_days, partition)
+        holding = history_by_keys(searched.select(*keys, partition), staged_batch, keys).select(partition)
+        days = [r[0] for r in staged_batch.select(partition).union(holding).distinct().collect()]
     if not days:
         return []
     touched = state.filter(F.col(partition).isin(days))
@@ -105,6 +104,14 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     return sorted(days)
 
 
+def since_lookback(df: DataFrame, batch: DataFrame, lookback_days: int | None,
+                   partition: str = "event_date") -> DataFrame:
+    """Partitions from ``lookback_days`` before the batch's first on; all without."""
+    if lookback_days is None:
+        return df
+    return df.filter(F.col(partition) >= batch.agg(F.date_sub(F.min(partition), lookback_days)).scalar())
+
+
 def history_by_keys(df: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(batch.select(*keys).distinct(), list(keys), "left_semi")
 

@@ -18,7 +18,7 @@ from txnrisk.operators.dims import DEVICE_CHECK, USER_CHECK, devices_latest, use
 from txnrisk.operators.features import build_features
 from txnrisk.operators.scd2 import scd2_apply, scd2_from_events
 from txnrisk.operators.scoring import with_scores
-from txnrisk.operators.skew import heavy_keys
+from txnrisk.operators.skew import heavy_keys_by
 from txnrisk.operators.state import with_event_date, write_by_day
 from txnrisk.session import scratch
 from txnrisk.sources.csv_files import write_daily_csv
@@ -31,7 +31,7 @@ MERCHANT_AS_OF = "2024-04-10"
 KEPT = ["transaction_amount", "payment_method", "device_type", "billing_country"]
 
 _built: dict[tuple[str, str, str], tuple[str, object]] = {}
-_heavy: dict[tuple[str, str, str], list] = {}
+_heavy: dict[tuple[str, str], dict[str, list]] = {}
 
 
 def _layer(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame],
@@ -88,10 +88,10 @@ def second_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 def heavy(spark: SparkSession, folder: str, key: str) -> list:
     """Keys of the fact that need slicing or salting; a bounded list."""
-    known = (spark.sparkContext.applicationId, folder, key)
+    known = (spark.sparkContext.applicationId, folder)
     if known not in _heavy:
-        _heavy[known] = heavy_keys(fact(spark, folder), key)
-    return _heavy[known]
+        _heavy[known] = heavy_keys_by(fact(spark, folder), ["user_id", "device_id", "merchant_id"])
+    return _heavy[known][key]
 
 
 def baseline(spark: SparkSession, folder: str) -> DataFrame:

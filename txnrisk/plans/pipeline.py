@@ -22,7 +22,7 @@ from txnrisk.operators.kpi import daily_kpi
 from txnrisk.operators.quality import gate
 from txnrisk.operators.scd2 import current_rows, scd2_apply, scd2_from_events
 from txnrisk.operators.scoring import score
-from txnrisk.operators.skew import heavy_keys
+from txnrisk.operators.skew import heavy_keys_by
 from txnrisk.plans.contracts import contract_report
 from txnrisk.session import scratch
 from txnrisk.sources.tables import LayerStore
@@ -43,7 +43,8 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
-def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, lookback_days: int | None) -> tuple:
+def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, lookback_days: int | None = None,
+            days: list | None = None) -> tuple:
     """Upsert into a table partitioned by day; returns the table and the days."""
     path = store.path(layer, name)
     dated = batch if "event_date" in batch.columns else state.with_event_date(batch)
@@ -51,7 +52,8 @@ def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, lookback
         state.write_by_day(dated, path)
         table = store.spark.read.schema(dated.schema).parquet(path)
         return table, [r[0] for r in table.select("event_date").distinct().orderBy("event_date").collect()]
-    days = state.upsert_partitions(store.spark, path, dated, ["transaction_id"], lookback_days=lookback_days)
+    days = state.upsert_partitions(store.spark, path, dated, ["transaction_id"], lookback_days=lookback_days,
+                                   days=days)
     return store.spark.read.schema(dated.schema).parquet(path), days
 
 
@@ -72,15 +74,14 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
         raise ValueError(f"country_history must be 'event_time' or 'snapshot', not {country_history!r}")
     spark = store.spark
     stamp = F.lit(as_of).cast("timestamp")
-    bronze_path, fact_path = store.path("bronze", "transactions"), store.path("silver", "fact")
 
     incoming = clean_dates(raw)
     if late is not None:
-        held = _existing(spark, bronze_path, state.with_event_date(clean.typed(incoming)).schema)
+        held = _existing(spark, store.path("bronze", "transactions"), state.with_event_date(clean.typed(incoming)).schema)
         incoming = state.new_rows(incoming, "TransactionDate", held, "transaction_date", lookback=late)
     # Used by every later step, so it is written once rather than recomputed.
     batch = state.write_table(state.with_event_date(clean.clean(incoming, on_bad)), scratch(spark, "batch"))
-    resent = _resent(_existing(spark, fact_path, batch.schema), batch, lookback_days)
+    replaced = _replaced(store, batch, lookback_days)
 
     def touched(table: DataFrame, days: list) -> DataFrame:
         return table if check_all_days else table.filter(F.col("event_date").isin(days))
@@ -88,10 +89,12 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     bronze, days = _by_day(store, "bronze", "transactions", batch, lookback_days)
     if not days:
         return RunReport((), 0)
+    if replaced is not None:
+        days = sorted({*days, *(r[0] for r in replaced.select("event_date").distinct().collect())})
     checks = gate(contract_report({"bronze_transactions": touched(bronze, days)}))
 
-    fact, _ = _by_day(store, "silver", "fact", batch, lookback_days)
-    heavy = {key: heavy_keys(fact, key) for key in ("user_id", "merchant_id", "device_id")}
+    fact, _ = _by_day(store, "silver", "fact", batch, days=days)
+    heavy = heavy_keys_by(fact, ["user_id", "merchant_id", "device_id"])
 
     users, devices = _snapshots(store, fact, batch, heavy, effective_ts, as_of)
     users_current = store.publish(current_rows(users), "silver", "users_current")
@@ -109,9 +112,9 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
         merchant_risk(fact, as_of, MERCHANT_WINDOW_DAYS, state.affected(batch, "merchant_id"), stamp),
         ["merchant_id"]), "gold", "merchant_risk")
 
-    rows = _features(store, fact, batch, resent, users, baseline, risk, heavy, country_history)
-    features, _ = _by_day(store, "gold", "features", rows, lookback_days)
-    scores, _ = _by_day(store, "gold", "scores", score(rows), lookback_days)
+    rows = _features(store, fact, batch, replaced, users, baseline, risk, heavy, country_history)
+    features, _ = _by_day(store, "gold", "features", rows, days=days)
+    scores, _ = _by_day(store, "gold", "scores", score(rows), days=days)
     refreshed = daily_kpi(scores.filter(F.col("event_date").isin(days)), updated_at=stamp)
     kpis = store.publish(state.upsert(
         _without_days(store.read("gold", "daily_kpi"), days), refreshed, ["date_key"]), "gold", "daily_kpi")
@@ -121,16 +124,22 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     return RunReport(tuple(days), checks)
 
 
-def _resent(fact: DataFrame | None, batch: DataFrame, lookback_days: int | None) -> DataFrame | None:
-    """Users whose stored rows the batch is about to replace, on disk: the
-    rows themselves are gone after the upsert."""
-    if fact is None:
+def _replaced(store: LayerStore, batch: DataFrame, lookback_days: int | None) -> DataFrame | None:
+    """User and day of the stored rows the batch replaces, written down as the
+    rows themselves are gone after the upserts.
+
+    Looked up in the table a run updates last: should a run die half-way, its
+    repetition with the same rows still finds them there.
+    """
+    try:
+        scores = store.spark.read.parquet(store.path("gold", "scores"))
+    except PySparkException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    if lookback_days is not None:
-        oldest = batch.agg(F.date_sub(F.min("event_date"), lookback_days)).scalar()
-        fact = fact.filter(F.col("event_date") >= oldest)
-    replaced = state.history_by_keys(fact.select("transaction_id", "user_id"), batch, ["transaction_id"])
-    return state.write_table(state.affected(replaced, "user_id"), scratch(fact.sparkSession, "resent"))
+    searched = state.since_lookback(scores, batch, lookback_days)
+    rows = state.history_by_keys(searched.select("transaction_id", "user_id", "event_date"), batch, ["transaction_id"])
+    return state.write_table(rows.select("user_id", "event_date").distinct(), scratch(store.spark, "replaced"))
 
 
 def _snapshots(store, fact, batch, heavy, effective_ts, as_of):
@@ -144,7 +153,7 @@ def _snapshots(store, fact, batch, heavy, effective_ts, as_of):
     return tables
 
 
-def _features(store, fact, batch, resent, snapshots, baseline, risk, heavy, country_history) -> DataFrame:
+def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, country_history) -> DataFrame:
     """Feature rows of the batch; brings the state tables up to date.
 
     In-order users are extended from state, late ones recomputed from history.
@@ -164,7 +173,7 @@ def _features(store, fact, batch, resent, snapshots, baseline, risk, heavy, coun
         rows = build_features(fact.drop("event_date"), used, baseline, risk, **common)
         return state.write_table(rows, scratch(spark, "features"))
 
-    late = state.write_table(late_users(batch, points, resent), scratch(spark, "late"))
+    late = state.write_table(late_users(batch, points, replaced), scratch(spark, "late"))
     history = state.history_of(fact, late, "user_id", heavy_users)
     in_order = batch.join(late, "user_id", "left_anti")
 
