@@ -7,7 +7,8 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from txnrisk.operators.skew import neighbour, slice_for, trailing_totals
+from txnrisk.functions.timing import slice_index
+from txnrisk.operators.skew import split_heavy, trailing_totals
 
 HOUR = timedelta(hours=1)
 
@@ -20,14 +21,11 @@ def behaviour_windows(fact: DataFrame, *, velocity: timedelta = HOUR, heavy: Seq
     Ordinary users need one shuffle on user_id for all of it. Heavy users run
     through the sliced form of the same windows.
     """
-    if not heavy:
-        return _plain(fact, velocity)
-    hot = F.col("user_id").isin(list(heavy))
-    return _plain(fact.filter(~hot | F.col("user_id").isNull()), velocity).unionByName(
-        _sliced(fact.filter(hot), velocity, heavy, hours))
+    return split_heavy(fact, "user_id", heavy, lambda rows: plain_windows(rows, velocity),
+                       lambda rows: sliced_windows(rows, velocity, hours))
 
 
-def _plain(fact: DataFrame, velocity: timedelta) -> DataFrame:
+def plain_windows(fact: DataFrame, velocity: timedelta = HOUR) -> DataFrame:
     by_user = Window.partitionBy("user_id").orderBy("transaction_date", "transaction_id")
     seconds = int(velocity.total_seconds())
     in_window = F.expr(
@@ -42,32 +40,52 @@ def _plain(fact: DataFrame, velocity: timedelta) -> DataFrame:
     })
 
 
-def _sliced(fact: DataFrame, velocity: timedelta, heavy: Sequence, hours: int) -> DataFrame:
-    point = F.struct(F.col("transaction_date").alias("at"), F.col("location_lat").alias("lat"),
-                     F.col("location_lon").alias("lon"))
-    located = neighbour(fact, "user_id", ["transaction_date", "transaction_id"], point, "_prev",
-                        heavy=heavy, hours=hours)
-    counted = trailing_totals(located, "user_id", "transaction_date", {"w": velocity}, {"_n": F.lit(1)},
-                              heavy=heavy, hours=hours)
-    sliced = counted.withColumn("_slice", slice_for("user_id", F.col("transaction_date"), heavy, hours))
-
-    # First use per device, brought back slice by slice so that a device with
-    # most of the rows is still spread over many tasks.
-    first_in_slice = (
-        fact.withColumn("_slice", slice_for("user_id", F.col("transaction_date"), heavy, hours))
-        .groupBy(F.col("user_id").alias("_user"), F.col("device_id").alias("_device"),
-                 F.col("_slice").alias("_first_slice"))
-        .agg(F.min("transaction_date").alias("_first")))
-    first = first_in_slice.withColumn(
-        "device_first_seen_at", F.min("_first").over(Window.partitionBy("_user", "_device"))).drop("_first")
-    joined = sliced.join(
-        first,
-        (F.col("user_id") == F.col("_user")) & F.col("device_id").eqNullSafe(F.col("_device"))
-        & (F.col("_slice") == F.col("_first_slice")), "left")
-    return joined.select(
+def sliced_windows(fact: DataFrame, velocity: timedelta = HOUR, hours: int = 1) -> DataFrame:
+    """The same columns, every user cut into time slices.
+
+    One shuffle by (user, slice) brings together a slice's rows, the rows
+    leaving the velocity window in it, and what earlier slices know: one row
+    with the running counts and the last point, and one per device first seen
+    before.
+    """
+    ts, date_type = "transaction_date", fact.schema["transaction_date"].dataType
+    point = F.struct(F.col(ts).alias("at"), F.col("transaction_id").alias("id"),
+                     F.col("location_lat").alias("lat"), F.col("location_lon").alias("lon"))
+    rows = fact.withColumns({
+        "_at": F.col(ts), "_point": point, "_in": F.lit(1), "_first": F.col(ts),
+        "_slice": slice_index(F.col(ts), hours)})
+    leaving = fact.select("user_id", (F.col(ts) + F.lit(velocity)).alias("_at"), F.lit(1).alias("_out"))
+    leaving = leaving.withColumn("_slice", slice_index(F.col("_at"), hours))
+
+    # Carried rows sort before everything else of their slice.
+    origin = F.lit("0001-01-01").cast(date_type).alias("_at")
+    edges = (rows.select("user_id", "_slice", "_in", "_point").unionByName(leaving.drop("_at"), allowMissingColumns=True)
+             .groupBy("user_id", "_slice")
+             .agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"), F.max("_point").alias("_point")))
+    before = Window.partitionBy("user_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    known = edges.select(
+        "user_id", "_slice", origin, F.sum("_in").over(before).alias("_in"), F.sum("_out").over(before).alias("_out"),
+        F.last("_point", ignorenulls=True).over(before).alias("_point"))
+    used = rows.groupBy("user_id", "device_id", "_slice").agg(F.min(ts).alias("_in_slice"))
+    devices = (used.withColumn("_first", F.min("_in_slice").over(Window.partitionBy("user_id", "device_id")))
+               .filter(F.col("_first") < F.col("_in_slice"))
+               .select("user_id", "device_id", "_slice", origin, "_first"))
+
+    merged = rows
+    for extra in (leaving, known, devices):
+        merged = merged.unionByName(extra, allowMissingColumns=True)
+    in_order = Window.partitionBy("user_id", "_slice").orderBy("_at", "transaction_id")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    window = "over (partition by user_id, _slice order by _at range between unbounded preceding and "
+    entered, left = f"{window} current row)", f"{window} interval '0 00:00:00.000001' day to second preceding)"
+    seen = merged.withColumns({
+        "_prev": F.last("_point", ignorenulls=True).over(earlier),
+        "velocity_1hr_inclusive": F.expr(f"sum(_in) {entered} - coalesce(sum(_out) {left}, 0)"),
+        "device_first_seen_at": F.min("_first").over(Window.partitionBy("user_id", "_slice", "device_id")),
+    }).filter(F.col("_point").isNotNull() & F.col("_first").isNotNull())
+    return seen.select(
         *fact.columns, F.col("_prev.at").alias("prev_transaction_date"), F.col("_prev.lat").alias("prev_lat"),
-        F.col("_prev.lon").alias("prev_lon"), F.col("_n_w").cast("long").alias("velocity_1hr_inclusive"),
-        "device_first_seen_at")
+        F.col("_prev.lon").alias("prev_lon"), "velocity_1hr_inclusive", "device_first_seen_at")
 
 
 def user_frequency(fact: DataFrame, *, heavy: Sequence = (), hours: int = 1) -> DataFrame:

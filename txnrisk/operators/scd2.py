@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from txnrisk.operators.skew import neighbour, slice_for
+from txnrisk.operators.skew import neighbour, slice_for, split_heavy
 from txnrisk.functions.timing import slice_index
 from txnrisk.schemas import SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO
 
@@ -64,8 +64,14 @@ def scd2_from_events(df: DataFrame, key: str, ts: str, check_cols: Sequence[str]
     counts, so that no version has zero length.
     """
     rows = df.select(key, ts, tie, *check_cols).filter(F.col(key).isNotNull())
+    return split_heavy(rows, key, heavy, lambda part: _versions(part, key, ts, check_cols, tie, (), hours),
+                       lambda part: _versions(part, key, ts, check_cols, tie, heavy, hours))
+
+
+def _versions(rows: DataFrame, key: str, ts: str, check_cols: Sequence[str], tie: str, heavy: Sequence,
+              hours: int) -> DataFrame:
     if heavy:
-        rows = rows.withColumn("_slice", slice_for(key, F.col(ts), heavy, hours))
+        rows = rows.withColumn("_slice", slice_index(F.col(ts), hours))
     by_key = Window.partitionBy(key, *(["_slice"] if heavy else [])).orderBy(ts, tie)
     settled = (rows.withColumn("_next_ts", F.lead(ts).over(by_key))
                .filter(F.col("_next_ts").isNull() | (F.col("_next_ts") != F.col(ts))).drop("_next_ts", "_slice"))

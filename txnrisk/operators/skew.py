@@ -9,7 +9,7 @@ list of heavy keys only decides how rows are spread, never the result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -47,6 +47,18 @@ def slice_for(key: str, at: Column, heavy: Sequence, hours: int) -> Column:
     return F.when(F.col(key).isin(list(heavy)), slice_index(at, hours)).otherwise(F.lit(0))
 
 
+def split_heavy(df: DataFrame, key: str, heavy: Sequence, plain: Callable[[DataFrame], DataFrame],
+                sliced: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``plain`` over the ordinary keys' rows and ``sliced`` over the heavy ones'.
+
+    Ordinary rows keep one partitioning by key through all steps of ``plain``.
+    """
+    if not heavy:
+        return plain(df)
+    hot = F.col(key).isin(list(heavy))
+    return plain(df.filter(~hot | F.col(key).isNull())).unionByName(sliced(df.filter(hot)))
+
+
 def neighbour(df: DataFrame, key: str, order: Sequence[str], value: Column, out: str, *,
               back: bool = True, heavy: Sequence = (), hours: int = 1) -> DataFrame:
     """Add ``out``: ``value`` (a struct) of the key's previous row, or of the next.
