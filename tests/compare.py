@@ -73,9 +73,9 @@ def compare(connection, frame, sql: str) -> list[str]:
     if len(actual) != len(expected):
         problems.append(f"{len(actual)} rows != {len(expected)}")
     if actual != expected:
-        extra = [r for r in actual if r not in set(expected)][:3] if len(actual) < 20000 else "many rows"
-        missing = [r for r in expected if r not in set(actual)][:3] if len(actual) < 20000 else "many rows"
-        problems.append(f"values: spark has {extra}, sql has {missing}")
+        extra, missing = set(actual) - set(expected), set(expected) - set(actual)
+        problems.append(f"values: {len(extra)} rows differ: spark has {sorted(extra, key=repr)[:3]}, "
+                        f"sql has {sorted(missing, key=repr)[:3]}")
     return problems
 
 

@@ -12,6 +12,7 @@ from txnrisk.operators.kpi import daily_kpi
 from txnrisk.operators.quality import QualityError
 from txnrisk.operators.scd2 import scd2_from_events
 from txnrisk.plans.layers import early
+from txnrisk.plans import pipeline
 from txnrisk.plans.pipeline import run_pipeline
 from txnrisk.sources.events import read_raw
 from txnrisk.sources.tables import LayerStore
@@ -126,3 +127,28 @@ def test_snapshot_country_history(spark, tmp_path):
     run_pipeline(store, raw, "2024-02-01", country_history="snapshot")
     # The transaction is older than the first snapshot, so no country is known.
     assert rows_of(table(store, "gold", "features"), "location_mismatch_flag") == [(0,)]
+
+
+@pytest.mark.parametrize("step", ["_snapshots", "_features", "score", "daily_kpi"])
+def test_a_run_that_died_half_way_can_be_repeated(spark, tmp_path, monkeypatch, step):
+    first = raw_rows(spark, [dict(TransactionID=f"T{d}", TransactionDate=f"2024-01-0{d}T00:00:00+00:00") for d in (1, 2)])
+    # T1 comes again with another date, so its old row must go.
+    second = raw_rows(spark, [dict(TransactionID="T1", TransactionDate="2024-01-03T00:00:00+00:00", LocationLat="60"),
+                              dict(TransactionID="T3", TransactionDate="2024-01-03T00:10:00+00:00")])
+    stores = [LayerStore(spark, str(tmp_path / name)) for name in ("broken", "whole")]
+    for store in stores:
+        run_pipeline(store, first, "2024-02-01")
+    with monkeypatch.context() as patched:
+        def die(*_, **__):
+            raise RuntimeError("lost")
+        patched.setattr(pipeline, step, die)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_pipeline(stores[0], second, "2024-02-02")
+    for store in stores:
+        run_pipeline(store, second, "2024-02-02")
+    broken, whole = stores
+    for layer, name in (("bronze", "transactions"), ("silver", "fact"), ("gold", "features"), ("gold", "scores")):
+        assert rows_of(table(broken, layer, name)) == rows_of(table(whole, layer, name))
+    for layer, name in (("gold", "daily_kpi"), ("snapshots", "users"), ("state", "user_points"),
+                        ("state", "device_firsts"), ("silver", "country_versions")):
+        assert rows_of(broken.read(layer, name)) == rows_of(whole.read(layer, name))

@@ -342,8 +342,8 @@ def merchant_risk_90d(spark, folder):
 def user_baseline_point_in_time(spark, folder):
     rows = layers.fact(spark, folder).select("transaction_id", "user_id", "transaction_date", "transaction_amount")
     prior = baselines.user_baseline_point_in_time(rows, heavy=layers.heavy(spark, folder, "user_id"))
-    return _rounded(prior.select("transaction_id", "prior_count", "prior_avg_amount", "prior_stddev_amount"), 6,
-                    "prior_avg_amount", "prior_stddev_amount")
+    shown = prior.select("transaction_id", "prior_count", "prior_avg_amount", "prior_stddev_amount")
+    return _rounded(_rounded(shown, 8, "prior_avg_amount"), 6, "prior_stddev_amount")
 
 
 # -- features --------------------------------------------------------------

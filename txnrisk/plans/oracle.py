@@ -78,9 +78,17 @@ UNION ALL SELECT * FROM fact_2""")
 _cte("newer", "SELECT * FROM fact WHERE transaction_date > (SELECT max(transaction_date) FROM fact_1)")
 
 
+def _mean(where: str = "") -> str:
+    """Mean amount to six digits, halves up, in whole cents: a double mean can
+    fall on the wrong side of a half."""
+    kept = f"FILTER (WHERE {where})" if where else ""
+    cents, rows = f"sum(CAST(transaction_amount * 100 AS HUGEINT)) {kept}", f"count(*) {kept}"
+    return f"CAST((2 * {cents} * 10000 + {rows}) // (2 * {rows}) AS DOUBLE) / 1000000"
+
+
 def _baseline(source: str) -> str:
     return f"""
-SELECT user_id, round(avg(transaction_amount), 6) AS avg_amount_30d, stddev_samp(transaction_amount) AS stddev_amount_30d,
+SELECT user_id, {_mean()} AS avg_amount_30d, stddev_samp(transaction_amount) AS stddev_amount_30d,
   quantile_disc(transaction_amount, 0.9) AS p90_amount_30d,
   CAST(min(hour(transaction_date)) AS INTEGER) AS earliest_active_hour,
   CAST(max(hour(transaction_date)) AS INTEGER) AS latest_active_hour, count(*) AS transaction_count_30d
@@ -95,7 +103,7 @@ def _risk(as_of: str) -> str:
     return f"""
 SELECT merchant_id, count(*) AS transaction_count_90d, count(*) FILTER (WHERE is_fraud_label) AS fraud_count_90d,
   count(*) FILTER (WHERE is_fraud_label) / count(*) AS fraud_rate_90d,
-  round(avg(transaction_amount), 6) AS avg_transaction_amount_90d,
+  {_mean()} AS avg_transaction_amount_90d,
   count(DISTINCT user_id) AS distinct_customer_count_90d
 FROM fact WHERE transaction_date >= DATE '{as_of}' - 90 GROUP BY merchant_id"""
 
@@ -194,6 +202,8 @@ SELECT d.transaction_id, d.user_id, d.merchant_id,
   CASE WHEN d.distance_km / d.hours_since_prev > 900 THEN 1 ELSE 0 END AS impossible_travel_flag,
   CASE WHEN d.transaction_date = d.device_first_seen_at THEN 1 ELSE 0 END AS new_device_flag,
   CAST(d.transaction_amount AS DOUBLE) / nullif(CAST(b.p90_amount_30d AS DOUBLE), 0) AS device_amount_percentile,
+  CAST((2 * CAST(d.transaction_amount * 100 AS HUGEINT) * 1000000000 + CAST(b.p90_amount_30d * 100 AS HUGEINT))
+    // (2 * CAST(b.p90_amount_30d * 100 AS HUGEINT)) AS DOUBLE) / 1000000000 AS exact_percentile,
   CASE WHEN hour(d.transaction_date) NOT BETWEEN b.earliest_active_hour AND b.latest_active_hour THEN 1 ELSE 0 END
     AS off_hours_flag,
   CASE WHEN d.ip_country <> d.billing_country_at_tx_time THEN 1 ELSE 0 END AS location_mismatch_flag,
@@ -273,7 +283,7 @@ _BASELINE = """user_id, avg_amount_30d,
 _KPI = """date_key, total_transactions, flagged_high, flagged_medium, flagged_low,
   round(avg_fraud_probability, 6) AS avg_fraud_probability"""
 _FEATURES = """transaction_id, user_id, merchant_id, round(amount_zscore, 6) AS amount_zscore, velocity_1hr,
-  impossible_travel_flag, new_device_flag, round(device_amount_percentile, 9) AS device_amount_percentile,
+  impossible_travel_flag, new_device_flag, exact_percentile AS device_amount_percentile,
   off_hours_flag, location_mismatch_flag, round(merchant_risk_rate, 9) AS merchant_risk_rate, is_fraud_label,
   transaction_date"""
 _FLAG = "risk_tier = 'High'"
@@ -376,7 +386,7 @@ STATEMENTS: dict[str, str] = {
       avg_transaction_amount_90d,
       distinct_customer_count_90d FROM risk""",
     "user_baseline_point_in_time": """SELECT transaction_id, count(*) OVER w AS prior_count,
-      round(CAST(avg(transaction_amount) OVER w AS DOUBLE), 6) AS prior_avg_amount,
+      round(CAST(avg(transaction_amount) OVER w AS DOUBLE), 8) AS prior_avg_amount,
       round(stddev_samp(CAST(transaction_amount AS DOUBLE)) OVER w, 6) AS prior_stddev_amount
       FROM fact WINDOW w AS (PARTITION BY user_id ORDER BY transaction_date
         RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""",
@@ -389,7 +399,7 @@ STATEMENTS: dict[str, str] = {
       round(hours_since_prev, 9) AS hours_since_prev,
       CASE WHEN distance_km / hours_since_prev > 900 THEN 1 ELSE 0 END AS impossible_travel_flag FROM moved""",
     "feat_new_device": "SELECT transaction_id, new_device_flag FROM features",
-    "feat_amount_p90_ratio": """SELECT transaction_id, round(device_amount_percentile, 9) AS device_amount_percentile
+    "feat_amount_p90_ratio": """SELECT transaction_id, exact_percentile AS device_amount_percentile
       FROM features""",
     "flag_off_hours": "SELECT transaction_id, off_hours_flag FROM features",
     "flag_location_mismatch": "SELECT transaction_id, location_mismatch_flag FROM features",
@@ -462,11 +472,11 @@ STATEMENTS: dict[str, str] = {
       b.avg_amount_30d,
       round(CAST(s.transaction_amount AS DOUBLE) / b.avg_amount_30d, 9) AS amount_vs_avg
       FROM scored s LEFT JOIN baseline b ON b.user_id = s.user_id""",
-    "user_behaviour_change": """WITH c AS (SELECT user_id,
+    "user_behaviour_change": f"""WITH c AS (SELECT user_id,
         count(*) FILTER (WHERE transaction_date >= DATE '2024-01-31' - 7) AS recent_count,
         count(*) FILTER (WHERE transaction_date < DATE '2024-01-31' - 7) AS baseline_count,
-        round(avg(transaction_amount) FILTER (WHERE transaction_date >= DATE '2024-01-31' - 7), 6) AS r,
-        round(avg(transaction_amount) FILTER (WHERE transaction_date < DATE '2024-01-31' - 7), 6) AS b
+        {_mean("transaction_date >= DATE '2024-01-31' - 7")} AS r,
+        {_mean("transaction_date < DATE '2024-01-31' - 7")} AS b
         FROM fact WHERE transaction_date >= DATE '2024-01-31' - 30 GROUP BY user_id)
       SELECT user_id, recent_count, baseline_count, r AS recent_avg, b AS baseline_avg,
         round(r / b, 9) AS amount_ratio,
