@@ -129,7 +129,7 @@ def test_snapshot_country_history(spark, tmp_path):
     assert rows_of(table(store, "gold", "features"), "location_mismatch_flag") == [(0,)]
 
 
-@pytest.mark.parametrize("step", ["_snapshots", "_features", "score", "daily_kpi"])
+@pytest.mark.parametrize("step", ["_features", "daily_kpi"])
 def test_a_run_that_died_half_way_can_be_repeated(spark, tmp_path, monkeypatch, step):
     first = raw_rows(spark, [dict(TransactionID=f"T{d}", TransactionDate=f"2024-01-0{d}T00:00:00+00:00") for d in (1, 2)])
     # T1 comes again with another date, so its old row must go.

@@ -89,8 +89,7 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     bronze, days = _by_day(store, "bronze", "transactions", batch, lookback_days)
     if not days:
         return RunReport((), 0)
-    if replaced is not None:
-        days = sorted({*days, *(r[0] for r in replaced.select("event_date").distinct().collect())})
+    days = _note_days(store, days, replaced)
     checks = gate(contract_report({"bronze_transactions": touched(bronze, days)}))
 
     fact, _ = _by_day(store, "silver", "fact", batch, days=days)
@@ -121,9 +120,24 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     checks += gate(contract_report({
         "user_baseline": baseline, "merchant_risk": risk, "features": touched(features, days),
         "scores": touched(scores, days), "daily_kpi": kpis}))
+    store.publish(store.spark.createDataFrame([], "event_date date"), "state", "pending_days")
     return RunReport(tuple(days), checks)
 
 
+def _note_days(store: LayerStore, days: list, replaced: DataFrame | None) -> list:
+    """All days this run has to bring up to date, noted before it does so.
+
+    Those a run that died left behind are among them: by now its rows may have
+    moved away from a day whose KPIs still count them.
+    """
+    held = [replaced, store.read("state", "pending_days")]
+    for frame in (f for f in held if f is not None):
+        days = sorted({*days, *(r[0] for r in frame.select("event_date").distinct().collect())})
+    noted = store.spark.createDataFrame([(day,) for day in days], "event_date date")
+    store.publish(noted, "state", "pending_days")
+    return days
+
+
 def _replaced(store: LayerStore, batch: DataFrame, lookback_days: int | None) -> DataFrame | None:
     """User and day of the stored rows the batch replaces, written down as the
     rows themselves are gone after the upserts.
