@@ -46,11 +46,11 @@ def for_model(features: DataFrame) -> DataFrame:
     return features.withColumns({c: F.col(c).cast("double") for c in FEATURE_COLUMNS})
 
 
-def save_champion(model: PipelineModel, root: str, name: str = "fraud_detection_model") -> str:
+def save_champion(model: PipelineModel, root: str, name: str = "risk_model") -> str:
     path = f"{root}/{name}/champion"
     model.write().overwrite().save(path)
     return path
 
 
-def load_champion(root: str, name: str = "fraud_detection_model") -> PipelineModel:
+def load_champion(root: str, name: str = "risk_model") -> PipelineModel:
     return PipelineModel.load(f"{root}/{name}/champion")
