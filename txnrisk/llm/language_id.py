@@ -14,6 +14,7 @@ Scoring reads every whole text and needs no shuffle.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -80,45 +81,37 @@ def lattice(word: str, pieces: dict[str, int], longest: int) -> list[list[tuple[
     return out
 
 
-def forward(arcs: list[list[tuple[int, int]]], p: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, list[int]]:
-    """Forward values per end, log probability of the word, and how often each value was scaled.
-
-    ``p``: piece by language. A value and its scaling stand for value / _SCALE ** times.
-    """
-    alpha, scaled = [np.ones(p.shape[1])], [0]
+def forward(arcs: list[list[tuple[int, int]]], q: list[float], longest: int) -> float:
+    """Log probability of a word: the sum over its segmentations. ``q``: probability of each piece."""
+    alpha, log = [1.0], 0.0
     for ends in arcs[1:]:
-        most = max(scaled[start] for start, _ in ends)
-        value = sum(alpha[start] * p[n] if scaled[start] == most else alpha[start] * p[n] * _SCALE ** (most - scaled[start])
-                    for start, n in ends if most - scaled[start] < 2)
-        if value.max() < _SMALL:
-            value, most = value * _SCALE, most + 1
+        value = 0.0
+        for start, n in ends:
+            value += alpha[start] * q[n]
         alpha.append(value)
-        scaled.append(most)
-    with np.errstate(divide="ignore"):
-        return alpha, np.log(np.maximum(alpha[-1], 1e-300)) - scaled[-1] * _LOG_SCALE, scaled
-
+        if value < _SMALL:  # only the last values are read again
+            for i in range(max(0, len(alpha) - longest), len(alpha)):
+                alpha[i] *= _SCALE
+            log -= _LOG_SCALE
+    return math.log(alpha[-1]) + log
 
-def expected_counts(word: str, pieces: dict[str, int], longest: int, p: np.ndarray, language: int) -> dict[int, float]:
-    """Expected number of each piece in a word of one language, over all its segmentations.
 
-    Words are cut to 60 characters for this: longer runs of letters are no words to learn from.
-    """
-    word = word[:60]
-    arcs = lattice(word, pieces, longest)
-    q = p[:, language]
+def expected_counts(arcs: list[list[tuple[int, int]]], q: list[float]) -> dict[int, float]:
+    """Expected number of each piece in a word, over all its segmentations."""
     alpha = [1.0]
     for ends in arcs[1:]:
-        alpha.append(sum(alpha[start] * q[n] for start, n in ends))
-    if alpha[-1] <= 0:
-        return {}
-    beta = [0.0] * len(arcs)
-    beta[-1] = 1.0
+        alpha.append(sum([alpha[start] * q[n] for start, n in ends]))
     out: dict[int, float] = {}
+    if alpha[-1] <= 0.0:
+        return out
+    beta = [0.0] * len(arcs)
+    beta[-1] = 1.0 / alpha[-1]
     for end in range(len(arcs) - 1, 0, -1):
+        after = beta[end]
         for start, n in arcs[end]:
-            flow = q[n] * beta[end]
+            flow = q[n] * after
             beta[start] += flow
-            out[n] = out.get(n, 0.0) + alpha[start] * flow / alpha[-1]
+            out[n] = out.get(n, 0.0) + alpha[start] * flow
     return out
 
 
@@ -158,16 +151,18 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     for _ in range(EM_STEPS if languages else 0):
         def expect(batches: Iterator[pa.RecordBatch], p=p) -> Iterator[pa.RecordBatch]:
             pieces, longest = vocabulary(path)
-            sums: dict[tuple[int, int], float] = {}
+            sums: dict[str, dict[int, float]] = {lang: {} for lang in languages}
+            q = {lang: column.tolist() for lang, column in zip(languages, p.T)}
             for batch in batches:
                 for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n"))):
-                    language = languages.index(lang)
-                    for piece, times in expected_counts(word, pieces, longest, p, language).items():
-                        key = (language, piece)
-                        sums[key] = sums.get(key, 0.0) + n * times
-            if sums:
-                yield pa.record_batch([pa.array([k[0] for k in sums], pa.int32()), pa.array([k[1] for k in sums], pa.int32()),
-                                       pa.array(list(sums.values()), pa.float64())], ["language", "piece", "times"])
+                    own = sums[lang]
+                    # longer runs of letters are no words to learn from
+                    for piece, times in expected_counts(lattice(word[:60], pieces, longest), q[lang]).items():
+                        own[piece] = own.get(piece, 0.0) + n * times
+            for language, lang in enumerate(languages):
+                own = sums[lang]
+                yield pa.record_batch([pa.array([language] * len(own), pa.int32()), pa.array(list(own), pa.int32()),
+                                       pa.array(list(own.values()), pa.float64())], ["language", "piece", "times"])
 
         # At most one row per language and piece.
         sums = (counted.mapInArrow(expect, "language int, piece int, times double")
@@ -178,11 +173,11 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     return Model(languages, p, path)
 
 
-_SCORES: dict[str, np.ndarray] = {}
+_SCORES: dict[str, tuple[float, ...]] = {}
 _SCORED_BY: list = [None]
 
 
-def word_scores(words: set[str], model: Model) -> dict[str, np.ndarray]:
+def word_scores(words: set[str], model: Model) -> dict[str, tuple[float, ...]]:
     """Log probabilities per language of each word, remembered for the model that was used last."""
     last = _SCORED_BY[0]
     if last is not model:
@@ -194,8 +189,10 @@ def word_scores(words: set[str], model: Model) -> dict[str, np.ndarray]:
         _SCORES.clear()
         missing = words
     pieces, longest = vocabulary(model.path)
+    columns = [column.tolist() for column in model.p.T]
     for word in missing:
-        _SCORES[word] = forward(lattice(word, pieces, longest), model.p)[1]
+        arcs = lattice(word, pieces, longest)
+        _SCORES[word] = tuple([forward(arcs, q, longest) for q in columns])
     return _SCORES
 
 

@@ -2,8 +2,10 @@
 
 Every rule looks at counts of a text and votes good (1), bad (-1) or abstains
 (0). No rule decides alone: from how the rules agree over the whole corpus,
-expectation-maximisation estimates each rule's accuracy where it votes and the
-share of good texts, and a text is kept by its posterior probability.
+expectation-maximisation estimates how often each rule is right about good and
+about bad texts where it votes, and the share of good texts. A rule that calls
+nearly everything good thus says little by doing so. A text is kept by its
+posterior probability.
 
 All is column expressions. The corpus is reduced to the number of texts per
 pattern of votes (3 to the number of rules at most), and each EM step is one
@@ -12,9 +14,8 @@ aggregation over that small table.
 
 from __future__ import annotations
 
-import functools
 import math
-import operator
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +30,13 @@ STOP_WORDS = [
     "el", "los", "que", "y", "en", "del", "una", "por",
 ]
 
-EM_STEPS = 30
-#: Votes each rule is credited with in advance, so that accuracies stay inside (0, 1).
-PRIOR_RIGHT, PRIOR_WRONG = 8.0, 2.0
+EM_STEPS = 60
+#: Where EM starts: accuracy on good texts, accuracy on bad texts, share of good texts.
+START = (0.9, 0.6, 0.8)
+#: Votes each rule is credited with in advance at the start's accuracies, so that none becomes 0 or 1.
+CREDIT = 5.0
+#: The accuracies of a rule add up to this at least: 1 would be chance.
+BETTER = 1.02
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -133,41 +138,59 @@ def rules() -> dict[str, Column]:
     }
 
 
-def _posterior(votes: list[Column], accuracies: list[float], good: float) -> Column:
+@dataclass(frozen=True)
+class Estimate:
+    """Accuracies of the rules where they vote, on good and on bad texts, and the share of good texts."""
+
+    on_good: tuple[float, ...]
+    on_bad: tuple[float, ...]
+    share: float
+
+
+def _posterior(votes: list[Column], now: Estimate) -> Column:
     """Probability that a text with these votes is good."""
-    odds = functools.reduce(operator.add, [
-        vote * F.lit(math.log(a / (1 - a))) for vote, a in zip(votes, accuracies)], F.lit(math.log(good / (1 - good))))
+    odds = F.lit(math.log(now.share / (1 - now.share)))
+    for vote, good, bad in zip(votes, now.on_good, now.on_bad):
+        odds += F.when(vote > 0, math.log(good / (1 - bad))).when(vote < 0, math.log((1 - good) / bad)).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
-def estimate(votes: DataFrame, names: list[str], steps: int = EM_STEPS) -> tuple[dict[str, float], float]:
-    """Accuracy of each rule where it votes, and the share of good texts, from all rows of ``votes``."""
+def estimate(votes: DataFrame, names: list[str], steps: int = EM_STEPS) -> Estimate:
+    """Accuracies and share by expectation-maximisation, from all rows of ``votes``."""
+    now = Estimate((START[0],) * len(names), (START[1],) * len(names), START[2])
     patterns = votes.groupBy(*names).agg(F.count("*").alias("n")).collect()  # 3 ** rules at most
-    accuracies, good = [PRIOR_RIGHT / (PRIOR_RIGHT + PRIOR_WRONG)] * len(names), 0.5
     if not patterns:
-        return dict(zip(names, accuracies)), good
+        return now
     small = votes.sparkSession.createDataFrame(
-        [tuple(row) for row in patterns], ", ".join(f"{name} int" for name in names) + ", n long").coalesce(1)
+        sorted(tuple(row) for row in patterns), ", ".join(f"{name} int" for name in names) + ", n long").coalesce(1)
+    good, bad = F.col("n") * F.col("p"), F.col("n") * (1 - F.col("p"))
+
+    def total(when: Column, value: Column, name: str) -> Column:
+        return F.sum(F.when(when, value).otherwise(0.0)).alias(name)
+
     for _ in range(steps):
-        p = F.col("p")
-        sums = small.withColumn("p", _posterior([F.col(name) for name in names], accuracies, good)).agg(
-            F.sum(F.col("n") * p).alias("good"), F.sum("n").alias("all"),
-            *[F.sum(F.when(F.col(name) > 0, p).when(F.col(name) < 0, 1 - p).otherwise(0) * F.col("n")).alias(f"right_{name}")
-              for name in names],
-            *[F.sum(F.when(F.col(name) != 0, F.col("n")).otherwise(0)).alias(f"voted_{name}") for name in names]).first()
-        # A rule is better than chance by assumption; that also keeps good and bad from changing places.
-        updated = [max(0.55, (sums[f"right_{name}"] + PRIOR_RIGHT) / (sums[f"voted_{name}"] + PRIOR_RIGHT + PRIOR_WRONG))
-                   for name in names]
-        share = min(0.99, max(0.01, (sums["good"] + 1) / (sums["all"] + 2)))
-        moved = max(abs(a - b) for a, b in zip([*updated, share], [*accuracies, good]))
-        accuracies, good = updated, share
+        sums = small.withColumn("p", _posterior([F.col(name) for name in names], now)).agg(
+            F.sum(good).alias("good"), F.sum("n").alias("all"),
+            *[column for name in names for column in (
+                total(F.col(name) > 0, good, f"right_good_{name}"), total(F.col(name) != 0, good, f"voted_good_{name}"),
+                total(F.col(name) < 0, bad, f"right_bad_{name}"), total(F.col(name) != 0, bad, f"voted_bad_{name}"))]).first()
+
+        def accuracy(kind: str, start: float) -> list[float]:
+            return [(sums[f"right_{kind}_{name}"] + CREDIT * start) / (sums[f"voted_{kind}_{name}"] + CREDIT) for name in names]
+
+        on_good = [max(0.5, value) for value in accuracy("good", START[0])]
+        on_bad = [max(BETTER - g, value) for g, value in zip(on_good, accuracy("bad", START[1]))]
+        after = Estimate(tuple(on_good), tuple(on_bad), (sums["good"] + 1) / (sums["all"] + 2))
+        moved = max(abs(x - y) for x, y in zip((*after.on_good, *after.on_bad, after.share),
+                                               (*now.on_good, *now.on_bad, now.share)))
+        now = after
         if moved < 1e-6:
             break
-    return dict(zip(names, accuracies)), good
+    return now
 
 
 def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.5) -> DataFrame:
-    """(id, the counts, the votes, quality, base_failed, kept) per row.
+    """(id, the counts, the votes, posterior, base_failed, kept) per row.
 
     ``base_failed``: fewer than 50 words, or more than half of them in repeated
     windows; ``kept``: not base_failed and posterior at least ``threshold``.
@@ -179,8 +202,7 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     counted = staged(text_counts(docs.select(id_column, text_column), text_column).drop(text_column)
                      .withColumns({f"vote_{name}": vote for name, vote in votes.items()}), "quality-votes")
     names = [f"vote_{name}" for name in votes]
-    accuracies, good = estimate(counted, names)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return (counted.withColumn("quality", _posterior([F.col(name) for name in names], [accuracies[n] for n in names], good))
+    return (counted.withColumn("posterior", _posterior([F.col(name) for name in names], estimate(counted, names)))
             .withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold)))
+            .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)))
