@@ -147,11 +147,11 @@ class Estimate:
     share: float
 
 
-def _posterior(votes: list[Column], now: Estimate) -> Column:
+def _posterior(votes: list[Column], on_good: list[Column], on_bad: list[Column], share: Column) -> Column:
     """Probability that a text with these votes is good."""
-    odds = F.lit(math.log(now.share / (1 - now.share)))
-    for vote, good, bad in zip(votes, now.on_good, now.on_bad):
-        odds += F.when(vote > 0, math.log(good / (1 - bad))).when(vote < 0, math.log((1 - good) / bad)).otherwise(0.0)
+    odds = F.log(share / (1 - share))
+    for vote, good, bad in zip(votes, on_good, on_bad):
+        odds += F.when(vote > 0, F.log(good / (1 - bad))).when(vote < 0, F.log((1 - good) / bad)).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
@@ -161,19 +161,23 @@ def estimate(votes: DataFrame, names: list[str], steps: int = EM_STEPS) -> Estim
     patterns = votes.groupBy(*names).agg(F.count("*").alias("n")).collect()  # 3 ** rules at most
     if not patterns:
         return now
-    small = votes.sparkSession.createDataFrame(
-        sorted(tuple(row) for row in patterns), ", ".join(f"{name} int" for name in names) + ", n long").coalesce(1)
-    good, bad = F.col("n") * F.col("p"), F.col("n") * (1 - F.col("p"))
+    patterns = sorted(tuple(row) for row in patterns)
+    good, bad, places = F.col("n") * F.col("p"), F.col("n") * (1 - F.col("p")), range(len(names))
 
     def total(when: Column, value: Column, name: str) -> Column:
         return F.sum(F.when(when, value).otherwise(0.0)).alias(name)
 
+    # The present estimate stands in columns beside the patterns: the step's plan, and so its code, stays the same.
+    schema = ", ".join(f"{name} int" for name in names) + ", n long, on_good array<double>, on_bad array<double>, share double"
+    posterior = _posterior([F.col(name) for name in names], [F.get("on_good", F.lit(i)) for i in places],
+                           [F.get("on_bad", F.lit(i)) for i in places], F.col("share"))
+    step = [F.sum(good).alias("good"), F.sum("n").alias("all"), *[column for name in names for column in (
+        total(F.col(name) > 0, good, f"right_good_{name}"), total(F.col(name) != 0, good, f"voted_good_{name}"),
+        total(F.col(name) < 0, bad, f"right_bad_{name}"), total(F.col(name) != 0, bad, f"voted_bad_{name}"))]]
     for _ in range(steps):
-        sums = small.withColumn("p", _posterior([F.col(name) for name in names], now)).agg(
-            F.sum(good).alias("good"), F.sum("n").alias("all"),
-            *[column for name in names for column in (
-                total(F.col(name) > 0, good, f"right_good_{name}"), total(F.col(name) != 0, good, f"voted_good_{name}"),
-                total(F.col(name) < 0, bad, f"right_bad_{name}"), total(F.col(name) != 0, bad, f"voted_bad_{name}"))]).first()
+        beside = (list(now.on_good), list(now.on_bad), now.share)
+        sums = (votes.sparkSession.createDataFrame([(*row, *beside) for row in patterns], schema).coalesce(1)
+                .withColumn("p", posterior).agg(*step).first())
 
         def accuracy(kind: str, start: float) -> list[float]:
             return [(sums[f"right_{kind}_{name}"] + CREDIT * start) / (sums[f"voted_{kind}_{name}"] + CREDIT) for name in names]
@@ -184,7 +188,7 @@ def estimate(votes: DataFrame, names: list[str], steps: int = EM_STEPS) -> Estim
         moved = max(abs(x - y) for x, y in zip((*after.on_good, *after.on_bad, after.share),
                                                (*now.on_good, *now.on_bad, now.share)))
         now = after
-        if moved < 1e-6:
+        if moved < 1e-5:
             break
     return now
 
@@ -199,10 +203,13 @@ def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     result.
     """
     votes = rules()
+    names = [f"vote_{name}" for name in votes]
     counted = staged(text_counts(docs.select(id_column, text_column), text_column).drop(text_column)
                      .withColumns({f"vote_{name}": vote for name, vote in votes.items()}), "quality-votes")
-    names = [f"vote_{name}" for name in votes]
+    found = estimate(counted, names)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return (counted.withColumn("posterior", _posterior([F.col(name) for name in names], estimate(counted, names)))
+    posterior = _posterior([F.col(name) for name in names], list(map(F.lit, found.on_good)),
+                           list(map(F.lit, found.on_bad)), F.lit(found.share))
+    return (counted.withColumn("posterior", posterior)
             .withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)))
