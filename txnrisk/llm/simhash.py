@@ -16,6 +16,7 @@ share a value (65 at most) are linked to their least.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -69,23 +70,36 @@ def fingerprints(docs: DataFrame, text_column: str = "text", shingle_words: int
     return others.mapInArrow(add, result)
 
 
-def _segment(value, segment: int, width: int):
-    return F.shiftrightunsigned(value, segment * width).bitwiseAND(F.lit((1 << width) - 1))
-
-
-def _variants(prints: DataFrame, max_bits: int) -> DataFrame:
-    """(fp, key) for each segment with each bit left out; a key names segment, bit and the rest."""
-    segments = max_bits // 2 + 1
-    width = BITS // segments
-    keys = [
-        (_segment(F.col("fp"), s, width).bitwiseAND(F.lit(((1 << width) - 1) ^ (1 << bit)))
-         .bitwiseOR(F.lit((s * width + bit) << width)))
-        for s in range(segments) for bit in range(width)]
-    return prints.select("fp", F.explode(F.array(*keys)).alias("key"))
-
-
-def _distance(a, b):
-    return F.bit_count(a.bitwiseXOR(b))
+def _bucket_pairs(keys: np.ndarray, fps: np.ndarray, variant: np.ndarray, width: int, max_bits: int,
+                  limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of whole runs of equal keys: verified pairs, and (fingerprint, None) of runs above the limit."""
+    edges = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
+    mask = np.uint64((1 << width) - 1)
+    for begin, end in zip(edges[:-1][np.diff(edges) > 1].tolist(), edges[1:][np.diff(edges) > 1].tolist()):
+        held = fps[begin:end]
+        if end - begin > limit:
+            yield held, None
+            continue
+        a, b = np.triu_indices(end - begin, 1)
+        a, b = held[a], held[b]
+        differ = a ^ b
+        segment, bit = divmod(int(variant[begin]), width)
+        # Each pair in one bucket alone: the first segment that is close, and there the bit that differs or the first.
+        keep = np.bitwise_count(differ) <= max_bits
+        own = (differ >> np.uint64(segment * width)) & mask
+        if bit:
+            keep &= own != 0
+        for earlier in range(segment):
+            keep &= np.bitwise_count((differ >> np.uint64(earlier * width)) & mask) > 1
+        if keep.any():
+            yield a[keep], b[keep]
+
+
+def _key(fps: np.ndarray, variant: np.ndarray, width: int) -> np.ndarray:
+    """As the column expression in ``links``: the segment without the bit left out, and which variant it is."""
+    at = (variant // width * width).astype(np.uint64)
+    rest = (fps >> at) & np.uint64((1 << width) - 1) & ~(np.uint64(1) << (variant % width).astype(np.uint64))
+    return rest | variant.astype(np.uint64) << np.uint64(width)
 
 
 def links(prints: DataFrame, max_bits: int = 2, bucket_limit: int = 32) -> DataFrame:
@@ -105,23 +119,56 @@ def links(prints: DataFrame, max_bits: int = 2, bucket_limit: int = 32) -> DataF
                      F.col("fp").bitwiseAND(F.lit(_signed(((1 << BITS) - 1) ^ (1 << bit)))).alias("rest"))
             for bit in range(BITS)])).alias("key"))
         return keyed.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a < b").select("a", "b")
-    variants = _variants(prints, max_bits)
-    buckets = staged(
-        variants.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-        .where("n > 1"), "simhash-buckets")
-    close = _distance(F.col("a"), F.col("b")) <= max_bits
-    twos = buckets.where((F.col("n") == 2) & close).select("a", "b")
-    some = variants.join(buckets.where((F.col("n") > 2) & (F.col("n") <= bucket_limit)).select("key"), "key")
-    more = (some.withColumnRenamed("fp", "a").join(some.withColumnRenamed("fp", "b"), "key")
-            .where((F.col("a") < F.col("b")) & close).select("a", "b"))
-    crowded = (variants.join(buckets.where(F.col("n") > bucket_limit).select("key"), "key")
-               .select("fp").distinct())
+    width = BITS // (max_bits // 2 + 1)
+    key = F.expr(f"(shiftrightunsigned(fp, variant div {width} * {width}) & {(1 << width) - 1}L"
+                 f" & ~shiftleft(1L, variant % {width})) | shiftleft(cast(variant as bigint), {width})")
+    ready(prints.sparkSession)
+    variants = prints.select(
+        "fp", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))).alias("variant")).repartition(key).sortWithinPartitions(key)
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = (np.zeros(0, np.uint64), np.zeros(0, np.int32))  # the run that the next batch may go on with
+        crowded = None  # its key, if it was above the limit already and its fingerprints are given out
+        for batch in chain(batches, [None]):
+            if batch is None:
+                fps, variant = rest
+            else:
+                fps = np.concatenate((rest[0], batch.column("fp").to_numpy().view(np.uint64)))
+                variant = np.concatenate((rest[1], batch.column("variant").to_numpy()))
+            keys = _key(fps, variant, width)
+            found = []
+            if crowded is not None:
+                n = int(np.argmax(keys != crowded)) if keys.size and keys[-1] != crowded else len(keys)
+                found.append((fps[:n], None))
+                fps, variant, keys = fps[n:], variant[n:], keys[n:]
+            if batch is not None and len(keys):
+                last = int(np.searchsorted(keys, keys[-1]))
+                crowded = keys[-1] if len(keys) - last > bucket_limit else None
+                if crowded is None:
+                    rest = (fps[last:], variant[last:])
+                    fps, variant, keys = fps[:last], variant[:last], keys[:last]
+                else:
+                    rest = (rest[0][:0], rest[1][:0])
+            elif batch is not None:
+                rest = (fps, variant)
+            if len(keys):
+                found.extend(_bucket_pairs(keys, fps, variant, width, max_bits, bucket_limit))
+            for kind in (True, False):
+                some = [(a, b) for a, b in found if (b is None) == kind]
+                if some:
+                    a = pa.array(np.concatenate([a for a, _ in some]).view(np.int64))
+                    b = pa.nulls(len(a), pa.int64()) if kind else pa.array(np.concatenate([b for _, b in some]).view(np.int64))
+                    yield pa.record_batch([a, b], ["a", "b"])
+
+    candidates = staged(variants.mapInArrow(pair, "a long, b long"), "simhash-pairs")
+    pairs = candidates.where("b is not null")
+    crowded = candidates.where("b is null").select(F.col("a").alias("fp")).distinct()
     around = crowded.select("fp", F.explode(F.array(F.col("fp"), *[
         F.col("fp").bitwiseXOR(F.lit(_signed(1 << bit))) for bit in range(BITS)])).alias("value"))
     shared = around.groupBy("value").agg(F.collect_list("fp").alias("held"), F.min("fp").alias("a")).where(
         F.size("held") > 1)
     balls = shared.select("a", F.explode("held").alias("b")).where("a < b")
-    return twos.unionByName(more).unionByName(balls).distinct()
+    return pairs.unionByName(balls)
 
 
 def _signed(value: int) -> int:
@@ -134,9 +181,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     ``members``: (id, fingerprint) per row of ``docs``. ``classes``:
     (fingerprint, label, component_id) per distinct fingerprint, where label
-    names its component by a fingerprint and component_id is the smallest id reachable by links of at most ``max_bits`` differing
-    bits (ids of null count only where a component has no other; then it is
-    null). Rows without words share fingerprint 0 and so one component;
+    names its component by a fingerprint and component_id is the smallest id
+    reachable by links of at most ``max_bits`` differing bits (ids of null
+    count only where a component has no other; then it is null). Rows without words share fingerprint 0 and so one component;
     repeated rows and ids are members like others; other columns are ignored;
     an empty table gives empty results.
     """
