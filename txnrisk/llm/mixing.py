@@ -39,7 +39,7 @@ def targets(sizes: Sequence[int], weights: Sequence[float], max_repeat: float =
                 out[i] = share * weights[i]
             break
         for i in above:
-            out[i] = max_repeat * sizes[i]
+            out[i] = float(max_repeat * sizes[i])
             budget -= out[i]
         free = [i for i in free if i not in set(above)]
     return out

@@ -1,15 +1,17 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
-Grades are ordered: 0 junk, 1 readable but toxic, 2 clean. One weight per
+Grades are ordered: 0 toxic, 1 junk, 2 clean. One weight per
 hashed text feature is shared by all grades; ordered thresholds cut the score
 into grades: P(grade <= g) = sigmoid(threshold_g - score). A document is
 selected by its tail probability P(grade >= wanted), and gets its expected
 grade as well.
 
-Features are a document's distinct words and a few coarse shares (capitals,
-symbols, repeats, lengths), each hashed as text. The model is fitted on a
-bounded sample of the rated rows, ``SAMPLE_ROWS`` at most, whatever their number;
-scoring reads every whole text and needs no shuffle.
+Features are a document's distinct words, the beginnings of its longer words
+(inflected forms share them) and a few coarse shares (capitals, symbols,
+repeats, lengths), each hashed as text. The model is fitted on a bounded sample
+of the rated rows, ``SAMPLE_ROWS`` at most, whatever their number, and uses the
+features that occur in some grade far more often than in others; scoring reads
+every whole text and needs no shuffle.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +34,15 @@ SAMPLE_ROWS = 12_000
 FEATURES = 1 << 18
 #: Sampled documents in which a feature must occur: rarer ones say nothing about others.
 LEAST_DOCUMENTS = 8
+#: Chi-square over the grades that a feature must reach, the least of a large sample and, below it, one for
+#: so many rows, but never less than the last: few of the many words reach it by chance.
+LEAST_CHI_SQUARE, ROWS_PER_CHI_SQUARE, LEAST_EVER = 60.0, 100, 10.0
 STEPS, LEARNING_RATE, PENALTY = 250, 0.1, 1e-4
 
-#: Words whose feature number one worker keeps.
+#: Lengths of the beginnings that are features.
+BEGINNINGS = (5, 7)
+
+#: Words whose feature numbers one worker keeps.
 REMEMBERED = 500_000
 
 GRADES = 3
@@ -44,8 +53,12 @@ _EDGE = re.compile(r"^[^\w]+|[^\w]+$").sub
 
 
 def grade(quality, toxic):
-    """Grade of a rating: 0 junk, 1 toxic, 2 clean; null where the quality is."""
-    return F.when(quality == 0, 0).when(quality > 0, F.when(toxic > 0, 1).otherwise(CLEAN))
+    """Grade of a rating: 0 toxic, 1 junk, 2 clean; null where the quality is.
+
+    Toxic is the lowest: its words add up, however many there are, while the
+    signs of junk are few per document and so fit into the grade between.
+    """
+    return F.when(quality.isNotNull(), F.when(toxic > 0, 0).when(quality == 0, 1).otherwise(CLEAN))
 
 
 def _step(share: float) -> int:
@@ -67,7 +80,14 @@ def shape(text: str, words: list[str], distinct: int) -> list[str]:
     ]
 
 
-_NUMBERS: dict[str, int] = {}
+_NUMBERS: dict[str, tuple[int, ...]] = {}
+
+
+def _numbers(word: str) -> tuple[int, ...]:
+    """Feature numbers of a word and its beginnings."""
+    word = _EDGE("", word).lower()
+    names = [word, *[f"{word[:n]}\0" for n in BEGINNINGS if len(word) > n]]
+    return tuple([zlib.crc32(name.encode()) % FEATURES for name in names])
 
 
 def features(text: str) -> np.ndarray:
@@ -79,9 +99,8 @@ def features(text: str) -> np.ndarray:
         if len(_NUMBERS) + len(missing) > REMEMBERED:
             _NUMBERS.clear()
             missing = unique
-        for word in missing:
-            _NUMBERS[word] = zlib.crc32(_EDGE("", word).lower().encode()) % FEATURES
-    numbers = {_NUMBERS[word] for word in unique}
+        _NUMBERS.update((word, _numbers(word)) for word in missing)
+    numbers = set(chain.from_iterable(map(_NUMBERS.__getitem__, unique)))
     numbers.update(zlib.crc32(name.encode()) % FEATURES for name in shape(text, words, len(unique)))
     return np.fromiter(sorted(numbers), np.int32, len(numbers))
 
@@ -105,12 +124,24 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
+def _useful(columns: np.ndarray, of: np.ndarray, grades: np.ndarray, n_grades: int) -> np.ndarray:
+    """Which features occur often enough, and in some grade far more often than in others."""
+    n = max(1, len(grades))
+    seen = np.bincount(columns, minlength=FEATURES)
+    chi_square = np.zeros(FEATURES)
+    for g in range(n_grades):
+        expected = np.maximum(seen * np.count_nonzero(grades == g) / n, 1e-9)
+        found = np.bincount(columns[of == g], minlength=FEATURES)
+        chi_square += (found - expected) ** 2 / expected * (expected > 1e-9)
+    wanted = min(LEAST_CHI_SQUARE, max(LEAST_EVER, n / ROWS_PER_CHI_SQUARE))
+    return (seen >= min(LEAST_DOCUMENTS, max(1, n // 4))) & (chi_square >= wanted)
+
+
 def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES) -> Model:
     """Weights and thresholds by penalised maximum likelihood (Adam, full batches, from zero)."""
     sizes = np.fromiter(map(len, rows), np.int64, len(rows))
     columns = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-    seen = np.bincount(columns, minlength=FEATURES)
-    useful = seen >= min(LEAST_DOCUMENTS, max(1, len(rows) // 4))
+    useful = _useful(columns, np.repeat(grades, sizes), grades, n_grades)
     document = np.repeat(np.arange(len(rows)), sizes)[useful[columns]]
     used, column = np.unique(columns[useful[columns]], return_inverse=True)
     # thresholds: the first, then the logarithms of the gaps

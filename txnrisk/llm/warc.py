@@ -28,6 +28,7 @@ from txnrisk.llm.common import ready, slices
 #: Fixed values of the public formats.
 GZIP = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+MANDATORY = ("warc-type", "warc-record-id", "warc-date", "content-length")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 #: A gzip member ends in the high byte of its content's length: zero below 16 MB. An
@@ -115,6 +116,8 @@ def _parse(content: bytes | memoryview, at: int = 0) -> tuple[dict[str, str], by
         return "header does not end"
     lines = bytes(content[at:at + end]).decode("utf-8", "replace").split("\r\n")[1:]
     fields = {k.strip().lower(): v.strip() for k, colon, v in (line.partition(":") for line in lines) if colon}
+    if not all(name in fields for name in MANDATORY):
+        return "mandatory field is missing"
     if not re.fullmatch(r"[0-9]{1,18}", fields.get("content-length", ""), re.ASCII):
         return "no content length"
     start = at + end + 4
