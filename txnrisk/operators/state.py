@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,18 +19,17 @@ def watermark(state: DataFrame, ts: str) -> DataFrame:
     return state.agg(F.coalesce(F.max(ts), floor).alias("watermark"))
 
 
-def new_rows(df: DataFrame, ts: str, state: DataFrame | None, state_ts: str | None = None,
-             lookback: timedelta | None = None) -> DataFrame:
+def new_rows(df: DataFrame, ts: str, state: DataFrame | None, state_ts: str | None = None) -> DataFrame:
     """Rows later than the state's high-water mark; all rows without a state.
 
-    The mark stays a scalar subquery, evaluated once and pushed to the scan.
-    ``lookback`` reaches that much further back for late rows; pair it with an
-    upsert, which makes re-reading harmless.
+    The mark stays a scalar subquery, evaluated once and pushed to the scan; on
+    a table partitioned by day it prunes the partitions as well.
     """
     if state is None:
         return df
     mark = watermark(state, state_ts or ts).scalar()
-    return df.filter(F.col(ts) > (mark if lookback is None else mark - F.lit(lookback)))
+    rows = df.filter(F.col(ts) > mark)
+    return rows.filter(F.col("event_date") >= F.to_date(mark)) if "event_date" in df.columns else rows
 
 
 def affected(df: DataFrame, key: str) -> DataFrame:
@@ -51,6 +49,14 @@ def upsert(state: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> Da
     return state.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch)
 
 
+def replace_keys(state: DataFrame | None, keys: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """State rows of other keys, and ``rows``, all there is now of ``keys``.
+
+    Unlike an upsert this drops a key that has no rows any more.
+    """
+    return rows if state is None else state.join(keys.select(key).distinct(), key, "left_anti").unionByName(rows)
+
+
 def append(state: DataFrame | None, batch: DataFrame) -> DataFrame:
     return batch if state is None else state.unionByName(batch)
 
@@ -72,23 +78,20 @@ def write_by_day(df: DataFrame, path: str, mode: str = "overwrite", partition: s
 
 
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                      partition: str = "event_date", lookback_days: int | None = None,
-                      days: Sequence | None = None) -> list:
+                      partition: str = "event_date", days: Sequence | None = None) -> list:
     """Keyed upsert into a partitioned table that rewrites touched days only.
 
     Touched are the days of the batch and the days that hold an older row of
-    one of its keys. Finding the latter reads the key column of the table, of
-    its last ``lookback_days`` when given (for sources that cannot re-send
-    older ids), unless the caller knows the touched ``days``. The new content of the touched days is written to the shared
-    folder first and swapped in from there, so nothing overwrites what it
-    reads and a lost executor only repeats its own tasks. Returns the touched
-    days.
+    one of its keys. Finding the latter reads the key column of the table,
+    unless the caller knows the touched ``days``. The new content of the
+    touched days is written to the shared folder first and swapped in from
+    there, so nothing overwrites what it reads and a lost executor only repeats
+    its own tasks. Returns the touched days.
     """
     staged_batch = write_table(batch, scratch(spark, "upsert-batch"))
     state = spark.read.schema(batch.schema).parquet(path)
     if days is None:
-        searched = since_lookback(state, staged_batch, lookback_days, partition)
-        holding = history_by_keys(searched.select(*keys, partition), staged_batch, keys).select(partition)
+        holding = history_by_keys(state.select(*keys, partition), staged_batch, keys).select(partition)
         days = [r[0] for r in staged_batch.select(partition).union(holding).distinct().collect()]
     if not days:
         return []
@@ -104,14 +107,6 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     return sorted(days)
 
 
-def since_lookback(df: DataFrame, batch: DataFrame, lookback_days: int | None,
-                   partition: str = "event_date") -> DataFrame:
-    """Partitions from ``lookback_days`` before the batch's first on; all without."""
-    if lookback_days is None:
-        return df
-    return df.filter(F.col(partition) >= batch.agg(F.date_sub(F.min(partition), lookback_days)).scalar())
-
-
 def history_by_keys(df: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(batch.select(*keys).distinct(), list(keys), "left_semi")
 

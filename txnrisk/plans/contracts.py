@@ -6,7 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from txnrisk.operators.quality import (Check, accepted_range, accepted_values, expression, not_null, report, unique)
+from txnrisk.operators.quality import (Check, accepted_range, accepted_values, expression, not_null, relationship, report,
+                                        unique)
 from txnrisk.schemas import DEVICE_TYPES, PAYMENT_METHODS, RISK_TIERS, SCD_ID, VALID_FROM, VALID_TO
 
 
@@ -30,8 +31,11 @@ def contracts() -> dict[str, list[Check]]:
             *_present("user_id", "merchant_id", "device_id", "transaction_amount", "transaction_date", "ip_country",
                       "billing_country"),
             accepted_values("payment_method", PAYMENT_METHODS), accepted_values("device_type", DEVICE_TYPES),
-            accepted_values("is_fraud_label", [True, False])],
-        "fact": [*_key("transaction_id"), *_present("user_id", "device_id", "transaction_amount")],
+            accepted_values("is_fraud_label", [True, False]),
+            accepted_range("location_lat", -90, 90), accepted_range("location_lon", -180, 180)],
+        "fact": [*_key("transaction_id"), *_present("user_id", "device_id", "transaction_amount"),
+                 relationship("user_id", "users_current", "user_id"),
+                 relationship("device_id", "devices_current", "device_id")],
         "users_current": _key("user_id"),
         "devices_current": [*_key("device_id"), accepted_values("device_type", DEVICE_TYPES)],
         "users_versions": _versions("user_id"),

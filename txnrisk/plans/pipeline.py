@@ -8,7 +8,6 @@ run before anything downstream of it changes.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import timedelta
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,7 +18,7 @@ from txnrisk.operators.dims import DEVICE_CHECK, USER_CHECK, devices_latest, use
 from txnrisk.operators.features import build_features
 from txnrisk.operators.incremental import bounded_context, device_firsts, extend_versions, late_users, user_points
 from txnrisk.operators.kpi import daily_kpi
-from txnrisk.operators.quality import gate
+from txnrisk.operators.quality import gate, report, unique
 from txnrisk.operators.scd2 import current_rows, scd2_apply, scd2_from_events
 from txnrisk.operators.scoring import score
 from txnrisk.operators.skew import heavy_keys_by
@@ -43,134 +42,141 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
-def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, lookback_days: int | None = None,
-            days: list | None = None) -> tuple:
-    """Upsert into a table partitioned by day; returns the table and the days."""
+def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, days: list) -> DataFrame:
+    """Upsert into a table partitioned by day, of which ``days`` are touched; returns the table."""
     path = store.path(layer, name)
     dated = batch if "event_date" in batch.columns else state.with_event_date(batch)
     if _existing(store.spark, path, dated.schema) is None:
         state.write_by_day(dated, path)
-        table = store.spark.read.schema(dated.schema).parquet(path)
-        return table, [r[0] for r in table.select("event_date").distinct().orderBy("event_date").collect()]
-    days = state.upsert_partitions(store.spark, path, dated, ["transaction_id"], lookback_days=lookback_days,
-                                   days=days)
-    return store.spark.read.schema(dated.schema).parquet(path), days
+    else:
+        state.upsert_partitions(store.spark, path, dated, ["transaction_id"], days=days)
+    return store.spark.read.schema(dated.schema).parquet(path)
+
+
+def _days_of(*frames: DataFrame | None) -> list:
+    """Days of the rows of all frames, in order."""
+    return sorted({row[0] for frame in frames if frame is not None
+                   for row in frame.select("event_date").distinct().collect()})
 
 
 def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=None, on_bad: str = "raise",
-                 late: timedelta | None = None, lookback_days: int | None = None,
                  country_history: str = "event_time", check_all_days: bool = False) -> RunReport:
     """One daily run over the newly landed rows ``raw``.
 
-    ``raw`` holds the rows landed since the last run, late ones included; they
-    are upserted by transaction id, so a repeated run changes nothing. ``late``
-    instead lets ``raw`` be the whole landing table, of which only rows newer
-    than the bronze high-water mark less ``late`` are taken.
+    ``raw`` holds the rows landed since the last run, late and re-sent ones
+    included, however old; they are upserted by transaction id, so a repeated
+    run changes nothing. What the run leaves is what a rebuild over all rows
+    would give: baselines and risk of every key that got, lost or moved rows or
+    whose window left some behind, and the features of every row whose history
+    changed. (Scores keep the baselines of the run that computed them.)
     ``country_history`` picks what the location check looks into: versions in
     event time, or the run-time snapshots (``"snapshot"``). Transaction tables
-    are checked on the days the run touched, or with ``check_all_days`` whole.
+    are checked on the days the run touched, or with ``check_all_days`` whole;
+    that no id occurs twice is checked over all days for the ids of the run.
     """
     if country_history not in ("event_time", "snapshot"):
         raise ValueError(f"country_history must be 'event_time' or 'snapshot', not {country_history!r}")
     spark = store.spark
     stamp = F.lit(as_of).cast("timestamp")
 
-    incoming = clean_dates(raw)
-    if late is not None:
-        held = _existing(spark, store.path("bronze", "transactions"), state.with_event_date(clean.typed(incoming)).schema)
-        incoming = state.new_rows(incoming, "TransactionDate", held, "transaction_date", lookback=late)
     # Used by every later step, so it is written once rather than recomputed.
-    batch = state.write_table(state.with_event_date(clean.clean(incoming, on_bad)), scratch(spark, "batch"))
-    replaced = _replaced(store, batch, lookback_days)
+    batch = state.write_table(state.with_event_date(clean.clean(clean_dates(raw), on_bad)), scratch(spark, "batch"))
+    replaced = _replaced(store, batch)
+    days = _days_of(batch, replaced)
+    if not days:
+        return RunReport((), 0)
 
     def touched(table: DataFrame, days: list) -> DataFrame:
         return table if check_all_days else table.filter(F.col("event_date").isin(days))
 
-    bronze, days = _by_day(store, "bronze", "transactions", batch, lookback_days)
-    if not days:
-        return RunReport((), 0)
-    days = _note_days(store, days, replaced)
+    bronze = _by_day(store, "bronze", "transactions", batch, days)
     checks = gate(contract_report({"bronze_transactions": touched(bronze, days)}))
 
-    fact, _ = _by_day(store, "silver", "fact", batch, days=days)
+    fact = _by_day(store, "silver", "fact", batch, days)
+    ids = state.history_by_keys(fact.select("transaction_id"), batch, ["transaction_id"])
+    checks += gate(report({"fact_all_days": ids}, {"fact_all_days": [unique("transaction_id")]}))
     heavy = heavy_keys_by(fact, ["user_id", "merchant_id", "device_id"])
 
-    users, devices = _snapshots(store, fact, batch, heavy, effective_ts, as_of)
+    def affected(key: str, window_days: int | None = None) -> DataFrame:
+        """Keys with rows in the batch, replaced by it, or left behind by the window."""
+        keys = state.affected(batch, key)
+        for rows in (replaced, None if window_days is None else _left_behind(store, fact, as_of, window_days)):
+            keys = keys if rows is None else keys.union(rows.select(key))
+        return keys.distinct()
+
+    users, devices = _snapshots(store, fact, affected, heavy, effective_ts, as_of)
     users_current = store.publish(current_rows(users), "silver", "users_current")
     devices_current = store.publish(current_rows(devices), "silver", "devices_current")
     checks += gate(contract_report({
         "fact": touched(fact, days), "users_current": users_current, "devices_current": devices_current,
         "users_versions": users, "devices_versions": devices}))
 
-    baseline = store.publish(state.upsert(
-        store.read("gold", "user_baseline"),
-        user_baseline(fact, as_of, USER_WINDOW_DAYS, state.affected(batch, "user_id"), stamp), ["user_id"]),
-        "gold", "user_baseline")
-    risk = store.publish(state.upsert(
-        store.read("gold", "merchant_risk"),
-        merchant_risk(fact, as_of, MERCHANT_WINDOW_DAYS, state.affected(batch, "merchant_id"), stamp),
-        ["merchant_id"]), "gold", "merchant_risk")
+    refreshed = []
+    for name, key, measure, window in (("user_baseline", "user_id", user_baseline, USER_WINDOW_DAYS),
+                                       ("merchant_risk", "merchant_id", merchant_risk, MERCHANT_WINDOW_DAYS)):
+        keys = state.write_table(affected(key, window), scratch(spark, f"affected-{name}"))
+        refreshed.append(store.publish(state.replace_keys(
+            store.read("gold", name), keys, measure(fact, as_of, window, keys, stamp), key), "gold", name))
+    baseline, risk = refreshed
 
     rows = _features(store, fact, batch, replaced, users, baseline, risk, heavy, country_history)
-    features, _ = _by_day(store, "gold", "features", rows, days=days)
-    scores, _ = _by_day(store, "gold", "scores", score(rows), days=days)
-    refreshed = daily_kpi(scores.filter(F.col("event_date").isin(days)), updated_at=stamp)
+    days = _days_of(batch, replaced, rows)
+    features = _by_day(store, "gold", "features", rows, days)
+    scores = _by_day(store, "gold", "scores", score(rows), days)
+    counted = daily_kpi(scores.filter(F.col("event_date").isin(days)), updated_at=stamp)
     kpis = store.publish(state.upsert(
-        _without_days(store.read("gold", "daily_kpi"), days), refreshed, ["date_key"]), "gold", "daily_kpi")
+        _without_days(store.read("gold", "daily_kpi"), days), counted, ["date_key"]), "gold", "daily_kpi")
     checks += gate(contract_report({
         "user_baseline": baseline, "merchant_risk": risk, "features": touched(features, days),
         "scores": touched(scores, days), "daily_kpi": kpis}))
-    store.publish(store.spark.createDataFrame([], "event_date date"), "state", "pending_days")
+    store.publish(spark.range(1).select(F.lit(as_of).cast("date").alias("as_of")), "state", "last_run")
+    for name in ("replaced", "rows_to_write"):
+        noted = store.read("state", name)
+        if noted is not None:
+            store.publish(noted.limit(0), "state", name)
     return RunReport(tuple(days), checks)
 
 
-def _note_days(store: LayerStore, days: list, replaced: DataFrame | None) -> list:
-    """All days this run has to bring up to date, noted before it does so.
+def _replaced(store: LayerStore, batch: DataFrame) -> DataFrame | None:
+    """Keys and day of the stored rows that the batch replaces; None before the first run.
 
-    Those a run that died left behind are among them: by now its rows may have
-    moved away from a day whose KPIs still count them.
+    Noted before any table changes, with what a run that died has left noted:
+    by now its rows may have moved away from keys and days that still count them.
     """
-    held = [replaced, store.read("state", "pending_days")]
-    for frame in (f for f in held if f is not None):
-        days = sorted({*days, *(r[0] for r in frame.select("event_date").distinct().collect())})
-    noted = store.spark.createDataFrame([(day,) for day in days], "event_date date")
-    store.publish(noted, "state", "pending_days")
-    return days
-
+    columns = ["user_id", "merchant_id", "device_id", "event_date"]
+    fact = _existing(store.spark, store.path("silver", "fact"), batch.schema)
+    if fact is None:
+        return None
+    rows = state.history_by_keys(fact.select("transaction_id", *columns), batch, ["transaction_id"]).select(*columns)
+    noted = store.read("state", "replaced")
+    return store.publish((rows if noted is None else rows.unionByName(noted)).distinct(), "state", "replaced")
 
-def _replaced(store: LayerStore, batch: DataFrame, lookback_days: int | None) -> DataFrame | None:
-    """User and day of the stored rows the batch replaces, written down as the
-    rows themselves are gone after the upserts.
 
-    Looked up in the table a run updates last: should a run die half-way, its
-    repetition with the same rows still finds them there.
-    """
-    try:
-        scores = store.spark.read.parquet(store.path("gold", "scores"))
-    except PySparkException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+def _left_behind(store: LayerStore, fact: DataFrame, as_of: str, window_days: int) -> DataFrame | None:
+    """Rows on the days between the window of the last run and that of this one."""
+    last = store.read("state", "last_run")
+    if last is None:
         return None
-    searched = state.since_lookback(scores, batch, lookback_days)
-    rows = state.history_by_keys(searched.select("transaction_id", "user_id", "event_date"), batch, ["transaction_id"])
-    return state.write_table(rows.select("user_id", "event_date").distinct(), scratch(store.spark, "replaced"))
+    before, now = F.date_sub(last.agg(F.max("as_of")).scalar(), window_days), F.date_sub(F.lit(as_of).cast("date"), window_days)
+    return fact.filter((F.col("event_date") >= F.least(before, now)) & (F.col("event_date") < F.greatest(before, now)))
 
 
-def _snapshots(store, fact, batch, heavy, effective_ts, as_of):
+def _snapshots(store, fact, affected, heavy, effective_ts, as_of):
     effective = F.lit(as_of).cast(fact.schema["transaction_date"].dataType) if effective_ts is None else effective_ts
     tables = []
     for name, key, latest, checked in (("users", "user_id", users_latest, USER_CHECK),
                                        ("devices", "device_id", devices_latest, DEVICE_CHECK)):
-        rows = state.history_of(fact, state.affected(batch, key), key, heavy[key])
+        rows = state.history_of(fact, affected(key), key, heavy[key])
         tables.append(store.publish(
             scd2_apply(store.read("snapshots", name), latest(rows), key, checked, effective), "snapshots", name))
     return tables
 
 
 def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, country_history) -> DataFrame:
-    """Feature rows of the batch; brings the state tables up to date.
+    """Feature rows of the batch and of rows whose history it changed; brings the state tables up to date.
 
-    In-order users are extended from state, late ones recomputed from history.
+    In-order users are extended from state, late ones recomputed from history,
+    and those of their rows written that are new or differ from what is stored.
     """
     spark, heavy_users = store.spark, heavy["user_id"]
     points, firsts = store.read("state", "user_points"), store.read("state", "device_firsts")
@@ -185,9 +191,11 @@ def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, co
         versions = store.publish(scd2_from_events(fact, *versioning, heavy=heavy_users), "silver", "country_versions")
         used = versions if country_history == "event_time" else snapshots
         rows = build_features(fact.drop("event_date"), used, baseline, risk, **common)
-        return state.write_table(rows, scratch(spark, "features"))
+        return state.write_table(state.with_event_date(rows), scratch(spark, "features"))
 
-    late = state.write_table(late_users(batch, points, replaced), scratch(spark, "late"))
+    forced = store.read("state", "rows_to_write")  # those a run that died had still to write
+    gone = replaced if forced is None else replaced.select("user_id").union(forced.select("user_id"))
+    late = state.write_table(late_users(batch, points, gone), scratch(spark, "late"))
     history = state.history_of(fact, late, "user_id", heavy_users)
     in_order = batch.join(late, "user_id", "left_anti")
 
@@ -201,9 +209,11 @@ def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, co
 
     context = bounded_context(fact, in_order, points, heavy=heavy_users)
     extended = build_features(context, used, baseline, risk, new_flag="_new", device_firsts=firsts, **common)
-    recomputed = build_features(history.drop("event_date"), used, baseline, risk,
-                                new_ids=batch.select("transaction_id"), **common)
-    rows = state.write_table(extended.unionByName(recomputed), scratch(spark, "features"))
+    recomputed = state.write_table(state.with_event_date(build_features(
+        history.drop("event_date"), used, baseline, risk, **common)), scratch(spark, "recomputed"))
+    written = _changed(store, recomputed, batch, replaced, late, forced, country_history)
+    rows = state.write_table(state.with_event_date(extended).unionByName(written), scratch(spark, "features"))
+    store.publish(rows.select("transaction_id", "user_id"), "state", "rows_to_write")
 
     # Only now, as the rows above read the old state.
     moved = in_order.unionByName(history.select(*in_order.columns))
@@ -213,6 +223,27 @@ def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, co
     return rows
 
 
+def _changed(store, recomputed, batch, replaced, late, forced, country_history) -> DataFrame:
+    """Rows of ``recomputed`` to write: those of the batch, those noted, and those whose history reads otherwise now.
+
+    Nothing before the first day on which a late user got or lost a row can have changed.
+    """
+    moved = batch.select("user_id", "event_date").unionByName(replaced.select("user_id", "event_date"))
+    first = moved.join(late, "user_id", "left_semi").agg(F.min("event_date")).scalar()
+    stored = _existing(store.spark, store.path("gold", "features"), recomputed.schema)
+    ids = batch.select("transaction_id")
+    ids = ids if forced is None else ids.union(forced.select("transaction_id"))
+    if stored is None:  # the first run died before it wrote any
+        return recomputed
+    from_history = ["velocity_1hr", "impossible_travel_flag", "new_device_flag",
+                    *(["location_mismatch_flag"] if country_history == "event_time" else [])]
+    held = (stored.filter(F.col("event_date") >= first).join(late, "user_id", "left_semi")
+            .select("transaction_id", *from_history))
+    differ = (recomputed.filter(F.col("event_date") >= first).select("transaction_id", *from_history)
+              .exceptAll(held).select("transaction_id"))
+    return recomputed.join(ids.union(differ).distinct(), "transaction_id", "left_semi")
+
+
 def clean_dates(raw: DataFrame) -> DataFrame:
     """The raw rows with their date comparable to the table's."""
     if raw.schema["TransactionDate"].dataType.typeName().startswith("timestamp"):

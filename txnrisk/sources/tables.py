@@ -28,32 +28,37 @@ class LayerStore:
     published versions. A run that dies before that leaves the table as it was.
     """
 
+    _ENTRY = "table string, version string, number long, published_at timestamp"
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def path(self, layer: str, name: str) -> str:
         return layer_path(self.root, name, layer)
 
-    def _current(self, layer: str, name: str) -> str | None:
+    def _current(self, layer: str, name: str) -> tuple[str | None, int]:
+        """The current version and its number; versions are numbered per table, clocks play no part."""
         try:
-            published = self.spark.read.parquet(f"{self.root}/_published")
+            published = self.spark.read.schema(self._ENTRY).parquet(f"{self.root}/_published")
         except PySparkException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
-        row = published.filter(F.col("table") == f"{layer}.{name}").agg(F.max_by("version", "published_at")).first()
-        return row[0]
+            return None, 0
+        row = published.filter(F.col("table") == f"{layer}.{name}").agg(
+            F.max_by("version", "number"), F.coalesce(F.max("number"), F.lit(0))).first()
+        return row[0], row[1]
 
     def read(self, layer: str, name: str) -> DataFrame | None:
-        version = self._current(layer, name)
+        version, _ = self._current(layer, name)
         return None if version is None else self.spark.read.parquet(f"{self.path(layer, name)}/{version}")
 
     def publish(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         version = f"version-{uuid.uuid4().hex}"
         target = f"{self.path(layer, name)}/{version}"
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+        number = self._current(layer, name)[1] + 1
         entry = self.spark.range(1).select(
             F.lit(f"{layer}.{name}").alias("table"), F.lit(version).alias("version"),
-            F.current_timestamp().alias("published_at"))
+            F.lit(number).cast("long").alias("number"), F.current_timestamp().alias("published_at"))
         entry.write.mode("append").parquet(f"{self.root}/_published")
         return self.spark.read.parquet(target)
