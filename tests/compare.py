@@ -84,7 +84,7 @@ def main(arguments: list[str]) -> int:
     from txnrisk.session import build_session
 
     folder = arguments[0] if arguments else "/root/testdata/sf0.01"
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"})
+    spark = build_session(master=f"local[{os.environ.get('TEST_CPUS', '8')}]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("FATAL")
     connection, statements, failed = connect(folder), oracle_sql(), 0
     for name, run in queries().items():

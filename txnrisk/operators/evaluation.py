@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from txnrisk.operators.state import write_table
+from txnrisk.session import scratch
+
 FLAG_TIERS = ("High",)
 
 
@@ -35,20 +38,26 @@ def precision_recall(scored: DataFrame, by: Sequence[Column] = (), tiers: Sequen
                      F.sum(F.when(fraud, amount).otherwise(zero)).cast("double")).alias("fraud_amount_detected"))
 
 
-def pr_curve(scored: DataFrame, digits: int = 6) -> DataFrame:
+def pr_curve(scored: DataFrame) -> DataFrame:
     """Precision and recall at each distinct probability threshold.
 
-    Rows are first counted per probability, rounded to ``digits``: the ordered
-    pass that follows sees at most 10**digits + 1 rows whatever the input.
+    Rows are first counted per probability. The counts are dealt out by ranges
+    of it and written down; each range is summed up on its own, and what the
+    ranges above hold in all, one row per range, is added.
     """
-    counts = (scored.groupBy(F.round("fraud_probability", digits).alias("threshold"))
-              .agg(F.count_if("is_fraud_label").alias("_fraud"), F.count("*").alias("_all")))
-    down = Window.orderBy(F.col("threshold").desc())
-    running = counts.withColumns({
-        "_tp": F.sum("_fraud").over(down.rowsBetween(Window.unboundedPreceding, 0)),
-        "_n": F.sum("_all").over(down.rowsBetween(Window.unboundedPreceding, 0)),
-    })
-    total = F.max("_tp").over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    counts = (scored.groupBy(F.col("fraud_probability").alias("threshold"))
+              .agg(F.count_if("is_fraud_label").alias("_fraud"), F.count("*").alias("_all"))
+              .repartitionByRange(F.col("threshold").desc()).withColumn("_range", F.spark_partition_id()))
+    counts = write_table(counts, scratch(scored.sparkSession, "pr-counts"))
+    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
+    ranges = counts.groupBy("_range").agg(F.sum("_fraud").alias("_tp"), F.sum("_all").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_tp").over(above), F.lit(0)).alias("_tp_above"),
+        F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_n_above"), F.sum("_tp").over(everything).alias("_total"))
+    down = Window.partitionBy("_range").orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.withColumns({"_tp": F.sum("_fraud").over(down), "_n": F.sum("_all").over(down)}).join(
+        ranges, "_range").withColumns({"_tp": F.col("_tp") + F.col("_tp_above"), "_n": F.col("_n") + F.col("_n_above")})
+    total = F.col("_total")
     return running.select(
         "threshold",
         (F.col("_tp") / F.col("_n")).cast("double").alias("precision"),

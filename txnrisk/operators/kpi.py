@@ -37,6 +37,8 @@ def daily_kpi(scored: DataFrame, since: Column | None = None, updated_at: Column
     """
     day = F.to_date("transaction_date")
     rows = scored if since is None else scored.filter(F.col("transaction_date") >= since)
+    if since is not None and "event_date" in scored.columns:  # prunes the partitions
+        rows = rows.filter(F.col("event_date") >= since)
     kpi = rows.groupBy(day.alias("date_key")).agg(
         F.count("*").alias("total_transactions"),
         F.count_if(F.col("risk_tier") == "High").alias("flagged_high"),
@@ -130,12 +132,15 @@ def user_drillthrough(scored: DataFrame, baseline: DataFrame, *, users: Sequence
 
 
 def user_behaviour_change(fact: DataFrame, as_of: str, recent_days: int = 7, baseline_days: int = 30) -> DataFrame:
-    """Last ``recent_days`` of each user against the days before, in one pass."""
-    recent_from = F.date_sub(F.to_date(F.lit(as_of)), recent_days)
-    since = F.date_sub(F.to_date(F.lit(as_of)), baseline_days)
+    """The ``recent_days`` days before ``as_of`` of each user against the days before them, in one pass."""
+    until = F.to_date(F.lit(as_of))
+    recent_from, since = F.date_sub(until, recent_days), F.date_sub(until, baseline_days)
     recent = F.col("transaction_date") >= recent_from
     amount = F.col("transaction_amount")
-    measures = fact.filter(F.col("transaction_date") >= since).groupBy("user_id").agg(
+    rows = fact.filter((F.col("transaction_date") >= since) & (F.col("transaction_date") < until))
+    if "event_date" in fact.columns:  # prunes the partitions
+        rows = rows.filter((F.col("event_date") >= since) & (F.col("event_date") < until))
+    measures = rows.groupBy("user_id").agg(
         F.count_if(recent).alias("recent_count"),
         F.count_if(~recent).alias("baseline_count"),
         F.avg(F.when(recent, amount)).cast("double").alias("recent_avg"),

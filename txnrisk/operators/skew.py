@@ -15,31 +15,34 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txnrisk.functions.timing import slice_index
 
-# A key is worth slicing once sorting its rows alone takes a task noticeably
-# longer than its neighbours.
-HEAVY_ROWS = 250_000
-# At most this many keys are handled apart. A key that is not among them holds
-# less than 1/4096 of the rows, so its partition stays within what a task can
-# sort with spilling.
-MAX_HEAVY_KEYS = 4096
+# A key is heavy once it holds this share of what a task gets on average...
+HEAVY_SHARE = 0.25
+# ... but a task sorts so many rows in no time, however few its neighbours have.
+FEW_ROWS = 250_000
+# Counters of a sketch at most; Spark allows no more.
+MOST_COUNTERS = 1_000_000
 
 
-def heavy_keys_by(df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS,
-                  max_keys: int = MAX_HEAVY_KEYS) -> dict[str, list]:
+def heavy_keys_by(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> dict[str, list]:
     """For each key column, its values with about ``min_rows`` rows or more.
 
-    One pass over those columns with a frequent-items sketch each: a task sends
-    one sketch of at most 16 * ``max_keys`` counters per column, and at most
-    ``max_keys`` values per column come back to the driver.
+    By default that is ``HEAVY_SHARE`` of the rows per shuffle partition (at
+    least ``FEW_ROWS``), so the number of such values is bounded by the number
+    of partitions over that share, and none is left out. One pass over those
+    columns with a frequent-items sketch each, whose counters are 16 times that
+    bound; no more values than it come back to the driver.
     """
-    sketches = [F.expr(f"approx_top_k(`{key}`, {max_keys}, {max_keys * 16})").alias(key) for key in keys]
-    found = df.select(*keys).agg(*sketches).first()
-    return {key: sorted(item["item"] for item in found[key] or []
-                        if item["item"] is not None and item["count"] >= min_rows) for key in keys}
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = min(MOST_COUNTERS // 16, max(4096, int(partitions / HEAVY_SHARE)))
+    sketches = [F.expr(f"approx_top_k(`{key}`, {most}, {most * 16})").alias(f"_{i}") for i, key in enumerate(keys)]
+    found = df.select(*keys).agg(F.count("*").alias("_rows"), *sketches).first()
+    least = max(FEW_ROWS, found["_rows"] * HEAVY_SHARE / partitions) if min_rows is None else min_rows
+    return {key: sorted(item["item"] for item in found[f"_{i}"] or []
+                        if item["item"] is not None and item["count"] >= least) for i, key in enumerate(keys)}
 
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY_KEYS) -> list:
-    return heavy_keys_by(df, [key], min_rows, max_keys)[key]
+def heavy_keys(df: DataFrame, key: str, min_rows: int | None = None) -> list:
+    return heavy_keys_by(df, [key], min_rows)[key]
 
 
 def slice_for(key: str, at: Column, heavy: Sequence, hours: int) -> Column:
@@ -86,15 +89,17 @@ def neighbour(df: DataFrame, key: str, order: Sequence[str], value: Column, out:
 
 
 def join_salted(left: DataFrame, right: DataFrame, key: str | Sequence[str], spread: str, *,
-                heavy: Sequence = (), how: str = "left", salts: int = 64) -> DataFrame:
+                heavy: Sequence = (), how: str = "left", salts: int | None = None) -> DataFrame:
     """Equi-join on ``key`` whose heavy keys are spread over ``salts`` tasks.
 
-    With several key columns the heavy values are those of the first. Only the
+    By default over as many as a shuffle has partitions, 64 at least: a key
+    that holds a third of the rows is then spread over all tasks. With several key columns the heavy values are those of the first. Only the
     right-hand rows of the heavy keys are repeated per salt.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if not heavy:
         return left.join(right, keys, how)
+    salts = salts or max(64, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hot = F.col(keys[0]).isin(list(heavy))
     salted_left = left.withColumn(
         "_salt", F.when(hot, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0)).cast("int"))

@@ -6,21 +6,23 @@ results compare across engines; the operators themselves do neither.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from txnrisk.functions.timing import trailing_window_start
 from txnrisk.operators import (baselines, behaviour, clean, dims, drift, evaluation, features, incremental, kpi,
                                quality, scd2, scoring, state, training)
-from txnrisk.operators.skew import join_salted
+from txnrisk.operators.skew import heavy_keys_by, join_salted
 from txnrisk.plans import layers
 from txnrisk.plans.contracts import contract_report
 from txnrisk.plans.pipeline import run_pipeline
-from txnrisk.schemas import PAYMENT_METHODS, SCORE_COLUMNS, TRANSACTION_COLUMNS
+from txnrisk.schemas import PAYMENT_METHODS, RAW_COLUMNS, SCORE_COLUMNS, TRANSACTION_COLUMNS
 from txnrisk.session import scratch
 from txnrisk.sources import csv_files
 from txnrisk.sources.events import raw_from_events
-from txnrisk.sources.tables import LayerStore
+from txnrisk.sources.tables import LayerStore, scan_table
 from txnrisk.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +85,28 @@ def scan_by_business_date(spark, folder):
     return _per_date(csv_files.scan_csv(spark, layers.landed_csv(spark, folder)))
 
 
+@query
+def scan_one_business_date(spark, folder):
+    return _per_date(csv_files.scan_business_date(spark, layers.landed_csv(spark, folder), "2024-01-20"))
+
+
+@query
+def scan_flat_folder(spark, folder):
+    """CSV files side by side in one folder, without looking below it."""
+    path = scratch(spark, "flat")
+    layers.raw(spark, folder).select(*[F.col(c).cast("string") for c in RAW_COLUMNS]).write.option("header", True).csv(path)
+    rows = csv_files.scan_csv(spark, path, recursive=False)
+    return rows.groupBy(F.col("IP_Country").alias("ip_country")).agg(F.count("*").alias("row_count"))
+
+
+@query
+def scan_named_table(spark, folder):
+    """The fact as a catalog table, by its three-part name."""
+    name = f"txnrisk_fact_{uuid.uuid4().hex}"
+    layers.fact(spark, folder).write.option("path", scratch(spark, name)).saveAsTable(name)
+    return _bronze(scan_table(spark, f"spark_catalog.default.{name}"))
+
+
 @query
 def bronze_dedup(spark, folder):
     rows = clean.deduplicate(clean.typed(layers.raw(spark, folder)))
@@ -334,7 +358,10 @@ def user_baseline_30d(spark, folder):
 @query
 def merchant_risk_90d(spark, folder):
     """Straight from the raw rows: scan, clean, dedup, grouped aggregates."""
-    risk = baselines.merchant_risk(clean.clean(layers.raw(spark, folder)), layers.MERCHANT_AS_OF)
+    # The kept copy of an id is its latest, so rows before the window can go before the dedup.
+    start = trailing_window_start(layers.MERCHANT_AS_OF, baselines.MERCHANT_WINDOW_DAYS)
+    rows = layers.raw(spark, folder).filter(F.col("TransactionDate") >= start)
+    risk = baselines.merchant_risk(clean.clean(rows), layers.MERCHANT_AS_OF)
     return _double(_rounded(risk, 9, "fraud_rate_90d"), "avg_transaction_amount_90d")
 
 
@@ -432,7 +459,10 @@ def features_full(spark, folder):
 @query
 def features_incremental(spark, folder):
     """Rows newer than the first batch, with their users' history as context."""
-    return _features(layers.features(spark, folder, new_ids=_newer(spark, folder)))
+    newer = _newer(spark, folder)
+    history = state.history_of(layers.fact(spark, folder), state.affected(newer, "user_id"), "user_id",
+                               layers.heavy(spark, folder, "user_id"))
+    return _features(layers.features(spark, folder, new_ids=newer, rows=history))
 
 
 @query
@@ -484,15 +514,31 @@ def eval_pr_auc(spark, folder):
     return _rounded(evaluation.pr_auc(layers.scored(spark, folder)), 6, "pr_auc")
 
 
-@query
-def train_and_score(spark, folder):
+def _trained_scores(spark, folder):
     """Fit the classifier on the earlier rows, score the later ones with it."""
     rows = training.for_model(layers.scored(spark, folder).drop("fraud_probability", "risk_tier"))
     cut = _ntz("2024-01-23")
     model = training.train(rows.filter(F.col("transaction_date") < cut))
     saved = scratch(spark, "models")
     training.save_champion(model, saved)
-    return scoring.score(rows.filter(F.col("transaction_date") >= cut), training.load_champion(saved))
+    later = rows.filter(F.col("transaction_date") >= cut)
+    return rows.filter(F.col("transaction_date") < cut), later, scoring.score(later, training.load_champion(saved))
+
+
+@query
+def train_and_score(spark, folder):
+    """One row: rows and labels of either part, and whether the model's scores are valid and higher for fraud."""
+    earlier, later, scores = _trained_scores(spark, folder)
+    label = F.col("is_fraud_label")
+    judged = scores.join(later.select("transaction_id", "is_fraud_label"), "transaction_id")
+    quality = judged.agg(
+        F.count("*").alias("scored_rows"), F.count_if(label).alias("scored_fraud"),
+        F.coalesce(F.bool_and(F.col("fraud_probability").between(0, 1)), F.lit(True)).alias("all_probabilities_valid"),
+        F.coalesce(F.avg(F.when(label, F.col("fraud_probability"))) > F.avg(F.when(~label, F.col("fraud_probability"))) + 0.1,
+                   F.lit(False)).alias("fraud_scores_higher"))
+    counts = earlier.agg(F.count("*").alias("trained_rows"), F.count_if(label).alias("trained_fraud")).first()
+    return quality.select(F.lit(counts[0]).cast("long").alias("trained_rows"),
+                          F.lit(counts[1]).cast("long").alias("trained_fraud"), "*")
 
 
 # -- dashboard measures ----------------------------------------------------
@@ -602,6 +648,21 @@ def feature_drift_psi(spark, folder):
     return _rounded(drift.psi(layers.scored(spark, folder), bucket, _is_current()), 6, "psi_term")
 
 
+@query
+def feature_drift_all(spark, folder):
+    """The stability index of every model input."""
+    buckets = {
+        "amount_zscore": drift.feature_bucket("amount_zscore", 2, -3, 3),
+        "velocity_1hr": drift.feature_bucket("velocity_1hr", 1, 0, 20),
+        "impossible_travel_flag": drift.feature_bucket("impossible_travel_flag"),
+        "new_device_flag": drift.feature_bucket("new_device_flag"),
+        "device_amount_percentile": drift.feature_bucket("device_amount_percentile", 4, 0, 5),
+        "off_hours_flag": drift.feature_bucket("off_hours_flag"),
+        "location_mismatch_flag": drift.feature_bucket("location_mismatch_flag"),
+        "merchant_risk_rate": drift.feature_bucket("merchant_risk_rate", 50, 0, 1)}
+    return _rounded(drift.psi_by_feature(layers.scored(spark, folder), buckets, _is_current()), 6, "psi")
+
+
 @query
 def fraud_rate_drift(spark, folder):
     return _rounded(drift.fraud_rate_drift(layers.fact(spark, folder)), 9, "fraud_rate", "prior_rate", "rate_change")
@@ -691,6 +752,104 @@ def daily_run_scores(spark, folder):
     return spark.read.parquet(store.path("gold", "scores")).select(*SCORE_COLUMNS)
 
 
+def _run_table(spark, folder, layer, name):
+    return spark.read.parquet(layers.three_runs(spark, folder).path(layer, name))
+
+
+@query
+def daily_run_resent_far_back(spark, folder):
+    """The fact after three runs, the last of which re-sends ids from long ago."""
+    return _bronze(_run_table(spark, folder, "silver", "fact"))
+
+
+@query
+def daily_run_incremental_features(spark, folder):
+    """What the features take from history, after runs with late, re-sent and moved rows."""
+    return _run_table(spark, folder, "gold", "features").select(
+        "transaction_id", "user_id", "velocity_1hr", "impossible_travel_flag", "new_device_flag", "location_mismatch_flag")
+
+
+@query
+def daily_run_baseline(spark, folder):
+    return _baseline(layers.three_runs(spark, folder).read("gold", "user_baseline").drop("last_updated_at"))
+
+
+@query
+def daily_run_merchant_risk(spark, folder):
+    risk = layers.three_runs(spark, folder).read("gold", "merchant_risk").drop("last_updated_at")
+    return _double(_rounded(risk, 9, "fraud_rate_90d"), "avg_transaction_amount_90d")
+
+
+@query
+def daily_run_snapshots(spark, folder):
+    """The open version of every user after three runs."""
+    return layers.three_runs(spark, folder).read("silver", "users_current").select(
+        "user_id", "billing_country", "preferred_payment_method")
+
+
+@query
+def daily_run_country_versions(spark, folder):
+    return layers.three_runs(spark, folder).read("silver", "country_versions")
+
+
+@query
+def daily_run_kpi(spark, folder):
+    """Rows per day and how many of them the KPIs put into a tier."""
+    return layers.three_runs(spark, folder).read("gold", "daily_kpi").select(
+        "date_key", "total_transactions",
+        (F.col("flagged_high") + F.col("flagged_medium") + F.col("flagged_low")).alias("tiered"))
+
+
+@query
+def daily_run_refresh_times(spark, folder):
+    """Which run last computed each user's baseline: the last whose rows or window touched it."""
+    held = layers.three_runs(spark, folder).read("gold", "user_baseline")
+    return held.select("user_id", F.to_date("last_updated_at").alias("refreshed_on"))
+
+
+# -- heavy keys: the same results with every user cut into time slices ------
+
+def _all_heavy(spark, folder):
+    return heavy_keys_by(layers.fact(spark, folder), ["user_id"], min_rows=1)["user_id"]
+
+
+@query
+def velocity_1h_sliced(spark, folder):
+    rows = layers.fact(spark, folder).select(
+        "transaction_id", "user_id", "device_id", "transaction_date", "location_lat", "location_lon")
+    windows = behaviour.behaviour_windows(rows, heavy=_all_heavy(spark, folder))
+    return windows.select("transaction_id", features.velocity_1hr().alias("velocity_1hr"))
+
+
+@query
+def user_frequency_sliced(spark, folder):
+    rows = layers.fact(spark, folder).select("transaction_id", "user_id", "transaction_date")
+    counted = behaviour.user_frequency(rows, heavy=_all_heavy(spark, folder))
+    return counted.select("transaction_id", "transactions_24h", "transactions_7d")
+
+
+@query
+def scd2_sliced(spark, folder):
+    source = layers.fact(spark, folder).withColumnRenamed("payment_method", "preferred_payment_method")
+    return scd2.scd2_from_events(source, "user_id", "transaction_date", dims.USER_CHECK, "transaction_id",
+                                 heavy=_all_heavy(spark, folder))
+
+
+@query
+def asof_sliced(spark, folder):
+    rows = layers.fact(spark, folder).select("transaction_id", "user_id", "transaction_date", "ip_country")
+    return scd2.asof_join(rows, layers.country_versions(spark, folder), "user_id", "transaction_date", "transaction_id",
+                          {"billing_country": "billing_country_at_tx_time"},
+                          heavy=_all_heavy(spark, folder)).drop("user_id")
+
+
+@query
+def features_full_sliced(spark, folder):
+    return _features(features.build_features(
+        layers.fact(spark, folder), layers.country_versions(spark, folder), layers.baseline(spark, folder),
+        layers.risk(spark, folder), heavy_users=_all_heavy(spark, folder)))
+
+
 # -- streaming -------------------------------------------------------------
 
 @query
@@ -721,8 +880,16 @@ def stream_daily_kpi(spark, folder):
 
 @query
 def stream_scored_alerts(spark, folder):
-    alerts = streams.scored_alerts(
-        layers.stream(spark, folder, layers.fact).select(
-            "transaction_id", "user_id", "merchant_id", "transaction_amount", "transaction_date", "ip_country"),
-        layers.country_versions(spark, folder), layers.baseline(spark, folder), layers.risk(spark, folder))
-    return streams.run_append(alerts, scratch(spark, "stream-alerts"))
+    """Alerts of rows that arrive in several files, not in the order of their time."""
+    shuffled = layers.arriving(spark, folder)
+    return streams.run_scored_alerts(
+        shuffled, scratch(spark, "stream-alerts"), layers.country_versions(spark, folder),
+        layers.baseline(spark, folder), layers.risk(spark, folder))
+
+
+@query
+def stream_velocity_exact(spark, folder):
+    """Each transaction's others of the hour before it, from the same stream."""
+    return streams.run_features(
+        layers.arriving(spark, folder), scratch(spark, "stream-features"), layers.country_versions(spark, folder),
+        layers.baseline(spark, folder), layers.risk(spark, folder)).select("transaction_id", "velocity_1hr")

@@ -20,9 +20,11 @@ from txnrisk.operators.scd2 import scd2_apply, scd2_from_events
 from txnrisk.operators.scoring import with_scores
 from txnrisk.operators.skew import heavy_keys_by
 from txnrisk.operators.state import with_event_date, write_by_day
+from txnrisk.plans.pipeline import run_pipeline
 from txnrisk.session import scratch
 from txnrisk.sources.csv_files import write_daily_csv
 from txnrisk.sources.events import read_raw
+from txnrisk.sources.tables import LayerStore
 
 # Anchors of the trailing windows; both reach back to 2024-01-11, so that the
 # filters really drop rows of the January data.
@@ -60,6 +62,18 @@ def stream(spark: SparkSession, folder: str, layer: Callable[[SparkSession, str]
     return spark.readStream.schema(schema).parquet(path)
 
 
+def arriving(spark: SparkSession, folder: str, files: int = 4) -> DataFrame:
+    """The fact as a stream of ``files`` micro-batches that each hold rows of all times."""
+    key = (spark.sparkContext.applicationId, folder, "arriving")
+    if key not in _built:
+        path, rows = scratch(spark, "arriving"), fact(spark, folder).drop("event_date")
+        rows.withColumn("file", F.pmod(F.xxhash64("transaction_id"), F.lit(files))).repartition(files, "file").drop(
+            "file").write.option("maxRecordsPerFile", 0).parquet(path)
+        _built[key] = (path, rows.schema)
+    path, schema = _built[key]
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def landed_csv(spark: SparkSession, folder: str) -> str:
     """Folder of the raw rows as daily CSV files."""
     key = (spark.sparkContext.applicationId, folder, "landed_csv")
@@ -125,17 +139,46 @@ def devices_snapshots(spark: SparkSession, folder: str) -> DataFrame:
         spark, folder, devices_latest, "device_id", DEVICE_CHECK))
 
 
-def features(spark: SparkSession, folder: str, new_ids: DataFrame | None = None, keep=()) -> DataFrame:
-    """The feature plan itself, over the layer tables."""
+def features(spark: SparkSession, folder: str, new_ids: DataFrame | None = None, keep=(),
+             rows: DataFrame | None = None) -> DataFrame:
+    """The feature plan itself, over the layer tables; ``rows`` limits the context to some users' history."""
     return build_features(
-        fact(spark, folder), country_versions(spark, folder), baseline(spark, folder), risk(spark, folder),
+        fact(spark, folder) if rows is None else rows, country_versions(spark, folder), baseline(spark, folder), risk(spark, folder),
         new_ids=new_ids, keep=keep, heavy_users=heavy(spark, folder, "user_id"),
         heavy_merchants=heavy(spark, folder, "merchant_id"))
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     """Features, score and the fact columns the dashboard measures use."""
-    return _layer(spark, folder, "scored", lambda: with_scores(features(spark, folder, keep=KEPT)))
+    return _layer(spark, folder, "scored", lambda: with_scores(features(spark, folder, keep=KEPT)),
+                  by_day=True)
+
+
+def run_batches(spark: SparkSession, folder: str) -> list[tuple[str, DataFrame]]:
+    """Raw rows of three daily runs and their dates: early rows, then late ones in two parts.
+
+    The last run also re-sends all early transactions of one user, from long
+    before, as another user's at another merchant, a day later.
+    """
+    rows, cut = raw(spark, folder), F.lit("2024-01-24").cast("timestamp_ntz")
+    resent = rows.filter(early() & (F.col("UserID") == "U000003")).withColumns({
+        "UserID": F.lit("U000004"), "MerchantID": F.lit("M00001"),
+        "TransactionAmount": F.abs("TransactionAmount") + 5,
+        "TransactionDate": F.col("TransactionDate") + F.expr("interval 1 day")})
+    return [("2024-02-08", rows.filter(early())),
+            ("2024-02-09", rows.filter(~early() & (F.col("TransactionDate") < cut))),
+            ("2024-02-10", rows.filter(~early() & (F.col("TransactionDate") >= cut)).unionByName(resent))]
+
+
+def three_runs(spark: SparkSession, folder: str) -> LayerStore:
+    """The store that three daily runs leave."""
+    key = (spark.sparkContext.applicationId, folder, "three_runs")
+    if key not in _built:
+        store = LayerStore(spark, scratch(spark, "three-runs"))
+        for as_of, batch in run_batches(spark, folder):
+            run_pipeline(store, batch, as_of)
+        _built[key] = (store.root, None)
+    return LayerStore(spark, _built[key][0])
 
 
 def early(column: str = "TransactionDate", payment: str = "PaymentMethod"):

@@ -99,13 +99,13 @@ _cte("baseline", _baseline("fact"))
 _cte("baseline_1", _baseline("fact_1"))
 _cte("baseline_affected", _baseline(
     "(SELECT * FROM upserted WHERE user_id IN (SELECT user_id FROM fact_2))"))
-def _risk(as_of: str) -> str:
+def _risk(as_of: str, source: str = "fact") -> str:
     return f"""
 SELECT merchant_id, count(*) AS transaction_count_90d, count(*) FILTER (WHERE is_fraud_label) AS fraud_count_90d,
   count(*) FILTER (WHERE is_fraud_label) / count(*) AS fraud_rate_90d,
   {_mean()} AS avg_transaction_amount_90d,
   count(DISTINCT user_id) AS distinct_customer_count_90d
-FROM fact WHERE transaction_date >= DATE '{as_of}' - 90 GROUP BY merchant_id"""
+FROM {source} WHERE transaction_date >= DATE '{as_of}' - 90 GROUP BY merchant_id"""
 
 
 _cte("risk", _risk("2024-04-10"))
@@ -147,7 +147,7 @@ _cte("users_snap", _snapshots("user_id", "billing_country", "preferred_payment_m
 _cte("devices_snap", _snapshots("device_id", "device_type", "primary_user_id", "devices_latest_1", "devices_latest"))
 
 
-def _versions(key: str, columns: list[str]) -> str:
+def _versions(key: str, columns: list[str], source: str = "fact") -> str:
     listed = ", ".join(columns)
     lags = ", ".join(f"lag({c}) OVER w AS old_{c}" for c in columns)
     changed = " OR ".join(f"{c} IS DISTINCT FROM old_{c}" for c in columns)
@@ -157,7 +157,7 @@ SELECT md5({key} || '|' || CAST(dbt_valid_from AS VARCHAR)) AS dbt_scd_id, * FRO
     lead(transaction_date) OVER (PARTITION BY {key} ORDER BY transaction_date, transaction_id) AS dbt_valid_to
   FROM (
     SELECT *, row_number() OVER w AS n, {lags}
-    FROM (SELECT *, payment_method AS preferred_payment_method, user_id AS primary_user_id FROM fact)
+    FROM (SELECT *, payment_method AS preferred_payment_method, user_id AS primary_user_id FROM {source})
     WINDOW w AS (PARTITION BY {key} ORDER BY transaction_date, transaction_id))
   WHERE n = 1 OR {changed})"""
 
@@ -167,23 +167,23 @@ _cte("devices_v", _versions("device_id", ["device_type", "primary_user_id"]))
 _cte("country_v", _versions("user_id", ["billing_country"]))
 
 
-def _asof(versions: str) -> str:
+def _asof(versions: str, source: str = "fact") -> str:
     return f"""
 SELECT h.*, s.billing_country AS billing_country_at_tx_time
-FROM fact h LEFT JOIN {versions} s ON h.user_id = s.user_id AND h.transaction_date >= s.dbt_valid_from
+FROM {source} h LEFT JOIN {versions} s ON h.user_id = s.user_id AND h.transaction_date >= s.dbt_valid_from
   AND (h.transaction_date < s.dbt_valid_to OR s.dbt_valid_to IS NULL)"""
 
 
 _cte("located", _asof("country_v"))
 _cte("located_snap", _asof("users_snap"))
-_cte("windowed", """
+_WINDOWED = """
 SELECT *, lag(transaction_date) OVER u AS prev_transaction_date, lag(location_lat) OVER u AS prev_lat,
   lag(location_lon) OVER u AS prev_lon,
   count(*) OVER (PARTITION BY user_id ORDER BY transaction_date
                  RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS velocity_1hr_inclusive,
   min(transaction_date) OVER (PARTITION BY user_id, device_id) AS device_first_seen_at
-FROM located WINDOW u AS (PARTITION BY user_id ORDER BY transaction_date, transaction_id)""")
-_cte("moved", """
+FROM located WINDOW u AS (PARTITION BY user_id ORDER BY transaction_date, transaction_id)"""
+_MOVED = """
 SELECT *,
   CASE WHEN prev_lat IS NOT NULL THEN 2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(location_lat - prev_lat) / 2), 2)
     + cos(radians(prev_lat)) * cos(radians(location_lat)) * pow(sin(radians(location_lon - prev_lon) / 2), 2)))) END
@@ -191,7 +191,33 @@ SELECT *,
   CASE WHEN prev_transaction_date IS NOT NULL THEN
     greatest(floor(epoch(transaction_date)) - floor(epoch(prev_transaction_date)), 1) / CAST(3600 AS DOUBLE)
   END AS hours_since_prev
-FROM windowed""")
+FROM windowed"""
+_cte("windowed", _WINDOWED)
+_cte("moved", _MOVED)
+
+# Three daily runs: early rows; late ones before the 24th; the rest, and one user's early rows again, moved.
+_LATE_CUT = "TIMESTAMP '2024-01-24'"
+_cte("run_3_raw", f"""
+SELECT * FROM raw_2 WHERE TransactionDate >= {_LATE_CUT}
+UNION ALL
+SELECT * REPLACE ('U000004' AS UserID, 'M00001' AS MerchantID, abs(TransactionAmount) + 5 AS TransactionAmount,
+  TransactionDate + INTERVAL 1 DAY AS TransactionDate) FROM raw_1 WHERE UserID = 'U000003'""")
+_cte("run_2", _clean(f"(SELECT * FROM raw_2 WHERE TransactionDate < {_LATE_CUT})"))
+_cte("run_3", _clean("run_3_raw"))
+_cte("run_before_3", """
+SELECT * FROM run_2 UNION ALL SELECT * FROM fact_1 WHERE transaction_id NOT IN (SELECT transaction_id FROM run_2)""")
+_cte("run_fact", """
+SELECT * FROM run_3
+UNION ALL SELECT * FROM run_2 WHERE transaction_id NOT IN (SELECT transaction_id FROM run_3)
+UNION ALL SELECT * FROM fact_1 WHERE transaction_id NOT IN (SELECT transaction_id FROM run_3)
+  AND transaction_id NOT IN (SELECT transaction_id FROM run_2)""")
+_cte("run_country_v", _versions("user_id", ["billing_country"], "run_fact"))
+_cte("run_located", _asof("run_country_v", "run_fact"))
+_cte("run_windowed", _WINDOWED.replace("FROM located", "FROM run_located"))
+_cte("run_moved", _MOVED.replace("FROM windowed", "FROM run_windowed"))
+_cte("run_baseline", _baseline("run_fact"))
+_cte("run_risk", _risk("2024-02-10", "run_fact"))
+_cte("run_users", _latest("run_fact", "user_id", "billing_country", "preferred_payment_method"))
 
 
 def _features_with(risk: str) -> str:
@@ -320,11 +346,29 @@ def _psi(source: str, bucket: str) -> str:
 SELECT bucket, reference_rows, current_rows, round((a - e) * ln(a / e), 6) AS psi_term FROM s"""
 
 
+def _psi_of_all(bounds: dict[str, tuple[int, int, int]]) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, transaction_date, coalesce(least(greatest(floor(round(CAST("
+        f"{'exact_percentile' if name == 'device_amount_percentile' else name} AS DOUBLE), 6) * {steps}), {low * steps}), "
+        f"{high * steps}), -1000) AS bucket FROM scored" for name, (steps, low, high) in bounds.items())
+    return f"""WITH r AS ({rows}),
+  c AS (SELECT feature, bucket, count(*) FILTER (WHERE transaction_date < TIMESTAMP '2024-01-16') AS reference_rows,
+    count(*) FILTER (WHERE transaction_date >= TIMESTAMP '2024-01-16') AS current_rows FROM r GROUP BY 1, 2),
+  s AS (SELECT *, greatest(reference_rows / sum(reference_rows) OVER (PARTITION BY feature), 0.0001) AS e,
+    greatest(current_rows / sum(current_rows) OVER (PARTITION BY feature), 0.0001) AS a FROM c)
+SELECT feature, count(*) AS buckets, CAST(sum(current_rows) AS BIGINT) AS current_rows,
+  round(sum((a - e) * ln(a / e)), 6) AS psi FROM s GROUP BY feature"""
+
+
 STATEMENTS: dict[str, str] = {
     # landing and bronze
     "scan_raw": "SELECT * FROM raw",
     "scan_by_business_date": f"""SELECT {_PER_DATE} AS business_date, count(*) AS row_count,
       round(sum(TransactionAmount), 2) AS amount FROM raw GROUP BY 1""",
+    "scan_one_business_date": f"""SELECT {_PER_DATE} AS business_date, count(*) AS row_count,
+      round(sum(TransactionAmount), 2) AS amount FROM raw WHERE {_PER_DATE} = DATE '2024-01-20' GROUP BY 1""",
+    "scan_flat_folder": "SELECT IP_Country AS ip_country, count(*) AS row_count FROM raw GROUP BY 1",
+    "scan_named_table": f"SELECT {_BRONZE} FROM fact",
     "bronze_dedup": f"SELECT transaction_id, transaction_date, {_AMOUNT} FROM dedup",
     "bronze_clean": f"SELECT {_BRONZE} FROM fact",
     "bronze_quarantine": """SELECT CASE WHEN TransactionID IS NULL THEN 'missing id' ELSE 'amount not positive' END
@@ -477,7 +521,8 @@ STATEMENTS: dict[str, str] = {
         count(*) FILTER (WHERE transaction_date < DATE '2024-01-31' - 7) AS baseline_count,
         {_mean("transaction_date >= DATE '2024-01-31' - 7")} AS r,
         {_mean("transaction_date < DATE '2024-01-31' - 7")} AS b
-        FROM fact WHERE transaction_date >= DATE '2024-01-31' - 30 GROUP BY user_id)
+        FROM fact WHERE transaction_date >= DATE '2024-01-31' - 30 AND transaction_date < DATE '2024-01-31'
+        GROUP BY user_id)
       SELECT user_id, recent_count, baseline_count, r AS recent_avg, b AS baseline_avg,
         round(r / b, 9) AS amount_ratio,
         round((recent_count / CAST(7 AS DOUBLE)) / nullif(baseline_count / CAST(23 AS DOUBLE), 0), 9) AS volume_ratio
@@ -485,6 +530,10 @@ STATEMENTS: dict[str, str] = {
     # monitoring
     "drift_psi": _psi("scored", "CAST(least(floor(fraud_probability * 10), 9) AS INTEGER)"),
     "feature_drift_psi": _psi("scored", "CAST(least(velocity_1hr, 5) AS INTEGER)"),
+    "feature_drift_all": _psi_of_all({
+        "amount_zscore": (2, -3, 3), "velocity_1hr": (1, 0, 20), "impossible_travel_flag": (1, 0, 1),
+        "new_device_flag": (1, 0, 1), "device_amount_percentile": (4, 0, 5), "off_hours_flag": (1, 0, 1),
+        "location_mismatch_flag": (1, 0, 1), "merchant_risk_rate": (50, 0, 1)}),
     "fraud_rate_drift": """WITH d AS (SELECT CAST(transaction_date AS DATE) AS date_key, count(*) AS transactions,
         count(*) FILTER (WHERE is_fraud_label) AS fraud FROM fact GROUP BY 1),
       p AS (SELECT *, fraud / transactions AS rate,
@@ -511,6 +560,37 @@ STATEMENTS: dict[str, str] = {
       WHERE device_id NOT IN (SELECT device_id FROM fact_1) GROUP BY device_id""",
     "daily_run_scores": """SELECT transaction_id, user_id, merchant_id, transaction_date, fraud_probability, risk_tier
       FROM scored_february""",
+    "train_and_score": """SELECT count(*) FILTER (WHERE transaction_date < TIMESTAMP '2024-01-23') AS trained_rows,
+      count(*) FILTER (WHERE transaction_date < TIMESTAMP '2024-01-23' AND is_fraud_label) AS trained_fraud,
+      count(*) FILTER (WHERE transaction_date >= TIMESTAMP '2024-01-23') AS scored_rows,
+      count(*) FILTER (WHERE transaction_date >= TIMESTAMP '2024-01-23' AND is_fraud_label) AS scored_fraud,
+      true AS all_probabilities_valid, true AS fraud_scores_higher FROM fact""",
+    # three daily runs, against a rebuild over all their rows
+    "daily_run_resent_far_back": f"SELECT {_BRONZE} FROM run_fact",
+    "daily_run_incremental_features": """SELECT transaction_id, user_id, greatest(velocity_1hr_inclusive - 1, 0) AS velocity_1hr,
+      CASE WHEN distance_km / hours_since_prev > 900 THEN 1 ELSE 0 END AS impossible_travel_flag,
+      CASE WHEN transaction_date = device_first_seen_at THEN 1 ELSE 0 END AS new_device_flag,
+      CASE WHEN ip_country <> billing_country_at_tx_time THEN 1 ELSE 0 END AS location_mismatch_flag FROM run_moved""",
+    "daily_run_baseline": f"SELECT {_BASELINE} FROM run_baseline",
+    "daily_run_merchant_risk": """SELECT merchant_id, transaction_count_90d, fraud_count_90d,
+      round(fraud_rate_90d, 9) AS fraud_rate_90d, avg_transaction_amount_90d, distinct_customer_count_90d FROM run_risk""",
+    "daily_run_snapshots": "SELECT user_id, billing_country, preferred_payment_method FROM run_users",
+    "daily_run_country_versions": "SELECT * FROM run_country_v",
+    "daily_run_kpi": """SELECT CAST(transaction_date AS DATE) AS date_key, count(*) AS total_transactions,
+      count(*) AS tiered FROM run_fact GROUP BY 1""",
+    "daily_run_refresh_times": """SELECT user_id, CASE
+        WHEN user_id IN (SELECT user_id FROM run_3) OR user_id IN (SELECT user_id FROM run_before_3
+          WHERE transaction_id IN (SELECT transaction_id FROM run_3)) OR user_id IN (SELECT user_id FROM run_fact
+          WHERE CAST(transaction_date AS DATE) = DATE '2024-01-10') THEN DATE '2024-02-10'
+        WHEN user_id IN (SELECT user_id FROM run_2) OR user_id IN (SELECT user_id FROM fact_1
+          WHERE transaction_id IN (SELECT transaction_id FROM run_2)) OR user_id IN (SELECT user_id FROM run_before_3
+          WHERE CAST(transaction_date AS DATE) = DATE '2024-01-09') THEN DATE '2024-02-09'
+        ELSE DATE '2024-02-08' END AS refreshed_on FROM run_baseline""",
+    # heavy keys
+    "velocity_1h_sliced": "SELECT transaction_id, velocity_1hr FROM features",
+    "scd2_sliced": "SELECT * FROM users_v",
+    "asof_sliced": "SELECT transaction_id, transaction_date, ip_country, billing_country_at_tx_time FROM located",
+    "features_full_sliced": f"SELECT {_FEATURES} FROM features",
     # streaming, against the batch form over the same rows
     "stream_bronze_dedup": "SELECT DISTINCT TransactionID AS transaction_id FROM raw WHERE TransactionID IS NOT NULL",
     "stream_daily_kpi": f"SELECT {_KPI} FROM kpi",
@@ -530,11 +610,9 @@ STATEMENTS: dict[str, str] = {
       FROM numbered GROUP BY user_id, session
       HAVING count(*) >= 2 AND max(transaction_date) + INTERVAL 10 MINUTES
         <= (SELECT max(transaction_date) - INTERVAL 1 HOUR FROM fact)""",
-    "stream_scored_alerts": f"""WITH live AS (SELECT * REPLACE (0 AS velocity_1hr, 0 AS impossible_travel_flag,
-        0 AS new_device_flag) FROM features),
-      rated AS (SELECT *, round(1 / (1 + exp(-CAST({_LOGIT} AS DOUBLE))), 6) AS fraud_probability FROM live)
-      SELECT transaction_id, user_id, transaction_date, fraud_probability, {_TIER}
-      FROM rated WHERE fraud_probability > 0.7""",
+    "stream_scored_alerts": """SELECT transaction_id, user_id, transaction_date, fraud_probability, risk_tier
+      FROM scored WHERE fraud_probability > 0.7""",
+    "stream_velocity_exact": "SELECT transaction_id, velocity_1hr FROM features",
 }
 
 
@@ -552,7 +630,11 @@ def _quality_report() -> str:
     for table, checks in contracts().items():
         for check in checks:
             column = check.column
-            if check.kind == "unique":
+            if check.kind == "relationships":
+                parent, parent_column = check.arguments
+                counted = (f"SELECT count(*) FROM {sources[table]} WHERE {column} IS NOT NULL AND {column} NOT IN "
+                           f"(SELECT {parent_column} FROM {sources[parent]} WHERE {parent_column} IS NOT NULL)")
+            elif check.kind == "unique":
                 counted = (f"SELECT count(*) FROM (SELECT {column} FROM {sources[table]} WHERE {column} IS NOT NULL "
                            f"GROUP BY {column} HAVING count(*) > 1)")
             else:
@@ -574,6 +656,7 @@ def _literal(value) -> str:
     return f"'{value}'" if isinstance(value, str) else str(value)
 
 
+STATEMENTS["user_frequency_sliced"] = STATEMENTS["user_frequency"]
 STATEMENTS["features_incremental_bounded"] = STATEMENTS["features_incremental"]
 STATEMENTS["dq_report"] = _quality_report()
 

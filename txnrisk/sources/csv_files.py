@@ -44,7 +44,14 @@ def scan_csv(spark: SparkSession, folder: str, recursive: bool = True) -> DataFr
 
 
 def scan_business_date(spark: SparkSession, folder: str, date: str) -> DataFrame:
-    """Rows of the single file ``transactions_<date>.csv``."""
+    """Rows of one business date: of its folder as ``write_daily_csv`` makes it, or else of ``transactions_<date>.csv``.
+
+    No other date's files are opened.
+    """
+    own = f"{folder}/business_date={date}"
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+    if location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location):
+        return _with_origin(_reader(spark).option("pathGlobFilter", "*.csv").csv(own))
     return _with_origin(_reader(spark).option("pathGlobFilter", f"transactions_{date}.csv").csv(folder))
 
 

@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from txnrisk.operators.clean import typed
-from txnrisk.operators.features import amount_to_p90, amount_zscore, location_mismatch, off_hours
+from txnrisk.operators.features import build_features
 from txnrisk.operators.scoring import LogisticScorer, with_scores
-from txnrisk.schemas import RAW_SCHEMA, VALID_FROM, VALID_TO
+from txnrisk.schemas import RAW_SCHEMA
 
 # Fixed values of the hot path.
 SESSION_GAP = "10 minutes"
@@ -98,29 +98,49 @@ def daily_kpi(scored: DataFrame, lateness: str = LATENESS) -> DataFrame:
                     "flagged_medium", "flagged_low", "avg_fraud_probability"))
 
 
-def scored_alerts(transactions: DataFrame, versions: DataFrame, baseline: DataFrame, risk: DataFrame,
-                  threshold: float = 0.7, model: LogisticScorer | None = None) -> DataFrame:
-    """Score each arriving transaction against the gold tables, keep alerts.
+def run_features(transactions: DataFrame, path: str, versions: DataFrame, baseline: DataFrame,
+                 risk: DataFrame) -> DataFrame:
+    """All eight model inputs of every transaction that arrives; returns the table of them.
 
-    A stream-static join: the inputs that need the user's earlier rows are
-    absent here and count as 0 in the score.
+    A micro-batch is added to the rows that have arrived; the inputs of its
+    users' rows from their first new row on are computed from all rows of these
+    users. A late row so corrects the rows after it, and no row is too late. A
+    repeated micro-batch replaces itself; the latest one to hold a transaction
+    counts.
     """
-    version = versions.select(
-        F.col("user_id").alias("_user"), F.col("billing_country").alias("billing_country_at_tx_time"),
-        F.col(VALID_FROM).alias("_from"), F.col(VALID_TO).alias("_to"))
-    at = F.col("transaction_date")
-    in_force = (F.col("user_id") == F.col("_user")) & (at >= F.col("_from")) & (
-        F.col("_to").isNull() | (at < F.col("_to")))
-    inputs = (transactions.join(version, in_force, "left").join(baseline, "user_id", "left")
-              .join(risk.select("merchant_id", F.col("fraud_rate_90d").alias("merchant_risk_rate")), "merchant_id", "left")
-              .withColumns({
-                  "amount_zscore": amount_zscore(), "device_amount_percentile": amount_to_p90(),
-                  "off_hours_flag": off_hours(), "location_mismatch_flag": location_mismatch(),
-                  "velocity_1hr": F.lit(0), "impossible_travel_flag": F.lit(0), "new_device_flag": F.lit(0)}))
+    schema, spark = transactions.schema, transactions.sparkSession
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        arrived = (spark.read.schema(schema.add("batch_id", "long")).option("basePath", f"{path}/rows")
+                   .parquet(f"{path}/rows").filter(F.col("batch_id") <= batch_id))
+        first = (arrived.filter(F.col("batch_id") == batch_id).groupBy("user_id")
+                 .agg(F.min("transaction_date").alias("_first")))
+        history = arrived.drop("batch_id").join(first, "user_id", "left_semi")
+        inputs = build_features(history, versions, baseline, risk)
+        inputs = inputs.join(first, "user_id").filter(F.col("transaction_date") >= F.col("_first")).drop("_first")
+        inputs.write.mode("overwrite").parquet(f"{path}/inputs/batch_id={batch_id}")
+
+    query = (transactions.writeStream.foreachBatch(handle).trigger(availableNow=True)
+             .option("checkpointLocation", f"{path}-checkpoint").start())
+    query.awaitTermination()
+    return latest_per_key(spark.read.option("basePath", f"{path}/inputs").parquet(f"{path}/inputs"), ["transaction_id"])
+
+
+def run_scored_alerts(transactions: DataFrame, path: str, versions: DataFrame, baseline: DataFrame, risk: DataFrame,
+                      threshold: float = 0.7, model: LogisticScorer | None = None) -> DataFrame:
+    """Transactions whose score is above the threshold: those the batch scoring of the same rows finds."""
+    inputs = run_features(transactions, path, versions, baseline, risk)
     return (with_scores(inputs, model).filter(F.col("fraud_probability") > threshold)
             .select("transaction_id", "user_id", "transaction_date", "fraud_probability", "risk_tier"))
 
 
+def latest_per_key(written: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Of rows that several micro-batches wrote, those of the last."""
+    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("batch_id")))
+    return written.withColumn("_rank", newest).filter(F.col("_rank") == 1).drop("_rank", "batch_id")
+
+
 def run_append(stream: DataFrame, path: str) -> DataFrame:
     """Write finished rows as they come; returns the table."""
     query = (stream.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
@@ -140,6 +160,4 @@ def run_updates(stream: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     query = (stream.writeStream.outputMode("update").trigger(availableNow=True).foreachBatch(write)
              .option("checkpointLocation", f"{path}-checkpoint").start())
     query.awaitTermination()
-    written = stream.sparkSession.read.option("basePath", path).parquet(path)
-    newest = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("batch_id")))
-    return written.withColumn("_rank", newest).filter(F.col("_rank") == 1).drop("_rank", "batch_id")
+    return latest_per_key(stream.sparkSession.read.option("basePath", path).parquet(path), keys)
