@@ -14,12 +14,14 @@ of the sink (see ``binary_files``); any Zstandard reader skips it.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,49 +46,89 @@ _PAD = struct.pack("<II", SKIPPABLE_MAGIC, 1)
 #: Uncompressed bytes after which a frame ends, compressed bytes after which a chunk ends.
 FRAME, CHUNK = 128 << 10, 1 << 20
 
-#: Chunks of text whose ids one worker keeps between batches.
-REMEMBERED = 600_000
+#: Chunks of text, and words, whose ids one worker keeps between batches.
+REMEMBERED = 300_000
 
-_LOADED: dict[str, tuple[Tokenizer, dict[str, bytes], str]] = {}
+def _byte_letters() -> dict[int, str]:
+    """The public byte-level alphabet: printable Latin-1 stands for itself, other bytes for U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-def _loaded(path: str) -> tuple[Tokenizer, dict[str, bytes], str]:
+_LETTERS = _byte_letters()
+
+
+class Encoder:
+    """Packed ids of texts by a tokenizers file.
+
+    The byte-level tokenizer splits a text by its pattern and merges each word
+    apart. A single space belongs to the word after it, so a text is the run of
+    its space-led chunks; chunks and words met before need not be encoded
+    again. Where two spaces meet, which the pattern splits by what follows, the
+    text is encoded in one piece.
+    """
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.merge = self.tokenizer.model.tokenize
+        self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.code = {"<u2": "H", "<u4": "I"}[self.width]
+        self.split = regex.compile(public_tokenizers.PATTERN).findall
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            if len(self.words) >= REMEMBERED:
+                self.words.clear()
+            letters = word.encode().decode("latin-1").translate(_LETTERS)
+            found = self.words[word] = array(self.code, [token.id for token in self.merge(letters)]).tobytes()
+        return found
+
+    def chunk(self, chunk: str) -> bytes:
+        body = chunk[1:] if chunk[:1] == " " else chunk
+        if body.isalpha():
+            return self.word(chunk)
+        if body[:-1].isalpha() and body[-1] in ".,;:!?":
+            return self.word(chunk[:-1]) + self.word(chunk[-1])
+        return b"".join(map(self.word, self.split(chunk)))
+
+    def encode(self, documents: list[str]) -> list[bytes]:
+        cut = []
+        for text in documents:
+            if "  " in text:
+                cut.append(None)
+            else:
+                first, *rest = text.split(" ")
+                cut.append([first, *[" " + word for word in rest]])
+        known = self.chunks
+        new = set(chain.from_iterable(filter(None, cut))).difference(known)
+        if len(known) + len(new) > REMEMBERED:
+            known.clear()
+            new = set(chain.from_iterable(filter(None, cut)))
+        known.update(zip(new, map(self.chunk, new)))
+        return [
+            b"".join(map(known.__getitem__, words)) if words is not None
+            else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
+            for text, words in zip(documents, cut)]
+
+
+_LOADED: dict[str, Encoder] = {}
+
+
+def encoder(path: str = VOCABULARY) -> Encoder:
+    """The tokenizer, loaded once per worker."""
     if path not in _LOADED:
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _LOADED[path] = (tokenizer, {}, "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        _LOADED[path] = Encoder(path)
     return _LOADED[path]
 
 
 def encode(documents: list[str], path: str = VOCABULARY) -> list[bytes]:
-    """Packed ids of each text.
-
-    The byte-level tokenizer never joins a word and the single space after it,
-    so a text is the run of its space-led chunks, and a chunk met before need
-    not be encoded again. Where two spaces meet, which its pattern splits by
-    what follows, the text is encoded in one piece.
-    """
-    tokenizer, known, width = _loaded(path)
-    cut = []
-    for text in documents:
-        if "  " in text:
-            cut.append(None)
-        else:
-            first, *rest = text.split(" ")
-            cut.append([first, *[" " + word for word in rest]])
-    new = set(chain.from_iterable(filter(None, cut))).difference(known)
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = set(chain.from_iterable(filter(None, cut)))
-    new = list(new)
-    for at in range(0, len(new), 20_000):
-        some = new[at:at + 20_000]
-        known.update(zip(some, (np.array(e.ids, width).tobytes()
-                                for e in tokenizer.encode_batch_fast(some, add_special_tokens=False))))
-    return [
-        b"".join(map(known.__getitem__, words)) if words is not None
-        else np.array(tokenizer.encode(text, add_special_tokens=False).ids, width).tobytes()
-        for text, words in zip(documents, cut)]
+    """Packed ids of each text."""
+    return encoder(path).encode(documents)
 
 
 class _Writer:
@@ -153,9 +195,9 @@ def write(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: st
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = _loaded(vocabulary)[2]
+        width = encoder(vocabulary).width
         writer, end = None, np.array([end_id], width).tobytes()
-        for batch in slices(batches, text_column):
+        for batch in slices(batches, text_column, 4 << 20):
             writer = writer or _Writer(width)
             for doc_id, ids in zip(batch.column(id_column).to_pylist(), encode(texts(batch, text_column), vocabulary)):
                 writer.add(doc_id, ids + end)
