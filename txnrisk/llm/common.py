@@ -15,6 +15,7 @@ from txnrisk.session import scratch
 #: A word of the contracts: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -23,10 +24,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers on this machine import the package.
+    """Let Python workers on this machine import the package, and give them small batches.
 
-    On a cluster it is installed on the executors or passed as ``--py-files``.
+    On a cluster the package is installed on the executors or passed as
+    ``--py-files``. Documents are long, so the default of 10,000 rows per Arrow
+    batch would hold much of them twice, in the JVM and in Python; a setting
+    of the user's own stays.
     """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1000")
     environment = spark.sparkContext.environment
     if _ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, environment.get("PYTHONPATH")]))

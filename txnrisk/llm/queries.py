@@ -16,7 +16,7 @@ from txnrisk.session import scratch
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document and whether they decode to its text (with U+2581 read as a space)."""
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    both = sentencepiece_codec.decode(sentencepiece_codec.encode(docs))
+    both = sentencepiece_codec.round_trip(docs)
     plain = F.translate(F.coalesce("text", F.lit("")), sentencepiece_codec.MARK, " ")
     return both.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids",
                        F.crc32(F.encode("decoded", "UTF-8")).alias("decoded_crc32"),

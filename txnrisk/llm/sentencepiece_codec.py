@@ -22,8 +22,9 @@ from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
-import pyarrow as pa
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -34,7 +35,11 @@ MARK = "▁"
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 #: Words whose pieces one worker keeps between batches.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
+
+
+#: Best score of a prefix, the piece that ends it, where that begins, and where pieces begin that may go on.
+State = tuple[float, str, int, list[int]]
 
 
 class Pieces:
@@ -57,7 +62,7 @@ class Pieces:
             else:
                 self.ids[piece] = i
                 self.bytes_of.append(piece.replace(MARK, " ").encode())
-        self.longest = max(map(len, self.ids), default=1)
+        self.begun = {piece[:n]: -1 for piece in self.ids for n in range(1, len(piece))} | self.ids
         if any(MARK in piece.lstrip(MARK) for piece in self.ids):
             raise ValueError("pieces that cross a space are not supported")
         # A character that only byte pieces cover ends a word as well: nothing joins it.
@@ -66,7 +71,7 @@ class Pieces:
         self.floor = min(self.scores, default=0.0) if kind == "bpe" else min(
             (self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
         self.apart: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
 
     def mark(self, text: str) -> str:
         return MARK + text.replace(" ", MARK) if text else ""
@@ -94,30 +99,33 @@ class Pieces:
             found = self.apart[pair] = self.merged(left + right) == [p for p in pair if p]
         return found
 
-    def step(self, word: str, end: int, states: list[tuple[float, str, int]]) -> tuple[float, str, int]:
+    def step(self, word: str, end: int, states: list[State]) -> State:
         """Forward state of ``word[:end]`` from those of its shorter prefixes."""
-        ids, scores, bpe = self.ids, self.scores, self.kind == "bpe"
-        best = None
-        for start in range(max(0, end - self.longest), end):
+        begun, scores, bpe = self.begun, self.scores, self.kind == "bpe"
+        alive, best = [], None
+        for start in (end - 1, *states[-1][3]):  # the last character, then longer and longer pieces
             piece = word[start:end]
-            i = ids.get(piece)
+            i = begun.get(piece)
             if i is None:
                 continue
+            alive.append(start)
+            if i < 0:  # only the beginning of longer pieces
+                continue
             before = states[start]
             if bpe:
-                if self.stay_apart(before[1], piece):
-                    return before[0] + scores[i], piece, start
+                if best is None and self.stay_apart(before[1], piece):
+                    best = (before[0] + scores[i], piece, start)
             elif best is None or before[0] + scores[i] > best[0]:
                 best = (before[0] + scores[i], piece, start)
-        if best is None or not bpe and word[end - 1] not in ids and states[end - 1][0] + self.floor > best[0]:
+        if best is None or not bpe and word[end - 1] not in self.ids and states[end - 1][0] + self.floor > best[0]:
             best = (states[end - 1][0] + self.floor, "", end - 1)  # a character without a piece joins nothing
-        return best
+        return *best, alive
 
-    def spell(self, word: str, states: list[tuple[float, str, int]]) -> tuple[int, ...]:
+    def spell(self, word: str, states: list[State]) -> tuple[int, ...]:
         out: list[int] = []
         end = len(word)
         while end:
-            _, piece, start = states[end]
+            _, piece, start, _ = states[end]
             if piece:
                 out.append(self.ids[piece])
             elif self.byte_ids:
@@ -130,7 +138,7 @@ class Pieces:
     def segment(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
         """Ids of each distinct word, by a depth-first walk of their trie."""
         found = {}
-        states: list[tuple[float, str, int]] = [(0.0, "", 0)]
+        states: list[State] = [(0.0, "", 0, [])]
         previous = ""
         for word in sorted(words):
             shared = 0
@@ -145,7 +153,7 @@ class Pieces:
             previous = word
         return found
 
-    def encode(self, documents: list[str]) -> list[array]:
+    def encode(self, documents: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         cut = [self.split(self.mark(text)) for text in documents]
         known = self.known
@@ -154,11 +162,12 @@ class Pieces:
             if len(known) + len(new) > REMEMBERED:
                 known.clear()
                 new = set(chain.from_iterable(cut))
-            known.update(self.segment(new))
-        return [array("i", chain.from_iterable(map(known.__getitem__, words))) for words in cut]
+            known.update((word, array("i", ids).tobytes()) for word, ids in self.segment(new).items())
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in cut]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of the ids; without the space that encoding put in front. Ill-formed bytes become U+FFFD."""
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
@@ -192,19 +201,15 @@ def encode(docs: DataFrame, text_column: str = "text", path: str = MODEL, kind:
         model = pieces(path, kind)
         for batch in slices(batches, text_column):
             ids = model.encode(texts(batch, text_column))
-            offsets = pa.array(array("i", [0, *_running(map(len, ids))]), pa.int32())
-            flat = pa.array(array("i", chain.from_iterable(ids)), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.ListArray.from_arrays(offsets, flat)], [*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _lists(ids)], [*batch.schema.names, name])
 
     return others.mapInArrow(run, schema)
 
 
-def _running(sizes: Iterable[int]) -> Iterator[int]:
-    total = 0
-    for size in sizes:
-        total += size
-        yield total
+def _lists(ids: list[np.ndarray]) -> pa.ListArray:
+    """Arrays of ints as one Arrow array."""
+    offsets = np.concatenate(([0], np.cumsum(list(map(len, ids))))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
 
 
 def decode(encoded: DataFrame, ids_column: str = "token_ids", path: str = MODEL, kind: str = "bpe",
@@ -225,5 +230,21 @@ def decode(encoded: DataFrame, ids_column: str = "token_ids", path: str = MODEL,
     return others.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, text_column: str = "text", path: str = MODEL, kind: str = "bpe") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: all columns of ``docs``, token_ids and decoded."""
+    ready(docs.sparkSession)
+    encoded, schema = _with(docs.drop("decoded"), "token_ids", T.ArrayType(T.IntegerType()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pieces(path, kind)
+        for batch in slices(batches, text_column):
+            ids = model.encode(texts(batch, text_column))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, _lists(ids), pa.array(map(model.decode, ids), pa.string())],
+                [*batch.schema.names, "token_ids", "decoded"])
+
+    return encoded.mapInArrow(run, T.StructType([*schema.fields, T.StructField("decoded", T.StringType())]))
+
+
 def crc32(text: str) -> int:
     return zlib.crc32(text.encode())
