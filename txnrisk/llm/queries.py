@@ -117,7 +117,7 @@ ORACLE = {
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
         m AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id FROM p)
         SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
-               array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                    1 + ((('0x' || substr(h, 1 + (i // 4) * 5, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '')
                    AS payload_digest,
                CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
