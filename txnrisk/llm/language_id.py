@@ -59,59 +59,97 @@ _PIECES: dict[str, tuple[dict[str, int], int]] = {}
 
 
 def vocabulary(path: str = VOCABULARY) -> tuple[dict[str, int], int]:
-    """Numbers of the lower-case pieces, and their greatest length; number 0 is a character without a piece."""
+    """Numbers of the lower-case pieces from 1 on, -1 for what only begins some; and their greatest length.
+
+    Number 0 is a character without a piece.
+    """
     if path not in _PIECES:
+        _PIECES.clear()  # what is remembered of words holds for one vocabulary
+        _BEGINNINGS.clear()
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         found = sorted({
             model.id_to_piece(i).lower() for i in range(model.vocab_size())
             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))})
-        _PIECES[path] = {piece: n for n, piece in enumerate(found, 1)}, max(map(len, found), default=1)
+        begun = {piece[:n]: -1 for piece in found for n in range(1, len(piece))}
+        _PIECES[path] = begun | {piece: n for n, piece in enumerate(found, 1)}, max(map(len, found), default=1)
     return _PIECES[path]
 
 
-def lattice(word: str, pieces: dict[str, int], longest: int) -> list[list[tuple[int, int]]]:
-    """For each end in the word, the (start, piece number) of the pieces that end there."""
-    out: list[list[tuple[int, int]]] = [[]]
-    for end in range(1, len(word) + 1):
-        arcs = [(start, n) for start in range(max(0, end - longest), end)
-                if (n := pieces.get(word[start:end])) is not None]
-        if word[end - 1:end] not in pieces:
-            arcs.append((end - 1, 0))
+Arcs = tuple[tuple[int, int], ...]
+
+#: (length, piece number) of the pieces that begin ``_WINDOW`` characters, or the last ones of a word, met before.
+_BEGINNINGS: dict[str, Arcs] = {}
+_WINDOW = 6
+
+
+def _arcs(word: str, start: int, pieces: dict[str, int]) -> tuple[Arcs, bool]:
+    """(length, piece number) of the pieces at a place in the word, and whether its next characters decide them."""
+    end, size, found = start + 1, len(word), []
+    n = pieces.get(word[start:end])
+    if n is None or n < 0:
+        found.append((1, 0))
+    while n is not None:
+        if n > 0:
+            found.append((end - start, n))
+        end += 1
+        if end > size:
+            break
+        n = pieces.get(word[start:end])
+    return tuple(found), n is None and end - start <= _WINDOW
+
+
+def lattice(word: str, pieces: dict[str, int]) -> list[Arcs]:
+    """For each start in the word, the (length, piece number) of the pieces that begin there."""
+    out = []
+    for start in range(len(word)):
+        window = word[start:start + _WINDOW]
+        arcs = _BEGINNINGS.get(window)
+        if arcs is None:
+            arcs, decided = _arcs(word, start, pieces)
+            if decided or len(window) < _WINDOW:  # a shorter one is the rest of its word
+                if len(_BEGINNINGS) > REMEMBERED:
+                    _BEGINNINGS.clear()
+                _BEGINNINGS[window] = arcs
         out.append(arcs)
     return out
 
 
-def forward(arcs: list[list[tuple[int, int]]], q: list[float], longest: int) -> float:
+def forward(arcs: list[Arcs], q: list[float], longest: int) -> float:
     """Log probability of a word: the sum over its segmentations. ``q``: probability of each piece."""
-    alpha, log = [1.0], 0.0
-    for ends in arcs[1:]:
-        value = 0.0
-        for start, n in ends:
-            value += alpha[start] * q[n]
-        alpha.append(value)
-        if value < _SMALL:  # only the last values are read again
-            for i in range(max(0, len(alpha) - longest), len(alpha)):
+    alpha, log = [0.0] * (len(arcs) + 1), 0.0
+    alpha[0] = 1.0
+    for start, pieces in enumerate(arcs):
+        value = alpha[start]
+        if value < _SMALL:  # only what lies ahead is read again
+            for i in range(start, min(len(alpha), start + longest + 1)):
                 alpha[i] *= _SCALE
+            value = alpha[start]
             log -= _LOG_SCALE
-    return math.log(alpha[-1]) + log
+        for length, n in pieces:
+            alpha[start + length] += value * q[n]
+    return math.log(max(alpha[-1], 1e-320)) + log
 
 
-def expected_counts(arcs: list[list[tuple[int, int]]], q: list[float]) -> dict[int, float]:
+def expected_counts(arcs: list[Arcs], q: list[float]) -> dict[int, float]:
     """Expected number of each piece in a word, over all its segmentations."""
-    alpha = [1.0]
-    for ends in arcs[1:]:
-        alpha.append(sum([alpha[start] * q[n] for start, n in ends]))
+    size = len(arcs)
+    alpha, beta = [0.0] * (size + 1), [0.0] * (size + 1)
+    alpha[0] = 1.0
+    for start, pieces in enumerate(arcs):
+        value = alpha[start]
+        for length, n in pieces:
+            alpha[start + length] += value * q[n]
     out: dict[int, float] = {}
     if alpha[-1] <= 0.0:
         return out
-    beta = [0.0] * len(arcs)
     beta[-1] = 1.0 / alpha[-1]
-    for end in range(len(arcs) - 1, 0, -1):
-        after = beta[end]
-        for start, n in arcs[end]:
-            flow = q[n] * after
-            beta[start] += flow
-            out[n] = out.get(n, 0.0) + alpha[start] * flow
+    for start in range(size - 1, -1, -1):
+        value, total = alpha[start], 0.0
+        for length, n in arcs[start]:
+            flow = q[n] * beta[start + length]
+            total += flow
+            out[n] = out.get(n, 0.0) + value * flow
+        beta[start] = total
     return out
 
 
@@ -146,18 +184,18 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     counted = staged(sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word")
                      .agg(F.sum("n").alias("n")).repartition("lang", "word"), "language-words")
     languages = tuple(sorted(row.lang for row in counted.select("lang").distinct().collect()))
-    n_pieces = len(vocabulary(path)[0]) + 1
+    n_pieces = max(vocabulary(path)[0].values(), default=0) + 1
     p = np.full((n_pieces, max(1, len(languages))), 1.0 / n_pieces)
     for _ in range(EM_STEPS if languages else 0):
         def expect(batches: Iterator[pa.RecordBatch], p=p) -> Iterator[pa.RecordBatch]:
-            pieces, longest = vocabulary(path)
+            pieces, _ = vocabulary(path)
             sums: dict[str, dict[int, float]] = {lang: {} for lang in languages}
             q = {lang: column.tolist() for lang, column in zip(languages, p.T)}
             for batch in batches:
                 for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n"))):
                     own = sums[lang]
                     # longer runs of letters are no words to learn from
-                    for piece, times in expected_counts(lattice(word[:60], pieces, longest), q[lang]).items():
+                    for piece, times in expected_counts(lattice(word[:60], pieces), q[lang]).items():
                         own[piece] = own.get(piece, 0.0) + n * times
             for language, lang in enumerate(languages):
                 own = sums[lang]
@@ -191,7 +229,7 @@ def word_scores(words: set[str], model: Model) -> dict[str, tuple[float, ...]]:
     pieces, longest = vocabulary(model.path)
     columns = [column.tolist() for column in model.p.T]
     for word in missing:
-        arcs = lattice(word, pieces, longest)
+        arcs = lattice(word, pieces)
         _SCORES[word] = tuple([forward(arcs, q, longest) for q in columns])
     return _SCORES
 
