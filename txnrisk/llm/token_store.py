@@ -13,6 +13,7 @@ of the sink (see ``binary_files``); any Zstandard reader skips it.
 
 from __future__ import annotations
 
+import re
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
@@ -24,7 +25,7 @@ import pyarrow as pa
 import regex
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -250,44 +251,50 @@ class Archive:
             before += n
 
 
+def _file_bases(files: DataFrame) -> dict[str, int]:
+    """Number of ids in all files before each, in the order of their ids, from the files' indexes.
+
+    One row per file comes to the driver, which lists the files anyway.
+    """
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [Archive(content.as_buffer()).index.column("n_tokens").to_numpy().sum()
+                    for content in batch.column("content")]
+            yield pa.record_batch([batch.column("path"), pa.array(held, pa.int64())], ["path", "total"])
+
+    bases, before = {}, 0
+    rows = files.mapInArrow(totals, "path string, total long").collect()
+    for path, total in sorted(rows, key=lambda row: int(re.search(r"part-(\d+)", row.path)[1])):
+        bases[path] = before
+        before += total
+    return bases
+
+
 def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
     """(doc_id, start, n_tokens, token_ids binary of little-endian unsigned 32-bit ids) of the files' documents.
 
     ``start`` counts the ids of all documents before, in all files. ``doc_ids``
-    asks for some documents only.
+    asks for some documents only. The files' indexes are read at once, their
+    documents with the result.
     """
     ready(spark)
     files = read_files(spark, path)
+    bases = _file_bases(files)
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("token_ids", pa.binary())])
+
+    def _rows(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch(list(map(pa.array, zip(*rows), schema.types)), schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 rows: list[tuple] = []
                 for doc_id, before, ids in Archive(content.as_buffer()).documents(doc_ids):
-                    rows.append((name, doc_id, before, len(ids), ids.astype("<u4").tobytes()))
+                    rows.append((doc_id, bases[name] + before, len(ids), ids.astype("<u4").tobytes()))
                     if len(rows) == 1024:
                         yield _rows(rows)
                         rows = []
                 if rows:
                     yield _rows(rows)
 
-    def _rows(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.record_batch(list(map(pa.array, zip(*rows), schema.types)), schema=schema)
-
-    schema = pa.schema([("path", pa.string()), ("doc_id", pa.int64()), ("before", pa.int64()),
-                        ("n_tokens", pa.int64()), ("token_ids", pa.binary())])
-    documents = files.mapInArrow(run, "path string, doc_id long, before long, n_tokens long, token_ids binary")
-
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = [Archive(content.as_buffer()).index.column("n_tokens").to_numpy().sum()
-                    for content in batch.column("content")]
-            yield pa.record_batch([batch.column("path"), pa.array(held, pa.int64())], ["path", "total"])
-
-    # One row per file: files are numbered in the order of their ids.
-    part = F.regexp_extract("path", r"part-(\d+)", 1).cast("long")
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (files.mapInArrow(totals, "path string, total long").withColumn("part", part)
-             .select("path", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base")))
-    return documents.join(bases, "path").select(
-        "doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "token_ids")
+    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, token_ids binary")
