@@ -26,6 +26,13 @@ def test_chunks_encode_like_whole_texts(text):
     assert np.frombuffer(token_store.encode([text])[0], "<u2").tolist() == plain(text)[:-1]
 
 
+@pytest.mark.parametrize("space", [*"\t\n\x0b\x0c\r\x1c\x1f\x85\u00a0\u1680\u2003\u2028\u202f\u205f\u3000"])
+def test_white_space_of_all_kinds_encodes_like_whole_texts(space):
+    runs = (f" {space} {space} ", f"{space} ", f" {space}", f" {space} ", f"{space}{space}", f" {space}" * 8, f"{space} {space}")
+    for text in (f"{before}{run}{after}" for run in runs for before in ("a", "", "1.") for after in ("b", "", "!")):
+        assert np.frombuffer(token_store.encode([text])[0], "<u2").tolist() == plain(text)[:-1], repr(text)
+
+
 def test_query_equals_the_library(spark):
     from txnrisk.llm.queries import op4_token_store
     docs = sorted(read_table(spark, "/root/testdata/sf0.001", "documents").collect(), key=lambda r: r.doc_id)

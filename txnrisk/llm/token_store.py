@@ -50,6 +50,9 @@ FRAME, CHUNK = 128 << 10, 1 << 20
 #: Chunks of text, and words, whose ids one worker keeps between batches.
 REMEMBERED = 300_000
 
+#: A space behind white space of any kind.
+_INNER_SPACE = re.compile(r" (?<=\s )").search
+
 def _byte_letters() -> dict[int, str]:
     """The public byte-level alphabet: printable Latin-1 stands for itself, other bytes for U+0100 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -64,10 +67,11 @@ class Encoder:
     """Packed ids of texts by a tokenizers file.
 
     The byte-level tokenizer splits a text by its pattern and merges each word
-    apart. A single space belongs to the word after it, so a text is the run of
-    its space-led chunks; chunks and words met before need not be encoded
-    again. Where two spaces meet, which the pattern splits by what follows, the
-    text is encoded in one piece.
+    apart. A space that begins a run of white space begins a word or is one, so
+    a text is the run of its space-led chunks; chunks and words met before need
+    not be encoded again. Where a space follows white space, which the pattern
+    splits by what comes next and pieces may span (space, U+00A0, space,
+    U+00A0 is one), the text is encoded in one piece.
     """
 
     def __init__(self, path: str):
@@ -100,7 +104,7 @@ class Encoder:
     def encode(self, documents: list[str]) -> list[bytes]:
         cut = []
         for text in documents:
-            if "  " in text:
+            if _INNER_SPACE(text):
                 cut.append(None)
             else:
                 first, *rest = text.split(" ")
