@@ -77,6 +77,37 @@ def test_no_links_below(spark):
     assert found(lsh.near_duplicates(frame, recall=0.999999)) == brute(rows)
 
 
+def test_floats_link_by_their_cosine_in_doubles(spark):
+    """Pairs of single-precision vectors within 1e-7 of the threshold, on either side."""
+    draw = np.random.default_rng(3)
+    rows, sides = [], []
+    while len(rows) < 400:
+        a = draw.standard_normal(64)
+        a /= np.linalg.norm(a)
+        b = draw.standard_normal(64)
+        b -= (a @ b) * a
+        b /= np.linalg.norm(b)
+        pair = [x.astype(np.float32).astype(float) for x in (a, 0.9 * a + math.sqrt(0.19) * b)]
+        cosine = pair[0] @ pair[1] / np.linalg.norm(pair[0]) / np.linalg.norm(pair[1])
+        if 1e-12 < abs(cosine - 0.9) < 1e-7:
+            rows += [x.tolist() for x in pair]
+            sides.append(cosine > 0.9)
+    assert 50 < sum(sides) < 150
+    rows = list(enumerate(rows))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert found(lsh.near_duplicates(frame, recall=0.9999999)) == brute(rows)
+
+
+def test_cells_do_not_depend_on_the_batch():
+    draw = np.random.default_rng(5)
+    unit = np.rint(lsh._unit(draw.standard_normal((300, 96))) * 2.0**24) / 2.0**24
+    hashed = lsh.Hash(96, 1.0, 4, 8, 1)
+    for row in range(20):  # put on the border of a cell in every projection
+        hashed.offsets = -(unit[row] @ hashed.directions)
+        codes = [hashed.codes(unit[row:row + n])[0].tolist() for n in (1, 2, 3, 7, 64, 280)]
+        assert all(c == codes[0] for c in codes)
+
+
 def test_query_and_empty_table(spark):
     from txnrisk.llm.queries import op7_embedding_lsh
     rows = [(r.vec_id, list(r.embedding)) for r in read_table(spark, "/root/testdata/sf0.001", "embeddings").collect()]

@@ -56,19 +56,26 @@ def plan(n: int, threshold: float, recall: float = RECALL) -> tuple[float, int,
     return width, projections, max(1, math.ceil(math.log(1 - recall) / math.log(1 - chance)))
 
 
+#: Steps in which the hash takes vectors and directions. Their products add up in a
+#: double without rounding, so that a vector's cells are the same in whatever batch.
+STEPS, DIRECTION_STEPS = 2.0**24, 2.0**20
+
+
 class Hash:
     """The tables' hash of unit vectors."""
 
     def __init__(self, dimension: int, width: float, projections: int, tables: int, seed: int):
         random = np.random.default_rng(seed)
         self.shape, self.width = (tables, projections), width
-        self.directions = random.standard_normal((dimension, tables * projections))
+        self.directions = np.rint(
+            random.standard_normal((dimension, tables * projections)) * DIRECTION_STEPS) / DIRECTION_STEPS
         self.offsets = random.uniform(0, width, tables * projections)
         self.mix = random.integers(1, 1 << 62, projections, dtype=np.int64) | 1
 
     def codes(self, unit: np.ndarray) -> np.ndarray:
         """Bucket of each vector in each table; equal cells give equal buckets."""
-        cells = np.floor((unit @ self.directions + self.offsets) / self.width).astype(np.int64)
+        steps = np.rint(unit * STEPS) / STEPS
+        cells = np.floor((steps @ self.directions + self.offsets) / self.width).astype(np.int64)
         with np.errstate(over="ignore"):
             mixed = (cells.reshape(len(unit), *self.shape) * self.mix).sum(axis=2)
         return mixed ^ (mixed >> 31)
@@ -165,7 +172,7 @@ def link_counts(vectors: DataFrame, threshold: float = 0.9, seed: int = 11, reca
                 here = np.flatnonzero(sizes == d)
                 if len(here) < 2:
                     continue
-                unit = _unit(np.array([v[i] for i in here]))
+                unit = _unit(np.array([v[i] for i in here], np.float64))
                 linked = unit @ unit.T >= threshold
                 np.fill_diagonal(linked, False)
                 if low != high:
