@@ -2,6 +2,8 @@ import base64
 import gzip
 import hashlib
 import io
+import random
+import re
 
 import pytest
 
@@ -45,6 +47,43 @@ def test_damage_loses_its_record_only(packed):
             assert gaps(found) == [(begin, len(parts[2]))]
 
 
+NOISE = [warc.record(i, f"http://h/{i}", random.Random(i).randbytes(9_000)) for i in range(12)]
+
+
+@pytest.mark.parametrize("bad", [(0,), (2,), (4,), (1, 2), (0, 4)])
+def test_a_bad_record_in_a_member_loses_itself_only(bad):
+    records = [r.replace(b"<p>", b"<q>") if i in bad else r for i, r in enumerate(RECORDS)]
+    packed = member(*records)
+    found = list(warc.salvage(b"junk" + packed + member(RECORDS[0])))
+    assert names(found) == [f"<urn:x-page:{i}>" for i in (*(i for i in range(5) if i not in bad), 0)]
+    runs = sum(i - 1 not in bad for i in bad)
+    assert gaps(found) == [(0, 4)] + [(4, len(packed))] * runs
+    assert all(f.reason.startswith("block digest differs (bytes ") for f in found[1:] if f.fields is None)
+
+
+@pytest.mark.parametrize("level", [0, 6])
+@pytest.mark.parametrize("cut", [True, False])
+def test_records_before_the_damage_of_a_member_are_kept(level, cut):
+    packed = bytearray(gzip.compress(b"".join(NOISE), level, mtime=0))
+    if cut:
+        del packed[-12_000:]
+    else:
+        packed[len(packed) * 3 // 4] ^= 0x55
+    found = list(warc.salvage(bytes(packed) + member(RECORDS[0])))
+    held = [int(re.search("page:([0-9]+)", name)[1]) for name in names(found)]
+    assert held[-1] == 0 and len(set(held[:-1])) == len(held[:-1]) and set(range(8)) <= set(held[:-1])
+    assert gaps(found) and gaps(found)[-1][0] + gaps(found)[-1][1] == len(packed)
+
+
+def test_a_header_has_any_length():
+    record = warc.record(1, "http://h/" + "é" * 400_000, b"x")
+    found = list(warc.salvage(record + RECORDS[0]))
+    assert len(record) > 1 << 21 and names(found) == ["<urn:x-page:1>", "<urn:x-page:0>"] and gaps(found) == []
+    cut = record[:record.index(b"WARC-Date")]
+    found = list(warc.salvage(cut + RECORDS[0]))
+    assert names(found) == ["<urn:x-page:0>"] and gaps(found) == [(0, len(cut))]
+
+
 def test_cut_missing_and_foreign_bytes():
     parts = list(map(member, RECORDS))
     content = b"junk" + parts[0] + parts[1][:20] + parts[2] + RECORDS[3] + b"\0\0\0" + parts[4][:-5]
@@ -115,6 +154,16 @@ def test_gaps_are_reported_by_spark(spark, tmp_path):
         (0, len(parts[0]), False), (len(parts[0]), 9, True), (len(parts[0]) + 9, len(parts[1]), False)]
 
 
+def test_archives_of_any_name_and_depth_are_read(spark, tmp_path):
+    (tmp_path / "2024" / "01").mkdir(parents=True)
+    (tmp_path / "a.warc.gz").write_bytes(member(*RECORDS[:2]))
+    (tmp_path / "2024" / "b.warc").write_bytes(RECORDS[2])
+    (tmp_path / "2024" / "01" / "part-0").write_bytes(member(RECORDS[3]) + b"junk")
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted(r.record_id for r in rows if r.record_id) == [f"urn:x-page:{i}" for i in range(4)]
+    assert [(r.path.rsplit("/", 1)[1], r.length) for r in rows if r.gap_reason] == [("part-0", 4)]
+
+
 def test_empty_table(spark, nothing):
     path = scratch(spark, "warc")
     warc.write_archives(nothing.selectExpr("doc_id AS page_id", "source AS url", "text AS html"), path)

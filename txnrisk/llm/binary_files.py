@@ -23,7 +23,7 @@ def write_chunks(chunks: DataFrame, path: str, last: bytes) -> None:
      .option("compression", "none").text(path))
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, content) of the non-empty files, in no order."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-            .where("length > 0").select("path", "content"))
+def read_files(spark: SparkSession, path: str, names: str = "part-*") -> DataFrame:
+    """(path, content) of the non-empty files of such names at any depth, in no order; by default what Spark wrote."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", True)
+            .load(path).where("length > 0").select("path", "content"))

@@ -4,7 +4,10 @@ Archives hold one gzip member per record. The reader also takes plain WARC
 files. Where a member or record fails a check (inflation, CRC, version line,
 header, length, block digest), the reader searches on for the next place that
 holds a whole valid member or a record's version line, goes on from there, and
-reports the bytes in between as a quarantined gap.
+reports the bytes in between as a quarantined gap. A member may hold many
+records: one that fails is a gap among the others, and of a member that does
+not inflate to its end, the records before the damage are kept if their block
+digests vouch for them.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from txnrisk.llm.common import ready, slices
 #: Fixed values of the public formats.
 GZIP = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+_HEADER_END = re.compile(rb"\r\n(?:\r\n|(?=" + VERSION.pattern + rb"))")
 MANDATORY = ("warc-type", "warc-record-id", "warc-date", "content-length")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -99,21 +103,22 @@ class Found:
         return int(found[1]) if found else None
 
 
+_CUT_OFF = "member is cut off"
 _HTTP_LENGTH = re.compile(rb"(?im)^content-length:[ \t]*([0-9]{1,18})")
 
 
-def _parse(content: bytes | memoryview, at: int = 0) -> tuple[dict[str, str], bytes, int] | str:
-    """Fields, block and end of the record that begins at ``at``, or what is wrong with it."""
+def _parse(content: bytes | memoryview, at: int = 0, vouched: bool = True) -> tuple[dict[str, str], bytes, int] | str:
+    """Fields, block and end of the record that begins at ``at``, or what is wrong with it.
+
+    Without ``vouched`` a record needs a block digest.
+    """
     content = memoryview(content)
     if not VERSION.match(content, at):
         return "no version line"
-    end = -1
-    for size in (4096, 1 << 20):  # headers are short: do not copy the rest to find their end
-        end = bytes(content[at:at + size]).find(b"\r\n\r\n")
-        if end >= 0:
-            break
-    if end < 0:
+    last = _HEADER_END.search(content, at)
+    if not last or last.end() - last.start() < 4:  # another record begins before it ends
         return "header does not end"
+    end = last.start() - at
     lines = bytes(content[at:at + end]).decode("utf-8", "replace").split("\r\n")[1:]
     fields = {k.strip().lower(): v.strip() for k, colon, v in (line.partition(":") for line in lines) if colon}
     if not all(name in fields for name in MANDATORY):
@@ -126,8 +131,11 @@ def _parse(content: bytes | memoryview, at: int = 0) -> tuple[dict[str, str], by
         return "record does not end where its length says"
     block = bytes(content[start:stop])
     claimed = fields.get("warc-block-digest", "")
-    if claimed.lower().startswith("sha1:") and claimed[5:].upper() != digest(block):
-        return "block digest differs"
+    if claimed.lower().startswith("sha1:"):
+        if claimed[5:].upper() != digest(block):
+            return "block digest differs"
+    elif not vouched:
+        return "no block digest in a broken member"
     return fields, block, stop + 4
 
 
@@ -138,7 +146,7 @@ def _inflate(content: memoryview, at: int) -> tuple[bytes, int] | str:
     try:
         while not worker.eof:
             if at >= len(content):
-                return "member is cut off"
+                return _CUT_OFF
             parts.append(worker.decompress(content[at:at + step]))
             at += step
         return b"".join(parts), min(at, len(content)) - len(worker.unused_data)
@@ -146,48 +154,104 @@ def _inflate(content: memoryview, at: int) -> tuple[bytes, int] | str:
         return str(error)
 
 
+def _inflate_broken(content: memoryview, at: int) -> bytes:
+    """What inflates of a broken member, up to the byte that fails."""
+    worker = zlib.decompressobj(31)
+    parts, step = [], 1 << 16
+    while at < len(content):
+        before = worker.copy()
+        try:
+            parts.append(worker.decompress(content[at:at + step]))
+            at += step
+        except zlib.error:
+            if step == 1:
+                break
+            worker, step = before, 1
+    return b"".join(parts)
+
+
+def _records(inner: bytes, vouched: bool) -> Iterator[tuple[int, int, dict[str, str] | None, bytes | str]]:
+    """(begin, end, fields, block) of the records of inflated bytes; of the gaps, no fields and the reason."""
+    place, gap, reason = 0, None, ""
+    while place < len(inner):
+        parsed = _parse(inner, place, vouched)
+        if isinstance(parsed, str):
+            if gap is None:
+                gap, reason = place, parsed
+            following = VERSION.search(inner, place + 1)
+            place = following.start() if following else len(inner)
+            continue
+        if gap is not None:
+            yield gap, place, None, reason
+            gap = None
+        yield place, parsed[2], *parsed[:2]
+        place = parsed[2]
+    if gap is not None:
+        yield gap, len(inner), None, reason
+
+
 def salvage(content: bytes | memoryview) -> Iterator[Found]:
-    """Records and gaps of a file, in order; together they cover all its bytes but empty members and padding."""
+    """Records and gaps of a file, in order; together they cover all its bytes but empty members and padding.
+
+    What a member holds takes the member's bytes, gaps inside it as well. The
+    records kept of a broken member take the bytes of the gap that follows them.
+    """
     content = memoryview(content)
     view = content.obj if isinstance(content.obj, bytes) and len(content.obj) == len(content) else content
     candidate = re.compile(re.escape(GZIP) + rb"|" + VERSION.pattern)
     at, gap, reason = 0, None, None
+    kept: list[tuple[dict[str, str], bytes]] = []  # of the broken member at ``gap``
+
+    def closed(end: int) -> Iterator[Found]:
+        nonlocal gap
+        if gap is not None:
+            yield from (Found(gap, end - gap, *record) for record in kept)
+            kept.clear()
+            yield Found(gap, end - gap, reason=reason)
+            gap = None
+
     while at < len(content):
-        found: list[Found] = []
-        end = at
+        skip = 1
         if bytes(content[at:at + 3]) == GZIP:
             inflated = _inflate(content, at)
             if isinstance(inflated, str):
                 problem = inflated
+                inner = _inflate_broken(content, at)
+                sound = [found for found in _records(inner, False) if found[2] is not None]
+                if sound and problem == _CUT_OFF and sound[-1][1] == len(inner):
+                    sound.pop()  # the cut may be in it
+                if sound:
+                    yield from closed(at)
+                    kept += [found[2:] for found in sound]
+                    # Stored, not deflated, records would be found again in the bytes behind.
+                    worker = zlib.decompressobj(31)
+                    worker.decompress(content[at:], sound[-1][1] - 1)
+                    skip = max(1, len(content) - at - len(worker.unconsumed_tail) - len(worker.unused_data))
             else:
                 inner, end = inflated
-                problem, place = None, 0
-                while place < len(inner) and problem is None:
-                    parsed = _parse(inner, place)
-                    if isinstance(parsed, str):
-                        problem = parsed
-                    else:
-                        found.append(Found(at, end - at, *parsed[:2]))
-                        place = parsed[2]
+                pieces = list(_records(inner, True))
+                if not pieces or any(piece[2] is not None for piece in pieces):
+                    yield from closed(at)
+                    for begin, stop, fields, block in pieces:
+                        yield Found(at, end - at, fields, block) if fields is not None else Found(
+                            at, end - at, reason=f"{block} (bytes {begin} to {stop} of the member's content)")
+                elif gap is None:
+                    gap, reason = at, pieces[0][3]
+                at = end
+                continue
         else:
             parsed = _parse(content, at)
-            problem = parsed if isinstance(parsed, str) else None
-            if problem is None:
-                end = parsed[2]
-                found = [Found(at, end - at, *parsed[:2])]
-        if problem is None:
-            if gap is not None and (found or end > at):
-                yield Found(gap, at - gap, reason=reason)
-                gap = None
-            yield from found
-            at = end
-            continue
+            if not isinstance(parsed, str):
+                yield from closed(at)
+                yield Found(at, parsed[2] - at, *parsed[:2])
+                at = parsed[2]
+                continue
+            problem = parsed
         if gap is None:
             gap, reason = at, problem
-        following = candidate.search(view, at + 1)
+        following = candidate.search(view, at + skip)
         at = following.start() if following else len(content)
-    if gap is not None:
-        yield Found(gap, len(content) - gap, reason=reason)
+    yield from closed(len(content))
 
 
 def write_archives(pages: DataFrame, path: str, revisit_from: int = 0, id_column: str = "page_id",
@@ -235,8 +299,9 @@ def _row(name: str, found: Found, keep_payload: bool) -> tuple:
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """Records and gaps of all files below ``path``.
+    """Records and gaps of all files below ``path``, whatever their names, in subfolders too.
 
+    Only what Spark takes for hidden is left out: names that begin with ``_`` or ``.``.
     A record has gap_reason null; record_id, url and refers_to are bare. Digest
     (base32 SHA-1) and size are computed from the payload; those of a revisit
     are what it says of the payload it stands for, and its payload is null. A
@@ -251,14 +316,14 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                 rows, held = [], 0
                 for found in salvage(content.as_py()):
                     rows.append(_row(name, found, payloads))
-                    held += found.length
+                    held += len(found.block or b"")
                     if held > 8 << 20 or len(rows) == 4096:
                         yield pa.record_batch(list(map(pa.array, zip(*rows), _SCHEMA.types)), schema=_SCHEMA)
                         rows, held = [], 0
                 if rows:
                     yield pa.record_batch(list(map(pa.array, zip(*rows), _SCHEMA.types)), schema=_SCHEMA)
 
-    return read_files(spark, path).mapInArrow(
+    return read_files(spark, path, "*").mapInArrow(
         run, "path string, offset long, length long, gap_reason string, record_type string, record_id string, "
              "url string, refers_to string, payload_digest string, payload_bytes long, payload binary")
 
