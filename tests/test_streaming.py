@@ -1,6 +1,7 @@
 import datetime as dt
+import functools
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tests.helpers import raw_rows, rows_of, transactions
 from txnrisk.operators.clean import typed
@@ -53,6 +54,42 @@ def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
     assert rows_of(table, F.col("date_key").cast("string"), "total_transactions") == [("2024-01-05", 2)]
 
 
+def test_copies_are_dropped_however_far_apart(spark, tmp_path):
+    dates = {"T1": "2024-01-01", "T2": "2024-01-09", "T3": "2023-12-01"}
+    first, other, again = (raw_rows(spark, [dict(TransactionID=i, TransactionAmount=amount, TransactionDate=f"{dates[i]}T00:00:00+00:00")
+                                            for i in ids]) for ids, amount in (("T1 T1".split(), "1"), (["T2"], "2"), (["T1", "T3"], "3")))
+    found = streams.run_deduplicated(stream_of(spark, tmp_path, first, other, again), str(tmp_path / "out"))
+    assert rows_of(found, "transaction_id", F.col("transaction_amount").cast("int")) == [("T1", 1), ("T2", 2), ("T3", 3)]
+
+
+def late_batches(spark):
+    """Two bursts that a row five days late joins to one, and one that is still open at the end."""
+    minutes = [(0, 3), (14, 18), None, (9,)]
+    old = [transactions(spark, [dict(transaction_id=f"O{m}", transaction_date=f"2024-01-01 00:{m:02}:00", is_fraud_label=m == 3)
+                                for m in ms]) if ms else None for ms in minutes]
+    old[2] = transactions(spark, [dict(transaction_id=f"N{m}", transaction_date=f"2024-01-06 00:0{m}:00") for m in (0, 1)])
+    return old
+
+
+def test_sessions_take_late_rows_and_end_with_the_input(spark, tmp_path):
+    found = streams.run_burst_sessions(stream_of(spark, tmp_path, *late_batches(spark)), str(tmp_path / "out"))
+    assert rows_of(found, "user_id", "session_start", "session_end", "transactions", "fraud") == [
+        ("U1", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 28), 5, 1),
+        ("U1", dt.datetime(2024, 1, 6), dt.datetime(2024, 1, 6, 0, 11), 2, 0)]
+
+
+def test_windows_and_days_take_late_rows(spark, tmp_path):
+    batches = late_batches(spark)
+    counts = streams.run_sliding_velocity(stream_of(spark, tmp_path / "v", *batches), str(tmp_path / "v" / "out"))
+    whole = streams.sliding_velocity(functools.reduce(DataFrame.union, batches))
+    assert rows_of(counts) == rows_of(whole)
+    scored = [f.withColumn("risk_tier", F.when(F.col("is_fraud_label"), "High").otherwise("Low"))
+              .withColumn("fraud_probability", F.minute("transaction_date") / 100) for f in batches]
+    table = streams.run_daily_kpi(stream_of(spark, tmp_path / "k", *scored), str(tmp_path / "k" / "out"))
+    assert rows_of(table, F.col("date_key").cast("string"), "total_transactions", "flagged_high", "flagged_low",
+                   F.round("avg_fraud_probability", 6)) == [("2024-01-01", 5, 1, 4, 0.088), ("2024-01-06", 2, 0, 2, 0.005)]
+
+
 def test_event_time_must_be_zoned(spark):
     rows = spark.range(1).select(F.lit("2024-01-01").cast("timestamp_ntz").alias("transaction_date"))
     assert dict(streams.zoned(rows).dtypes)["transaction_date"] == "timestamp"

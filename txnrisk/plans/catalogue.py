@@ -21,7 +21,6 @@ from txnrisk.plans.pipeline import run_pipeline
 from txnrisk.schemas import PAYMENT_METHODS, RAW_COLUMNS, SCORE_COLUMNS, TRANSACTION_COLUMNS
 from txnrisk.session import scratch
 from txnrisk.sources import csv_files
-from txnrisk.sources.events import raw_from_events
 from txnrisk.sources.tables import LayerStore, scan_table
 from txnrisk.streaming import streams
 
@@ -854,28 +853,30 @@ def features_full_sliced(spark, folder):
 
 @query
 def stream_bronze_dedup(spark, folder):
-    rows = streams.deduplicated(raw_from_events(streams.event_stream(spark, folder)))
-    return streams.run_append(rows.select("transaction_id"), scratch(spark, "stream-dedup"))
+    """Ids of raw rows that arrive in several files, their copies in different ones."""
+    arrived = layers.arriving(spark, folder, layer=layers.raw)
+    return streams.run_deduplicated(arrived, scratch(spark, "stream-dedup")).select("transaction_id")
 
 
 @query
 def stream_velocity_sliding(spark, folder):
-    counts = streams.sliding_velocity(layers.stream(spark, folder, layers.fact))
-    table = streams.run_updates(counts, scratch(spark, "stream-velocity"), ["user_id", "window_start"])
+    table = streams.run_sliding_velocity(layers.arriving(spark, folder), scratch(spark, "stream-velocity"))
     return table.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query
 def stream_burst_sessions(spark, folder):
-    sessions = streams.burst_sessions(layers.stream(spark, folder, layers.fact))
-    table = streams.run_append(sessions, scratch(spark, "stream-sessions"))
-    return table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+    """Sessions that ended an hour before the newest row."""
+    table = streams.run_burst_sessions(layers.arriving(spark, folder), scratch(spark, "stream-sessions"))
+    table = table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+    newest = layers.fact(spark, folder).agg(F.max("transaction_date").alias("_newest"))
+    return table.join(newest, F.col("session_end") <= F.col("_newest") - F.expr(f"interval {streams.LATENESS}")).drop("_newest")
 
 
 @query
 def stream_daily_kpi(spark, folder):
-    measures = streams.daily_kpi(layers.stream(spark, folder, layers.scored))
-    return _kpi(streams.run_updates(measures, scratch(spark, "stream-kpi"), ["date_key"]))
+    scored = layers.arriving(spark, folder, layer=layers.scored)
+    return _kpi(streams.run_daily_kpi(scored, scratch(spark, "stream-kpi")))
 
 
 @query

@@ -55,19 +55,18 @@ def _layer(spark: SparkSession, folder: str, name: str, make: Callable[[], DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stream(spark: SparkSession, folder: str, layer: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    """The files of a layer table as a stream."""
-    layer(spark, folder)
-    path, schema = _built[(spark.sparkContext.applicationId, folder, layer.__name__)]
-    return spark.readStream.schema(schema).parquet(path)
+def arriving(spark: SparkSession, folder: str, files: int = 4,
+             layer: Callable[[SparkSession, str], DataFrame] | None = None) -> DataFrame:
+    """A layer, the fact if none is given, as a stream of ``files`` micro-batches that each hold rows of all times.
 
-
-def arriving(spark: SparkSession, folder: str, files: int = 4) -> DataFrame:
-    """The fact as a stream of ``files`` micro-batches that each hold rows of all times."""
-    key = (spark.sparkContext.applicationId, folder, "arriving")
+    Copies of a raw row's id come in different micro-batches.
+    """
+    layer = layer or fact
+    key = (spark.sparkContext.applicationId, folder, f"arriving-{layer.__name__}")
     if key not in _built:
-        path, rows = scratch(spark, "arriving"), fact(spark, folder).drop("event_date")
-        rows.withColumn("file", F.pmod(F.xxhash64("transaction_id"), F.lit(files))).repartition(files, "file").drop(
+        path, rows = scratch(spark, "arriving"), layer(spark, folder).drop("event_date")
+        dealt_by = ["transaction_id"] if "transaction_id" in rows.columns else rows.columns
+        rows.withColumn("file", F.pmod(F.xxhash64(*dealt_by), F.lit(files))).repartition(files, "file").drop(
             "file").write.option("maxRecordsPerFile", 0).parquet(path)
         _built[key] = (path, rows.schema)
     path, schema = _built[key]

@@ -3,15 +3,22 @@
 Every transformation maps a streaming DataFrame to a streaming DataFrame; the
 ``run_*`` functions write one to a table folder until the input is used up.
 Event time must be a zoned timestamp for a watermark, so :func:`zoned` casts.
+
+The transformations alone forget rows that come more than ``LATENESS`` behind
+the newest. ``run_deduplicated``, ``run_sliding_velocity``, ``run_burst_sessions``
+and ``run_daily_kpi`` do not: each micro-batch is written under its number, a
+repeated one replaces itself, and the result is that of all rows that arrived,
+in whatever order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from txnrisk.operators.clean import typed
+from txnrisk.operators.clean import deduplicate, typed
 from txnrisk.operators.features import build_features
 from txnrisk.operators.scoring import LogisticScorer, with_scores
 from txnrisk.schemas import RAW_SCHEMA
@@ -141,6 +148,87 @@ def latest_per_key(written: DataFrame, keys: Sequence[str]) -> DataFrame:
     return written.withColumn("_rank", newest).filter(F.col("_rank") == 1).drop("_rank", "batch_id")
 
 
+def _run_batches(stream: DataFrame, path: str, handle: Callable[[DataFrame, int], None]) -> None:
+    query = (stream.writeStream.foreachBatch(handle).trigger(availableNow=True)
+             .option("checkpointLocation", f"{path}-checkpoint").start())
+    query.awaitTermination()
+
+
+def _batches(spark: SparkSession, path: str, schema: StructType, last: int) -> DataFrame:
+    """What micro-batches up to ``last`` wrote."""
+    numbered = StructType([*schema.fields, StructField("batch_id", LongType())])
+    return spark.read.schema(numbered).option("basePath", path).parquet(path).filter(F.col("batch_id") <= last)
+
+
+def _run_partials(stream: DataFrame, path: str, partial: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The partial sums of every micro-batch."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        partial(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    _run_batches(stream, path, handle)
+    return stream.sparkSession.read.option("basePath", path).parquet(path).drop("batch_id")
+
+
+def run_deduplicated(raw: DataFrame, path: str) -> DataFrame:
+    """Typed rows, one per id however far apart its copies arrive; returns the table.
+
+    The copy of the first micro-batch stays; of copies in one micro-batch, the
+    one that the batch form keeps.
+    """
+    spark = raw.sparkSession
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows = zoned(deduplicate(typed(batch)))
+        if batch_id:
+            held = _batches(spark, path, rows.schema, batch_id - 1)
+            rows = rows.join(held.select("transaction_id"), "transaction_id", "left_anti")
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    _run_batches(raw, path, handle)
+    return spark.read.option("basePath", path).parquet(path).drop("batch_id")
+
+
+def run_sliding_velocity(transactions: DataFrame, path: str, width: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
+    """Transactions per user in sliding windows; returns the table."""
+    partials = _run_partials(transactions, path, lambda batch: sliding_velocity(batch, width, slide))
+    return partials.groupBy("user_id", "window_start").agg(F.sum("transactions").alias("transactions"))
+
+
+def run_burst_sessions(transactions: DataFrame, path: str, gap: str = SESSION_GAP, at_least: int = 2) -> DataFrame:
+    """Runs of a user's transactions less than ``gap`` apart, those still open at the end too; returns the table.
+
+    A micro-batch's users are computed again from all their rows, as a late row
+    may join sessions.
+    """
+    schema, spark = transactions.schema, transactions.sparkSession
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        arrived = _batches(spark, f"{path}/rows", schema, batch_id)
+        touched = arrived.filter(F.col("batch_id") == batch_id).select(F.col("user_id").alias("_user")).distinct()
+        history = arrived.drop("batch_id").join(touched, F.col("user_id").eqNullSafe(F.col("_user")), "left_semi")
+        burst_sessions(history, gap, at_least).write.mode("overwrite").parquet(f"{path}/sessions/batch_id={batch_id}")
+
+    _run_batches(transactions, path, handle)
+    found = spark.read.option("basePath", f"{path}/sessions").parquet(f"{path}/sessions")
+    newest = F.max("batch_id").over(Window.partitionBy("user_id"))
+    return found.withColumn("_newest", newest).filter(F.col("batch_id") == F.col("_newest")).drop("_newest", "batch_id")
+
+
+def run_daily_kpi(scored: DataFrame, path: str) -> DataFrame:
+    """The daily measures; returns the table."""
+    def partial(batch: DataFrame) -> DataFrame:
+        return batch.groupBy(F.to_date("transaction_date").alias("date_key")).agg(
+            F.count("*").alias("total_transactions"),
+            *[F.count_if(F.col("risk_tier") == tier).alias(f"flagged_{tier.lower()}") for tier in ("High", "Medium", "Low")],
+            F.sum("fraud_probability").alias("_sum"), F.count("fraud_probability").alias("_scored"))
+
+    counts = ["total_transactions", "flagged_high", "flagged_medium", "flagged_low"]
+    return _run_partials(scored.filter(F.col("transaction_date").isNotNull()), path, partial).groupBy("date_key").agg(
+        *[F.sum(c).alias(c) for c in counts],
+        F.try_divide(F.sum("_sum"), F.sum("_scored")).alias("avg_fraud_probability"))
+
+
 def run_append(stream: DataFrame, path: str) -> DataFrame:
     """Write finished rows as they come; returns the table."""
     query = (stream.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
