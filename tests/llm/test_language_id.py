@@ -49,6 +49,26 @@ def test_long_words_do_not_vanish():
     assert lid.forward(arcs, Q, 2) == pytest.approx(math.log(0.1) + 3000 * math.log(0.001))
 
 
+def test_long_words_are_counted_whole():
+    rest = "ab" * 40 + "x" * 3000 + "ba" * 500
+    for q in (Q, [x / 50 for x in Q]):
+        counts = lid.expected_counts(lid.lattice("▁" + rest, PIECES), q)
+        assert counts[0] == pytest.approx(3000)
+        assert sum(counts[n] * size for n, size in {1: 1, 2: 1, 3: 1, 4: 2, 5: 2, 6: 2}.items()) == pytest.approx(1 + 80 + 1000)
+        alone = lid.expected_counts(lid.lattice("▁" + "ab" * 40, PIECES), q), lid.expected_counts(lid.lattice("ba" * 500, PIECES), q)
+        for n in range(1, 7):
+            assert counts.get(n, 0.0) == pytest.approx(sum(part.get(n, 0.0) for part in alone))
+
+
+def test_every_label_and_all_of_a_word_is_learned(spark):
+    rows = [(i, "common words of a text", "en") for i in range(300)]
+    rows += [(1000 + i, "a" * 80 + "ж" * 40, f"x{i}") for i in range(6)]
+    model = lid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=5)
+    assert model.languages == ("en", *(f"x{i}" for i in range(6)))
+    cyrillic = [n for piece, n in lid.vocabulary()[0].items() if n > 0 and set(piece) == {"ж"}] or [0]
+    assert (model.p[cyrillic, 1:].sum(axis=0) > 2 * model.p[cyrillic, :1].sum()).all()
+
+
 def test_held_out_accuracy(spark):
     from txnrisk.llm.queries import op9_language_id
     rows = op9_language_id(spark, "/root/testdata/sf0.01").join(

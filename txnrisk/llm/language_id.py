@@ -7,8 +7,9 @@ lower case, marked at their start). Probabilities are estimated by
 expectation-maximisation: forward-backward gives each piece's expected count in
 the words of a language.
 
-The estimate reads a bounded sample of labelled documents, ``SAMPLE_ROWS`` at
-most; its tables are as large as the vocabulary times the number of languages.
+The estimate reads whole words of a bounded sample of labelled documents:
+``SAMPLE_ROWS`` at most, and up to ``LEAST_ROWS`` more of each language, so that
+every label is learned; its tables are as large as the vocabulary times the number of languages.
 Scoring reads every whole text and needs no shuffle.
 """
 
@@ -36,6 +37,8 @@ UNKNOWN = "und"
 
 #: Labelled documents that the estimate reads at most: those with the smallest seeded hashes of their id.
 SAMPLE_ROWS = 6_000
+#: Groups by hash into which each language's documents are dealt; one of each is read as well.
+LEAST_ROWS = 32
 EM_STEPS = 3
 #: Expected counts that every piece is credited with in advance.
 PRIOR = 0.05
@@ -135,8 +138,16 @@ def expected_counts(arcs: list[Arcs], q: list[float]) -> dict[int, float]:
     size = len(arcs)
     alpha, beta = [0.0] * (size + 1), [0.0] * (size + 1)
     alpha[0] = 1.0
+    scaled: set[int] = set()  # places from which on alpha is larger by a further _SCALE
+    longest = 0
     for start, pieces in enumerate(arcs):
         value = alpha[start]
+        if value < _SMALL:
+            longest = longest or max(length for arc in arcs for length, _ in arc)
+            for i in range(start, min(size, start + longest) + 1):
+                alpha[i] *= _SCALE
+            value = alpha[start]
+            scaled.add(start)
         for length, n in pieces:
             alpha[start + length] += value * q[n]
     out: dict[int, float] = {}
@@ -144,6 +155,9 @@ def expected_counts(arcs: list[Arcs], q: list[float]) -> dict[int, float]:
         return out
     beta[-1] = 1.0 / alpha[-1]
     for start in range(size - 1, -1, -1):
+        if start + 1 in scaled:
+            for i in range(start + 1, min(size, start + longest) + 1):
+                beta[i] *= _SCALE
         value, total = alpha[start], 0.0
         for length, n in arcs[start]:
             flow = q[n] * beta[start + length]
@@ -164,10 +178,13 @@ class Model:
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", language_column: str = "lang",
           path: str = VOCABULARY, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Piece probabilities from at most ``sample_rows`` rows of ``docs`` that have a language."""
+    """Piece probabilities from rows of ``docs`` that have a language: ``sample_rows`` and ``LEAST_ROWS`` of each at most."""
     spark = ready(docs.sparkSession)
     rated = docs.where(F.col(language_column).isNotNull() & F.col(id_column).isNotNull())
     chosen = rated.select(F.col(id_column).alias("id")).orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(sample_rows)
+    group = F.pmod(F.xxhash64(F.lit(4), id_column), F.lit(LEAST_ROWS))
+    least = rated.groupBy(F.col(language_column).alias("lang"), group.alias("group")).agg(F.min(id_column).alias("id"))
+    chosen = chosen.union(least.select("id"))
     # The sample's size is bounded, so it can be broadcast.
     sample = rated.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"),
                           F.col(language_column).alias("lang")).join(F.broadcast(chosen.distinct()), "id", "left_semi")
@@ -194,8 +211,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
             for batch in batches:
                 for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n"))):
                     own = sums[lang]
-                    # longer runs of letters are no words to learn from
-                    for piece, times in expected_counts(lattice(word[:60], pieces), q[lang]).items():
+                    for piece, times in expected_counts(lattice(word, pieces), q[lang]).items():
                         own[piece] = own.get(piece, 0.0) + n * times
             for language, lang in enumerate(languages):
                 own = sums[lang]
