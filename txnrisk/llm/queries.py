@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.llm import (
-    embedding_lsh, language_id, mixing, ordinal_quality, secret_ledger, sentencepiece_codec, simhash, token_store,
+    embedding_lsh, importance, language_id, mixing, ordinal_quality, secret_ledger, sentencepiece_codec, simhash, token_store,
     warc, weak_supervision,
 )
 from txnrisk.llm.common import read_table
@@ -98,6 +98,11 @@ def op10_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
     return weak_supervision.judge(read_table(spark, folder, "documents"))
 
 
+def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw of 5 % towards the benchmark's texts."""
+    return importance.resample(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_ordinal_quality": op2_ordinal_quality,
@@ -109,6 +114,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_weak_supervision": op10_weak_supervision,
+    "op12_importance": op12_importance,
 }
 
 ORACLE = {
