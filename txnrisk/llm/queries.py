@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.llm import (
-    embedding_lsh, importance, language_id, mixing, ordinal_quality, secret_ledger, sentencepiece_codec, simhash, token_store,
+    conversation_repair, embedding_lsh, importance, language_id, mixing, ordinal_quality, secret_ledger, sentencepiece_codec, simhash, token_store,
     warc, weak_supervision,
 )
 from txnrisk.llm.common import read_table
@@ -103,6 +103,11 @@ def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
     return importance.resample(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest repair and hash of the repaired turns of every damaged conversation."""
+    return conversation_repair.repair(conversation_repair.damage(read_table(spark, folder, "conversations")))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_ordinal_quality": op2_ordinal_quality,
@@ -115,6 +120,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_weak_supervision": op10_weak_supervision,
     "op12_importance": op12_importance,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE = {
