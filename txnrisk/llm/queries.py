@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.llm import (
-    conversation_repair, embedding_lsh, importance, language_id, mixing, ordinal_quality, secret_ledger, sentencepiece_codec, simhash, token_store,
-    warc, weak_supervision,
+    conversation_repair, embedding_lsh, importance, language_id, mixing, ordinal_quality, pii_contexts, secret_ledger,
+    sentencepiece_codec, simhash, token_store, warc, weak_supervision,
 )
 from txnrisk.llm.common import read_table
 from txnrisk.session import scratch
@@ -98,6 +98,15 @@ def op10_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
     return weak_supervision.judge(read_table(spark, folder, "documents"))
 
 
+def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document, by rules and by the contexts learned from what they find."""
+    found = pii_contexts.find(read_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", *[pii_contexts.count_of(F.col("known"), kind).alias(f"n_{kind}") for kind in pii_contexts.KINDS],
+        F.sha2(F.encode(pii_contexts.spelled(F.col("known")), "UTF-8"), 256).alias("base_sha256"),
+        pii_contexts.spelled(F.col("spans")).alias("spans"))
+
+
 def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Weight, score and rank of every document in a draw of 5 % towards the benchmark's texts."""
     return importance.resample(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
@@ -119,6 +128,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_language_id": op9_language_id,
     "op10_weak_supervision": op10_weak_supervision,
+    "op11_pii": op11_pii,
     "op12_importance": op12_importance,
     "op13_conversation_repair": op13_conversation_repair,
 }
