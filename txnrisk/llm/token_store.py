@@ -47,11 +47,12 @@ _PAD = struct.pack("<II", SKIPPABLE_MAGIC, 1)
 #: Uncompressed bytes after which a frame ends, compressed bytes after which a chunk ends.
 FRAME, CHUNK = 128 << 10, 1 << 20
 
-#: Chunks of text, and words, whose ids one worker keeps between batches.
-REMEMBERED = 300_000
+#: Chunks of text whose ids one worker keeps between batches.
+REMEMBERED = 500_000
 
-#: A space behind white space of any kind.
+#: A space behind white space of any kind, and the places before spaces behind anything else.
 _INNER_SPACE = re.compile(r" (?<=\s )").search
+_RUNS = re.compile(r"(?<=\S)(?= )").split
 
 def _byte_letters() -> dict[int, str]:
     """The public byte-level alphabet: printable Latin-1 stands for itself, other bytes for U+0100 on."""
@@ -67,58 +68,64 @@ class Encoder:
     """Packed ids of texts by a tokenizers file.
 
     The byte-level tokenizer splits a text by its pattern and merges each word
-    apart. A space that begins a run of white space begins a word or is one, so
-    a text is the run of its space-led chunks; chunks and words met before need
-    not be encoded again. Where a space follows white space, which the pattern
-    splits by what comes next and pieces may span (space, U+00A0, space,
-    U+00A0 is one), the text is encoded in one piece.
+    apart. No alternative of the pattern reaches over a space that follows
+    anything but white space, so a text is the run of the chunks that
+    begin there; chunks met before need not be encoded again. Texts that
+    spell a special token, which the library cuts out first, are left to it whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.merge = self.tokenizer.model.tokenize
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.code = {"<u2": "H", "<u4": "I"}[self.width]
         self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
-        found = self.words.get(word)
+        letters = word.encode().decode("latin-1").translate(_LETTERS)
+        return array(self.code, [token.id for token in self.merge(letters)]).tobytes()
+
+    def learn(self, new: set[str]) -> None:
+        """Ids of the chunks of ``new``; a word, and a word and a mark after it, are the most frequent by far."""
+        known, word = self.known, self.word
+        for chunk in new:
+            body = chunk[1:] if chunk[:1] == " " else chunk
+            if body.isalpha():
+                if chunk not in known:  # as part of an earlier one
+                    known[chunk] = word(chunk)
+            elif body[:-1].isalpha() and body[-1] in ".,;:!?":
+                known[chunk] = self.part(chunk[:-1]) + self.part(chunk[-1])
+            else:
+                known[chunk] = b"".join(map(self.part, self.split(chunk)))
+
+    def part(self, part: str) -> bytes:
+        found = self.known.get(part)
         if found is None:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            letters = word.encode().decode("latin-1").translate(_LETTERS)
-            found = self.words[word] = array(self.code, [token.id for token in self.merge(letters)]).tobytes()
+            found = self.known[part] = self.word(part)
         return found
 
-    def chunk(self, chunk: str) -> bytes:
-        body = chunk[1:] if chunk[:1] == " " else chunk
-        if body.isalpha():
-            return self.word(chunk)
-        if body[:-1].isalpha() and body[-1] in ".,;:!?":
-            return self.word(chunk[:-1]) + self.word(chunk[-1])
-        return b"".join(map(self.word, self.split(chunk)))
-
     def encode(self, documents: list[str]) -> list[bytes]:
         cut = []
         for text in documents:
-            if _INNER_SPACE(text):
+            if any(token in text for token in self.special):
                 cut.append(None)
+            elif _INNER_SPACE(text):
+                cut.append(_RUNS(text))
             else:
                 first, *rest = text.split(" ")
                 cut.append([first, *[" " + word for word in rest]])
-        known = self.chunks
-        new = set(chain.from_iterable(filter(None, cut))).difference(known)
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = set(chain.from_iterable(filter(None, cut)))
-        known.update(zip(new, map(self.chunk, new)))
+        met = set(chain.from_iterable(filter(None, cut)))
+        new = met.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:  # what these documents share with earlier ones stays
+            self.known = {chunk: self.known[chunk] for chunk in met - new}
+        self.learn(new)
+        known = self.known.__getitem__
         return [
-            b"".join(map(known.__getitem__, words)) if words is not None
+            b"".join(map(known, chunks)) if chunks is not None
             else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
-            for text, words in zip(documents, cut)]
+            for text, chunks in zip(documents, cut)]
 
 
 _LOADED: dict[str, Encoder] = {}
