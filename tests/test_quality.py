@@ -49,4 +49,4 @@ def test_one_scan_for_all_row_level_checks(tables):
 def test_every_declared_check_is_there():
     counts = {name: len(checks) for name, checks in contracts().items()}
     assert sum(counts.values()) == 81
-    assert counts["bronze_transactions"] == 12
+    assert counts["bronze_transactions"] == 14
