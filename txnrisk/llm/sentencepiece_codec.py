@@ -35,11 +35,12 @@ MARK = "▁"
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 #: Words whose pieces one worker keeps between batches.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
-#: Best score of a prefix, the piece that ends it, where that begins, and where pieces begin that may go on.
-State = tuple[float, str, int, list[int]]
+#: Best score of a prefix, the piece that ends it (-1: none), where that begins, and the places where pieces begin that
+#: may go on, each with its node in the tree of pieces.
+State = tuple[float, int, int, list[tuple[int, int]]]
 
 
 class Pieces:
@@ -62,7 +63,18 @@ class Pieces:
             else:
                 self.ids[piece] = i
                 self.bytes_of.append(piece.replace(MARK, " ").encode())
-        self.begun = {piece[:n]: -1 for piece in self.ids for n in range(1, len(piece))} | self.ids
+        self.next: list[dict[str, int]] = [{}]  # the tree of pieces: node, character -> node
+        self.ends = [-1]  # node -> piece
+        for piece, i in self.ids.items():
+            node = 0
+            for c in piece:
+                if c not in self.next[node]:
+                    self.next[node][c] = len(self.next)
+                    self.next.append({})
+                    self.ends.append(-1)
+                node = self.next[node][c]
+            self.ends[node] = i
+        self.spelling = {i: piece for piece, i in self.ids.items()} | {-1: ""}
         if any(MARK in piece.lstrip(MARK) for piece in self.ids):
             raise ValueError("pieces that cross a space are not supported")
         # A character that only byte pieces cover ends a word as well: nothing joins it.
@@ -70,7 +82,7 @@ class Pieces:
         self.split = re.compile(f"{MARK}*[^{MARK}{cuts}]+|{MARK}+" + (f"|{cuts}" if cuts else "")).findall
         self.floor = min(self.scores, default=0.0) if kind == "bpe" else min(
             (self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.apart: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
 
     def mark(self, text: str) -> str:
@@ -90,35 +102,41 @@ class Pieces:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stay_apart(self, left: str, right: str) -> bool:
-        pair = (left, right)
-        found = self.apart.get(pair)
-        if found is None:
-            if len(self.apart) > 2_000_000:
-                self.apart.clear()
-            found = self.apart[pair] = self.merged(left + right) == [p for p in pair if p]
+    def stay_apart(self, left: int, right: int) -> bool:
+        """Whether the merges leave the two pieces apart; remembered by pair."""
+        if len(self.apart) > 2_000_000:
+            self.apart.clear()
+        pair = [self.spelling[left], self.spelling[right]]
+        found = self.apart[left << 32 | right] = self.merged("".join(pair)) == [p for p in pair if p]
         return found
 
     def step(self, word: str, end: int, states: list[State]) -> State:
         """Forward state of ``word[:end]`` from those of its shorter prefixes."""
-        begun, scores, bpe = self.begun, self.scores, self.kind == "bpe"
+        c = word[end - 1]
+        following, ends, scores, apart, bpe = self.next, self.ends, self.scores, self.apart, self.kind == "bpe"
         alive, best = [], None
-        for start in (end - 1, *states[-1][3]):  # the last character, then longer and longer pieces
-            piece = word[start:end]
-            i = begun.get(piece)
-            if i is None:
+        for start, node in ((end - 1, 0), *states[-1][3]):  # the last character, then longer and longer pieces
+            node = following[node].get(c)
+            if node is None:
                 continue
-            alive.append(start)
+            if following[node]:
+                alive.append((start, node))
+            i = ends[node]
             if i < 0:  # only the beginning of longer pieces
                 continue
             before = states[start]
             if bpe:
-                if best is None and self.stay_apart(before[1], piece):
-                    best = (before[0] + scores[i], piece, start)
+                if best is None:
+                    left = before[1]
+                    fits = apart.get(left << 32 | i)
+                    if fits is None:
+                        fits = self.stay_apart(left, i)
+                    if fits:
+                        best = (before[0] + scores[i], i, start)
             elif best is None or before[0] + scores[i] > best[0]:
-                best = (before[0] + scores[i], piece, start)
-        if best is None or not bpe and word[end - 1] not in self.ids and states[end - 1][0] + self.floor > best[0]:
-            best = (states[end - 1][0] + self.floor, "", end - 1)  # a character without a piece joins nothing
+                best = (before[0] + scores[i], i, start)
+        if best is None or not bpe and c not in self.ids and states[end - 1][0] + self.floor > best[0]:
+            best = (states[end - 1][0] + self.floor, -1, end - 1)  # a character without a piece joins nothing
         return *best, alive
 
     def spell(self, word: str, states: list[State]) -> tuple[int, ...]:
@@ -126,8 +144,8 @@ class Pieces:
         end = len(word)
         while end:
             _, piece, start, _ = states[end]
-            if piece:
-                out.append(self.ids[piece])
+            if piece >= 0:
+                out.append(piece)
             elif self.byte_ids:
                 out.extend(self.byte_ids[b] for b in reversed(word[start:end].encode()))
             elif not out or out[-1] != self.unknown:
@@ -138,7 +156,7 @@ class Pieces:
     def segment(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
         """Ids of each distinct word, by a depth-first walk of their trie."""
         found = {}
-        states: list[State] = [(0.0, "", 0, [])]
+        states: list[State] = [(0.0, -1, 0, [])]
         previous = ""
         for word in sorted(words):
             shared = 0
@@ -156,12 +174,12 @@ class Pieces:
     def encode(self, documents: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         cut = [self.split(self.mark(text)) for text in documents]
+        met = set(chain.from_iterable(cut))
+        new = met.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:  # what these documents share with earlier ones stays
+            self.known = {word: self.known[word] for word in met - new}
         known = self.known
-        new = set(chain.from_iterable(cut)).difference(known)
         if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = set(chain.from_iterable(cut))
             known.update((word, array("i", ids).tobytes()) for word, ids in self.segment(new).items())
         return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in cut]
 
