@@ -42,6 +42,32 @@ def test_fit_comes_near_any_budget():
     assert mixing.fit([1, 2, 3], [1000, 1000, 1000], 3001) != [1000] * 3
 
 
+def best(sizes, counts, budget):
+    sums = {0}
+    for size, count in zip(sizes, counts):
+        sums = {x + size * n for x in sums for n in range(count + 1)}
+    return min(abs(x - budget) for x in sums)
+
+
+@pytest.mark.parametrize("sizes, counts, budget", [
+    ([60_000, 70_000, 900_000], [3, 2, 1], 1_060_000), ([60_000, 70_000, 900_000], [3, 2, 1], 70_000),
+    ([45_000, 55_000, 700_000], [2, 1, 1], 90_000), ([100_003, 250_007, 1_000_003], [9, 5, 4], 2_345_678)])
+def test_budgets_of_very_long_documents(sizes, counts, budget):
+    taken = mixing.fit(sizes, counts, budget)
+    assert abs(sum(s * t for s, t in zip(sizes, taken)) - budget) == best(sizes, counts, budget)
+
+
+def test_fit_is_the_best_sum():
+    draw = random.Random(3)
+    for _ in range(80):
+        sizes = [draw.randint(1, 10 ** draw.randint(1, 6)) for _ in range(draw.randint(1, 4))]
+        sizes = sorted(set(sizes))
+        counts = [draw.randint(0, 4) for _ in sizes]
+        budget = draw.randint(0, sum(s * c for s, c in zip(sizes, counts)))
+        taken = mixing.fit(sizes, counts, budget)
+        assert abs(sum(s * t for s, t in zip(sizes, taken)) - budget) == best(sizes, counts, budget)
+
+
 def words(text):
     return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
 
@@ -87,3 +113,14 @@ def test_edge_rows(edge, nothing):
     mixed = mixing.take(edge)
     assert mixed.columns == edge.columns
     assert sum(words(r.text) for r in mixed.collect()) == sum(r.taken for r in rows)
+
+
+def test_columns_of_any_name_stay(spark):
+    helpers = ["draw", "least", "extra", "number", "copy", "key", "size", "slice", "rank", "__draw", "__copy"]
+    rows = [(i // 40, f"w{i // 40 % 3} and more", "abc"[i % 3], *[f"{name}{i}" for name in helpers]) for i in range(600)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *helpers])
+    mixed, wanted = mixing.take(docs), mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    kept = mixed.collect()
+    assert {tuple(r) for r in kept} <= set(rows)
+    assert sum(words(r.text) for r in kept) == sum(r.taken for r in wanted.collect())

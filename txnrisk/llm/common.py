@@ -72,3 +72,14 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 def word_count(text):
     """Number of words of a text column; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def fresh_names(frame: DataFrame, *names: str) -> list[str]:
+    """The names, each changed where ``frame`` has such a column already."""
+    taken, out = {column.lower() for column in frame.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

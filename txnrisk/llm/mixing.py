@@ -3,7 +3,7 @@
 Documents are counted by (source, size). A source's target is met by whole
 passes over it and, for what is left of the budget, by a set of its documents
 whose sizes sum to the rest as nearly as can be: the same share of every size
-first, then the last part by a bounded knapsack over the sizes left. Which
+first, then the last part by a bounded knapsack over all documents left. Which
 documents of a size are taken follows from a seeded hash, so reruns agree.
 
 What meets in one place is bounded by the number of sources and of distinct
@@ -15,14 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import ready, staged, word_count
-
-#: Most words for which the knapsack table is built; what is above is given out size by size.
-KNAPSACK = 1 << 16
+from txnrisk.llm.common import fresh_names, ready, staged, word_count
 
 #: Slices of the seeded hash in which a group of equal source and size is ranked.
 SLICES = 256
@@ -45,63 +43,63 @@ def targets(sizes: Sequence[int], weights: Sequence[float], max_repeat: float =
     return out
 
 
-def knapsack(sizes: Sequence[int], counts: Sequence[int], budget: int) -> list[int]:
-    """How many of each size to take so that their sum is the largest up to ``budget``.
+def knapsack(sizes: Sequence[int], counts: Sequence[int], budget: int, beyond: int = 0) -> list[int]:
+    """How many of each size to take so that their sum is nearest to ``budget``, at most ``beyond`` above it.
 
-    Counts are split into powers of two; bit s of a table says that sum s can
-    be reached with the parts so far. The tables, walked back from the best
-    sum, give the parts.
+    Counts are split into powers of two; bit s of the table says that sum s
+    can be reached with the parts so far. The part that reached a sum first
+    leads back to a sum that earlier parts reach. Of two sums as near the
+    lower one is taken.
     """
-    mask = (1 << (budget + 1)) - 1
-    parts, tables = [], [1]
+    limit = budget + beyond
+    mask, table, first, parts = (1 << limit + 1) - 1, 1, np.zeros(limit + 1, np.int32), []
     for i, (size, count) in enumerate(zip(sizes, counts)):
-        count, part = min(count, budget // size), 1
-        while count > 0:
+        count, part = min(count, limit // size), 1
+        while count > 0 and not table >> budget & 1:
             part = min(part, count)
+            fresh = (table << part * size & mask) & ~table
+            bits = np.frombuffer(fresh.to_bytes(limit // 8 + 1, "little"), np.uint8)
+            first[np.flatnonzero(np.unpackbits(bits, bitorder="little")[:limit + 1])] = len(parts)
             parts.append((i, part, part * size))
-            tables.append(tables[-1] | tables[-1] << part * size & mask)
+            table |= fresh
             count -= part
             part *= 2
-    taken, left = [0] * len(sizes), tables[-1].bit_length() - 1
-    for k in range(len(parts) - 1, -1, -1):
-        if not tables[k] >> left & 1:
-            i, part, words = parts[k]
-            taken[i] += part
-            left -= words
+    best = (table & (1 << budget + 1) - 1).bit_length() - 1
+    above = table >> budget + 1
+    if above:
+        above = (above & -above).bit_length() + budget
+        best = above if above - budget < budget - best else best
+    taken = [0] * len(sizes)
+    while best:
+        i, part, words = parts[first[best]]
+        taken[i] += part
+        best -= words
     return taken
 
 
 def fit(sizes: Sequence[int], counts: Sequence[int], budget: int) -> list[int]:
-    """How many documents of each size to take for a sum near ``budget`` (below it, or the least size above).
+    """How many documents of each size to take for a sum near ``budget``.
 
-    Every size gives the same share, rounded down. Of the documents left, the
-    largest sizes that fit are added one by one while the rest is beyond the
-    knapsack's table; the knapsack fits the remainder.
+    The knapsack fits the last part of the budget, four of the largest
+    documents and 65,536 words, with all documents not taken before. What the
+    budget has above that is given out in the same share of every size, from
+    the largest down, the part of a document that remains going to the next size.
     """
     total = sum(s * c for s, c in zip(sizes, counts))
     if budget >= total:
         return list(counts)
-    taken = [c * budget // total for c in counts]
-    left = budget - sum(s * t for s, t in zip(sizes, taken))
     order = sorted((i for i, s in enumerate(sizes) if s > 0), key=lambda i: -sizes[i])
-    while left > KNAPSACK:
-        before = left
-        for i in order:
-            if left > KNAPSACK and taken[i] < counts[i] and sizes[i] <= left - KNAPSACK // 2:
-                more = min(counts[i] - taken[i], max(1, (left - KNAPSACK // 2) // sizes[i] // len(order)))
-                taken[i] += more
-                left -= more * sizes[i]
-        if left == before:
-            break
-    usable = [i for i in order if sizes[i] <= left and taken[i] < counts[i]]
-    if left <= KNAPSACK:
-        for i, more in zip(usable, knapsack([sizes[i] for i in usable], [counts[i] - taken[i] for i in usable], left)):
-            taken[i] += more
-            left -= more * sizes[i]
-    # One more document above the budget where that comes nearer.
-    nearer = [i for i in order if taken[i] < counts[i] and sizes[i] - left < left]
-    if nearer:
-        taken[nearer[-1]] += 1
+    largest = sizes[order[0]]
+    given = max(0, budget - 4 * largest - (1 << 16))
+    taken, carry = [0] * len(sizes), 0  # in words, times the total
+    for i in order:
+        carry += sizes[i] * counts[i] * given
+        taken[i] = min(counts[i], carry // (sizes[i] * total))
+        carry -= taken[i] * sizes[i] * total
+    left = budget - sum(s * t for s, t in zip(sizes, taken))
+    more = knapsack([sizes[i] for i in order], [counts[i] - taken[i] for i in order], left, largest)
+    for i, n in zip(order, more):
+        taken[i] += n
     return taken
 
 
@@ -109,15 +107,18 @@ def _draw(seed: int, id_column: str, text_column: str):
     return F.xxhash64(F.lit(seed), F.col(id_column), F.col(text_column))
 
 
+def _source_key(source_column: str):
+    """A key that is never null, so that joins and groups need not treat null apart."""
+    return F.coalesce(F.concat(F.lit("="), F.col(source_column).cast("string")), F.lit(""))
+
+
 def _decide(docs: DataFrame, weights: Sequence[float], max_repeat: int, seed: int, id_column: str, text_column: str,
             source_column: str) -> DataFrame:
     """A row per document with its draw and how many copies the mix takes."""
     spark = ready(docs.sparkSession)
-    source = F.col(source_column).cast("string")
-    # A key that is never null, so that joins and groups need not treat null apart.
     sized = staged(docs.select(
         F.col(id_column).alias("id"), F.col(source_column).alias("source"),
-        F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("key"), word_count(F.col(text_column)).alias("size"),
+        _source_key(source_column).alias("key"), word_count(F.col(text_column)).alias("size"),
         _draw(seed, id_column, text_column).alias("draw"))
         .withColumn("slice", F.pmod("draw", F.lit(SLICES)).cast("int")), "mix-sizes")
     # One row per source: a list as long as the list of sources.
@@ -171,12 +172,18 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_repeat: int =
 def take(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_repeat: int = 3, seed: int = 0,
          id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
     """The mix itself: every row of ``docs``, all columns, as many times as ``mix`` takes it."""
-    # Rows alike in id and text share a draw; the first of them get what the mix takes.
+    # Rows alike in id, text and source get the same number of copies but where the cut goes through them:
+    # there the first of them, in any order, get one more.
+    draw, key, least, extra, number, copy = fresh_names(docs, "draw", "key", "least", "extra", "number", "copy")
     given = (_decide(docs, weights, max_repeat, seed, id_column, text_column, source_column)
-             .groupBy(F.col("draw").alias("__draw"))
-             .agg(F.sort_array(F.collect_list("copies"), asc=False).alias("__copies")).where(F.element_at("__copies", 1) > 0))
-    drawn = docs.withColumn("__draw", _draw(seed, id_column, text_column))
-    number = F.row_number().over(Window.partitionBy("__draw").orderBy(F.lit(0)))
-    return (drawn.withColumn("__number", number).join(given, "__draw")
-            .withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.get("__copies", F.col("__number") - 1))))
+             .groupBy(F.col("draw").alias(draw), F.col("key").alias(key))
+             .agg(F.min("copies").alias(least), (F.sum("copies") - F.min("copies") * F.count("*")).alias(extra))
+             .where((F.col(least) > 0) | (F.col(extra) > 0)))
+    drawn = (docs.withColumn(draw, _draw(seed, id_column, text_column))
+             .withColumn(key, _source_key(source_column)).join(given, [draw, key]))
+    cut = F.col(extra) > 0
+    first = F.row_number().over(Window.partitionBy(draw, key).orderBy(F.lit(0))) <= F.col(extra)
+    counted = drawn.where(~cut).withColumn(number, F.col(least).cast("int")).unionByName(
+        drawn.where(cut).withColumn(number, F.col(least) + F.when(first, 1).otherwise(0)))
+    return (counted.withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(number))))
             .select(*docs.columns))
