@@ -101,3 +101,24 @@ def test_edge_rows(edge, nothing):
 def test_training_is_bounded_and_repeatable(edge):
     a, b = lid.train(edge, sample_rows=3), lid.train(edge, sample_rows=3)
     assert a.languages == b.languages and np.array_equal(a.p, b.p)
+
+
+def test_words_are_letters_and_their_marks(spark):
+    import unicodedata
+
+    def plain(text):
+        out, inside = [], False
+        for c in text.lower():
+            kind = unicodedata.category(c)[0]
+            if kind == "L" or kind == "M" and inside:
+                out[-1:] = [out[-1] + c] if inside else [*out[-1:], c]
+                inside = True
+            else:
+                inside = False
+        return [lid.MARK + word for word in out]
+
+    for text in ("½ ²", "①", "Ⅷ x", "क्षेत्र में", "a\u0301b \u0301c", "naïve ÉTÉ ß1ª", "日本語 テスト", "a²b", ""):
+        assert lid.words_of(text) == plain(text), text
+    model = lid.train(spark.createDataFrame([(1, "some words", "en")], "doc_id long, text string, lang string"))
+    odd = spark.createDataFrame([(1, "½ ²"), (2, "①"), (3, "Ⅷ 12"), (4, "\u0301")], "doc_id long, text string")
+    assert {(r.lang_pred, r.score) for r in lid.predict(odd, model).collect()} == {("und", 0.0)}

@@ -25,6 +25,7 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +47,11 @@ PRIOR = 0.05
 #: Words whose scores one worker keeps.
 REMEMBERED = 400_000
 
-WORDS = re.compile(r"[^\W\d_]+").findall
+#: Letters, with the marks that go with them.
+WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
+#: Up to U+024F, but for six numerals, the same is said by a faster expression.
+_PLAIN_WORDS = re.compile(r"[^\W\d_]+").findall
+_OTHER = re.compile("[^\x00-\u024f]|[²³¹¼½¾]").search
 
 #: Forward values are scaled up when the largest falls below this.
 _SMALL, _SCALE = 1e-200, 1e200
@@ -54,8 +59,9 @@ _LOG_SCALE = float(np.log(_SCALE))
 
 
 def words_of(text: str) -> list[str]:
-    """Marked words of a text: letters only, in lower case."""
-    return [MARK + word for word in WORDS(text.lower())]
+    """Marked words of a text: letters and their marks only, in lower case."""
+    lower = text.lower()
+    return [MARK + word for word in (WORDS if _OTHER(lower) else _PLAIN_WORDS)(lower)]
 
 
 _PIECES: dict[str, tuple[dict[str, int], int]] = {}
