@@ -81,3 +81,10 @@ def test_components_of_a_path_a_star_and_loops(spark):
 def test_more_bits_are_refused(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.createDataFrame([(1,)], "fp long"), 3)
+
+
+def test_keep_first_leaves_columns_of_any_name(spark):
+    helpers = ["fingerprint", "label", "component", "rank", "component_id", "__label", "__fingerprint", "__rank"]
+    rows = [(i % 7, f"the same text of {i % 3} words", *[f"{name}{i}" for name in helpers]) for i in range(500)]
+    kept = simhash.keep_first(spark.createDataFrame(rows, ["doc_id", "text", *helpers]))
+    assert kept.columns == ["doc_id", "text", *helpers] and {tuple(r) for r in kept.collect()} <= set(rows)

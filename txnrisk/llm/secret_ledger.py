@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import ready, slices
+from txnrisk.llm.common import fresh_names, ready, slices
 
 SPANS = "array<struct<start: int, end: int>>"
 
@@ -151,11 +151,13 @@ def with_findings(paths: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RU
     ``keep_text=False`` drops the text before the join. A column ``spans`` is
     replaced. Every row is a path: repeated rows and ids get the same findings.
     """
-    addressed = paths.drop("spans", "__blob").withColumn("__blob", blob_id(F.col(text_column)))
+    others = paths.drop("spans")
+    (blob,) = fresh_names(others, "blob")
+    addressed = others.withColumn(blob, blob_id(F.col(text_column)))
     addressed = addressed if keep_text else addressed.drop(text_column)
-    found = findings(ledger, rules).withColumnRenamed("blob", "__blob")
+    found = findings(ledger, rules).withColumnRenamed("blob", blob)
     none = F.array().cast("array<struct<start: int, number: int, end: int, kind: string>>")
-    return addressed.join(found, "__blob", "left").withColumn("spans", F.coalesce("spans", none)).drop("__blob")
+    return addressed.join(found, blob, "left").withColumn("spans", F.coalesce("spans", none)).drop(blob)
 
 
 def spelled(spans: Column) -> Column:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import ready, slices, staged
+from txnrisk.llm.common import fresh_names, ready, slices, staged
 from txnrisk.llm.components import connected_components
 
 BITS = 64
@@ -206,8 +206,9 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     first. Ids of null stay only where a component has no other.
     """
     _, classes = near_duplicates(docs, id_column, text_column, **options)
-    marked = fingerprints(docs, text_column, options.get("shingle_words", 3), "__fingerprint")
-    named = classes.toDF("__fingerprint", "__label", "__component")
-    first = marked.join(named, "__fingerprint").where(F.col(id_column).eqNullSafe(F.col("__component")))
-    order = Window.partitionBy("__label").orderBy(F.col(text_column).asc_nulls_first())
-    return first.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").select(*docs.columns)
+    fingerprint, label, component, rank = fresh_names(docs, "fingerprint", "label", "component", "rank")
+    marked = fingerprints(docs, text_column, options.get("shingle_words", 3), fingerprint)
+    named = classes.toDF(fingerprint, label, component)
+    first = marked.join(named, fingerprint).where(F.col(id_column).eqNullSafe(F.col(component)))
+    order = Window.partitionBy(label).orderBy(F.col(text_column).asc_nulls_first())
+    return first.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).select(*docs.columns)
