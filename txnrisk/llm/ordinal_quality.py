@@ -171,13 +171,17 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES) -> M
 
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
           sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """The model fitted on at most ``sample_rows`` rated documents; None where there is none."""
+    """The model fitted on at most ``sample_rows`` rated documents; None where there is none.
+
+    A document is an id and a grade; where rows repeat an id, its smallest text is read, so the bound holds for rows too.
+    """
     ready(docs.sparkSession)
     rated = labels.select(F.col(id_column).alias("id"), grade(F.col("quality"), F.col("toxic")).alias("grade")).where(
         "id is not null and grade is not null")
-    sample = rated.orderBy(F.xxhash64(F.lit(7), "id"), "id", "grade").limit(sample_rows)
+    sample = rated.distinct().orderBy(F.xxhash64(F.lit(7), "id"), "id", "grade").limit(sample_rows)
     # The sample's size is bounded, so it can be broadcast.
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(F.broadcast(sample), "id")
+    chosen = chosen.groupBy("id", "grade").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
