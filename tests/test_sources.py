@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -138,3 +140,54 @@ def test_a_table_can_be_rebuilt_from_itself(spark, tmp_path):
     store.publish(first.filter("id > 0"), "gold", "t")
     assert rows_of(store.read("gold", "t")) == [(1,), (2,)]
     assert first.count() == 3
+
+
+def test_a_table_kept_by_key(spark, tmp_path, monkeypatch):
+    """Deltas replace, remove and add keys, null among them, and are merged into a new base in time."""
+    monkeypatch.setattr(tables, "LEAST_DELTAS", 2)
+    rng = random.Random(4)
+    store, held = tables.LayerStore(spark, str(tmp_path), buckets=4), {}
+
+    def frame(rows):
+        return spark.createDataFrame(rows, "k string, n int, v string")
+
+    def rows_for(keys):
+        return [(k, i, f"{k}{i}{rng.random()}") for k in keys for i in range(rng.randrange(3))]
+
+    names = [None, *"abcdefghijklmnopqrst"]
+    for step in range(7):
+        keys = names if step == 0 else rng.sample(names, rng.choice([2, 7]))
+        rows = rows_for(keys)
+        held |= {k: [r for r in rows if r[0] == k] for k in keys}
+        merged = store.replace(spark.createDataFrame([(k,) for k in keys], "k string"), frame(rows), "state", "t", ["k"])
+        expected = sorted((r for rows in held.values() for r in rows), key=repr)
+        assert rows_of(merged, "k", "n", "v") == expected
+        some = rng.sample(names, 4)
+        picked = store.read("state", "t", spark.createDataFrame([(k,) for k in some], "k string"))
+        assert rows_of(picked, "k", "n", "v") == sorted((r for k in some for r in held[k]), key=repr)
+    entries = store.spark.read.parquet(f"{store.root}/_published").collect()
+    assert sum(not e.delta for e in entries) > 1 and sum(e.delta for e in entries) == 6
+
+
+def test_a_delta_that_was_never_published_is_not_read(spark, tmp_path, monkeypatch):
+    store = tables.LayerStore(spark, str(tmp_path), buckets=2)
+    store.publish(spark.range(100).selectExpr("id AS k", "0 AS v"), "state", "t", keys=["k"])
+    one = spark.range(1).selectExpr("id AS k", "1 AS v")
+    with monkeypatch.context() as patched:
+        patched.setattr(store, "_note", lambda *_, **__: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            store.replace(one, one, "state", "t", ["k"])
+    assert store.read("state", "t").agg({"v": "sum"}).first()[0] == 0
+    two = spark.range(1, 2).selectExpr("id AS k", "2 AS v")
+    assert rows_of(store.replace(two, two, "state", "t", ["k"]).where("v > 0")) == [(1, 2)]
+
+
+def test_reading_some_keys_opens_their_buckets_only(spark, tmp_path):
+    store = tables.LayerStore(spark, str(tmp_path), buckets=16)
+    store.publish(spark.range(1000).selectExpr("id AS k"), "state", "t", keys=["k"])
+    two = spark.range(2).selectExpr("id AS k")
+    wanted = {r[0] for r in two.selectExpr("pmod(xxhash64(k), 16)").collect()}
+    for file in tmp_path.glob("state/t/*/_bucket=*/*.parquet"):
+        if int(file.parent.name.split("=")[1]) not in wanted:
+            file.write_bytes(b"not to be opened")
+    assert rows_of(store.read("state", "t", two)) == [(0,), (1,)]

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnrisk.operators import clean, state
 from txnrisk.operators.baselines import MERCHANT_WINDOW_DAYS, USER_WINDOW_DAYS, merchant_risk, user_baseline
+from txnrisk.operators.clean import latest_per_key
 from txnrisk.operators.dims import DEVICE_CHECK, USER_CHECK, devices_latest, users_latest
 from txnrisk.operators.features import build_features
 from txnrisk.operators.incremental import bounded_context, device_firsts, extend_versions, late_users, user_points
@@ -81,8 +82,9 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
 
     # Used by every later step, so it is written once rather than recomputed.
     batch = state.write_table(state.with_event_date(clean.clean(clean_dates(raw), on_bad)), scratch(spark, "batch"))
-    replaced = _replaced(store, batch)
-    days = _days_of(batch, replaced)
+    located = _located(store, batch)
+    replaced = _replaced(store, batch, located)
+    days = _days_of(batch, located)
     if not days:
         return RunReport((), 0)
 
@@ -93,7 +95,10 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     checks = gate(contract_report({"bronze_transactions": touched(bronze, days)}))
 
     fact = _by_day(store, "silver", "fact", batch, days)
-    ids = state.history_by_keys(fact.select("transaction_id"), batch, ["transaction_id"])
+    _settle(store, batch, located)
+    # Elsewhere than on these days the ids of the batch do not occur.
+    ids = state.history_by_keys(
+        fact.filter(F.col("event_date").isin(days)).select("transaction_id"), batch, ["transaction_id"])
     checks += gate(report({"fact_all_days": ids}, {"fact_all_days": [unique("transaction_id")]}))
     heavy = heavy_keys_by(fact, ["user_id", "merchant_id", "device_id"])
 
@@ -104,9 +109,9 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
             keys = keys if rows is None else keys.union(rows.select(key))
         return keys.distinct()
 
-    users, devices = _snapshots(store, fact, affected, heavy, effective_ts, as_of)
-    users_current = store.publish(current_rows(users), "silver", "users_current")
-    devices_current = store.publish(current_rows(devices), "silver", "devices_current")
+    _snapshots(store, fact, batch, replaced, affected, heavy, effective_ts, as_of)
+    users, users_current, devices, devices_current = (
+        store.read(*table) for name in ("users", "devices") for table in (("snapshots", name), ("silver", f"{name}_current")))
     checks += gate(contract_report({
         "fact": touched(fact, days), "users_current": users_current, "devices_current": devices_current,
         "users_versions": users, "devices_versions": devices}))
@@ -115,8 +120,8 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     for name, key, measure, window in (("user_baseline", "user_id", user_baseline, USER_WINDOW_DAYS),
                                        ("merchant_risk", "merchant_id", merchant_risk, MERCHANT_WINDOW_DAYS)):
         keys = state.write_table(affected(key, window), scratch(spark, f"affected-{name}"))
-        refreshed.append(store.publish(state.replace_keys(
-            store.read("gold", name), keys, measure(fact, as_of, window, keys, stamp), key), "gold", name))
+        rows = state.write_table(measure(fact, as_of, window, keys, stamp), scratch(spark, name))
+        refreshed.append(store.replace(keys, rows, "gold", name, [key]))
     baseline, risk = refreshed
 
     rows = _features(store, fact, batch, replaced, users, baseline, risk, heavy, country_history)
@@ -137,17 +142,56 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     return RunReport(tuple(days), checks)
 
 
-def _replaced(store: LayerStore, batch: DataFrame) -> DataFrame | None:
-    """Keys and day of the stored rows that the batch replaces; None before the first run.
+def _located(store: LayerStore, batch: DataFrame) -> DataFrame | None:
+    """``(transaction_id, event_date)``: days on which ids of the batch may be stored; None before the first run.
+
+    Read from the table of all ids' days, of which only the buckets of these
+    ids are opened. Before any table changes, the batch's own days are noted
+    there as well, so that a run that dies leaves no row that cannot be found.
+    """
+    ids = batch.select("transaction_id")
+    fact = _existing(store.spark, store.path("silver", "fact"), batch.schema)
+    known = store.read(*_DAYS, ids)
+    if known is None and fact is not None:  # a store from before this table
+        store.publish(fact.select("transaction_id", "event_date"), *_DAYS, keys=["transaction_id"])
+        known = store.read(*_DAYS, ids)
+    places = batch.select("transaction_id", "event_date")
+    if known is None:
+        store.publish(places, *_DAYS, keys=["transaction_id"])
+        return None
+    located = state.write_table(known, scratch(store.spark, "located"))
+    news = places.join(located, ["transaction_id", "event_date"], "left_anti")
+    both = state.write_table(located.unionByName(news), scratch(store.spark, "days"))
+    store.replace(ids, both, *_DAYS, ["transaction_id"])
+    return located
+
+
+#: Where the days of all ids are kept.
+_DAYS = ("state", "id_days")
+
+
+def _settle(store: LayerStore, batch: DataFrame, located: DataFrame | None) -> None:
+    """Forget the days that ids of the batch have left, now that their rows are gone from there."""
+    if located is None:
+        return
+    places = batch.select("transaction_id", "event_date")
+    moved = located.join(places, ["transaction_id", "event_date"], "left_anti").select("transaction_id").distinct()
+    if not moved.isEmpty():
+        store.replace(moved, state.history_by_keys(places, moved, ["transaction_id"]), *_DAYS, ["transaction_id"])
+
+
+def _replaced(store: LayerStore, batch: DataFrame, located: DataFrame | None) -> DataFrame | None:
+    """Id, keys and day of the stored rows that the batch replaces; None before the first run.
 
     Noted before any table changes, with what a run that died has left noted:
     by now its rows may have moved away from keys and days that still count them.
     """
-    columns = ["user_id", "merchant_id", "device_id", "event_date"]
+    columns = ["transaction_id", "user_id", "merchant_id", "device_id", "event_date"]
     fact = _existing(store.spark, store.path("silver", "fact"), batch.schema)
-    if fact is None:
+    if fact is None or located is None:
         return None
-    rows = state.history_by_keys(fact.select("transaction_id", *columns), batch, ["transaction_id"]).select(*columns)
+    days = _days_of(located)
+    rows = state.history_by_keys(fact.filter(F.col("event_date").isin(days)).select(*columns), batch, ["transaction_id"])
     noted = store.read("state", "replaced")
     return store.publish((rows if noted is None else rows.unionByName(noted)).distinct(), "state", "replaced")
 
@@ -161,15 +205,36 @@ def _left_behind(store: LayerStore, fact: DataFrame, as_of: str, window_days: in
     return fact.filter((F.col("event_date") >= F.least(before, now)) & (F.col("event_date") < F.greatest(before, now)))
 
 
-def _snapshots(store, fact, affected, heavy, effective_ts, as_of):
+def _snapshots(store, fact, batch, replaced, affected, heavy, effective_ts, as_of) -> None:
+    """Bring the version tables and the tables of current rows up to date for the keys concerned.
+
+    A table keeps the latest row of every key. The latest of a key is the later
+    of that and the batch's, unless the batch has replaced or taken away the
+    row kept: only such keys are looked up in the fact.
+    """
     effective = F.lit(as_of).cast(fact.schema["transaction_date"].dataType) if effective_ts is None else effective_ts
-    tables = []
     for name, key, latest, checked in (("users", "user_id", users_latest, USER_CHECK),
                                        ("devices", "device_id", devices_latest, DEVICE_CHECK)):
-        rows = state.history_of(fact, affected(key), key, heavy[key])
-        tables.append(store.publish(
-            scd2_apply(store.read("snapshots", name), latest(rows), key, checked, effective), "snapshots", name))
-    return tables
+        keys = state.write_table(affected(key), scratch(store.spark, f"keys-{name}"))
+        columns = ["transaction_id", "transaction_date", "user_id", "device_id", "billing_country", "payment_method",
+                   "device_type"]
+        kept = store.read("state", f"{name}_latest", keys)
+        rows = fact.select(*columns)
+        if kept is not None:
+            lost = state.write_table(kept.join(replaced, [key, "transaction_id"], "left_semi").select(key),
+                                     scratch(store.spark, f"lost-{name}"))
+            rows = kept.unionByName(batch.select(*columns)).join(lost, key, "left_anti")
+            if not lost.isEmpty():
+                rows = rows.unionByName(state.history_of(fact.select(*columns), lost, key, heavy[key]))
+        last = state.write_table(
+            latest_per_key(rows.filter(F.col(key).isNotNull()), [key], ["transaction_date", "transaction_id"]),
+            scratch(store.spark, f"latest-{name}"))
+        current = latest(last.join(keys, key, "left_semi"))
+        versions = scd2_apply(store.read("snapshots", name, keys), current, key, checked, effective)
+        versions = state.write_table(versions, scratch(store.spark, f"versions-{name}"))
+        store.replace(keys, last, "state", f"{name}_latest", [key])
+        store.replace(keys, versions, "snapshots", name, [key])
+        store.replace(keys, current_rows(versions), "silver", f"{name}_current", [key])
 
 
 def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, country_history) -> DataFrame:
@@ -179,32 +244,37 @@ def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, co
     and those of their rows written that are new or differ from what is stored.
     """
     spark, heavy_users = store.spark, heavy["user_id"]
-    points, firsts = store.read("state", "user_points"), store.read("state", "device_firsts")
-    held = store.read("silver", "country_versions")
     versioning = ("user_id", "transaction_date", ["billing_country"], "transaction_id")
     common = {"heavy_users": heavy_users, "heavy_merchants": heavy["merchant_id"]}
 
-    if points is None:
+    if store.read("state", "user_points") is None:
         # First run: the batch is the history.
-        store.publish(user_points(fact), "state", "user_points")
-        store.publish(device_firsts(fact), "state", "device_firsts")
-        versions = store.publish(scd2_from_events(fact, *versioning, heavy=heavy_users), "silver", "country_versions")
+        versions = store.publish(scd2_from_events(fact, *versioning, heavy=heavy_users), "silver", "country_versions",
+                                 keys=["user_id"])
+        store.publish(device_firsts(fact), "state", "device_firsts", keys=["user_id"])
+        store.publish(user_points(fact), "state", "user_points", keys=["user_id"])
         used = versions if country_history == "event_time" else snapshots
         rows = build_features(fact.drop("event_date"), used, baseline, risk, **common)
         return state.write_table(state.with_event_date(rows), scratch(spark, "features"))
 
     forced = store.read("state", "rows_to_write")  # those a run that died had still to write
-    gone = replaced if forced is None else replaced.select("user_id").union(forced.select("user_id"))
+    gone = replaced.select("user_id")
+    gone = gone if forced is None else gone.union(forced.select("user_id"))
+    users = state.write_table(batch.select("user_id").union(gone).distinct(), scratch(spark, "touched-users"))
+    points, firsts, held = (store.read(*table, users) for table in (
+        ("state", "user_points"), ("state", "device_firsts"), ("silver", "country_versions")))
     late = state.write_table(late_users(batch, points, gone), scratch(spark, "late"))
-    history = state.history_of(fact, late, "user_id", heavy_users)
+    # Without a late user the fact is read for the last hour only.
+    history = fact.filter(F.lit(False)) if late.isEmpty() else state.history_of(fact, late, "user_id", heavy_users)
     in_order = batch.join(late, "user_id", "left_anti")
 
     def without(table: DataFrame) -> DataFrame:
         return table.join(late, "user_id", "left_anti")
 
-    versions = store.publish(
+    versions = state.write_table(
         extend_versions(without(held), in_order, *versioning, heavy=heavy_users)
-        .unionByName(scd2_from_events(history, *versioning, heavy=heavy_users)), "silver", "country_versions")
+        .unionByName(scd2_from_events(history, *versioning, heavy=heavy_users)), scratch(spark, "versions"))
+    store.replace(users, versions, "silver", "country_versions", ["user_id"])
     used = versions if country_history == "event_time" else snapshots
 
     context = bounded_context(fact, in_order, points, heavy=heavy_users)
@@ -217,9 +287,13 @@ def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, co
 
     # Only now, as the rows above read the old state.
     moved = in_order.unionByName(history.select(*in_order.columns))
-    store.publish(user_points(without(points).unionByName(moved, allowMissingColumns=True)), "state", "user_points")
-    store.publish(device_firsts(without(firsts).withColumnRenamed("first_seen_at", "transaction_date")
-                                .unionByName(moved, allowMissingColumns=True)), "state", "device_firsts")
+    last = state.write_table(user_points(without(points).unionByName(moved, allowMissingColumns=True)),
+                             scratch(spark, "points"))
+    first = state.write_table(
+        device_firsts(without(firsts).withColumnRenamed("first_seen_at", "transaction_date")
+                      .unionByName(moved, allowMissingColumns=True)), scratch(spark, "firsts"))
+    store.replace(users, last, "state", "user_points", ["user_id"])
+    store.replace(users, first, "state", "device_firsts", ["user_id"])
     return rows
 
 
