@@ -193,7 +193,7 @@ def _replaced(store: LayerStore, batch: DataFrame, located: DataFrame | None) ->
     days = _days_of(located)
     rows = state.history_by_keys(fact.filter(F.col("event_date").isin(days)).select(*columns), batch, ["transaction_id"])
     noted = store.read("state", "replaced")
-    return store.publish((rows if noted is None else rows.unionByName(noted)).distinct(), "state", "replaced")
+    return store.publish((rows if noted is None else rows.unionByName(noted, allowMissingColumns=True)).distinct(), "state", "replaced")
 
 
 def _left_behind(store: LayerStore, fact: DataFrame, as_of: str, window_days: int) -> DataFrame | None:
