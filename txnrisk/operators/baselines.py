@@ -22,7 +22,7 @@ def _window(fact: DataFrame, as_of: str, days: int) -> DataFrame:
     return rows.filter(F.col("event_date") >= start) if "event_date" in fact.columns else rows
 
 
-def _restrict(fact: DataFrame, key: str, keys: DataFrame | None) -> DataFrame:
+def restrict(fact: DataFrame, key: str, keys: DataFrame | None) -> DataFrame:
     return fact if keys is None else fact.join(keys.select(key).distinct(), key, "left_semi")
 
 
@@ -35,7 +35,7 @@ def user_baseline(fact: DataFrame, as_of: str, days: int = USER_WINDOW_DAYS, use
     partially before the shuffle.
     """
     amount, hour = F.col("transaction_amount"), F.hour("transaction_date")
-    baseline = (_restrict(_window(fact, as_of, days), "user_id", users)
+    baseline = (restrict(_window(fact, as_of, days), "user_id", users)
                 .groupBy("user_id")
                 .agg(F.avg(amount).alias("avg_amount_30d"),
                      F.stddev_samp(amount).alias("stddev_amount_30d"),
@@ -46,6 +46,16 @@ def user_baseline(fact: DataFrame, as_of: str, days: int = USER_WINDOW_DAYS, use
     return baseline if updated_at is None else baseline.withColumn("last_updated_at", updated_at)
 
 
+def per_merchant(per_customer: DataFrame) -> DataFrame:
+    """Risk per merchant from its rows per customer (``_n``, ``_fraud``, ``_amount``)."""
+    return (per_customer.groupBy("merchant_id")
+            .agg(F.sum("_n").alias("transaction_count_90d"),
+                 F.sum("_fraud").alias("fraud_count_90d"),
+                 (F.sum("_fraud") / F.sum("_n")).cast("double").alias("fraud_rate_90d"),
+                 (F.sum("_amount") / F.sum("_n")).cast("decimal(16,6)").alias("avg_transaction_amount_90d"),
+                 F.count("user_id").alias("distinct_customer_count_90d")))
+
+
 def merchant_risk(fact: DataFrame, as_of: str, days: int = MERCHANT_WINDOW_DAYS, merchants: DataFrame | None = None,
                   updated_at: Column | None = None, approximate_customers: bool = False) -> DataFrame:
     """Fraud rate, volume and customers per merchant over ``days``.
@@ -57,22 +67,17 @@ def merchant_risk(fact: DataFrame, as_of: str, days: int = MERCHANT_WINDOW_DAYS,
     """
     fraud = F.count_if("is_fraud_label")
     if approximate_customers:
-        risk = (_restrict(_window(fact, as_of, days), "merchant_id", merchants).groupBy("merchant_id")
+        risk = (restrict(_window(fact, as_of, days), "merchant_id", merchants).groupBy("merchant_id")
                 .agg(F.count("*").alias("transaction_count_90d"), fraud.alias("fraud_count_90d"),
                      (fraud / F.count("*")).cast("double").alias("fraud_rate_90d"),
                      F.avg("transaction_amount").alias("avg_transaction_amount_90d"),
                      F.approx_count_distinct("user_id").alias("distinct_customer_count_90d")))
         return risk if updated_at is None else risk.withColumn("last_updated_at", updated_at)
-    per_customer = (_restrict(_window(fact, as_of, days), "merchant_id", merchants)
+    per_customer = (restrict(_window(fact, as_of, days), "merchant_id", merchants)
                     .groupBy("merchant_id", "user_id")
                     .agg(F.count("*").alias("_n"), fraud.alias("_fraud"),
                          F.sum("transaction_amount").alias("_amount")))
-    risk = (per_customer.groupBy("merchant_id")
-            .agg(F.sum("_n").alias("transaction_count_90d"),
-                 F.sum("_fraud").alias("fraud_count_90d"),
-                 (F.sum("_fraud") / F.sum("_n")).cast("double").alias("fraud_rate_90d"),
-                 (F.sum("_amount") / F.sum("_n")).cast("decimal(16,6)").alias("avg_transaction_amount_90d"),
-                 F.count("user_id").alias("distinct_customer_count_90d")))
+    risk = per_merchant(per_customer)
     return risk if updated_at is None else risk.withColumn("last_updated_at", updated_at)
 
 

@@ -97,16 +97,20 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Se
         return []
     touched = state.filter(F.col(partition).isin(days))
     merged = write_table(upsert(touched, staged_batch, keys), scratch(spark, "upsert-merged"), [partition])
-    # A day whose rows all moved elsewhere must end up empty, which a dynamic
-    # overwrite cannot express; such days are dropped by name.
-    left = {r[0] for r in merged.select(partition).distinct().collect()}
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
-    emptied = [d for d in days if d not in left]
-    for day in emptied:
-        _drop_partition(spark, f"{path}/{partition}={day}")
+    overwrite_days(spark, path, merged, days, partition)
     return sorted(days)
 
 
+def overwrite_days(spark: SparkSession, path: str, rows: DataFrame, days: Sequence, partition: str = "event_date") -> None:
+    """Make ``rows``, a written table, all there is of ``days`` in the table at ``path``; other days stay as they are."""
+    left = {r[0] for r in rows.select(partition).distinct().collect()}
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    # A day without rows must end up empty, which a dynamic overwrite cannot express; such days are dropped by name.
+    for day in days:
+        if day not in left:
+            _drop_partition(spark, f"{path}/{partition}={day}")
+
+
 def history_by_keys(df: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(batch.select(*keys).distinct(), list(keys), "left_semi")
 

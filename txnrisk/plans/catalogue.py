@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txnrisk.functions.timing import trailing_window_start
 from txnrisk.operators import (baselines, behaviour, clean, dims, drift, evaluation, features, incremental, kpi,
-                               quality, scd2, scoring, state, training)
+                               partials, quality, scd2, scoring, state, training)
 from txnrisk.operators.skew import heavy_keys_by, join_salted
 from txnrisk.plans import layers
 from txnrisk.plans.contracts import contract_report
@@ -364,6 +364,17 @@ def merchant_risk_90d(spark, folder):
     return _double(_rounded(risk, 9, "fraud_rate_90d"), "avg_transaction_amount_90d")
 
 
+@query
+def baseline_from_partials(spark, folder):
+    return _baseline(partials.baseline_from_partials(layers.user_day_partials(spark, folder), layers.USER_AS_OF))
+
+
+@query
+def merchant_risk_from_partials(spark, folder):
+    risk = partials.merchant_risk_from_partials(layers.merchant_day_partials(spark, folder), layers.MERCHANT_AS_OF)
+    return _double(_rounded(risk, 9, "fraud_rate_90d"), "avg_transaction_amount_90d")
+
+
 @query
 def user_baseline_point_in_time(spark, folder):
     rows = layers.fact(spark, folder).select("transaction_id", "user_id", "transaction_date", "transaction_amount")

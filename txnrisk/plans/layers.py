@@ -16,6 +16,7 @@ from txnrisk.operators.baselines import merchant_risk, user_baseline
 from txnrisk.operators.clean import clean
 from txnrisk.operators.dims import DEVICE_CHECK, USER_CHECK, devices_latest, users_latest
 from txnrisk.operators.features import build_features
+from txnrisk.operators.partials import merchant_days, user_days
 from txnrisk.operators.scd2 import scd2_apply, scd2_from_events
 from txnrisk.operators.scoring import with_scores
 from txnrisk.operators.skew import heavy_keys_by
@@ -47,7 +48,7 @@ def _layer(spark: SparkSession, folder: str, name: str, make: Callable[[], DataF
             pass  # the shared folder was cleared: build it again
     df, path = make(), scratch(spark, name)
     if by_day:
-        df = with_event_date(df)
+        df = df if "event_date" in df.columns else with_event_date(df)
         write_by_day(df, path)
     else:
         df.write.parquet(path)
@@ -111,6 +112,14 @@ def baseline(spark: SparkSession, folder: str) -> DataFrame:
     return _layer(spark, folder, "baseline", lambda: user_baseline(fact(spark, folder), USER_AS_OF))
 
 
+def user_day_partials(spark: SparkSession, folder: str) -> DataFrame:
+    return _layer(spark, folder, "user_days", lambda: user_days(fact(spark, folder)), by_day=True)
+
+
+def merchant_day_partials(spark: SparkSession, folder: str) -> DataFrame:
+    return _layer(spark, folder, "merchant_days", lambda: merchant_days(fact(spark, folder)), by_day=True)
+
+
 def risk(spark: SparkSession, folder: str) -> DataFrame:
     return _layer(spark, folder, "risk", lambda: merchant_risk(fact(spark, folder), MERCHANT_AS_OF))
 

@@ -425,6 +425,11 @@ STATEMENTS: dict[str, str] = {
       billing_country_at_tx_time FROM located""",
     # baselines
     "user_baseline_30d": f"SELECT {_BASELINE} FROM baseline",
+    "baseline_from_partials": f"SELECT {_BASELINE} FROM baseline",
+    "merchant_risk_from_partials": """SELECT merchant_id, transaction_count_90d, fraud_count_90d,
+      round(fraud_rate_90d, 9) AS fraud_rate_90d,
+      avg_transaction_amount_90d,
+      distinct_customer_count_90d FROM risk""",
     "merchant_risk_90d": """SELECT merchant_id, transaction_count_90d, fraud_count_90d,
       round(fraud_rate_90d, 9) AS fraud_rate_90d,
       avg_transaction_amount_90d,

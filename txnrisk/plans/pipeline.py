@@ -13,12 +13,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from txnrisk.operators import clean, state
-from txnrisk.operators.baselines import MERCHANT_WINDOW_DAYS, USER_WINDOW_DAYS, merchant_risk, user_baseline
+from txnrisk.operators.baselines import MERCHANT_WINDOW_DAYS, USER_WINDOW_DAYS
 from txnrisk.operators.clean import latest_per_key
 from txnrisk.operators.dims import DEVICE_CHECK, USER_CHECK, devices_latest, users_latest
 from txnrisk.operators.features import build_features
 from txnrisk.operators.incremental import bounded_context, device_firsts, extend_versions, late_users, user_points
 from txnrisk.operators.kpi import daily_kpi
+from txnrisk.operators.partials import baseline_from_partials, merchant_days, merchant_risk_from_partials, user_days
 from txnrisk.operators.quality import gate, report, unique
 from txnrisk.operators.scd2 import current_rows, scd2_apply, scd2_from_events
 from txnrisk.operators.scoring import score
@@ -95,6 +96,8 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     checks = gate(contract_report({"bronze_transactions": touched(bronze, days)}))
 
     fact = _by_day(store, "silver", "fact", batch, days)
+    # Before the places the ids have left are forgotten, and for those noted as well, so that a repeated run mends them.
+    sums = _day_partials(store, fact, _days_of(batch, located, replaced))
     _settle(store, batch, located)
     # Elsewhere than on these days the ids of the batch do not occur.
     ids = state.history_by_keys(
@@ -105,7 +108,7 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     def affected(key: str, window_days: int | None = None) -> DataFrame:
         """Keys with rows in the batch, replaced by it, or left behind by the window."""
         keys = state.affected(batch, key)
-        for rows in (replaced, None if window_days is None else _left_behind(store, fact, as_of, window_days)):
+        for rows in (replaced, None if window_days is None else _left_behind(store, sums[key], as_of, window_days)):
             keys = keys if rows is None else keys.union(rows.select(key))
         return keys.distinct()
 
@@ -117,10 +120,11 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
         "users_versions": users, "devices_versions": devices}))
 
     refreshed = []
-    for name, key, measure, window in (("user_baseline", "user_id", user_baseline, USER_WINDOW_DAYS),
-                                       ("merchant_risk", "merchant_id", merchant_risk, MERCHANT_WINDOW_DAYS)):
+    for name, key, measure, window in (("user_baseline", "user_id", baseline_from_partials, USER_WINDOW_DAYS),
+                                       ("merchant_risk", "merchant_id", merchant_risk_from_partials,
+                                        MERCHANT_WINDOW_DAYS)):
         keys = state.write_table(affected(key, window), scratch(spark, f"affected-{name}"))
-        rows = state.write_table(measure(fact, as_of, window, keys, stamp), scratch(spark, name))
+        rows = state.write_table(measure(sums[key], as_of, window, keys, stamp), scratch(spark, name))
         refreshed.append(store.replace(keys, rows, "gold", name, [key]))
     baseline, risk = refreshed
 
@@ -196,13 +200,31 @@ def _replaced(store: LayerStore, batch: DataFrame, located: DataFrame | None) ->
     return store.publish((rows if noted is None else rows.unionByName(noted, allowMissingColumns=True)).distinct(), "state", "replaced")
 
 
-def _left_behind(store: LayerStore, fact: DataFrame, as_of: str, window_days: int) -> DataFrame | None:
-    """Rows on the days between the window of the last run and that of this one."""
+def _day_partials(store: LayerStore, fact: DataFrame, days: list) -> dict[str, DataFrame]:
+    """Partials per key, made anew for ``days``; of the whole fact until that has been done once to the end."""
+    complete = store.read("state", "day_partials") is not None
+    tables = {}
+    for key, name, make in (("user_id", "user_days", user_days), ("merchant_id", "merchant_days", merchant_days)):
+        path, rows = store.path("state", name), make(fact)
+        if complete:
+            touched = state.write_table(make(fact.filter(F.col("event_date").isin(days))),
+                                        scratch(store.spark, name), ["event_date"])
+            state.overwrite_days(store.spark, path, touched, days)
+        else:
+            state.write_by_day(rows, path)
+        tables[key] = store.spark.read.schema(rows.schema).parquet(path)
+    if not complete:
+        store.publish(store.spark.range(1), "state", "day_partials")
+    return tables
+
+
+def _left_behind(store: LayerStore, partials: DataFrame, as_of: str, window_days: int) -> DataFrame | None:
+    """Partials of the days between the window of the last run and that of this one."""
     last = store.read("state", "last_run")
     if last is None:
         return None
     before, now = F.date_sub(last.agg(F.max("as_of")).scalar(), window_days), F.date_sub(F.lit(as_of).cast("date"), window_days)
-    return fact.filter((F.col("event_date") >= F.least(before, now)) & (F.col("event_date") < F.greatest(before, now)))
+    return partials.filter((F.col("event_date") >= F.least(before, now)) & (F.col("event_date") < F.greatest(before, now)))
 
 
 def _snapshots(store, fact, batch, replaced, affected, heavy, effective_ts, as_of) -> None:
