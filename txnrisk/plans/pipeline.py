@@ -207,7 +207,7 @@ def _day_partials(store: LayerStore, fact: DataFrame, days: list) -> dict[str, D
     for key, name, make in (("user_id", "user_days", user_days), ("merchant_id", "merchant_days", merchant_days)):
         path, rows = store.path("state", name), make(fact)
         if complete:
-            touched = state.write_table(make(fact.filter(F.col("event_date").isin(days))),
+            touched = state.write_table(make(fact.filter(F.col("event_date").isin(days))).hint("rebalance", "event_date"),
                                         scratch(store.spark, name), ["event_date"])
             state.overwrite_days(store.spark, path, touched, days)
         else:
