@@ -7,6 +7,7 @@ import pytest
 from tests.helpers import FOLDER
 from txnrisk.operators.behaviour import behaviour_windows, user_frequency
 from txnrisk.operators.clean import deduplicate
+from txnrisk.operators.point_in_time import prior_merchant_rate
 from txnrisk.operators.scd2 import asof_join
 from txnrisk.plans import layers
 from txnrisk.plans.catalogue import QUERIES
@@ -43,6 +44,12 @@ def test_trailing_counts_need_one_shuffle(spark):
     assert exchanges(text) == 1
 
 
+def test_sums_before_shuffle_once_and_narrow(spark):
+    rows = layers.fact(spark, FOLDER).select("transaction_id", "merchant_id", "transaction_date", "is_fraud_label")
+    text = plan(prior_merchant_rate(rows))
+    assert exchanges(text) == 1 and "SortMergeJoin" not in text
+
+
 def test_kpis_read_only_their_columns(spark):
     text = plan(QUERIES["daily_kpi"](spark, FOLDER))
     assert re.search(r"ReadSchema: struct<transaction_date:timestamp_ntz,fraud_probability:double,risk_tier:string>", text)

@@ -160,3 +160,35 @@ def trailing_totals(df: DataFrame, key: str, ts: str, windows: dict, measures: d
         for name in names for m in measures}
     helpers = ["_at", "_real", *slots, *(["_slice"] if heavy else [])]
     return moves.withColumns(totals).filter(F.col("_real")).drop(*helpers)
+
+
+def sums_before(rows: DataFrame, moves: DataFrame, key: str | Sequence[str], at: str, measures: dict[str, Column], *,
+                heavy: Sequence = (), hours: int = 1) -> DataFrame:
+    """``rows`` with the sum of each measure over the moves of their key strictly before ``at``; 0 where there is none.
+
+    ``moves`` has the key columns, ``at`` and what the measures are made of,
+    under names that ``rows`` does not have. Rows and moves merge on the time
+    line; without heavy keys the measures are evaluated after the shuffle, so
+    that it stays narrow. Heavy values are those of the first key column.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    line = rows.withColumn("_real", F.lit(True)).unionByName(moves, allowMissingColumns=True)
+    parts = list(keys)
+    if heavy:
+        line = line.withColumn("_slice", slice_for(keys[0], F.col(at), heavy, hours))
+        parts.append("_slice")
+    # With heavy keys the union below is dealt anew anyway.
+    measured = (line if heavy else line.repartition(*parts)).withColumns(measures)
+    if heavy:
+        so_far = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        net = (line.filter(F.col(keys[0]).isin(list(heavy))).withColumns(measures).groupBy(*parts)
+               .agg(*[F.sum(m).alias(m) for m in measures]))
+        carried = net.select(*parts, F.lit("0001-01-01").cast(rows.schema[at].dataType).alias(at),
+                             *[F.sum(m).over(so_far).alias(m) for m in measures])
+        measured = measured.unionByName(carried, allowMissingColumns=True)
+    by = ", ".join(f"`{p}`" for p in parts)
+    before = (f"over (partition by {by} order by `{at}` range between unbounded preceding "
+              "and interval '0 00:00:00.000001' day to second preceding)")
+    sums = {f"_sum_{m}": F.expr(f"coalesce(sum(`{m}`) {before}, 0)") for m in measures}
+    summed = measured.withColumns(sums).filter(F.col("_real"))
+    return summed.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(f"`_sum_{m}`").alias(m) for m in measures])

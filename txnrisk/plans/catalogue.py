@@ -466,6 +466,12 @@ def features_full(spark, folder):
     return _features(layers.features(spark, folder))
 
 
+@query
+def features_point_in_time(spark, folder):
+    """All eight inputs as known just before each transaction, merchant labels a week late."""
+    return _features(layers.features_point_in_time(spark, folder))
+
+
 @query
 def features_incremental(spark, folder):
     """Rows newer than the first batch, with their users' history as context."""
@@ -525,8 +531,8 @@ def eval_pr_auc(spark, folder):
 
 
 def _trained_scores(spark, folder):
-    """Fit the classifier on the earlier rows, score the later ones with it."""
-    rows = training.for_model(layers.scored(spark, folder).drop("fraud_probability", "risk_tier"))
+    """Fit the classifier on the earlier rows, score the later ones with it; inputs as known at the time."""
+    rows = training.for_model(layers.features_point_in_time(spark, folder))
     cut = _ntz("2024-01-23")
     model = training.train(rows.filter(F.col("transaction_date") < cut))
     saved = scratch(spark, "models")

@@ -17,6 +17,7 @@ from txnrisk.operators.clean import clean
 from txnrisk.operators.dims import DEVICE_CHECK, USER_CHECK, devices_latest, users_latest
 from txnrisk.operators.features import build_features
 from txnrisk.operators.partials import merchant_days, user_days
+from txnrisk.operators.point_in_time import features_point_in_time as known_before
 from txnrisk.operators.scd2 import scd2_apply, scd2_from_events
 from txnrisk.operators.scoring import with_scores
 from txnrisk.operators.skew import heavy_keys_by
@@ -156,6 +157,13 @@ def features(spark: SparkSession, folder: str, new_ids: DataFrame | None = None,
         heavy_merchants=heavy(spark, folder, "merchant_id"))
 
 
+def features_point_in_time(spark: SparkSession, folder: str) -> DataFrame:
+    """Features as known just before each transaction, for training."""
+    return _layer(spark, folder, "features_point_in_time", lambda: known_before(
+        fact(spark, folder), country_versions(spark, folder), heavy_users=heavy(spark, folder, "user_id"),
+        heavy_merchants=heavy(spark, folder, "merchant_id")))
+
+
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     """Features, score and the fact columns the dashboard measures use."""
     return _layer(spark, folder, "scored", lambda: with_scores(features(spark, folder, keep=KEPT)),

@@ -241,6 +241,32 @@ FROM moved d LEFT JOIN baseline b ON b.user_id = d.user_id LEFT JOIN {risk} m ON
 _cte("features", _features_with("risk"))
 _cte("features_february", _features_with("risk_february"))
 
+# What was known just before each transaction: moving frames that leave the row's instant out, labels a week late.
+_cte("known", """
+SELECT *, count(*) OVER w AS n, sum(CAST(transaction_amount * 100 AS HUGEINT)) OVER w AS cents,
+  sum(CAST(transaction_amount * 100 AS HUGEINT) * CAST(transaction_amount * 100 AS HUGEINT)) OVER w AS squares,
+  CAST(quantile_disc(transaction_amount, 0.9) OVER w * 100 AS HUGEINT) AS p90_cents,
+  min(hour(transaction_date)) OVER w AS first_hour, max(hour(transaction_date)) OVER w AS last_hour,
+  count(*) OVER m AS labelled, count(*) FILTER (WHERE is_fraud_label) OVER m AS frauds
+FROM moved WINDOW w AS (PARTITION BY user_id ORDER BY transaction_date
+    RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING),
+  m AS (PARTITION BY merchant_id ORDER BY transaction_date
+    RANGE BETWEEN INTERVAL 97 DAYS PRECEDING AND (INTERVAL 7 DAYS + INTERVAL 1 MICROSECOND) PRECEDING)""")
+_cte("features_known", """
+SELECT transaction_id, user_id, merchant_id,
+  (CAST(transaction_amount AS DOUBLE) - CAST((2 * cents * 10000 + n) // (2 * n) AS DOUBLE) / 1000000)
+    / nullif(CASE WHEN n > 1 THEN sqrt(CAST(n * squares - cents * cents AS DOUBLE) / (n * (n - 1))) / 100 END, 0)
+    AS amount_zscore,
+  greatest(velocity_1hr_inclusive - 1, 0) AS velocity_1hr,
+  CASE WHEN distance_km / hours_since_prev > 900 THEN 1 ELSE 0 END AS impossible_travel_flag,
+  CASE WHEN transaction_date = device_first_seen_at THEN 1 ELSE 0 END AS new_device_flag,
+  CAST((2 * CAST(transaction_amount * 100 AS HUGEINT) * 1000000000 + p90_cents) // (2 * p90_cents) AS DOUBLE)
+    / 1000000000 AS exact_percentile,
+  CASE WHEN hour(transaction_date) NOT BETWEEN first_hour AND last_hour THEN 1 ELSE 0 END AS off_hours_flag,
+  CASE WHEN ip_country <> billing_country_at_tx_time THEN 1 ELSE 0 END AS location_mismatch_flag,
+  CASE WHEN labelled > 0 THEN frauds / labelled END AS merchant_risk_rate, is_fraud_label, transaction_date
+FROM known""")
+
 _LOGIT = """-3.0 + 0.6 * coalesce(least(greatest(amount_zscore, -5.0), 5.0), 0)
   + 0.7 * velocity_1hr + 2.0 * impossible_travel_flag + 1.0 * new_device_flag
   + 0.3 * coalesce(least(device_amount_percentile, 5.0), 0) + 0.5 * off_hours_flag
@@ -462,6 +488,7 @@ STATEMENTS: dict[str, str] = {
       count(*) OVER (PARTITION BY user_id ORDER BY transaction_date
         RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW) AS transactions_7d FROM fact""",
     "features_full": f"SELECT {_FEATURES} FROM features",
+    "features_point_in_time": f"SELECT {_FEATURES} FROM features_known",
     "features_incremental": f"""SELECT {_FEATURES} FROM features
       WHERE transaction_id IN (SELECT transaction_id FROM newer)""",
     # scoring and evaluation
