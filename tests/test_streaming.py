@@ -1,10 +1,14 @@
 import datetime as dt
 import functools
+import shutil
 
 from pyspark.sql import DataFrame, functions as F
 
 from tests.helpers import raw_rows, rows_of, transactions
+from txnrisk.operators.baselines import merchant_risk, user_baseline
 from txnrisk.operators.clean import typed
+from txnrisk.operators import kpi
+from txnrisk.operators.features import build_features
 from txnrisk.plans.pipeline import run_pipeline
 from txnrisk.sources import csv_files
 from txnrisk.sources.tables import LayerStore
@@ -90,6 +94,58 @@ def test_windows_and_days_take_late_rows(spark, tmp_path):
                    F.round("avg_fraud_probability", 6)) == [("2024-01-01", 5, 1, 4, 0.088), ("2024-01-06", 2, 0, 2, 0.005)]
 
 
+def test_days_of_rows_without_a_date(spark, tmp_path):
+    scored = transactions(spark, [dict(), dict(transaction_date=None), dict(transaction_date=None)]).withColumns(
+        {"risk_tier": F.lit("High"), "fraud_probability": F.lit(0.9)})
+    table = streams.run_daily_kpi(stream_of(spark, tmp_path, scored), str(tmp_path / "out"))
+    assert rows_of(table) == rows_of(kpi.daily_kpi(scored))
+
+
+def test_sessions_equal_spark_sessions(spark):
+    rows = transactions(spark, [dict(user_id=f"U{i % 3}" if i % 7 else None, transaction_date=str(
+        dt.datetime(2024, 1, 1, 23) + dt.timedelta(minutes=i * i % 400 * 5 // 2)), is_fraud_label=i % 4 == 0) for i in range(200)])
+    found = streams.merge_intervals(streams.intervals(rows)).filter(F.col("transactions") >= 2)
+    assert rows_of(found) == rows_of(streams.burst_sessions(rows))
+
+
+def arrivals(spark):
+    """Rows of six days, a day per micro-batch; some a little late, one of a user unseen for long, one very late."""
+    def row(name, user, day, minute, **more):
+        at = dt.datetime(2024, 1, 1) + dt.timedelta(days=day, minutes=minute)
+        return dict(transaction_id=name, user_id=user, transaction_date=str(at), location_lat=float(minute % 90), **more)
+
+    days = [[row(f"{d}-{u}-{m}", u, d, m, device_id=f"D{(d + m) % 4}") for u in ("U1", "U2") for m in (5, 40, 70, 900)]
+            for d in range(6)]
+    days[2].append(row("near", "U1", 1, 1000, device_id="D9"))
+    days[3] += [row("old", "U2", 0, 50, device_id="D3"), row("seldom", "U3", 3, 10)]
+    days[5].append(row("again", "U3", 5, 11))
+    return [transactions(spark, rows) for rows in days]
+
+
+def stream_inputs(spark, folder, batches, **options):
+    versions = spark.createDataFrame([], "user_id string, billing_country string, dbt_valid_from timestamp_ntz, dbt_valid_to timestamp_ntz")
+    baseline = user_baseline(batches[0], "2024-02-01")
+    risk = merchant_risk(batches[0], "2024-02-01")
+    whole = build_features(functools.reduce(DataFrame.union, batches), versions, baseline, risk)
+    return whole, lambda stream: streams.run_features(stream, str(folder / "out"), versions, baseline, risk, **options)
+
+
+def test_inputs_of_a_stream_equal_the_batch(spark, tmp_path):
+    batches = arrivals(spark)
+    whole, run = stream_inputs(spark, tmp_path, batches)
+    assert rows_of(run(stream_of(spark, tmp_path, *batches))) == rows_of(whole)
+
+
+def test_rows_beyond_the_horizon_are_not_read(spark, tmp_path):
+    """Rows that arrived long ago are gone before the last micro-batches; their inputs do not miss them."""
+    batches = arrivals(spark)
+    whole, run = stream_inputs(spark, tmp_path, batches)
+    run(stream_of(spark, tmp_path, *batches[:4]))
+    for number in range(2):
+        shutil.rmtree(tmp_path / "out" / "rows" / f"batch_id={number}")
+    assert rows_of(run(stream_of(spark, tmp_path, *batches[4:]))) == rows_of(whole)
+
+
 def test_event_time_must_be_zoned(spark):
     rows = spark.range(1).select(F.lit("2024-01-01").cast("timestamp_ntz").alias("transaction_date"))
     assert dict(streams.zoned(rows).dtypes)["transaction_date"] == "timestamp"

@@ -883,11 +883,9 @@ def stream_velocity_sliding(spark, folder):
 
 @query
 def stream_burst_sessions(spark, folder):
-    """Sessions that ended an hour before the newest row."""
+    """Sessions of rows that arrive in several files, those still open at the end too."""
     table = streams.run_burst_sessions(layers.arriving(spark, folder), scratch(spark, "stream-sessions"))
-    table = table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
-    newest = layers.fact(spark, folder).agg(F.max("transaction_date").alias("_newest"))
-    return table.join(newest, F.col("session_end") <= F.col("_newest") - F.expr(f"interval {streams.LATENESS}")).drop("_newest")
+    return table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
 
 
 @query

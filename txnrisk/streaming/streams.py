@@ -14,18 +14,25 @@ in whatever order.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from txnrisk.operators.clean import deduplicate, typed
 from txnrisk.operators.features import build_features
+from txnrisk.operators.incremental import bounded_context, device_firsts, user_points
 from txnrisk.operators.scoring import LogisticScorer, with_scores
+from txnrisk.operators.state import with_event_date, write_table
 from txnrisk.schemas import RAW_SCHEMA
+from txnrisk.sources.tables import LayerStore
 
 # Fixed values of the hot path.
 SESSION_GAP = "10 minutes"
 LATENESS = "1 hour"
+# Rows so far behind the newest of their micro-batch are corrected from the days kept at hand.
+HORIZON = timedelta(days=1)
 
 
 def event_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -83,7 +90,7 @@ def sliding_velocity(transactions: DataFrame, width: str = "1 hour", slide: str
 
 def burst_sessions(transactions: DataFrame, gap: str = SESSION_GAP, at_least: int = 2,
                    lateness: str = LATENESS) -> DataFrame:
-    """Runs of a user's transactions less than ``gap`` apart, once closed."""
+    """Runs of a user's transactions no more than ``gap`` apart, once closed."""
     return (zoned(transactions).withWatermark("transaction_date", lateness)
             .groupBy("user_id", F.session_window("transaction_date", gap))
             .agg(F.count("*").alias("transactions"), F.count_if("is_fraud_label").alias("fraud"))
@@ -105,35 +112,86 @@ def daily_kpi(scored: DataFrame, lateness: str = LATENESS) -> DataFrame:
                     "flagged_medium", "flagged_low", "avg_fraud_probability"))
 
 
-def run_features(transactions: DataFrame, path: str, versions: DataFrame, baseline: DataFrame,
-                 risk: DataFrame) -> DataFrame:
+def run_features(transactions: DataFrame, path: str, versions: DataFrame, baseline: DataFrame, risk: DataFrame, *,
+                 horizon: timedelta = HORIZON, heavy: Sequence = ()) -> DataFrame:
     """All eight model inputs of every transaction that arrives; returns the table of them.
 
-    A micro-batch is added to the rows that have arrived; the inputs of its
-    users' rows from their first new row on are computed from all rows of these
-    users. A late row so corrects the rows after it, and no row is too late. A
-    repeated micro-batch replaces itself; the latest one to hold a transaction
+    A micro-batch costs what it and the last ``horizon`` hold, not what ever
+    arrived: rows are kept by day, and each user's last point and first device
+    uses in tables whose buckets of the batch's users alone are opened. A late
+    row corrects the rows after it: within the horizon from the kept days, and
+    a user with an older one is computed again from all rows that arrived. No
+    row is too late; a row without a user has no history and is left out. A
+    repeated micro-batch replaces itself, the latest one to hold a transaction
     counts.
     """
-    schema, spark = transactions.schema, transactions.sparkSession
+    schema, spark = transactions.drop("event_date").schema, transactions.sparkSession
+    by_day = StructType([*schema.fields, StructField("batch_id", LongType()), StructField("event_date", DateType())])
+    store = LayerStore(spark, f"{path}/kept")
+
+    def kept(name: str, keys: DataFrame, empty: DataFrame) -> DataFrame:
+        held = store.read("state", name, keys)
+        return empty.limit(0) if held is None else held
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
-        arrived = (spark.read.schema(schema.add("batch_id", "long")).option("basePath", f"{path}/rows")
-                   .parquet(f"{path}/rows").filter(F.col("batch_id") <= batch_id))
-        first = (arrived.filter(F.col("batch_id") == batch_id).groupBy("user_id")
-                 .agg(F.min("transaction_date").alias("_first")))
-        history = arrived.drop("batch_id").join(first, "user_id", "left_semi")
-        inputs = build_features(history, versions, baseline, risk)
-        inputs = inputs.join(first, "user_id").filter(F.col("transaction_date") >= F.col("_first")).drop("_first")
-        inputs.write.mode("overwrite").parquet(f"{path}/inputs/batch_id={batch_id}")
-
-    query = (transactions.writeStream.foreachBatch(handle).trigger(availableNow=True)
-             .option("checkpointLocation", f"{path}-checkpoint").start())
-    query.awaitTermination()
+        folder = f"{path}/rows/batch_id={batch_id}"
+        with_event_date(batch.drop("event_date")).write.mode("overwrite").partitionBy("event_date").parquet(folder)
+        rows = spark.read.schema(schema).parquet(folder)
+        arrived = (spark.read.schema(by_day).option("basePath", f"{path}/rows").parquet(f"{path}/rows")
+                   .filter(F.col("batch_id") <= batch_id).drop("batch_id"))
+        users = rows.select("user_id").distinct()
+        points = kept("user_points", users, user_points(rows))
+        firsts = kept("device_firsts", users, device_firsts(rows))
+        first = write_table(_ways(rows, points, horizon), f"{path}/first/batch_id={batch_id}")
+        newest = rows.agg(F.max("transaction_date")).scalar()
+        recent = arrived.filter(F.col("event_date") >= F.to_date(newest - F.lit(2 * horizon))).drop("event_date")
+
+        def of(way: str) -> DataFrame:
+            return first.filter(F.col("way") == way).select("user_id", "first_new")
+
+        late = recent.join(of("late"), "user_id")
+        # Whoever has a row before the late one in the kept days needs nothing older.
+        reached = write_table(late.filter(F.col("transaction_date") < F.col("first_new")).select("user_id").distinct(),
+                              f"{path}/reached/batch_id={batch_id}")
+        again = write_table(of("old").unionByName(of("late").join(reached, "user_id", "left_anti")),
+                            f"{path}/again/batch_id={batch_id}")
+
+        def since(context: DataFrame, users: DataFrame, **state: DataFrame) -> DataFrame:
+            inputs = build_features(context, versions, baseline, risk, heavy_users=heavy, **state)
+            return inputs.join(users, "user_id").filter(F.col("transaction_date") >= F.col("first_new")).drop("first_new")
+
+        in_order = rows.join(of("in order"), "user_id", "left_semi")
+        parts = [build_features(bounded_context(arrived, in_order, points, heavy=heavy), versions, baseline, risk,
+                                new_flag="_new", device_firsts=firsts, heavy_users=heavy),
+                 since(late.drop("first_new").join(reached, "user_id", "left_semi"),
+                       of("late").join(reached, "user_id", "left_semi"), device_firsts=firsts)]
+        if not again.isEmpty():
+            parts.append(since(arrived.drop("event_date").join(again, "user_id", "left_semi"), again))
+        reduce(DataFrame.unionByName, parts).write.mode("overwrite").parquet(f"{path}/inputs/batch_id={batch_id}")
+
+        # Merged by maximum and minimum, so late rows and a repeated micro-batch do no harm.
+        last = write_table(user_points(points.unionByName(rows, allowMissingColumns=True)),
+                           f"{path}/points/batch_id={batch_id}")
+        used = write_table(device_firsts(firsts.withColumnRenamed("first_seen_at", "transaction_date")
+                                         .unionByName(rows, allowMissingColumns=True)), f"{path}/used/batch_id={batch_id}")
+        store.replace(users, last, "state", "user_points", ["user_id"])
+        store.replace(users, used, "state", "device_firsts", ["user_id"])
+
+    _run_batches(transactions, path, handle)
     return latest_per_key(spark.read.option("basePath", f"{path}/inputs").parquet(f"{path}/inputs"), ["transaction_id"])
 
 
+def _ways(rows: DataFrame, points: DataFrame, horizon: timedelta) -> DataFrame:
+    """``(user_id, first_new, way)``: whether a user's new rows are in order, late within the horizon, or old."""
+    newest = rows.agg(F.max("transaction_date")).scalar()
+    first = (rows.filter(F.col("user_id").isNotNull()).groupBy("user_id")
+             .agg(F.min("transaction_date").alias("first_new")))
+    last = points.select("user_id", F.col("transaction_date").alias("_last"))
+    way = (F.when(F.col("first_new") < newest - F.lit(horizon), "old")
+           .when(F.col("first_new") <= F.col("_last"), "late").otherwise("in order"))
+    return first.join(last, "user_id", "left").select("user_id", "first_new", way.alias("way"))
+
+
 def run_scored_alerts(transactions: DataFrame, path: str, versions: DataFrame, baseline: DataFrame, risk: DataFrame,
                       threshold: float = 0.7, model: LogisticScorer | None = None) -> DataFrame:
     """Transactions whose score is above the threshold: those the batch scoring of the same rows finds."""
@@ -195,28 +253,51 @@ def run_sliding_velocity(transactions: DataFrame, path: str, width: str = "1 hou
 
 
 def run_burst_sessions(transactions: DataFrame, path: str, gap: str = SESSION_GAP, at_least: int = 2) -> DataFrame:
-    """Runs of a user's transactions less than ``gap`` apart, those still open at the end too; returns the table.
+    """Runs of a user's transactions no more than ``gap`` apart, those still open at the end too; returns the table.
 
-    A micro-batch's users are computed again from all their rows, as a late row
-    may join sessions.
+    A micro-batch is written as the intervals its rows make by themselves, and
+    nothing earlier is read for it. Intervals of all micro-batches that touch
+    are joined in the result, so a late row may join two sessions.
     """
-    schema, spark = transactions.schema, transactions.sparkSession
+    partials = _run_partials(transactions, path, lambda batch: intervals(batch, gap))
+    return (merge_intervals(partials).filter(F.col("transactions") >= at_least)
+            .select("user_id", "session_start", "session_end", "transactions", "fraud"))
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
-        arrived = _batches(spark, f"{path}/rows", schema, batch_id)
-        touched = arrived.filter(F.col("batch_id") == batch_id).select(F.col("user_id").alias("_user")).distinct()
-        history = arrived.drop("batch_id").join(touched, F.col("user_id").eqNullSafe(F.col("_user")), "left_semi")
-        burst_sessions(history, gap, at_least).write.mode("overwrite").parquet(f"{path}/sessions/batch_id={batch_id}")
 
-    _run_batches(transactions, path, handle)
-    found = spark.read.option("basePath", f"{path}/sessions").parquet(f"{path}/sessions")
-    newest = F.max("batch_id").over(Window.partitionBy("user_id"))
-    return found.withColumn("_newest", newest).filter(F.col("batch_id") == F.col("_newest")).drop("_newest", "batch_id")
+def intervals(rows: DataFrame, gap: str = SESSION_GAP) -> DataFrame:
+    """Sessions of one or more rows each; rows without a time are in none."""
+    points = zoned(rows).filter(F.col("transaction_date").isNotNull()).select(
+        "user_id", F.col("transaction_date").alias("session_start"),
+        (F.col("transaction_date") + F.expr(f"interval {gap}")).alias("session_end"),
+        F.lit(1).cast("long").alias("transactions"),
+        F.coalesce(F.col("is_fraud_label").cast("long"), F.lit(0)).alias("fraud"))
+    return merge_intervals(points)
+
+
+def merge_intervals(sessions: DataFrame) -> DataFrame:
+    """Intervals of a user that overlap or touch, joined into one as ``session_window`` does.
+
+    First within the days they start on, so that a user with a third of all
+    rows is spread over the days; what is left of one user after that is no
+    more than a day has gaps, times the days.
+    """
+    by_day = _joined(sessions.withColumn("_day", F.to_date("session_start")), ["user_id", "_day"])
+    return _joined(by_day.drop("_day"), ["user_id"])
+
+
+def _joined(sessions: DataFrame, parts: Sequence[str]) -> DataFrame:
+    in_order = Window.partitionBy(*parts).orderBy("session_start", "session_end")
+    reached = F.max("session_end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col("session_start") <= F.col("_reached"), 0).otherwise(1)
+    return (sessions.withColumn("_reached", reached).withColumn("_opens", opens)
+            .withColumn("_session", F.sum("_opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+            .groupBy(*parts, "_session")
+            .agg(F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"),
+                 F.sum("transactions").alias("transactions"), F.sum("fraud").alias("fraud")).drop("_session"))
 
 
 def run_daily_kpi(scored: DataFrame, path: str) -> DataFrame:
-    """The daily measures; returns the table."""
+    """The daily measures, rows without a date in a group of their own as in the batch form; returns the table."""
     def partial(batch: DataFrame) -> DataFrame:
         return batch.groupBy(F.to_date("transaction_date").alias("date_key")).agg(
             F.count("*").alias("total_transactions"),
@@ -224,7 +305,7 @@ def run_daily_kpi(scored: DataFrame, path: str) -> DataFrame:
             F.sum("fraud_probability").alias("_sum"), F.count("fraud_probability").alias("_scored"))
 
     counts = ["total_transactions", "flagged_high", "flagged_medium", "flagged_low"]
-    return _run_partials(scored.filter(F.col("transaction_date").isNotNull()), path, partial).groupBy("date_key").agg(
+    return _run_partials(scored, path, partial).groupBy("date_key").agg(
         *[F.sum(c).alias(c) for c in counts],
         F.try_divide(F.sum("_sum"), F.sum("_scored")).alias("avg_fraud_probability"))
 
