@@ -175,15 +175,17 @@ def take(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_repeat: int
     # Rows alike in id, text and source get the same number of copies but where the cut goes through them:
     # there the first of them, in any order, get one more.
     draw, key, least, extra, number, copy = fresh_names(docs, "draw", "key", "least", "extra", "number", "copy")
-    given = (_decide(docs, weights, max_repeat, seed, id_column, text_column, source_column)
-             .groupBy(F.col("draw").alias(draw), F.col("key").alias(key))
-             .agg(F.min("copies").alias(least), (F.sum("copies") - F.min("copies") * F.count("*")).alias(extra))
-             .where((F.col(least) > 0) | (F.col(extra) > 0)))
+    given = staged(_decide(docs, weights, max_repeat, seed, id_column, text_column, source_column)
+                   .groupBy(F.col("draw").alias(draw), F.col("key").alias(key))
+                   .agg(F.min("copies").alias(least), (F.sum("copies") - F.min("copies") * F.count("*")).alias(extra))
+                   .where((F.col(least) > 0) | (F.col(extra) > 0)), "mix-copies")
     drawn = (docs.withColumn(draw, _draw(seed, id_column, text_column))
-             .withColumn(key, _source_key(source_column)).join(given, [draw, key]))
-    cut = F.col(extra) > 0
-    first = F.row_number().over(Window.partitionBy(draw, key).orderBy(F.lit(0))) <= F.col(extra)
-    counted = drawn.where(~cut).withColumn(number, F.col(least).cast("int")).unionByName(
-        drawn.where(cut).withColumn(number, F.col(least) + F.when(first, 1).otherwise(0)))
+             .withColumn(key, _source_key(source_column)))
+    cut = given.where(F.col(extra) > 0)
+    counted = drawn.join(given.where(F.col(extra) == 0), [draw, key]).withColumn(number, F.col(least).cast("int"))
+    if not cut.isEmpty():  # else the texts need not be dealt out a second time
+        first = F.row_number().over(Window.partitionBy(draw, key).orderBy(F.lit(0))) <= F.col(extra)
+        counted = counted.unionByName(drawn.join(cut, [draw, key]).withColumn(
+            number, (F.col(least) + F.when(first, 1).otherwise(0)).cast("int")))
     return (counted.withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(number))))
             .select(*docs.columns))
