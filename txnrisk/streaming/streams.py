@@ -13,6 +13,7 @@ in whatever order.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 from functools import reduce
@@ -33,6 +34,8 @@ SESSION_GAP = "10 minutes"
 LATENESS = "1 hour"
 # Rows so far behind the newest of their micro-batch are corrected from the days kept at hand.
 HORIZON = timedelta(days=1)
+# Windows of all users that one task counts, about.
+GROUPS = 1_000_000
 
 
 def event_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -247,9 +250,27 @@ def run_deduplicated(raw: DataFrame, path: str) -> DataFrame:
 
 
 def run_sliding_velocity(transactions: DataFrame, path: str, width: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
-    """Transactions per user in sliding windows; returns the table."""
-    partials = _run_partials(transactions, path, lambda batch: sliding_velocity(batch, width, slide))
-    return partials.groupBy("user_id", "window_start").agg(F.sum("transactions").alias("transactions"))
+    """Transactions per user in sliding windows; returns the table.
+
+    A micro-batch is written as its counts per user and slot, a slot being the
+    longest time that every window holds whole or not at all. The counts are
+    dealt by user, and only then does each go into the windows around it, a
+    bounded number of them per task. However many rows a user has, what is left
+    of them is a row per slot and micro-batch.
+    """
+    lengths = transactions.sparkSession.sql(f"SELECT interval {width} AS width, interval {slide} AS slide").first()
+    slot = f"{math.gcd(*(length // timedelta(microseconds=1) for length in lengths))} microseconds"
+
+    def per_slot(batch: DataFrame) -> DataFrame:
+        return (zoned(batch).groupBy("user_id", F.window("transaction_date", slot)).agg(F.count("*").alias("_n"))
+                .select("user_id", F.col("window.start").alias("_slot"), "_n"))
+
+    partials = _run_partials(transactions, path, per_slot)
+    windows = max(1, -(-lengths["width"] // lengths["slide"]))
+    tasks = max(1, -(-partials.count() * windows // GROUPS))
+    return (partials.repartition(tasks, "user_id").groupBy("user_id", "_slot").agg(F.sum("_n").alias("_n"))
+            .groupBy("user_id", F.window("_slot", width, slide)).agg(F.sum("_n").alias("transactions"))
+            .select("user_id", F.col("window.start").alias("window_start"), "transactions"))
 
 
 def run_burst_sessions(transactions: DataFrame, path: str, gap: str = SESSION_GAP, at_least: int = 2) -> DataFrame:
