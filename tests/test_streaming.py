@@ -9,6 +9,7 @@ from txnrisk.operators.baselines import merchant_risk, user_baseline
 from txnrisk.operators.clean import typed
 from txnrisk.operators import kpi
 from txnrisk.operators.features import build_features
+from txnrisk.plans import layers
 from txnrisk.plans.pipeline import run_pipeline
 from txnrisk.sources import csv_files
 from txnrisk.sources.tables import LayerStore
@@ -94,6 +95,35 @@ def test_windows_and_days_take_late_rows(spark, tmp_path):
                    F.round("avg_fraud_probability", 6)) == [("2024-01-01", 5, 1, 4, 0.088), ("2024-01-06", 2, 0, 2, 0.005)]
 
 
+def test_sliding_counts_are_written_by_slot(spark, tmp_path):
+    """A row is written once, not once per window, also where windows are no multiple of the slide."""
+    rows = [transactions(spark, [dict(transaction_id=f"{n}-{i}", user_id=f"U{i % 2}" if i % 5 else None, transaction_date=str(
+        dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i * i % 97 + n))) for i in range(20)] + [dict(transaction_date=None)])
+        for n in range(2)]
+    for width, slide in (("1 hour", "5 minutes"), ("50 minutes", "20 minutes")):
+        out = tmp_path / width
+        counts = streams.run_sliding_velocity(stream_of(spark, out, *rows), str(out / "out"), width, slide)
+        assert rows_of(counts) == rows_of(streams.sliding_velocity(rows[0].union(rows[1]), width, slide))
+        assert spark.read.parquet(str(out / "out")).count() <= 40
+
+
+def test_micro_batches_arrive_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layers, "FILE_ROWS", 50, raising=False)
+    ids = spark.range(1000).select(F.col("id").cast("string").alias("transaction_id"), F.current_date().alias("event_date"))
+
+    def thousand(spark, folder):
+        return ids
+
+    seen = []
+    found = layers.arriving(spark, str(tmp_path), layer=thousand)
+    query = (found.writeStream.foreachBatch(lambda batch, _: seen.append(batch.groupBy(F.input_file_name()).count().collect()))
+             .trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "checkpoint")).start())
+    query.awaitTermination()
+    assert [len(files) for files in seen] == [5] * 4
+    assert sum(row["count"] for files in seen for row in files) == 1000
+    assert max(row["count"] for files in seen for row in files) < 100
+
+
 def test_days_of_rows_without_a_date(spark, tmp_path):
     scored = transactions(spark, [dict(), dict(transaction_date=None), dict(transaction_date=None)]).withColumns(
         {"risk_tier": F.lit("High"), "fraud_probability": F.lit(0.9)})

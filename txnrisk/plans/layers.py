@@ -34,7 +34,10 @@ USER_AS_OF = "2024-02-10"
 MERCHANT_AS_OF = "2024-04-10"
 KEPT = ["transaction_amount", "payment_method", "device_type", "billing_country"]
 
-_built: dict[tuple[str, str, str], tuple[str, object]] = {}
+# Rows of a file that arrives, so that no task writes or reads a whole micro-batch.
+FILE_ROWS = 250_000
+
+_built: dict[tuple[str, str, str], tuple] = {}
 _heavy: dict[tuple[str, str], dict[str, list]] = {}
 
 
@@ -57,22 +60,24 @@ def _layer(spark: SparkSession, folder: str, name: str, make: Callable[[], DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
-def arriving(spark: SparkSession, folder: str, files: int = 4,
+def arriving(spark: SparkSession, folder: str, batches: int = 4,
              layer: Callable[[SparkSession, str], DataFrame] | None = None) -> DataFrame:
-    """A layer, the fact if none is given, as a stream of ``files`` micro-batches that each hold rows of all times.
+    """A layer, the fact if none is given, as a stream of ``batches`` micro-batches that each hold rows of all times.
 
-    Copies of a raw row's id come in different micro-batches.
+    Copies of a raw row's id come in different micro-batches. A micro-batch is one file of a small layer, and as many
+    of ``FILE_ROWS`` rows as it takes of a larger one; any of the files may come together, as they are dealt by hash.
     """
     layer = layer or fact
     key = (spark.sparkContext.applicationId, folder, f"arriving-{layer.__name__}")
     if key not in _built:
         path, rows = scratch(spark, "arriving"), layer(spark, folder).drop("event_date")
+        files = max(1, -(-rows.count() // (FILE_ROWS * batches)))
         dealt_by = ["transaction_id"] if "transaction_id" in rows.columns else rows.columns
-        rows.withColumn("file", F.pmod(F.xxhash64(*dealt_by), F.lit(files))).repartition(files, "file").drop(
-            "file").write.option("maxRecordsPerFile", 0).parquet(path)
-        _built[key] = (path, rows.schema)
-    path, schema = _built[key]
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+        part = F.pmod(F.xxhash64(*dealt_by), F.lit(batches * files)).cast("int")
+        rows.repartitionById(batches * files, part).write.option("maxRecordsPerFile", 0).parquet(path)
+        _built[key] = (path, rows.schema, files)
+    path, schema, files = _built[key]
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def landed_csv(spark: SparkSession, folder: str) -> str:
