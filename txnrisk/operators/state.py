@@ -78,17 +78,19 @@ def write_by_day(df: DataFrame, path: str, mode: str = "overwrite", partition: s
 
 
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                      partition: str = "event_date", days: Sequence | None = None) -> list:
+                      partition: str = "event_date", days: Sequence | None = None, staged: bool = False) -> list:
     """Keyed upsert into a partitioned table that rewrites touched days only.
 
     Touched are the days of the batch and the days that hold an older row of
     one of its keys. Finding the latter reads the key column of the table,
     unless the caller knows the touched ``days``. The new content of the
-    touched days is written to the shared folder first and swapped in from
-    there, so nothing overwrites what it reads and a lost executor only repeats
-    its own tasks. Returns the touched days.
+    touched days is written to the shared folder first, in few files a day, and
+    swapped in from there, so nothing overwrites what it reads and a lost
+    executor only repeats its own tasks. ``staged`` says that the batch comes
+    straight from a written table and need not be written once more. Returns
+    the touched days.
     """
-    staged_batch = write_table(batch, scratch(spark, "upsert-batch"))
+    staged_batch = batch if staged else write_table(batch, scratch(spark, "upsert-batch"))
     state = spark.read.schema(batch.schema).parquet(path)
     if days is None:
         holding = history_by_keys(state.select(*keys, partition), staged_batch, keys).select(partition)
@@ -96,7 +98,8 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     if not days:
         return []
     touched = state.filter(F.col(partition).isin(days))
-    merged = write_table(upsert(touched, staged_batch, keys), scratch(spark, "upsert-merged"), [partition])
+    merged = write_table(upsert(touched, staged_batch, keys).hint("rebalance", partition), scratch(spark, "upsert-merged"),
+                         [partition])
     overwrite_days(spark, path, merged, days, partition)
     return sorted(days)
 

@@ -45,13 +45,13 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
 
 
 def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, days: list) -> DataFrame:
-    """Upsert into a table partitioned by day, of which ``days`` are touched; returns the table."""
+    """Upsert a written table into one partitioned by day, of which ``days`` are touched; returns the table."""
     path = store.path(layer, name)
     dated = batch if "event_date" in batch.columns else state.with_event_date(batch)
     if _existing(store.spark, path, dated.schema) is None:
         state.write_by_day(dated, path)
     else:
-        state.upsert_partitions(store.spark, path, dated, ["transaction_id"], days=days)
+        state.upsert_partitions(store.spark, path, dated, ["transaction_id"], days=days, staged=True)
     return store.spark.read.schema(dated.schema).parquet(path)
 
 
@@ -114,7 +114,7 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
 
     _snapshots(store, fact, batch, replaced, affected, heavy, effective_ts, as_of)
     users, users_current, devices, devices_current = (
-        store.read(*table) for name in ("users", "devices") for table in (("snapshots", name), ("silver", f"{name}_current")))
+        store.merged(*table) for name in ("users", "devices") for table in (("snapshots", name), ("silver", f"{name}_current")))
     checks += gate(contract_report({
         "fact": touched(fact, days), "users_current": users_current, "devices_current": devices_current,
         "users_versions": users, "devices_versions": devices}))
@@ -125,7 +125,8 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
                                         MERCHANT_WINDOW_DAYS)):
         keys = state.write_table(affected(key, window), scratch(spark, f"affected-{name}"))
         rows = state.write_table(measure(sums[key], as_of, window, keys, stamp), scratch(spark, name))
-        refreshed.append(store.replace(keys, rows, "gold", name, [key]))
+        store.replace(keys, rows, "gold", name, [key])
+        refreshed.append(store.merged("gold", name))
     baseline, risk = refreshed
 
     rows = _features(store, fact, batch, replaced, users, baseline, risk, heavy, country_history)

@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
+from txnrisk.session import scratch
+
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table by its one- to three-part name."""
@@ -112,6 +114,15 @@ class LayerStore:
             rows = _matching(rows, latest, by, "left_anti").unionByName(fresh.filter(_LIVE).select(*schema.names))
         return rows if keys is None else _matching(rows, wanted, by, "left_semi")
 
+    def merged(self, layer: str, name: str) -> DataFrame | None:
+        """The table as last published, to be read more than once: its deltas are put in place once, into a scratch folder."""
+        rows = self.read(layer, name)
+        if rows is None or not any(row.delta for row in self._entries(layer, name)):
+            return rows
+        path = scratch(self.spark, name)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def publish(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = (), *,
                 keys: Sequence[str] = ()) -> DataFrame:
         """``df`` as the whole new content; with ``keys`` as a table kept by them."""
