@@ -11,7 +11,7 @@ from txnrisk.operators.behaviour import behaviour_windows, user_frequency
 from txnrisk.operators.clean import clean
 from txnrisk.operators.features import build_features
 from txnrisk.operators.scd2 import asof_join, scd2_from_events
-from txnrisk.operators.skew import heavy_keys, join_salted, neighbour
+from txnrisk.operators.skew import heavy_keys, join_salted, neighbour, sums_before
 from txnrisk.sources.events import read_raw
 
 HOURS = [1, 24, 24 * 7]
@@ -95,3 +95,15 @@ def test_heavy_keys(spark):
     assert heavy_keys(rows, "k", min_rows=1000) == ["hot"]
     assert heavy_keys(rows, "k", min_rows=100_000) == []
     assert heavy_keys(rows.limit(0), "k", min_rows=1) == []
+
+
+def test_moves_that_no_row_asks_for_are_not_summed(spark):
+    """Keys without rows are left out before the measures are made, which would fail on them."""
+    rows = spark.createDataFrame([("a", 5, "x"), ("b", 9, "y"), (None, 3, "z")], "k string, at int, id string").withColumn(
+        "at", F.timestamp_seconds("at"))
+    moves = spark.createDataFrame([("a", 1, 2), ("a", 4, 3), ("a", 5, 9), ("b", 9, 1), ("c", 1, -1), (None, 1, 4)],
+                                  "k string, at int, n int").withColumn("at", F.timestamp_seconds("at"))
+    total = {"total": F.when(F.col("n") < 0, F.raise_error(F.lit("not asked for")).cast("int")).otherwise(F.col("n"))}
+    for heavy in ([], ["b"]):
+        found = sums_before(rows, moves, "k", "at", total, heavy=heavy, sparse=True)
+        assert rows_of(found, "id", "total") == [("x", 5), ("y", 0), ("z", 4)]

@@ -64,7 +64,9 @@ def sliding_quantile(rows: DataFrame, key: str, ts: str, row_id: str, value: str
             key, "_at", "_sign", F.shiftright("_value", DIGIT_BITS * (level + 1)).alias("_prefix"),
             F.shiftright("_value", DIGIT_BITS * level).bitwiseAND(top).cast("int").alias("_digit"))
         measures = {name: F.when(F.col("_digit") <= d, F.col("_sign")) for d, name in enumerate(counts)}
-        counted = sums_before(asking, digits, [key, "_prefix"], "_at", measures, heavy=heavy, hours=hours)
+        # After the first pass few of a key's prefixes are asked for.
+        counted = sums_before(asking, digits, [key, "_prefix"], "_at", measures, heavy=heavy, hours=hours,
+                              sparse=level < passes - 1)
         if level == passes - 1:
             counted = (counted.filter(F.col(counts[top]) > 0)
                        .withColumn("_rank", F.expr(f"({counts[top]} * {share[0]} + {share[1] - 1}) div {share[1]}")))

@@ -163,13 +163,15 @@ def trailing_totals(df: DataFrame, key: str, ts: str, windows: dict, measures: d
 
 
 def sums_before(rows: DataFrame, moves: DataFrame, key: str | Sequence[str], at: str, measures: dict[str, Column], *,
-                heavy: Sequence = (), hours: int = 1) -> DataFrame:
+                heavy: Sequence = (), hours: int = 1, sparse: bool = False) -> DataFrame:
     """``rows`` with the sum of each measure over the moves of their key strictly before ``at``; 0 where there is none.
 
     ``moves`` has the key columns, ``at`` and what the measures are made of,
     under names that ``rows`` does not have. Rows and moves merge on the time
     line; without heavy keys the measures are evaluated after the shuffle, so
-    that it stays narrow. Heavy values are those of the first key column.
+    that it stays narrow. Heavy values are those of the first key column. With
+    ``sparse``, for moves many of whose keys have no rows, those are left out
+    before anything is summed; the result is the same.
     """
     keys = [key] if isinstance(key, str) else list(key)
     line = rows.withColumn("_real", F.lit(True)).unionByName(moves, allowMissingColumns=True)
@@ -178,7 +180,11 @@ def sums_before(rows: DataFrame, moves: DataFrame, key: str | Sequence[str], at:
         line = line.withColumn("_slice", slice_for(keys[0], F.col(at), heavy, hours))
         parts.append("_slice")
     # With heavy keys the union below is dealt anew anyway.
-    measured = (line if heavy else line.repartition(*parts)).withColumns(measures)
+    dealt = line if heavy else line.repartition(*parts)
+    if sparse:
+        whole = Window.partitionBy(*parts).orderBy(at).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        dealt = dealt.withColumn("_asked", F.max("_real").over(whole)).filter(F.col("_asked")).drop("_asked")
+    measured = dealt.withColumns(measures)
     if heavy:
         so_far = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
         net = (line.filter(F.col(keys[0]).isin(list(heavy))).withColumns(measures).groupBy(*parts)
