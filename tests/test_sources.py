@@ -191,3 +191,16 @@ def test_reading_some_keys_opens_their_buckets_only(spark, tmp_path):
         if int(file.parent.name.split("=")[1]) not in wanted:
             file.write_bytes(b"not to be opened")
     assert rows_of(store.read("state", "t", two)) == [(0,), (1,)]
+
+
+def test_merged_table_is_read_without_its_deltas(spark, tmp_path):
+    store = tables.LayerStore(spark, str(tmp_path), buckets=2)
+    assert store.merged("a", "t") is None
+    held = store.publish(spark.createDataFrame([(i, 0) for i in range(20)], "k int, v int"), "a", "t", keys=["k"])
+    assert rows_of(store.merged("a", "t")) == rows_of(held)
+    changed = spark.createDataFrame([(1, 5), (30, 6)], "k int, v int")
+    store.replace(spark.createDataFrame([(1,), (2,), (30,)], "k int"), changed, "a", "t", ["k"])
+    merged = store.merged("a", "t")
+    assert rows_of(merged) == rows_of(store.read("a", "t")) == sorted(
+        [(i, 0) for i in range(20) if i not in (1, 2)] + [(1, 5), (30, 6)], key=repr)
+    assert not any("-deltas" in file for file in merged.inputFiles())

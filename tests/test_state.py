@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tests.helpers import rows_of
 from txnrisk.operators import state
 
@@ -65,3 +67,13 @@ def test_affected_history(spark):
     assert keys.count() == 1
     for heavy in ([], ["a"]):
         assert rows_of(state.history_of(held, keys, "id", heavy, "v"), "v") == [(1,), (2,)]
+
+
+def test_rewritten_days_are_in_few_files(spark, tmp_path):
+    path = tmp_path / "t"
+    held = spark.range(400).selectExpr("id", "date_add(date'2024-01-01', cast(id % 2 as int)) AS event_date", "0 AS v")
+    state.write_by_day(held, str(path))
+    batch = state.write_table(held.filter("id < 300").withColumn("v", F.lit(1)).repartition(8), str(tmp_path / "batch"))
+    days = state.upsert_partitions(spark, str(path), batch, ["id"], days=[dt.date(2024, 1, 1), dt.date(2024, 1, 2)], staged=True)
+    assert [len(list((path / f"event_date={day}").glob("*.parquet"))) for day in days] == [1, 1]
+    assert rows_of(spark.read.parquet(str(path)).groupBy("v").count(), "v", "count") == [(0, 100), (1, 300)]
