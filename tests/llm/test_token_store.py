@@ -25,6 +25,21 @@ def test_chunks_encode_like_whole_texts(text):
     assert np.frombuffer(token_store.encode([text])[0], "<u2").tolist() == plain(text)[:-1]
 
 
+@pytest.mark.parametrize("text", [
+    "one.\nTwo", "a one,***\nTwo###  three", "don't\n's it'\ns", "***\nab", "a\n\nb", "a.\n\nB", "a\n b", "a \nb", "é,.;\nÈç$$$ ñ", "x_\ny",
+    "1\na", "a1.\nb2", "\na", "a\n", "\n".join(["Word", "word,", "wörd!!"] * 1000), "a" + "\n" * 3000 + "b"])
+def test_lines_and_marks_encode_like_whole_texts(text):
+    for before in ("", " ", "x "):
+        assert np.frombuffer(token_store.encode([before + text])[0], "<u2").tolist() == plain(before + text)[:-1]
+
+
+def test_marks_after_words_and_line_ends_are_cut_without_the_pattern():
+    encoder = token_store.Encoder(token_store.VOCABULARY)
+    encoder.split = None
+    ids = encoder.encode(["One,*** two.\nThree### four!!\nFive six"])[0]
+    assert np.frombuffer(ids, "<u2").tolist() == plain("One,*** two.\nThree### four!!\nFive six")[:-1]
+
+
 @pytest.mark.parametrize("space", [*"\t\n\x0b\x0c\r\x1c\x1f\x85\u00a0\u1680\u2003\u2028\u202f\u205f\u3000"])
 def test_white_space_of_all_kinds_encodes_like_whole_texts(space):
     runs = (f" {space} {space} ", f"{space} ", f" {space}", f" {space} ", f"{space}{space}", f" {space}" * 8, f"{space} {space}")

@@ -53,6 +53,8 @@ REMEMBERED = 500_000
 #: A space behind white space of any kind, and the places before spaces behind anything else.
 _INNER_SPACE = re.compile(r" (?<=\s )").search
 _RUNS = re.compile(r"(?<=\S)(?= )").split
+#: Marks that make one part with all that follow a word at once.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 def _byte_letters() -> dict[int, str]:
     """The public byte-level alphabet: printable Latin-1 stands for itself, other bytes for U+0100 on."""
@@ -84,21 +86,37 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(_LETTERS)
+        plain = word.isascii() and word.isprintable()  # such bytes stand for themselves, but for the space
+        letters = word.replace(" ", _LETTERS[32]) if plain else word.encode().decode("latin-1").translate(_LETTERS)
         return array(self.code, [token.id for token in self.merge(letters)]).tobytes()
 
     def learn(self, new: set[str]) -> None:
-        """Ids of the chunks of ``new``; a word, and a word and a mark after it, are the most frequent by far."""
+        """Ids of the chunks of ``new``; most are one word."""
         known, word = self.known, self.word
         for chunk in new:
-            body = chunk[1:] if chunk[:1] == " " else chunk
-            if body.isalpha():
+            if (chunk[1:] if chunk[:1] == " " else chunk).isalpha():
                 if chunk not in known:  # as part of an earlier one
                     known[chunk] = word(chunk)
-            elif body[:-1].isalpha() and body[-1] in ".,;:!?":
-                known[chunk] = self.part(chunk[:-1]) + self.part(chunk[-1])
             else:
-                known[chunk] = b"".join(map(self.part, self.split(chunk)))
+                known[chunk] = self.chunk(chunk)
+
+    def chunk(self, chunk: str) -> bytes:
+        """A line's end between a letter or mark and a letter is a part by itself, so lines there are encoded apart."""
+        _, *rest = lines = chunk.split("\n")
+        if not rest:
+            return self.line(chunk)
+        if all(after[:1].isalpha() and (line[-1:].isalpha() or line and line[-1] in _MARKS) for line, after in zip(lines, rest)):
+            return self.part("\n").join(map(self.line, lines))
+        return b"".join(map(self.part, self.split(chunk)))
+
+    def line(self, line: str) -> bytes:
+        """A word with marks after it is cut without the pattern."""
+        start = line[:1] == " "
+        stem = (line[1:] if start else line).rstrip(_MARKS)
+        if not stem.isalpha():
+            return b"".join(map(self.part, self.split(line)))
+        end = start + len(stem)
+        return self.part(line[:end]) + self.part(line[end:]) if end < len(line) else self.part(line)
 
     def part(self, part: str) -> bytes:
         found = self.known.get(part)
