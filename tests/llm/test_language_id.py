@@ -122,3 +122,26 @@ def test_words_are_letters_and_their_marks(spark):
     model = lid.train(spark.createDataFrame([(1, "some words", "en")], "doc_id long, text string, lang string"))
     odd = spark.createDataFrame([(1, "½ ²"), (2, "①"), (3, "Ⅷ 12"), (4, "\u0301")], "doc_id long, text string")
     assert {(r.lang_pred, r.score) for r in lid.predict(odd, model).collect()} == {("und", 0.0)}
+
+
+@pytest.mark.parametrize("languages", [1, 3, 4, 6, 9])
+@pytest.mark.parametrize("least", [1e-3, 1e-30, 0.0])
+def test_scores_of_words_are_their_forward_sums(monkeypatch, languages, least):
+    monkeypatch.setitem(lid._PIECES, "own", (PIECES, 2))
+    p = np.random.default_rng(languages).uniform(0.01, 0.3, (7, languages))
+    p[0] = least
+    model = lid.Model(tuple(f"l{i}" for i in range(languages)), p, "own")
+    words = {"▁a", "▁abab", "▁xab", "▁" + "ab" * 30, "▁" + "x" * 400, "▁" + "xa" * 9}
+    known = lid.word_scores(words, model)
+    for word in words:
+        arcs = lid.lattice(word, PIECES)
+        assert known[word] == tuple(lid.forward(arcs, column.tolist(), 2) for column in p.T)
+
+
+def test_short_words_are_scored_under_four_languages_at_once(monkeypatch):
+    monkeypatch.setitem(lid._PIECES, "own", (PIECES, 2))
+    monkeypatch.setattr(lid, "forward", None)
+    model = lid.Model(tuple("abcdefgh"), np.full((7, 8), 0.1), "own")
+    assert len(lid.word_scores({"▁abab"}, model)["▁abab"]) == 8
+    # A word of so many places stays above the limit, one longer than that may not.
+    assert 0.1 ** (lid.unscaled_places(model.p) - 1) > lid._SMALL and lid.unscaled_places(np.zeros((7, 8))) == 0

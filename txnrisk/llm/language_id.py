@@ -139,6 +139,30 @@ def forward(arcs: list[Arcs], q: list[float], longest: int) -> float:
     return math.log(max(alpha[-1], 1e-320)) + log
 
 
+def forward_four(arcs: list[Arcs], a: list[float], b: list[float], c: list[float], d: list[float]) -> tuple[float, ...]:
+    """``forward`` under four languages at once, for a word short enough to need no scaling."""
+    zeros, start = [0.0] * len(arcs), 0
+    in_a, in_b, in_c, in_d = [1.0, *zeros], [1.0, *zeros], [1.0, *zeros], [1.0, *zeros]
+    for pieces in arcs:
+        from_a, from_b, from_c, from_d = in_a[start], in_b[start], in_c[start], in_d[start]
+        for length, n in pieces:
+            end = start + length
+            in_a[end] += from_a * a[n]
+            in_b[end] += from_b * b[n]
+            in_c[end] += from_c * c[n]
+            in_d[end] += from_d * d[n]
+        start += 1
+    log = math.log
+    return log(max(in_a[start], 1e-320)), log(max(in_b[start], 1e-320)), log(max(in_c[start], 1e-320)), log(max(in_d[start], 1e-320))
+
+
+def unscaled_places(p: np.ndarray) -> int:
+    """So many places a word may have before a forward value falls below ``_SMALL``: none is less than the
+    smallest probability to the power of the places before it."""
+    least = min(float(p.min(initial=0.5)), 0.5)
+    return int(math.log(_SMALL) / math.log(least)) - 1 if least > 0.0 else 0
+
+
 def expected_counts(arcs: list[Arcs], q: list[float]) -> dict[int, float]:
     """Expected number of each piece in a word, over all its segmentations."""
     size = len(arcs)
@@ -250,9 +274,17 @@ def word_scores(words: set[str], model: Model) -> dict[str, tuple[float, ...]]:
         missing = words
     pieces, longest = vocabulary(model.path)
     columns = [column.tolist() for column in model.p.T]
+    whole = len(columns) - len(columns) % 4
+    fours, rest, short = [columns[i:i + 4] for i in range(0, whole, 4)], columns[whole:], unscaled_places(model.p)
     for word in missing:
         arcs = lattice(word, pieces)
-        _SCORES[word] = tuple([forward(arcs, q, longest) for q in columns])
+        if len(arcs) > short:
+            _SCORES[word] = tuple([forward(arcs, q, longest) for q in columns])
+            continue
+        scores: tuple[float, ...] = ()
+        for four in fours:
+            scores += forward_four(arcs, *four)
+        _SCORES[word] = scores + tuple([forward(arcs, q, longest) for q in rest]) if rest else scores
     return _SCORES
 
 
@@ -277,7 +309,8 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text") -> DataFra
                     scores.append(0.0)
                     continue
                 tally = Counter(words)
-                total = np.array(list(map(known.__getitem__, tally))).T @ np.fromiter(tally.values(), np.float64, len(tally))
+                logs = np.fromiter(chain.from_iterable(map(known.__getitem__, tally)), np.float64, len(tally) * len(model.languages))
+                total = logs.reshape(len(tally), -1).T @ np.fromiter(tally.values(), np.float64, len(tally))
                 best = int(total.argmax())
                 names.append(model.languages[best])
                 scores.append(float(1 / np.exp(np.minimum(total - total[best], 0.0)).sum()))
