@@ -1,4 +1,5 @@
 import random
+from functools import partial
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -7,8 +8,10 @@ from pyspark.sql import functions as F
 
 from tests.helpers import FOLDER, raw_rows, rows_of
 from txnrisk.schemas import RAW_COLUMNS
+from txnrisk.session import side_by_side
 from txnrisk.sources import csv_files, jdbc, tables
 from txnrisk.sources.events import read_raw
+from txnrisk.sources.tables import LayerStore
 
 HEADER = ",".join(RAW_COLUMNS)
 LINE = "{id},U1,M1,D1,9.50,2024-01-01T10:00:00+00:00, upi ,MOBILE,10.0.0.1,1.5,2.5,US,US,False"
@@ -204,3 +207,26 @@ def test_merged_table_is_read_without_its_deltas(spark, tmp_path):
     assert rows_of(merged) == rows_of(store.read("a", "t")) == sorted(
         [(i, 0) for i in range(20) if i not in (1, 2)] + [(1, 5), (30, 6)], key=repr)
     assert not any("-deltas" in file for file in merged.inputFiles())
+
+
+def test_tables_may_be_replaced_side_by_side(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "store"))
+    names = ["a", "b", "c", "d"]
+
+    def change(name, number):
+        rows = spark.range(number).selectExpr("id", f"'{name}' AS v")
+        return store.replace(rows, rows, "state", name, ["id"])
+
+    for number in (5, 7):
+        assert [held.count() for held in side_by_side(spark, [partial(change, name, number) for name in names])] == [number] * 4
+    fresh = LayerStore(spark, store.root)
+    assert [sorted(tuple(r) for r in fresh.read("state", name).collect()) for name in names] == [
+        [(i, name) for i in range(7)] for name in names]
+    assert [[row.rows for row in fresh._entries("state", name)] for name in names] == [[5, 7]] * 4
+
+
+def test_a_failed_step_is_raised_when_all_have_ended(spark):
+    ended = []
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, [lambda: 1 / 0, lambda: ended.append(spark.range(3).count())])
+    assert ended == [3]

@@ -77,3 +77,24 @@ def test_rewritten_days_are_in_few_files(spark, tmp_path):
     days = state.upsert_partitions(spark, str(path), batch, ["id"], days=[dt.date(2024, 1, 1), dt.date(2024, 1, 2)], staged=True)
     assert [len(list((path / f"event_date={day}").glob("*.parquet"))) for day in days] == [1, 1]
     assert rows_of(spark.read.parquet(str(path)).groupBy("v").count(), "v", "count") == [(0, 100), (1, 300)]
+
+
+def test_upsert_of_a_written_batch_writes_only_the_table(spark, tmp_path, monkeypatch):
+    path = tmp_path / "t"
+    dated = lambda *values: state.with_event_date(rows(spark, *values), "ts")
+    state.write_by_day(dated(("a", "2024-01-01", 1), ("b", "2024-01-02", 1), ("c", "2024-01-02", 1), ("a", "2024-01-05", 1)), str(path))
+    batch = state.write_table(dated(("b", "2024-01-03", 2), ("d", "2024-01-02", 2), ("d", "2024-01-02", 2)), str(tmp_path / "batch"))
+    monkeypatch.setattr(state, "scratch", None)
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    for stored in (rows(spark, ("b", "2024-01-01", 0)), batch):  # the second time all are stored
+        assert state.upsert_partitions(spark, str(path), batch, ["id"], days=days, staged=True, stored=stored) == days
+        assert rows_of(spark.read.parquet(str(path)), "id", "v") == [("a", 1), ("a", 1), ("b", 2), ("c", 1), ("d", 2), ("d", 2)]
+
+
+def test_days_that_lose_all_rows_are_dropped(spark, tmp_path):
+    path = tmp_path / "t"
+    state.write_by_day(state.with_event_date(rows(spark, ("a", "2024-01-01", 1), ("b", "2024-01-02", 1)), "ts"), str(path))
+    for gone in (dt.date(2024, 1, 2), dt.date(2024, 1, 1)):
+        held = spark.read.parquet(str(path)) if gone.day == 2 else spark.read.schema("id string, ts timestamp, v int, event_date date").parquet(str(path))
+        state.overwrite_days(spark, str(path), held.filter(held.event_date != gone), [dt.date(2024, 1, 1), dt.date(2024, 1, 2)])
+        assert not (path / f"event_date={gone}").exists()

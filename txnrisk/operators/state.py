@@ -78,17 +78,16 @@ def write_by_day(df: DataFrame, path: str, mode: str = "overwrite", partition: s
 
 
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
-                      partition: str = "event_date", days: Sequence | None = None, staged: bool = False) -> list:
+                      partition: str = "event_date", days: Sequence | None = None, staged: bool = False,
+                      stored: DataFrame | None = None) -> list:
     """Keyed upsert into a partitioned table that rewrites touched days only.
 
     Touched are the days of the batch and the days that hold an older row of
     one of its keys. Finding the latter reads the key column of the table,
-    unless the caller knows the touched ``days``. The new content of the
-    touched days is written to the shared folder first, in few files a day, and
-    swapped in from there, so nothing overwrites what it reads and a lost
-    executor only repeats its own tasks. ``staged`` says that the batch comes
-    straight from a written table and need not be written once more. Returns
-    the touched days.
+    unless the caller knows the touched ``days``. ``staged`` says that the batch
+    comes straight from a written table and need not be written once more;
+    ``stored`` names the only keys of the batch that the table may hold, so that
+    few re-sent rows do not make the whole days shuffle. Returns the touched days.
     """
     staged_batch = batch if staged else write_table(batch, scratch(spark, "upsert-batch"))
     state = spark.read.schema(batch.schema).parquet(path)
@@ -98,26 +97,38 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     if not days:
         return []
     touched = state.filter(F.col(partition).isin(days))
-    merged = write_table(upsert(touched, staged_batch, keys).hint("rebalance", partition), scratch(spark, "upsert-merged"),
-                         [partition])
-    overwrite_days(spark, path, merged, days, partition)
+    replaced = staged_batch if stored is None else stored
+    kept = touched.join(replaced.select(*keys), list(keys), "left_anti")
+    overwrite_days(spark, path, kept.unionByName(staged_batch), days, partition)
     return sorted(days)
 
 
 def overwrite_days(spark: SparkSession, path: str, rows: DataFrame, days: Sequence, partition: str = "event_date") -> None:
-    """Make ``rows``, a written table, all there is of ``days`` in the table at ``path``; other days stay as they are."""
-    left = {r[0] for r in rows.select(partition).distinct().collect()}
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    # A day without rows must end up empty, which a dynamic overwrite cannot express; such days are dropped by name.
-    for day in days:
-        if day not in left:
-            _drop_partition(spark, f"{path}/{partition}={day}")
+    """Make ``rows`` all there is of ``days`` in the table at ``path``, in few files a day; other days stay as they are.
+
+    ``rows`` may read the table itself: a dynamic overwrite writes beside it and swaps the days in once all are written.
+    """
+    folders = [f"{path}/{partition}={day}" for day in days]
+    held = [_files(spark, folder) for folder in folders]
+    (rows.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition).parquet(path))
+    # A day without rows must end up empty, which a dynamic overwrite cannot express: its files are still those from before.
+    for folder, files in zip(folders, held):
+        if files and files == _files(spark, folder):
+            _drop_partition(spark, folder)
 
 
 def history_by_keys(df: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(batch.select(*keys).distinct(), list(keys), "left_semi")
 
 
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the files in a folder, whose writer gives each a new one; none if it is not there."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {found.getPath().getName() for found in system.listStatus(location)} if system.exists(location) else set()
+
+
 def _drop_partition(spark: SparkSession, path: str) -> None:
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)

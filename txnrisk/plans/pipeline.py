@@ -8,6 +8,7 @@ run before anything downstream of it changes.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,7 +26,7 @@ from txnrisk.operators.scd2 import current_rows, scd2_apply, scd2_from_events
 from txnrisk.operators.scoring import score
 from txnrisk.operators.skew import heavy_keys_by
 from txnrisk.plans.contracts import contract_report
-from txnrisk.session import scratch
+from txnrisk.session import scratch, side_by_side
 from txnrisk.sources.tables import LayerStore
 
 
@@ -44,14 +45,17 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
-def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, days: list) -> DataFrame:
-    """Upsert a written table into one partitioned by day, of which ``days`` are touched; returns the table."""
+def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, days: list, stored: DataFrame | None = None) -> DataFrame:
+    """Upsert a written table into one partitioned by day, of which ``days`` are touched; returns the table.
+
+    ``stored``: the ids of the batch that the table may hold, if known.
+    """
     path = store.path(layer, name)
     dated = batch if "event_date" in batch.columns else state.with_event_date(batch)
     if _existing(store.spark, path, dated.schema) is None:
         state.write_by_day(dated, path)
     else:
-        state.upsert_partitions(store.spark, path, dated, ["transaction_id"], days=days, staged=True)
+        state.upsert_partitions(store.spark, path, dated, ["transaction_id"], days=days, staged=True, stored=stored)
     return store.spark.read.schema(dated.schema).parquet(path)
 
 
@@ -92,10 +96,10 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     def touched(table: DataFrame, days: list) -> DataFrame:
         return table if check_all_days else table.filter(F.col("event_date").isin(days))
 
-    bronze = _by_day(store, "bronze", "transactions", batch, days)
+    bronze = _by_day(store, "bronze", "transactions", batch, days, located)
     checks = gate(contract_report({"bronze_transactions": touched(bronze, days)}))
 
-    fact = _by_day(store, "silver", "fact", batch, days)
+    fact = _by_day(store, "silver", "fact", batch, days, located)
     # Before the places the ids have left are forgotten, and for those noted as well, so that a repeated run mends them.
     sums = _day_partials(store, fact, _days_of(batch, located, replaced))
     _settle(store, batch, located)
@@ -113,26 +117,27 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
         return keys.distinct()
 
     _snapshots(store, fact, batch, replaced, affected, heavy, effective_ts, as_of)
-    users, users_current, devices, devices_current = (
-        store.merged(*table) for name in ("users", "devices") for table in (("snapshots", name), ("silver", f"{name}_current")))
+    users, users_current, devices, devices_current = side_by_side(spark, [
+        partial(store.merged, *table) for name in ("users", "devices")
+        for table in (("snapshots", name), ("silver", f"{name}_current"))])
     checks += gate(contract_report({
         "fact": touched(fact, days), "users_current": users_current, "devices_current": devices_current,
         "users_versions": users, "devices_versions": devices}))
 
-    refreshed = []
-    for name, key, measure, window in (("user_baseline", "user_id", baseline_from_partials, USER_WINDOW_DAYS),
-                                       ("merchant_risk", "merchant_id", merchant_risk_from_partials,
-                                        MERCHANT_WINDOW_DAYS)):
+    def refreshed(name: str, key: str, measure, window: int) -> DataFrame:
         keys = state.write_table(affected(key, window), scratch(spark, f"affected-{name}"))
         rows = state.write_table(measure(sums[key], as_of, window, keys, stamp), scratch(spark, name))
         store.replace(keys, rows, "gold", name, [key])
-        refreshed.append(store.merged("gold", name))
-    baseline, risk = refreshed
+        return store.merged("gold", name)
+
+    baseline, risk = side_by_side(spark, [
+        partial(refreshed, "user_baseline", "user_id", baseline_from_partials, USER_WINDOW_DAYS),
+        partial(refreshed, "merchant_risk", "merchant_id", merchant_risk_from_partials, MERCHANT_WINDOW_DAYS)])
 
     rows = _features(store, fact, batch, replaced, users, baseline, risk, heavy, country_history)
     days = _days_of(batch, replaced, rows)
-    features = _by_day(store, "gold", "features", rows, days)
-    scores = _by_day(store, "gold", "scores", score(rows), days)
+    features, scores = side_by_side(spark, [partial(_by_day, store, "gold", "features", rows, days),
+                                            partial(_by_day, store, "gold", "scores", score(rows), days)])
     counted = daily_kpi(scores.filter(F.col("event_date").isin(days)), updated_at=stamp)
     kpis = store.publish(state.upsert(
         _without_days(store.read("gold", "daily_kpi"), days), counted, ["date_key"]), "gold", "daily_kpi")
@@ -158,7 +163,9 @@ def _located(store: LayerStore, batch: DataFrame) -> DataFrame | None:
     fact = _existing(store.spark, store.path("silver", "fact"), batch.schema)
     known = store.read(*_DAYS, ids)
     if known is None and fact is not None:  # a store from before this table
-        store.publish(fact.select("transaction_id", "event_date"), *_DAYS, keys=["transaction_id"])
+        bronze = _existing(store.spark, store.path("bronze", "transactions"), batch.schema)
+        held = [table.select("transaction_id", "event_date") for table in (fact, bronze) if table is not None]
+        store.publish(reduce(DataFrame.union, held).distinct(), *_DAYS, keys=["transaction_id"])
         known = store.read(*_DAYS, ids)
     places = batch.select("transaction_id", "event_date")
     if known is None:
@@ -204,19 +211,20 @@ def _replaced(store: LayerStore, batch: DataFrame, located: DataFrame | None) ->
 def _day_partials(store: LayerStore, fact: DataFrame, days: list) -> dict[str, DataFrame]:
     """Partials per key, made anew for ``days``; of the whole fact until that has been done once to the end."""
     complete = store.read("state", "day_partials") is not None
-    tables = {}
-    for key, name, make in (("user_id", "user_days", user_days), ("merchant_id", "merchant_days", merchant_days)):
+
+    def made(name: str, make) -> DataFrame:
         path, rows = store.path("state", name), make(fact)
         if complete:
-            touched = state.write_table(make(fact.filter(F.col("event_date").isin(days))).hint("rebalance", "event_date"),
-                                        scratch(store.spark, name), ["event_date"])
-            state.overwrite_days(store.spark, path, touched, days)
+            state.overwrite_days(store.spark, path, make(fact.filter(F.col("event_date").isin(days))), days)
         else:
             state.write_by_day(rows, path)
-        tables[key] = store.spark.read.schema(rows.schema).parquet(path)
+        return store.spark.read.schema(rows.schema).parquet(path)
+
+    of_users, of_merchants = side_by_side(store.spark, [partial(made, "user_days", user_days),
+                                                        partial(made, "merchant_days", merchant_days)])
     if not complete:
         store.publish(store.spark.range(1), "state", "day_partials")
-    return tables
+    return {"user_id": of_users, "merchant_id": of_merchants}
 
 
 def _left_behind(store: LayerStore, partials: DataFrame, as_of: str, window_days: int) -> DataFrame | None:
@@ -236,8 +244,8 @@ def _snapshots(store, fact, batch, replaced, affected, heavy, effective_ts, as_o
     row kept: only such keys are looked up in the fact.
     """
     effective = F.lit(as_of).cast(fact.schema["transaction_date"].dataType) if effective_ts is None else effective_ts
-    for name, key, latest, checked in (("users", "user_id", users_latest, USER_CHECK),
-                                       ("devices", "device_id", devices_latest, DEVICE_CHECK)):
+
+    def renewed(name: str, key: str, latest, checked: list) -> None:
         keys = state.write_table(affected(key), scratch(store.spark, f"keys-{name}"))
         columns = ["transaction_id", "transaction_date", "user_id", "device_id", "billing_country", "payment_method",
                    "device_type"]
@@ -259,6 +267,9 @@ def _snapshots(store, fact, batch, replaced, affected, heavy, effective_ts, as_o
         store.replace(keys, versions, "snapshots", name, [key])
         store.replace(keys, current_rows(versions), "silver", f"{name}_current", [key])
 
+    side_by_side(store.spark, [partial(renewed, "users", "user_id", users_latest, USER_CHECK),
+                               partial(renewed, "devices", "device_id", devices_latest, DEVICE_CHECK)])
+
 
 def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, country_history) -> DataFrame:
     """Feature rows of the batch and of rows whose history it changed; brings the state tables up to date.
@@ -308,15 +319,19 @@ def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, co
     rows = state.write_table(state.with_event_date(extended).unionByName(written), scratch(spark, "features"))
     store.publish(rows.select("transaction_id", "user_id"), "state", "rows_to_write")
 
-    # Only now, as the rows above read the old state.
-    moved = in_order.unionByName(history.select(*in_order.columns))
-    last = state.write_table(user_points(without(points).unionByName(moved, allowMissingColumns=True)),
-                             scratch(spark, "points"))
-    first = state.write_table(
-        device_firsts(without(firsts).withColumnRenamed("first_seen_at", "transaction_date")
-                      .unionByName(moved, allowMissingColumns=True)), scratch(spark, "firsts"))
-    store.replace(users, last, "state", "user_points", ["user_id"])
-    store.replace(users, first, "state", "device_firsts", ["user_id"])
+    # Only now, as the rows above read the old state. Rows of any age only add to it; where a row was taken away, history tells.
+    lost = state.write_table(gone.distinct(), scratch(spark, "lost"))
+    moved = batch.join(lost, "user_id", "left_anti")
+    if not lost.isEmpty():
+        moved = moved.unionByName(state.history_of(fact, lost, "user_id", heavy_users).select(*batch.columns))
+
+    def renewed(name: str, held: DataFrame, measure) -> None:
+        rows = measure(held.join(lost, "user_id", "left_anti").unionByName(moved, allowMissingColumns=True))
+        store.replace(users, state.write_table(rows, scratch(spark, name)), "state", name, ["user_id"])
+
+    side_by_side(spark, [
+        partial(renewed, "user_points", points, user_points),
+        partial(renewed, "device_firsts", firsts.withColumnRenamed("first_seen_at", "transaction_date"), device_firsts)])
     return rows
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -49,3 +52,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/txnrisk/{label}-{uuid.uuid4().hex}"
+
+
+def side_by_side(spark: SparkSession, steps: Sequence[Callable]) -> list:
+    """Results of steps that do not depend on each other, whose Spark jobs run at the same time.
+
+    All have ended when this returns or raises, with what the first of them raised.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [done.result() for done in running]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -53,6 +54,8 @@ class LayerStore:
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self._seen: set[str] = set()
         self._log: list[Row] = []
+        # Different tables may be written at the same time; the list of versions is one folder.
+        self._listing = threading.RLock()
 
     def path(self, layer: str, name: str) -> str:
         return layer_path(self.root, name, layer)
@@ -61,20 +64,22 @@ class LayerStore:
         """The current version and the deltas after it, in order; numbered per table, clocks play no part."""
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_published")
         system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        files = [str(f.getPath()) for f in system.listStatus(folder)] if system.exists(folder) else []
-        new = [f for f in files if f.endswith(".parquet") and f not in self._seen]
-        if new:  # a file is never changed, so what has been read of the list stays known
-            self._log += self.spark.read.schema(self._ENTRY).parquet(*new).collect()
-            self._seen.update(new)
-        rows = sorted((row for row in self._log if row.table == f"{layer}.{name}"), key=lambda row: row.number)
+        with self._listing:
+            files = [str(f.getPath()) for f in system.listStatus(folder)] if system.exists(folder) else []
+            new = [f for f in files if f.endswith(".parquet") and f not in self._seen]
+            if new:  # a file is never changed, so what has been read of the list stays known
+                self._log += self.spark.read.schema(self._ENTRY).parquet(*new).collect()
+                self._seen.update(new)
+            rows = sorted((row for row in self._log if row.table == f"{layer}.{name}"), key=lambda row: row.number)
         base = max((i for i, row in enumerate(rows) if not row.delta), default=0)
         return rows[base:]
 
     def _note(self, layer: str, name: str, version: str, number: int, schema: StructType, keys: Sequence[str] = (),
               buckets: int | None = None, delta: bool = False, rows: int | None = None) -> None:
         row = (f"{layer}.{name}", version, number, None, ",".join(keys) or None, buckets, delta, rows, schema.json())
-        (self.spark.createDataFrame([row], self._ENTRY).withColumn("published_at", F.current_timestamp())
-         .coalesce(1).write.mode("append").parquet(f"{self.root}/_published"))
+        listed = self.spark.createDataFrame([row], self._ENTRY).withColumn("published_at", F.current_timestamp()).coalesce(1)
+        with self._listing:
+            listed.write.mode("append").parquet(f"{self.root}/_published")
 
     def _write(self, df: DataFrame, target: str, keys: Sequence[str], buckets: int, mode: str) -> None:
         bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
