@@ -184,3 +184,25 @@ def test_a_run_that_died_half_way_can_be_repeated(spark, tmp_path, monkeypatch,
     for layer, name in (("gold", "daily_kpi"), ("snapshots", "users"), ("state", "user_points"),
                         ("state", "device_firsts"), ("silver", "country_versions")):
         assert rows_of(broken.read(layer, name)) == rows_of(whole.read(layer, name))
+
+
+def test_new_rows_of_a_day_leave_its_files(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path))
+
+    def files():
+        return {str(f) for name in ("bronze/transactions", "silver/fact", "state/user_days", "state/merchant_days", "gold/features",
+                                    "gold/scores") for f in (tmp_path / name).glob("event_date=2024-01-01/*.parquet")}
+
+    def run(number, *rows):
+        run_pipeline(store, raw_rows(spark, [dict(TransactionID=i, UserID=u, TransactionDate=f"2024-01-01T{h}:00:00+00:00")
+                                             for i, u, h in rows]), f"2024-01-1{number}")
+        return files()
+
+    first = run(0, ("A", "U1", 10))
+    second = run(1, ("B", "U2", 11), ("C", "U1", 12))
+    assert len(first) == 6 and first < second
+    assert not first & run(2, ("A", "U2", 13))  # stored, so its day is written anew
+    assert rows_of(table(store, "gold", "features"), "transaction_id", "user_id", "velocity_1hr") == [
+        ("A", "U2", 0), ("B", "U2", 0), ("C", "U1", 0)]
+    assert rows_of(store.read("gold", "user_baseline"), "user_id", "transaction_count_30d") == [("U1", 1), ("U2", 2)]
+    assert rows_of(table(store, "state", "user_days").groupBy("user_id").agg(F.sum("transactions"))) == [("U1", 1), ("U2", 2)]

@@ -98,3 +98,31 @@ def test_days_that_lose_all_rows_are_dropped(spark, tmp_path):
         held = spark.read.parquet(str(path)) if gone.day == 2 else spark.read.schema("id string, ts timestamp, v int, event_date date").parquet(str(path))
         state.overwrite_days(spark, str(path), held.filter(held.event_date != gone), [dt.date(2024, 1, 1), dt.date(2024, 1, 2)])
         assert not (path / f"event_date={gone}").exists()
+
+
+def test_days_without_rows_to_replace_are_added_to(spark, tmp_path):
+    path = tmp_path / "t"
+    dated = lambda *values: state.with_event_date(rows(spark, *values), "ts")
+    files = lambda day: set((path / f"event_date={day}").glob("*.parquet"))
+    first, second = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    state.write_by_day(dated(("a", "2024-01-01", 1), ("b", "2024-01-02", 1)), str(path))
+    before = files(first), files(second)
+    batch = dated(("c", "2024-01-01", 2), ("b", "2024-01-02", 2), ("d", "2024-01-03", 2))
+    days = [first, second, dt.date(2024, 1, 3)]
+    assert state.upsert_partitions(spark, str(path), batch, ["id"], days=days, staged=True,
+                                   stored=rows(spark, ("b", "2024-01-02", 1)), holding=[second]) == days
+    assert before[0] < files(first) and not before[1] & files(second)
+    assert rows_of(spark.read.parquet(str(path)), "id", "v") == [("a", 1), ("b", 2), ("c", 2), ("d", 2)]
+
+
+def test_a_day_of_many_small_files_is_written_anew(spark, tmp_path):
+    path, day = tmp_path / "t", dt.date(2024, 1, 1)
+    for number in range(state.MOST_SMALL_FILES + 1):
+        batch = state.with_event_date(rows(spark, (f"a{number}", "2024-01-01", number)), "ts")
+        if number == 0:
+            state.write_by_day(batch, str(path))
+        else:
+            state.upsert_partitions(spark, str(path), batch, ["id"], days=[day], staged=True, stored=batch.limit(0), holding=[])
+        held = len(list((path / f"event_date={day}").glob("*.parquet")))
+        assert held == (1 if number == state.MOST_SMALL_FILES else number + 1)
+    assert spark.read.parquet(str(path)).count() == state.MOST_SMALL_FILES + 1

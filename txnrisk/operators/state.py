@@ -12,6 +12,9 @@ from txnrisk.session import scratch
 # Fixed value: the mark of a table that holds nothing yet.
 FLOOR = "1900-01-01"
 
+# A day with so many files below that size is written anew instead of given one more.
+MOST_SMALL_FILES, SMALL_FILE = 8, 16 << 20
+
 
 def watermark(state: DataFrame, ts: str) -> DataFrame:
     """One row: the latest ``ts`` of the state, or the floor when empty."""
@@ -79,7 +82,7 @@ def write_by_day(df: DataFrame, path: str, mode: str = "overwrite", partition: s
 
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
                       partition: str = "event_date", days: Sequence | None = None, staged: bool = False,
-                      stored: DataFrame | None = None) -> list:
+                      stored: DataFrame | None = None, holding: Sequence | None = None) -> list:
     """Keyed upsert into a partitioned table that rewrites touched days only.
 
     Touched are the days of the batch and the days that hold an older row of
@@ -87,22 +90,42 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, keys: Se
     unless the caller knows the touched ``days``. ``staged`` says that the batch
     comes straight from a written table and need not be written once more;
     ``stored`` names the only keys of the batch that the table may hold, so that
-    few re-sent rows do not make the whole days shuffle. Returns the touched days.
+    few re-sent rows do not make the whole days shuffle, and ``holding`` the only
+    days that may hold them: to others the batch is added, which costs what it
+    holds and not what the day holds. Returns the touched days.
     """
     staged_batch = batch if staged else write_table(batch, scratch(spark, "upsert-batch"))
     state = spark.read.schema(batch.schema).parquet(path)
     if days is None:
-        holding = history_by_keys(state.select(*keys, partition), staged_batch, keys).select(partition)
-        days = [r[0] for r in staged_batch.select(partition).union(holding).distinct().collect()]
+        older = history_by_keys(state.select(*keys, partition), staged_batch, keys).select(partition)
+        days = [r[0] for r in staged_batch.select(partition).union(older).distinct().collect()]
     if not days:
         return []
-    touched = state.filter(F.col(partition).isin(days))
-    replaced = staged_batch if stored is None else stored
-    kept = touched.join(replaced.select(*keys), list(keys), "left_anti")
-    overwrite_days(spark, path, kept.unionByName(staged_batch), days, partition)
+    rewritten, added = to_rewrite(spark, path, days, holding, partition)
+    if rewritten:
+        touched = state.filter(F.col(partition).isin(rewritten))
+        replaced = staged_batch if stored is None else stored
+        kept = touched.join(replaced.select(*keys), list(keys), "left_anti")
+        fresh = staged_batch.filter(F.coalesce(~F.col(partition).isin(added), F.lit(True))) if added else staged_batch
+        overwrite_days(spark, path, kept.unionByName(fresh), rewritten, partition)
+    if added:
+        write_by_day(staged_batch.filter(F.col(partition).isin(added)), path, "append", partition)
     return sorted(days)
 
 
+def to_rewrite(spark: SparkSession, path: str, days: Sequence, holding: Sequence | None = None,
+               partition: str = "event_date") -> tuple[list, list]:
+    """``days`` in two lists: to write anew, and to add rows to.
+
+    Written anew are the days ``holding`` rows that go (all, if not given), those without a date, and those with many small files.
+    """
+    def crowded(day) -> bool:
+        return sum(size < SMALL_FILE for size in _files(spark, f"{path}/{partition}={day}").values()) >= MOST_SMALL_FILES
+
+    rewritten = [day for day in days if holding is None or day is None or day in holding or crowded(day)]
+    return rewritten, [day for day in days if day not in rewritten]
+
+
 def overwrite_days(spark: SparkSession, path: str, rows: DataFrame, days: Sequence, partition: str = "event_date") -> None:
     """Make ``rows`` all there is of ``days`` in the table at ``path``, in few files a day; other days stay as they are.
 
@@ -122,11 +145,11 @@ def history_by_keys(df: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Dat
     return df.join(batch.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def _files(spark: SparkSession, folder: str) -> set[str]:
-    """Names of the files in a folder, whose writer gives each a new one; none if it is not there."""
+def _files(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Names of the files in a folder, whose writer gives each a new one, and their sizes; none if it is not there."""
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return {found.getPath().getName() for found in system.listStatus(location)} if system.exists(location) else set()
+    return {found.getPath().getName(): found.getLen() for found in system.listStatus(location)} if system.exists(location) else {}
 
 
 def _drop_partition(spark: SparkSession, path: str) -> None:

@@ -45,17 +45,19 @@ def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
-def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, days: list, stored: DataFrame | None = None) -> DataFrame:
+def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, days: list, stored: DataFrame | None = None,
+            holding: list | None = None) -> DataFrame:
     """Upsert a written table into one partitioned by day, of which ``days`` are touched; returns the table.
 
-    ``stored``: the ids of the batch that the table may hold, if known.
+    ``stored``: the ids of the batch that the table may hold, and ``holding``: the days that may hold them, if known.
     """
     path = store.path(layer, name)
     dated = batch if "event_date" in batch.columns else state.with_event_date(batch)
     if _existing(store.spark, path, dated.schema) is None:
         state.write_by_day(dated, path)
     else:
-        state.upsert_partitions(store.spark, path, dated, ["transaction_id"], days=days, staged=True, stored=stored)
+        state.upsert_partitions(store.spark, path, dated, ["transaction_id"], days=days, staged=True, stored=stored,
+                                holding=holding)
     return store.spark.read.schema(dated.schema).parquet(path)
 
 
@@ -88,24 +90,26 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     # Used by every later step, so it is written once rather than recomputed.
     batch = state.write_table(state.with_event_date(clean.clean(clean_dates(raw), on_bad)), scratch(spark, "batch"))
     located = _located(store, batch)
-    replaced = _replaced(store, batch, located)
-    days = _days_of(batch, located)
+    # Days that may hold rows of the batch's ids; None before the first run.
+    holding = None if located is None else _days_of(located)
+    replaced = _replaced(store, batch, located, holding)
+    days = sorted({*_days_of(batch), *(holding or [])})
     if not days:
         return RunReport((), 0)
 
     def touched(table: DataFrame, days: list) -> DataFrame:
         return table if check_all_days else table.filter(F.col("event_date").isin(days))
 
-    bronze = _by_day(store, "bronze", "transactions", batch, days, located)
+    bronze = _by_day(store, "bronze", "transactions", batch, days, located, holding)
     checks = gate(contract_report({"bronze_transactions": touched(bronze, days)}))
 
-    fact = _by_day(store, "silver", "fact", batch, days, located)
+    fact = _by_day(store, "silver", "fact", batch, days, located, holding)
     # Before the places the ids have left are forgotten, and for those noted as well, so that a repeated run mends them.
-    sums = _day_partials(store, fact, _days_of(batch, located, replaced))
+    left = None if holding is None else sorted({*holding, *_days_of(replaced)})
+    sums = _day_partials(store, fact, batch, sorted({*days, *(left or [])}), left)
     _settle(store, batch, located)
-    # Elsewhere than on these days the ids of the batch do not occur.
-    ids = state.history_by_keys(
-        fact.filter(F.col("event_date").isin(days)).select("transaction_id"), batch, ["transaction_id"])
+    # Elsewhere than on these days the ids of the batch do not occur; their other ids are counted rather than joined away.
+    ids = fact.filter(F.col("event_date").isin(days)).select("transaction_id")
     checks += gate(report({"fact_all_days": ids}, {"fact_all_days": [unique("transaction_id")]}))
     heavy = heavy_keys_by(fact, ["user_id", "merchant_id", "device_id"])
 
@@ -134,10 +138,11 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
         partial(refreshed, "user_baseline", "user_id", baseline_from_partials, USER_WINDOW_DAYS),
         partial(refreshed, "merchant_risk", "merchant_id", merchant_risk_from_partials, MERCHANT_WINDOW_DAYS)])
 
-    rows = _features(store, fact, batch, replaced, users, baseline, risk, heavy, country_history)
-    days = _days_of(batch, replaced, rows)
-    features, scores = side_by_side(spark, [partial(_by_day, store, "gold", "features", rows, days),
-                                            partial(_by_day, store, "gold", "scores", score(rows), days)])
+    rows, stored = _features(store, fact, batch, located, replaced, users, baseline, risk, heavy, country_history)
+    held = None if stored is None else sorted({*left, *_days_of(stored)})
+    days = sorted({*_days_of(batch, replaced, rows)})
+    features, scores = side_by_side(spark, [partial(_by_day, store, "gold", "features", rows, days, stored, held),
+                                            partial(_by_day, store, "gold", "scores", score(rows), days, stored, held)])
     counted = daily_kpi(scores.filter(F.col("event_date").isin(days)), updated_at=stamp)
     kpis = store.publish(state.upsert(
         _without_days(store.read("gold", "daily_kpi"), days), counted, ["date_key"]), "gold", "daily_kpi")
@@ -192,7 +197,7 @@ def _settle(store: LayerStore, batch: DataFrame, located: DataFrame | None) -> N
         store.replace(moved, state.history_by_keys(places, moved, ["transaction_id"]), *_DAYS, ["transaction_id"])
 
 
-def _replaced(store: LayerStore, batch: DataFrame, located: DataFrame | None) -> DataFrame | None:
+def _replaced(store: LayerStore, batch: DataFrame, located: DataFrame | None, days: list | None) -> DataFrame | None:
     """Id, keys and day of the stored rows that the batch replaces; None before the first run.
 
     Noted before any table changes, with what a run that died has left noted:
@@ -202,20 +207,27 @@ def _replaced(store: LayerStore, batch: DataFrame, located: DataFrame | None) ->
     fact = _existing(store.spark, store.path("silver", "fact"), batch.schema)
     if fact is None or located is None:
         return None
-    days = _days_of(located)
-    rows = state.history_by_keys(fact.filter(F.col("event_date").isin(days)).select(*columns), batch, ["transaction_id"])
+    rows = state.history_by_keys(fact.filter(F.col("event_date").isin(days)).select(*columns), located, ["transaction_id"])
     noted = store.read("state", "replaced")
     return store.publish((rows if noted is None else rows.unionByName(noted, allowMissingColumns=True)).distinct(), "state", "replaced")
 
 
-def _day_partials(store: LayerStore, fact: DataFrame, days: list) -> dict[str, DataFrame]:
-    """Partials per key, made anew for ``days``; of the whole fact until that has been done once to the end."""
+def _day_partials(store: LayerStore, fact: DataFrame, batch: DataFrame, days: list, left: list | None) -> dict[str, DataFrame]:
+    """Partials per key, brought up to date for ``days``; of the whole fact until that has been done once to the end.
+
+    On ``left``, the days that rows of the batch may have been on, they are made anew.
+    Elsewhere all rows of the batch are new, and their partials join the others.
+    """
     complete = store.read("state", "day_partials") is not None
 
     def made(name: str, make) -> DataFrame:
         path, rows = store.path("state", name), make(fact)
         if complete:
-            state.overwrite_days(store.spark, path, make(fact.filter(F.col("event_date").isin(days))), days)
+            anew, added = state.to_rewrite(store.spark, path, days, left)
+            if anew:
+                state.overwrite_days(store.spark, path, make(fact.filter(F.col("event_date").isin(anew))), anew)
+            if added:
+                state.write_by_day(make(batch.filter(F.col("event_date").isin(added))).select(*rows.columns), path, "append")
         else:
             state.write_by_day(rows, path)
         return store.spark.read.schema(rows.schema).parquet(path)
@@ -271,11 +283,13 @@ def _snapshots(store, fact, batch, replaced, affected, heavy, effective_ts, as_o
                                partial(renewed, "devices", "device_id", devices_latest, DEVICE_CHECK)])
 
 
-def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, country_history) -> DataFrame:
+def _features(store, fact, batch, located, replaced, snapshots, baseline, risk, heavy,
+              country_history) -> tuple[DataFrame, DataFrame | None]:
     """Feature rows of the batch and of rows whose history it changed; brings the state tables up to date.
 
     In-order users are extended from state, late ones recomputed from history,
     and those of their rows written that are new or differ from what is stored.
+    The second table has the ids that may be stored and the days of their rows; None if that is not known.
     """
     spark, heavy_users = store.spark, heavy["user_id"]
     versioning = ("user_id", "transaction_date", ["billing_country"], "transaction_id")
@@ -289,7 +303,7 @@ def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, co
         store.publish(user_points(fact), "state", "user_points", keys=["user_id"])
         used = versions if country_history == "event_time" else snapshots
         rows = build_features(fact.drop("event_date"), used, baseline, risk, **common)
-        return state.write_table(state.with_event_date(rows), scratch(spark, "features"))
+        return state.write_table(state.with_event_date(rows), scratch(spark, "features")), None
 
     forced = store.read("state", "rows_to_write")  # those a run that died had still to write
     gone = replaced.select("user_id")
@@ -313,10 +327,15 @@ def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, co
 
     context = bounded_context(fact, in_order, points, heavy=heavy_users)
     extended = build_features(context, used, baseline, risk, new_flag="_new", device_firsts=firsts, **common)
-    recomputed = state.write_table(state.with_event_date(build_features(
-        history.drop("event_date"), used, baseline, risk, **common)), scratch(spark, "recomputed"))
-    written = _changed(store, recomputed, batch, replaced, late, forced, country_history)
-    rows = state.write_table(state.with_event_date(extended).unionByName(written), scratch(spark, "features"))
+    recomputed = state.with_event_date(build_features(history.drop("event_date"), used, baseline, risk, **common))
+    # Of all other ids of the batch no row is stored anywhere.
+    ids = located.select("transaction_id")
+    ids = (ids if forced is None else ids.union(forced.select("transaction_id"))).distinct()
+    known = state.write_table(ids.withColumn("_known", F.lit(True)), scratch(spark, "known"))
+    written = _changed(store, recomputed, batch, replaced, late, known, country_history)
+    extended = state.with_event_date(extended).join(known, "transaction_id", "left").withColumnRenamed("_known", "_stored")
+    marked = state.write_table(extended.unionByName(written), scratch(spark, "features"))
+    rows, stored = marked.drop("_stored"), marked.filter("_stored").select("transaction_id", "event_date")
     store.publish(rows.select("transaction_id", "user_id"), "state", "rows_to_write")
 
     # Only now, as the rows above read the old state. Rows of any age only add to it; where a row was taken away, history tells.
@@ -332,28 +351,29 @@ def _features(store, fact, batch, replaced, snapshots, baseline, risk, heavy, co
     side_by_side(spark, [
         partial(renewed, "user_points", points, user_points),
         partial(renewed, "device_firsts", firsts.withColumnRenamed("first_seen_at", "transaction_date"), device_firsts)])
-    return rows
+    return rows, stored.unionByName(located.select("transaction_id", "event_date"))
 
 
-def _changed(store, recomputed, batch, replaced, late, forced, country_history) -> DataFrame:
-    """Rows of ``recomputed`` to write: those of the batch, those noted, and those whose history reads otherwise now.
+def _changed(store, recomputed, batch, replaced, late, known, country_history) -> DataFrame:
+    """Rows of ``recomputed`` to write: new ones, those ``known`` by id to be written, and those whose history reads
+    otherwise now; with ``_stored``, whether a row of the id may be stored.
 
     Nothing before the first day on which a late user got or lost a row can have changed.
     """
     moved = batch.select("user_id", "event_date").unionByName(replaced.select("user_id", "event_date"))
     first = moved.join(late, "user_id", "left_semi").agg(F.min("event_date")).scalar()
     stored = _existing(store.spark, store.path("gold", "features"), recomputed.schema)
-    ids = batch.select("transaction_id")
-    ids = ids if forced is None else ids.union(forced.select("transaction_id"))
     if stored is None:  # the first run died before it wrote any
-        return recomputed
+        return recomputed.withColumn("_stored", F.lit(True))
     from_history = ["velocity_1hr", "impossible_travel_flag", "new_device_flag",
                     *(["location_mismatch_flag"] if country_history == "event_time" else [])]
     held = (stored.filter(F.col("event_date") >= first).join(late, "user_id", "left_semi")
-            .select("transaction_id", *from_history))
-    differ = (recomputed.filter(F.col("event_date") >= first).select("transaction_id", *from_history)
-              .exceptAll(held).select("transaction_id"))
-    return recomputed.join(ids.union(differ).distinct(), "transaction_id", "left_semi")
+            .select("transaction_id", F.struct(*from_history).alias("_held")))
+    differs = (F.col("event_date") >= first) & ~F.struct(*from_history).eqNullSafe(F.col("_held"))
+    return (recomputed.join(held, "transaction_id", "left").join(known, "transaction_id", "left")
+            .filter(F.col("_known") | differs)
+            .withColumn("_stored", F.col("_known") | F.col("_held").isNotNull())
+            .drop("_held", "_known"))
 
 
 def clean_dates(raw: DataFrame) -> DataFrame:
