@@ -207,3 +207,15 @@ def test_new_rows_of_a_day_leave_its_files(spark, tmp_path):
     assert rows_of(store.read("gold", "user_baseline"), "user_id", "transaction_count_30d") == [("U1", 1), ("U2", 2)]
     counted = table(store, "state", "user_days").groupBy("user_id").agg(F.sum("transactions").alias("n"))
     assert rows_of(counted, "user_id", "n") == [("U1", 1), ("U2", 2)]
+
+
+def test_keys_of_a_batch_are_collected_once(spark, tmp_path, monkeypatch):
+    """Baselines and features take the users from what the snapshots use; only a rolled window adds to them."""
+    store, written = LayerStore(spark, str(tmp_path / "layers")), []
+    scratch = pipeline.scratch
+    monkeypatch.setattr(pipeline, "scratch", lambda spark, label: written.append(label) or scratch(spark, label))
+    for number in (1, 2):
+        run_pipeline(store, raw_rows(spark, [dict(TransactionID=f"T{number}", TransactionDate=f"2024-01-0{number}T00:00:00+00:00")]),
+                     f"2024-02-0{number}")
+    assert [sum(label.startswith(name) for label in written) for name in ("keys-", "touched-users")] == [6, 0]
+    assert table(store, "gold", "features").count() == 2

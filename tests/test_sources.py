@@ -172,6 +172,19 @@ def test_a_table_kept_by_key(spark, tmp_path, monkeypatch):
     assert sum(not e.delta for e in entries) > 1 and sum(e.delta for e in entries) == 6
 
 
+def test_a_version_is_noted_without_rows_from_python(spark, tmp_path, monkeypatch):
+    store = tables.LayerStore(spark, str(tmp_path), buckets=2)
+    made = spark.range(3).selectExpr("id AS k")
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark), "createDataFrame", lambda *_, **__: pytest.fail("starts Python workers for one row"))
+        store.publish(made, "state", "t", keys=["k"])
+        store.publish(made, "gold", "u")
+    noted = {e.table: e for e in spark.read.parquet(f"{store.root}/_published").collect()}
+    assert (noted["state.t"].keys, noted["state.t"].buckets, noted["state.t"].rows, noted["state.t"].delta) == ("k", 2, 3, False)
+    assert (noted["gold.u"].keys, noted["gold.u"].buckets, noted["gold.u"].rows, noted["gold.u"].number) == (None, None, None, 1)
+    assert all(e.published_at is not None for e in noted.values())
+
+
 def test_a_delta_that_was_never_published_is_not_read(spark, tmp_path, monkeypatch):
     store = tables.LayerStore(spark, str(tmp_path), buckets=2)
     store.publish(spark.range(100).selectExpr("id AS k", "0 AS v"), "state", "t", keys=["k"])

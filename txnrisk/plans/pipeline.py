@@ -21,7 +21,7 @@ from txnrisk.operators.features import build_features
 from txnrisk.operators.incremental import bounded_context, device_firsts, extend_versions, late_users, user_points
 from txnrisk.operators.kpi import daily_kpi
 from txnrisk.operators.partials import baseline_from_partials, merchant_days, merchant_risk_from_partials, user_days
-from txnrisk.operators.quality import gate, report, unique
+from txnrisk.operators.quality import gate, judged, report, unique
 from txnrisk.operators.scd2 import current_rows, scd2_apply, scd2_from_events
 from txnrisk.operators.scoring import score
 from txnrisk.operators.skew import heavy_keys_by
@@ -63,8 +63,8 @@ def _by_day(store: LayerStore, layer: str, name: str, batch: DataFrame, days: li
 
 def _days_of(*frames: DataFrame | None) -> list:
     """Days of the rows of all frames, in order."""
-    return sorted({row[0] for frame in frames if frame is not None
-                   for row in frame.select("event_date").distinct().collect()})
+    dates = [frame.select("event_date") for frame in frames if frame is not None]
+    return sorted(row[0] for row in reduce(DataFrame.union, dates).distinct().collect()) if dates else []
 
 
 def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=None, on_bad: str = "raise",
@@ -92,7 +92,8 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     located = _located(store, batch)
     # Days that may hold rows of the batch's ids; None before the first run.
     holding = None if located is None else _days_of(located)
-    replaced = _replaced(store, batch, located, holding)
+    _, replaced = side_by_side(spark, [partial(_note_days, store, batch, located),
+                                       partial(_replaced, store, batch, located, holding)])
     days = sorted({*_days_of(batch), *(holding or [])})
     if not days:
         return RunReport((), 0)
@@ -106,49 +107,88 @@ def run_pipeline(store: LayerStore, raw: DataFrame, as_of: str, *, effective_ts=
     fact = _by_day(store, "silver", "fact", batch, days, located, holding)
     # Before the places the ids have left are forgotten, and for those noted as well, so that a repeated run mends them.
     left = None if holding is None else sorted({*holding, *_days_of(replaced)})
-    sums = _day_partials(store, fact, batch, sorted({*days, *(left or [])}), left)
-    _settle(store, batch, located)
     # Elsewhere than on these days the ids of the batch do not occur; their other ids are counted rather than joined away.
     ids = fact.filter(F.col("event_date").isin(days)).select("transaction_id")
-    checks += gate(report({"fact_all_days": ids}, {"fact_all_days": [unique("transaction_id")]}))
-    heavy = heavy_keys_by(fact, ["user_id", "merchant_id", "device_id"])
 
-    def affected(key: str, window_days: int | None = None) -> DataFrame:
-        """Keys with rows in the batch, replaced by it, or left behind by the window."""
+    def settled() -> dict[str, DataFrame]:
+        sums = _day_partials(store, fact, batch, sorted({*days, *(left or [])}), left)
+        _settle(store, batch, located)
+        return sums
+
+    def affected(key: str) -> DataFrame:
+        """Keys with rows in the batch or replaced by it."""
         keys = state.affected(batch, key)
-        for rows in (replaced, None if window_days is None else _left_behind(store, sums[key], as_of, window_days)):
-            keys = keys if rows is None else keys.union(rows.select(key))
-        return keys.distinct()
-
-    _snapshots(store, fact, batch, replaced, affected, heavy, effective_ts, as_of)
-    users, users_current, devices, devices_current = side_by_side(spark, [
-        partial(store.merged, *table) for name in ("users", "devices")
-        for table in (("snapshots", name), ("silver", f"{name}_current"))])
-    checks += gate(contract_report({
-        "fact": touched(fact, days), "users_current": users_current, "devices_current": devices_current,
-        "users_versions": users, "devices_versions": devices}))
-
-    def refreshed(name: str, key: str, measure, window: int) -> DataFrame:
-        keys = state.write_table(affected(key, window), scratch(spark, f"affected-{name}"))
-        rows = state.write_table(measure(sums[key], as_of, window, keys, stamp), scratch(spark, name))
+        keys = keys if replaced is None else keys.union(replaced.select(key)).distinct()
+        return state.write_table(keys, scratch(spark, f"keys-{key}"))
+
+    sums, passed, heavy, of_users, of_devices, of_merchants = side_by_side(spark, [
+        settled, lambda: gate(report({"fact_all_days": ids}, {"fact_all_days": [unique("transaction_id")]})),
+        partial(heavy_keys_by, fact, ["user_id", "merchant_id", "device_id"]),
+        *[partial(affected, key) for key in ("user_id", "device_id", "merchant_id")]])
+    checks += passed
+
+    def snapshots() -> tuple[DataFrame, list]:
+        """The users' versions, and the results of the checks."""
+        _snapshots(store, fact, batch, replaced, {"user_id": of_users, "device_id": of_devices}, heavy, effective_ts, as_of)
+        users, users_current, devices, devices_current = side_by_side(spark, [
+            partial(store.merged, *table) for name in ("users", "devices")
+            for table in (("snapshots", name), ("silver", f"{name}_current"))])
+        return users, checked({
+            "fact": touched(fact, days), "users_current": users_current, "devices_current": devices_current,
+            "users_versions": users, "devices_versions": devices},
+            {"fact"}, {"users_current", "devices_current"}, {"users_versions", "devices_versions"})
+
+    def checked(tables: dict[str, DataFrame], *groups: set[str]) -> list:
+        """Results of the checks of each group of tables."""
+        found = side_by_side(spark, [lambda group=group: contract_report(tables, group).collect() for group in groups])
+        return [row for rows in found for row in rows]
+
+    def measured(name: str, key: str, keys: DataFrame, measure, window: int) -> tuple[DataFrame, DataFrame]:
+        """Keys of the batch and those whose window left some rows behind, with what there is of them now."""
+        behind = _left_behind(store, sums[key], as_of, window)
+        if behind is not None:
+            keys = state.write_table(keys.union(behind.select(key)).distinct(), scratch(spark, f"affected-{name}"))
+        return keys, state.write_table(measure(sums[key], as_of, window, keys, stamp), scratch(spark, name))
+
+    # Beside the snapshots and their checks, what later steps put into tables is made in scratch folders.
+    (users, found), baselines, risks, touching = side_by_side(spark, [
+        snapshots,
+        partial(measured, "user_baseline", "user_id", of_users, baseline_from_partials, USER_WINDOW_DAYS),
+        partial(measured, "merchant_risk", "merchant_id", of_merchants, merchant_risk_from_partials, MERCHANT_WINDOW_DAYS),
+        partial(_touching, store, fact, batch, replaced, of_users, heavy["user_id"])])
+    checks += judged(found)
+
+    def refreshed(name: str, key: str, keys: DataFrame, rows: DataFrame) -> DataFrame:
         store.replace(keys, rows, "gold", name, [key])
         return store.merged("gold", name)
 
-    baseline, risk = side_by_side(spark, [
-        partial(refreshed, "user_baseline", "user_id", baseline_from_partials, USER_WINDOW_DAYS),
-        partial(refreshed, "merchant_risk", "merchant_id", merchant_risk_from_partials, MERCHANT_WINDOW_DAYS)])
+    baseline, risk, versions = side_by_side(spark, [
+        partial(refreshed, "user_baseline", "user_id", *baselines),
+        partial(refreshed, "merchant_risk", "merchant_id", *risks),
+        partial(_versions, store, fact, touching, heavy["user_id"])])
 
-    rows, stored = _features(store, fact, batch, located, replaced, users, baseline, risk, heavy, country_history)
+    rows, stored = _features(store, fact, batch, located, replaced, touching, versions if country_history == "event_time" else users,
+                             baseline, risk, heavy, country_history)
     held = None if stored is None else sorted({*left, *_days_of(stored)})
     days = sorted({*_days_of(batch, replaced, rows)})
-    features, scores = side_by_side(spark, [partial(_by_day, store, "gold", "features", rows, days, stored, held),
-                                            partial(_by_day, store, "gold", "scores", score(rows), days, stored, held)])
-    counted = daily_kpi(scores.filter(F.col("event_date").isin(days)), updated_at=stamp)
-    kpis = store.publish(state.upsert(
-        _without_days(store.read("gold", "daily_kpi"), days), counted, ["date_key"]), "gold", "daily_kpi")
-    checks += gate(contract_report({
-        "user_baseline": baseline, "merchant_risk": risk, "features": touched(features, days),
-        "scores": touched(scores, days), "daily_kpi": kpis}))
+
+    def scored() -> list:
+        scores = _by_day(store, "gold", "scores", score(rows), days, stored, held)
+        counted = daily_kpi(scores.filter(F.col("event_date").isin(days)), updated_at=stamp)
+        kpis = store.publish(state.upsert(
+            _without_days(store.read("gold", "daily_kpi"), days), counted, ["date_key"]), "gold", "daily_kpi")
+        return checked({"scores": touched(scores, days), "daily_kpi": kpis}, {"scores", "daily_kpi"})
+
+    def featured() -> list:
+        features = _by_day(store, "gold", "features", rows, days, stored, held)
+        return checked({"features": touched(features, days)}, {"features"})
+
+    # The points change only now, as the rows above read the old ones.
+    _, *found = side_by_side(spark, [
+        partial(_renew_points, store, fact, batch, touching, heavy["user_id"]),
+        partial(checked, {"user_baseline": baseline, "merchant_risk": risk}, {"user_baseline", "merchant_risk"}),
+        featured, scored])
+    checks += judged([row for rows in found for row in rows])
     store.publish(spark.range(1).select(F.lit(as_of).cast("date").alias("as_of")), "state", "last_run")
     for name in ("replaced", "rows_to_write"):
         noted = store.read("state", name)
@@ -161,8 +201,7 @@ def _located(store: LayerStore, batch: DataFrame) -> DataFrame | None:
     """``(transaction_id, event_date)``: days on which ids of the batch may be stored; None before the first run.
 
     Read from the table of all ids' days, of which only the buckets of these
-    ids are opened. Before any table changes, the batch's own days are noted
-    there as well, so that a run that dies leaves no row that cannot be found.
+    ids are opened.
     """
     ids = batch.select("transaction_id")
     fact = _existing(store.spark, store.path("silver", "fact"), batch.schema)
@@ -172,15 +211,21 @@ def _located(store: LayerStore, batch: DataFrame) -> DataFrame | None:
         held = [table.select("transaction_id", "event_date") for table in (fact, bronze) if table is not None]
         store.publish(reduce(DataFrame.union, held).distinct(), *_DAYS, keys=["transaction_id"])
         known = store.read(*_DAYS, ids)
+    return None if known is None else state.write_table(known, scratch(store.spark, "located"))
+
+
+def _note_days(store: LayerStore, batch: DataFrame, located: DataFrame | None) -> None:
+    """Note the batch's own days in the table of all ids' days.
+
+    This is done before any other table changes, so that a run that dies leaves no row that cannot be found.
+    """
     places = batch.select("transaction_id", "event_date")
-    if known is None:
+    if located is None:
         store.publish(places, *_DAYS, keys=["transaction_id"])
-        return None
-    located = state.write_table(known, scratch(store.spark, "located"))
+        return
     news = places.join(located, ["transaction_id", "event_date"], "left_anti")
     both = state.write_table(located.unionByName(news), scratch(store.spark, "days"))
-    store.replace(ids, both, *_DAYS, ["transaction_id"])
-    return located
+    store.replace(batch.select("transaction_id"), both, *_DAYS, ["transaction_id"])
 
 
 #: Where the days of all ids are kept.
@@ -248,7 +293,7 @@ def _left_behind(store: LayerStore, partials: DataFrame, as_of: str, window_days
     return partials.filter((F.col("event_date") >= F.least(before, now)) & (F.col("event_date") < F.greatest(before, now)))
 
 
-def _snapshots(store, fact, batch, replaced, affected, heavy, effective_ts, as_of) -> None:
+def _snapshots(store, fact, batch, replaced, affected: dict[str, DataFrame], heavy, effective_ts, as_of) -> None:
     """Bring the version tables and the tables of current rows up to date for the keys concerned.
 
     A table keeps the latest row of every key. The latest of a key is the later
@@ -258,7 +303,7 @@ def _snapshots(store, fact, batch, replaced, affected, heavy, effective_ts, as_o
     effective = F.lit(as_of).cast(fact.schema["transaction_date"].dataType) if effective_ts is None else effective_ts
 
     def renewed(name: str, key: str, latest, checked: list) -> None:
-        keys = state.write_table(affected(key), scratch(store.spark, f"keys-{name}"))
+        keys = affected[key]
         columns = ["transaction_id", "transaction_date", "user_id", "device_id", "billing_country", "payment_method",
                    "device_type"]
         kept = store.read("state", f"{name}_latest", keys)
@@ -283,75 +328,104 @@ def _snapshots(store, fact, batch, replaced, affected, heavy, effective_ts, as_o
                                partial(renewed, "devices", "device_id", devices_latest, DEVICE_CHECK)])
 
 
-def _features(store, fact, batch, located, replaced, snapshots, baseline, risk, heavy,
-              country_history) -> tuple[DataFrame, DataFrame | None]:
-    """Feature rows of the batch and of rows whose history it changed; brings the state tables up to date.
+@dataclass(frozen=True)
+class _Touching:
+    """What a run needs of the users it touches, written aside before any of the state tables changes."""
 
-    In-order users are extended from state, late ones recomputed from history,
-    and those of their rows written that are new or differ from what is stored.
-    The second table has the ids that may be stored and the days of their rows; None if that is not known.
-    """
-    spark, heavy_users = store.spark, heavy["user_id"]
-    versioning = ("user_id", "transaction_date", ["billing_country"], "transaction_id")
-    common = {"heavy_users": heavy_users, "heavy_merchants": heavy["merchant_id"]}
+    users: DataFrame
+    gone: DataFrame
+    forced: DataFrame | None
+    late: DataFrame
+    history: DataFrame
+    in_order: DataFrame
+    points: DataFrame
+    firsts: DataFrame
+    versions: DataFrame
 
-    if store.read("state", "user_points") is None:
-        # First run: the batch is the history.
-        versions = store.publish(scd2_from_events(fact, *versioning, heavy=heavy_users), "silver", "country_versions",
-                                 keys=["user_id"])
-        store.publish(device_firsts(fact), "state", "device_firsts", keys=["user_id"])
-        store.publish(user_points(fact), "state", "user_points", keys=["user_id"])
-        used = versions if country_history == "event_time" else snapshots
-        rows = build_features(fact.drop("event_date"), used, baseline, risk, **common)
-        return state.write_table(state.with_event_date(rows), scratch(spark, "features")), None
 
+#: Country versions and the columns they are made of.
+_VERSIONS = ("silver", "country_versions")
+_VERSIONING = ("user_id", "transaction_date", ["billing_country"], "transaction_id")
+
+
+def _touching(store, fact, batch, replaced, affected, heavy_users) -> _Touching | None:
+    """In-order users, to be extended from state, and late ones, to be recomputed from history, with the versions of
+    both; None on the first run, when the batch is the history."""
+    if store.read("state", "user_points") is None:
+        return None
+    spark = store.spark
     forced = store.read("state", "rows_to_write")  # those a run that died had still to write
     gone = replaced.select("user_id")
     gone = gone if forced is None else gone.union(forced.select("user_id"))
-    users = state.write_table(batch.select("user_id").union(gone).distinct(), scratch(spark, "touched-users"))
+    users = affected if forced is None else state.write_table(
+        affected.union(forced.select("user_id")).distinct(), scratch(spark, "touched-users"))
     points, firsts, held = (store.read(*table, users) for table in (
-        ("state", "user_points"), ("state", "device_firsts"), ("silver", "country_versions")))
+        ("state", "user_points"), ("state", "device_firsts"), _VERSIONS))
     late = state.write_table(late_users(batch, points, gone), scratch(spark, "late"))
     # Without a late user the fact is read for the last hour only.
     history = fact.filter(F.lit(False)) if late.isEmpty() else state.history_of(fact, late, "user_id", heavy_users)
     in_order = batch.join(late, "user_id", "left_anti")
+    versions = state.write_table(
+        extend_versions(held.join(late, "user_id", "left_anti"), in_order, *_VERSIONING, heavy=heavy_users)
+        .unionByName(scd2_from_events(history, *_VERSIONING, heavy=heavy_users)), scratch(spark, "versions"))
+    return _Touching(users, gone, forced, late, history, in_order, points, firsts, versions)
 
-    def without(table: DataFrame) -> DataFrame:
-        return table.join(late, "user_id", "left_anti")
 
-    versions = state.write_table(
-        extend_versions(without(held), in_order, *versioning, heavy=heavy_users)
-        .unionByName(scd2_from_events(history, *versioning, heavy=heavy_users)), scratch(spark, "versions"))
-    store.replace(users, versions, "silver", "country_versions", ["user_id"])
-    used = versions if country_history == "event_time" else snapshots
-
-    context = bounded_context(fact, in_order, points, heavy=heavy_users)
-    extended = build_features(context, used, baseline, risk, new_flag="_new", device_firsts=firsts, **common)
-    recomputed = state.with_event_date(build_features(history.drop("event_date"), used, baseline, risk, **common))
+def _versions(store, fact, touching, heavy_users) -> DataFrame:
+    """Bring the country versions up to date; those of the users touched."""
+    if touching is None:
+        return store.publish(scd2_from_events(fact, *_VERSIONING, heavy=heavy_users), *_VERSIONS, keys=["user_id"])
+    store.replace(touching.users, touching.versions, *_VERSIONS, ["user_id"])
+    return touching.versions
+
+
+def _features(store, fact, batch, located, replaced, touching, used, baseline, risk, heavy,
+              country_history) -> tuple[DataFrame, DataFrame | None]:
+    """Feature rows of the batch and of rows whose history it changed, noted as to be written.
+
+    Of late users those rows are written that are new or differ from what is stored.
+    The second table has the ids that may be stored and the days of their rows; None if that is not known.
+    """
+    spark = store.spark
+    common = {"heavy_users": heavy["user_id"], "heavy_merchants": heavy["merchant_id"]}
+    if touching is None:
+        rows = build_features(fact.drop("event_date"), used, baseline, risk, **common)
+        return state.write_table(state.with_event_date(rows), scratch(spark, "features")), None
+
+    context = bounded_context(fact, touching.in_order, touching.points, heavy=heavy["user_id"])
+    extended = build_features(context, used, baseline, risk, new_flag="_new", device_firsts=touching.firsts, **common)
+    recomputed = state.with_event_date(build_features(touching.history.drop("event_date"), used, baseline, risk, **common))
     # Of all other ids of the batch no row is stored anywhere.
     ids = located.select("transaction_id")
-    ids = (ids if forced is None else ids.union(forced.select("transaction_id"))).distinct()
+    ids = (ids if touching.forced is None else ids.union(touching.forced.select("transaction_id"))).distinct()
     known = state.write_table(ids.withColumn("_known", F.lit(True)), scratch(spark, "known"))
-    written = _changed(store, recomputed, batch, replaced, late, known, country_history)
+    written = _changed(store, recomputed, batch, replaced, touching.late, known, country_history)
     extended = state.with_event_date(extended).join(known, "transaction_id", "left").withColumnRenamed("_known", "_stored")
     marked = state.write_table(extended.unionByName(written), scratch(spark, "features"))
     rows, stored = marked.drop("_stored"), marked.filter("_stored").select("transaction_id", "event_date")
     store.publish(rows.select("transaction_id", "user_id"), "state", "rows_to_write")
+    return rows, stored.unionByName(located.select("transaction_id", "event_date"))
+
 
-    # Only now, as the rows above read the old state. Rows of any age only add to it; where a row was taken away, history tells.
-    lost = state.write_table(gone.distinct(), scratch(spark, "lost"))
+def _renew_points(store, fact, batch, touching, heavy_users) -> None:
+    """Bring last points and first device uses up to date. Rows of any age only add to them; where a row was taken away, history tells."""
+    spark = store.spark
+    if touching is None:
+        store.publish(device_firsts(fact), "state", "device_firsts", keys=["user_id"])
+        store.publish(user_points(fact), "state", "user_points", keys=["user_id"])
+        return
+    lost = state.write_table(touching.gone.distinct(), scratch(spark, "lost"))
     moved = batch.join(lost, "user_id", "left_anti")
     if not lost.isEmpty():
         moved = moved.unionByName(state.history_of(fact, lost, "user_id", heavy_users).select(*batch.columns))
 
     def renewed(name: str, held: DataFrame, measure) -> None:
         rows = measure(held.join(lost, "user_id", "left_anti").unionByName(moved, allowMissingColumns=True))
-        store.replace(users, state.write_table(rows, scratch(spark, name)), "state", name, ["user_id"])
+        store.replace(touching.users, state.write_table(rows, scratch(spark, name)), "state", name, ["user_id"])
 
     side_by_side(spark, [
-        partial(renewed, "user_points", points, user_points),
-        partial(renewed, "device_firsts", firsts.withColumnRenamed("first_seen_at", "transaction_date"), device_firsts)])
-    return rows, stored.unionByName(located.select("transaction_id", "event_date"))
+        partial(renewed, "user_points", touching.points, user_points),
+        partial(renewed, "device_firsts", touching.firsts.withColumnRenamed("first_seen_at", "transaction_date"), device_firsts)])
 
 
 def _changed(store, recomputed, batch, replaced, late, known, country_history) -> DataFrame:

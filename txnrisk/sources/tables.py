@@ -76,8 +76,10 @@ class LayerStore:
 
     def _note(self, layer: str, name: str, version: str, number: int, schema: StructType, keys: Sequence[str] = (),
               buckets: int | None = None, delta: bool = False, rows: int | None = None) -> None:
-        row = (f"{layer}.{name}", version, number, None, ",".join(keys) or None, buckets, delta, rows, schema.json())
-        listed = self.spark.createDataFrame([row], self._ENTRY).withColumn("published_at", F.current_timestamp()).coalesce(1)
+        row = (f"{layer}.{name}", version, number, F.current_timestamp(), ",".join(keys) or None, buckets, delta, rows, schema.json())
+        # Of literals: a row from Python would start a Python worker per partition of the data that it is alone in.
+        listed = self.spark.range(0, 1, 1, 1).select(*[
+            F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(row, DataType.fromDDL(self._ENTRY))])
         with self._listing:
             listed.write.mode("append").parquet(f"{self.root}/_published")
 
